@@ -1,0 +1,110 @@
+"""History rules on a stream: a small state per user, carried from one micro-batch to the next.
+
+The state is a user's last row and the times of as many recent rows as the velocity rule counts, so
+it does not grow with a user's activity. A group is one user in one micro-batch and thus bounded by
+the source's rate limit. For input in time order the marks equal the batch operator's; a row that
+arrives after a later one of the same user is judged against what has been seen by then.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from datetime import timedelta
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from kwarta.config import DEFAULT_RULES, Rules
+from kwarta.functions import geo
+
+STATE = "recent array<bigint>, last_us bigint, last_id string, last_lat double, last_lon double"
+_NULL_GROUPS = 512
+
+
+def _micros(span: timedelta) -> int:
+    return span // timedelta(microseconds=1)
+
+
+def _km(lat1, lon1, lat2, lon2):
+    lat1, lon1, lat2, lon2 = (np.radians(x) for x in (lat1, lon1, lat2, lon2))
+    chord = np.sin((lat2 - lat1) / 2) ** 2 + np.cos(lat1) * np.cos(lat2) * np.sin((lon2 - lon1) / 2) ** 2
+    return 2 * geo.EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(1.0, chord)))
+
+
+def mark(rows: pd.DataFrame, state: tuple | None, rules: Rules) -> tuple[pd.DataFrame, tuple]:
+    """Mark one user's new rows and return them with the user's next state."""
+    rows = rows.sort_values(["_us", "event_id"], kind="stable")
+    us = rows["_us"].to_numpy(dtype="int64")
+    recent, last_us, last_id, last_lat, last_lon = state or ([], None, None, None, None)
+
+    times = np.sort(np.concatenate([np.asarray(recent, dtype="int64"), us]))
+    nth_back = np.searchsorted(times, us, side="right") - 1 - rules.velocity_count
+    enough = nth_back >= 0
+    crowded = enough & (times[np.maximum(nth_back, 0)] >= us - _micros(rules.velocity_window))
+
+    known = np.ones(len(us), dtype=bool)
+    known[0] = last_us is not None
+    gap = us - np.concatenate([[last_us if known[0] else us[0]], us[:-1]])
+    lat, lon = rows["_lat"].to_numpy(dtype="float64"), rows["_lon"].to_numpy(dtype="float64")
+    nan = float("nan")
+    before_lat = np.concatenate([[nan if last_lat is None else last_lat], lat[:-1]])
+    before_lon = np.concatenate([[nan if last_lon is None else last_lon], lon[:-1]])
+    near = known & (gap >= 0) & (gap <= _micros(rules.jump_window))
+    far = _km(before_lat, before_lon, lat, lon) > rules.jump_km  # False where a place is unknown
+
+    marked = rows.assign(
+        velocity_hit=crowded,
+        location_hit=near & far,
+        dormant_hit=known & (gap >= _micros(rules.dormant_gap)) & rows["_large"].to_numpy(dtype=bool),
+    )
+    newest = (int(us[-1]), rows["event_id"].iloc[-1])
+    keep = [int(t) for t in times[-rules.velocity_count:]]
+    if last_us is not None and (last_us, last_id) > newest:
+        return marked, (keep, last_us, last_id, last_lat, last_lon)
+    place = [None if np.isnan(x) else float(x) for x in (lat[-1], lon[-1])]
+    return marked, (keep, *newest, *place)
+
+
+def with_history(cleansed: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Add ``velocity_hit``, ``location_hit`` and ``dormant_hit`` to a stream of cleansed rows.
+
+    Rejected rows pass through unmarked: they are spread over groups of their own.
+    """
+    good = F.col("reject_reason").isNull()
+    spread = F.pmod(F.xxhash64("payload"), F.lit(_NULL_GROUPS)).cast("string")
+    stamps = [f.name for f in cleansed.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    # Instants travel as integers: pandas cannot hold every instant Spark can.
+    keyed = cleansed.withColumns(
+        {
+            "_good": good,
+            "_group": F.when(good, F.concat(F.lit("u"), "user_id")).otherwise(F.concat(F.lit("r"), spread)),
+            "_us": F.unix_micros("event_timestamp"),
+            "_lat": geo.latitude(F.col("province")),
+            "_lon": geo.longitude(F.col("province")),
+            "_large": F.coalesce(F.col("amount_php") >= rules.dormant_amount, F.lit(False)),
+            # On good rows the payload is not needed any more.
+            "payload": F.when(~good, F.col("payload")),
+        }
+    ).withColumns({c: F.unix_micros(c) for c in stamps})
+    marks = ["velocity_hit", "location_hit", "dormant_hit"]
+    output = T.StructType(
+        list(keyed.schema.fields) + [T.StructField(m, T.BooleanType()) for m in marks]
+    )
+
+    def step(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if key[0].startswith("r"):
+            for frame in frames:
+                yield frame.assign(**{m: False for m in marks})
+            return
+        rows = pd.concat(list(frames), ignore_index=True)
+        marked, after = mark(rows, state.get if state.exists else None, rules)
+        state.update(after)
+        yield marked
+
+    marked = keyed.groupBy("_group").applyInPandasWithState(step, output, STATE, "append", "NoTimeout")
+    return marked.withColumns({c: F.timestamp_micros(c) for c in stamps}).drop(
+        "_good", "_group", "_us", "_lat", "_lon", "_large"
+    )
