@@ -99,7 +99,7 @@ def recent_activity(
     )
     timeline = (
         rows.withColumns({"_us": _epoch("event_timestamp"), "_lat": lat, "_lon": lon})
-        .select(F.inline(records))
+        .select(F.inline_outer(records))
         .filter(F.col("_kind").isNotNull())
     )
 

@@ -37,9 +37,10 @@ def parse(raw: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     text = F.col("value").cast("string")
     parsed = F.from_json(text, T.StructType(fields))
     # As a generator the parse runs once per row. As a plain column it would be copied into every
-    # filter on a parsed field, and the JSON read again for each mention of it.
+    # filter on a parsed field, and the JSON read again for each mention of it. The outer form keeps
+    # the optimizer from adding a "not empty" filter, which would parse once more.
     return raw.filter(F.col("value").isNotNull()).select(
-        text.alias("payload"), F.inline(F.array(parsed))
+        text.alias("payload"), F.inline_outer(F.array(parsed))
     )
 
 

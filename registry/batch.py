@@ -15,6 +15,7 @@ from kwarta.operators.merge import merge_rows
 from kwarta.plans import load, marts, quality, reports, silver
 from kwarta.session import work_folder
 from kwarta.sinks import tables
+from kwarta.sources import files
 from kwarta.streaming import job, windows
 from registry import fixture as fx
 
@@ -37,34 +38,30 @@ def plain(df: DataFrame) -> DataFrame:
 
 def bronze_parse(spark: SparkSession, sf: str) -> DataFrame:
     """All payload fields. The amount is compared as a number: its text depends on the JSON writer."""
-    parsed = silver.parse(fx.payloads(spark, sf), fx.EXTRA_FIELDS).drop("payload")
+    parsed = silver.parse(fx.read_payloads(spark, sf), fx.EXTRA_FIELDS).drop("payload")
     return parsed.withColumn("amount_php", F.col("amount_php").cast("decimal(14,2)"))
 
 
 def dirty_payloads(spark: SparkSession, sf: str) -> DataFrame:
     """All payloads, of which eight in sixteen are damaged, each in its own way."""
-    rows = fx.bronze(spark, sf).drop("geo_key")
-    kind = F.pmod(F.col("event_id").cast("bigint"), F.lit(16))
-    damaged = rows.withColumns(
-        {
-            "event_no": F.col("event_id").cast("bigint"),
-            "event_id": F.when(kind != 6, F.col("event_id")),
-            "user_id": F.when(kind != 4, F.col("user_id")),
-            "transaction_type": F.when(kind != 5, F.col("transaction_type")),
-            "amount_php": F.when(kind == 1, F.concat(F.lit("-"), F.col("amount_php").cast("string")))
-            .when(kind == 2, "x").otherwise(F.col("amount_php").cast("string")),
-            "event_timestamp": F.when(kind == 3, "yesterday").otherwise(
-                F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-            ),
-        }
-    )
-    sent = silver.publish(damaged, also=("event_no",))
-    number = F.pmod(F.col("event_no"), F.lit(16))
-    return sent.select(
-        F.when(number == 7, F.concat(F.lit("not json, event_no "), F.col("event_no").cast("string")))
-        .when(number == 8, F.concat(F.lit("["), F.col("value"), F.lit("]")))
-        .otherwise(F.col("value")).alias("value")
-    )
+    rows = fx.bronze(spark, sf).drop("geo_key").withColumn("event_no", F.col("event_id").cast("bigint"))
+    sent = silver.publish(rows, also=("event_no",))
+    text, number = F.col("value"), F.col("event_no").cast("string")
+    damage = [
+        F.regexp_replace(text, '"amount_php":', '"amount_php":-'),
+        F.regexp_replace(text, '"amount_php":[0-9.]+', '"amount_php":"x"'),
+        F.regexp_replace(text, '"event_timestamp":"[^"]+"', '"event_timestamp":"yesterday"'),
+        F.regexp_replace(text, '"user_id":', '"who":'),
+        F.regexp_replace(text, '"transaction_type":', '"what":'),
+        F.regexp_replace(text, '"event_id":', '"which":'),
+        F.concat(F.lit("not json, event_no "), number),
+        F.concat(F.lit("["), text, F.lit("]")),
+    ]
+    broken = F
+    for kind, as_sent in enumerate(damage, start=1):
+        broken = broken.when(F.pmod("event_no", F.lit(16)) == kind, as_sent)
+    damaged = sent.select(broken.otherwise(text).alias("value"))
+    return files.read_payloads(spark, fx.landed(damaged))
 
 
 def _dirty_cleansed(spark: SparkSession, sf: str) -> DataFrame:
@@ -191,8 +188,9 @@ def load_replay(spark: SparkSession, sf: str) -> DataFrame:
     """All payloads loaded into stored tables, twice; then the fact table as it was written."""
     lake = Lake(work_folder(spark, "lake"))
     load.create_tables(spark, lake)
+    sent = fx.read_payloads(spark, sf)
     for _ in range(2):
-        load.load_batch(fx.payloads(spark, sf), lake, "all", extra=fx.EXTRA_FIELDS)
+        load.load_batch(sent, lake, "all", extra=fx.EXTRA_FIELDS)
     return plain(tables.read(spark, lake.facts))
 
 
@@ -385,14 +383,15 @@ def dq_freshness(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_topic_sample(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.has_messages(fx.payloads(spark, sf))
+    return quality.has_messages(fx.read_payloads(spark, sf))
 
 
 def dq_tables(spark: SparkSession, sf: str) -> DataFrame:
     """The tables that a load and a nightly build of the events leave behind."""
     lake = Lake(work_folder(spark, "tables"))
     load.create_tables(spark, lake)
-    load.load_batch(fx.payloads(spark, sf), lake, "all", extra=fx.EXTRA_FIELDS)
+    sent = fx.read_payloads(spark, sf)
+    load.load_batch(sent, lake, "all", extra=fx.EXTRA_FIELDS)
     marts.build_all(lake, spark, fx.MART_AS_OF)
     return quality.tables_exist(spark, lake.silver() + lake.gold()).unionByName(
         quality.layers_complete(spark, lake)
@@ -419,7 +418,7 @@ def stream_facts(spark: SparkSession, sf: str) -> DataFrame:
     lake = Lake(folder)
     load.create_tables(spark, lake)
     job.start(
-        fx.payload_stream(spark, sf), lake, f"{folder}/checkpoint",
+        fx.stream_payloads(spark, sf), lake, f"{folder}/checkpoint",
         interval=None, extra=fx.EXTRA_FIELDS,
     ).awaitTermination()
     return plain(tables.read(spark, lake.facts))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kwarta.config import Rules
 from kwarta.plans import load, silver
+from kwarta.session import work_folder
 from kwarta.sources import files
 
 MART_AS_OF = datetime(2024, 1, 16)
@@ -43,13 +44,11 @@ def _case(value: Column, names: dict, otherwise=None) -> Column:
     return chain.otherwise(otherwise)
 
 
-def bronze(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
+def bronze(spark: SparkSession, sf: str) -> DataFrame:
     """One typed row per event, with ``geo_key`` for the location tests."""
-    if events is None:
-        events = table(spark, sf, "events")
     customer, supplier = table(spark, sf, "customer"), table(spark, sf, "supplier")
     nation = table(spark, sf, "nation")
-    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    events = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
     k, user = F.col("k"), F.col("user_id")
     delay = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("event_id") % 20).cast("decimal(18,6)"))
     joined = (
@@ -115,12 +114,21 @@ def payloads(spark: SparkSession, sf: str) -> DataFrame:
     return silver.publish(bronze(spark, sf).drop("geo_key"))
 
 
-def payload_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The events file as a stream of payloads."""
-    schema = table(spark, sf, "events").schema
-    events = files.stream_parquet(spark, sf, schema, "events.parquet")
-    return silver.publish(bronze(spark, sf, events).drop("geo_key"))
+def landed(sent: DataFrame) -> str:
+    """Payloads written as text files, one per line, the way a topic or a drop folder hands them
+    over: parsing starts from plain text and knows nothing of how it was made."""
+    folder = work_folder(sent.sparkSession, "landed")
+    sent.write.text(f"{folder}/payloads")
+    return f"{folder}/payloads"
+
+
+def read_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    return files.read_payloads(spark, landed(payloads(spark, sf)))
+
+
+def stream_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    return files.stream_payloads(spark, landed(payloads(spark, sf)))
 
 
 def scored_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.score(silver.valid(silver.cleanse(silver.parse(payload_stream(spark, sf), EXTRA_FIELDS))))
+    return silver.score(silver.valid(silver.cleanse(silver.parse(stream_payloads(spark, sf), EXTRA_FIELDS))))
