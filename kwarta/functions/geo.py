@@ -31,4 +31,5 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     half_lat = F.sin(F.radians(lat2 - lat1) / 2)
     half_lon = F.sin(F.radians(lon2 - lon1) / 2)
     chord = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.least(F.lit(1.0), chord)))
+    # Rounding can push the chord just above 1. (`least` would turn an unknown place into 1.)
+    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.when(chord > 1, 1.0).otherwise(chord)))

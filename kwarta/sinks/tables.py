@@ -47,7 +47,10 @@ def read(spark: SparkSession, name: str) -> DataFrame:
 def create(spark: SparkSession, path: str, *partitions: str) -> None:
     """Make one of the engine's tables, empty, unless it is there."""
     schema = BY_NAME[path.rstrip("/").rsplit("/", 1)[-1]]
-    writer = spark.createDataFrame([], schema).coalesce(1).write.mode("ignore")
+    empty = spark.range(0, 0, 1, 1).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
+    writer = empty.write.mode("ignore")
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
 
 

@@ -15,7 +15,8 @@ from kwarta.sources import files
 
 MART_AS_OF = datetime(2024, 1, 16)
 REPORT_AS_OF = datetime(2024, 1, 15, 12)
-STORED_BEFORE = datetime(2024, 1, 3)
+# Early enough that some users and merchants are still unknown at every scale of the test tables.
+STORED_BEFORE = datetime(2024, 1, 1, 6)
 
 # The events are sparse, so the history rules look back further here than they do by default.
 SPARSE_RULES = Rules(

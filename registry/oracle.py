@@ -159,7 +159,7 @@ _LAST_DAY = ("event_timestamp >= TIMESTAMP '2024-01-14 12:00:00'"
              " AND event_timestamp <= TIMESTAMP '2024-01-15 12:00:00'")
 _LAST_HOUR = ("event_timestamp >= TIMESTAMP '2024-01-15 11:00:00'"
               " AND event_timestamp <= TIMESTAMP '2024-01-15 12:00:00'")
-_STORED = "event_timestamp < TIMESTAMP '2024-01-03 00:00:00'"
+_STORED = "event_timestamp < TIMESTAMP '2024-01-01 06:00:00'"
 
 _DIRTY = """
 dirty AS (
@@ -194,11 +194,12 @@ seen AS (
       RANGE BETWEEN INTERVAL 6 HOURS PRECEDING AND CURRENT ROW) AS tx_in_window,
     lag(us) OVER w AS prev_us, lag(lat) OVER w AS prev_lat, lag(lon) OVER w AS prev_lon
   FROM steps WINDOW w AS (PARTITION BY user_id ORDER BY event_timestamp, event_id)),
-measured AS (
-  SELECT *, 2 * 6371.0 * asin(sqrt(least(1.0,
-      pow(sin(radians(lat - prev_lat) / 2), 2)
-      + cos(radians(prev_lat)) * cos(radians(lat)) * pow(sin(radians(lon - prev_lon) / 2), 2)))) AS km
+chords AS (
+  SELECT *, pow(sin(radians(lat - prev_lat) / 2), 2)
+      + cos(radians(prev_lat)) * cos(radians(lat)) * pow(sin(radians(lon - prev_lon) / 2), 2) AS chord
   FROM seen),
+measured AS (
+  SELECT *, 2 * 6371.0 * asin(sqrt(CASE WHEN chord > 1 THEN 1.0 ELSE chord END)) AS km FROM chords),
 hits AS (
   SELECT *, tx_in_window > 2 AS velocity_hit,
     coalesce(us - prev_us <= 3600000000 AND km > 100, false) AS location_hit,
