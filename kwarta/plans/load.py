@@ -227,6 +227,8 @@ def load_batch(
     cleansed = spark.read.schema(cleansed.schema).parquet(f"{stage}/cleansed")
     rows = silver.valid(cleansed)
     if history:
+        # A redelivered row must not count as activity.
+        rows = first_per_key(rows, ["event_id"], ["event_timestamp", F.xxhash64(*rows.columns)])
         score_with_history(rows, rules).write.parquet(f"{stage}/scored")
         scored = spark.read.parquet(f"{stage}/scored")
     else:

@@ -1,7 +1,8 @@
 """History rules on a stream: a small state per user, carried from one micro-batch to the next.
 
-The state is a user's last row and the times of as many recent rows as the velocity rule counts, so
-it does not grow with a user's activity. A group is one user in one micro-batch and thus bounded by
+The state is a user's last row and the times and ids of as many recent rows as the velocity rule
+counts, so it does not grow with a user's activity. A redelivered row is dropped if it is in the same
+micro-batch or among those recent ones, so that it does not count as activity. A group is one user in one micro-batch and thus bounded by
 the source's rate limit. For input in time order the marks equal the batch operator's; a row that
 arrives after a later one of the same user is judged against what has been seen by then.
 """
@@ -20,7 +21,10 @@ from pyspark.sql import types as T
 from kwarta.config import DEFAULT_RULES, Rules
 from kwarta.functions import geo
 
-STATE = "recent array<bigint>, last_us bigint, last_id string, last_lat double, last_lon double"
+STATE = (
+    "recent array<bigint>, recent_ids array<string>, "
+    "last_us bigint, last_id string, last_lat double, last_lon double"
+)
 _NULL_GROUPS = 512
 
 
@@ -34,13 +38,18 @@ def _km(lat1, lon1, lat2, lon2):
     return 2 * geo.EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(1.0, chord)))
 
 
-def mark(rows: pd.DataFrame, state: tuple | None, rules: Rules) -> tuple[pd.DataFrame, tuple]:
+def mark(rows: pd.DataFrame, state: tuple | None, rules: Rules) -> tuple[pd.DataFrame, tuple | None]:
     """Mark one user's new rows and return them with the user's next state."""
-    rows = rows.sort_values(["_us", "event_id"], kind="stable")
+    recent, recent_ids, last_us, last_id, last_lat, last_lon = state or ([], [], None, None, None, None)
+    rows = rows.sort_values(["_us", "event_id"], kind="stable").drop_duplicates("event_id")
+    rows = rows[~rows["event_id"].isin(recent_ids)]
+    if rows.empty:
+        return rows.assign(velocity_hit=False, location_hit=False, dormant_hit=False), state
     us = rows["_us"].to_numpy(dtype="int64")
-    recent, last_us, last_id, last_lat, last_lon = state or ([], None, None, None, None)
 
-    times = np.sort(np.concatenate([np.asarray(recent, dtype="int64"), us]))
+    both = np.concatenate([np.asarray(recent, dtype="int64"), us])
+    by_time = np.argsort(both, kind="stable")
+    times = both[by_time]
     nth_back = np.searchsorted(times, us, side="right") - 1 - rules.velocity_count
     enough = nth_back >= 0
     crowded = enough & (times[np.maximum(nth_back, 0)] >= us - _micros(rules.velocity_window))
@@ -61,11 +70,13 @@ def mark(rows: pd.DataFrame, state: tuple | None, rules: Rules) -> tuple[pd.Data
         dormant_hit=known & (gap >= _micros(rules.dormant_gap)) & rows["_large"].to_numpy(dtype=bool),
     )
     newest = (int(us[-1]), rows["event_id"].iloc[-1])
-    keep = [int(t) for t in times[-rules.velocity_count:]]
+    ids = np.concatenate([np.asarray(recent_ids, dtype=object), rows["event_id"].to_numpy(dtype=object)])
+    kept = by_time[-rules.velocity_count:]
+    keep = [int(t) for t in both[kept]], [str(i) for i in ids[kept]]
     if last_us is not None and (last_us, last_id) > newest:
-        return marked, (keep, last_us, last_id, last_lat, last_lon)
+        return marked, (*keep, last_us, last_id, last_lat, last_lon)
     place = [None if np.isnan(x) else float(x) for x in (lat[-1], lon[-1])]
-    return marked, (keep, *newest, *place)
+    return marked, (*keep, *newest, *place)
 
 
 def with_history(cleansed: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -101,8 +112,9 @@ def with_history(cleansed: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame
             return
         rows = pd.concat(list(frames), ignore_index=True)
         marked, after = mark(rows, state.get if state.exists else None, rules)
-        state.update(after)
-        yield marked
+        if len(marked):
+            state.update(after)
+            yield marked
 
     marked = keyed.groupBy("_group").applyInPandasWithState(step, output, STATE, "append", "NoTimeout")
     return marked.withColumns({c: F.timestamp_micros(c) for c in stamps}).drop(
