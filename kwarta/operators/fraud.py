@@ -24,18 +24,25 @@ def static_reason(rules: Rules = DEFAULT_RULES) -> Column:
 
 
 def score_of(reason: Column) -> Column:
-    chain = None
-    for name, points in RULE_SCORES.items():
-        value = F.lit(points).cast("decimal(5,2)")
-        chain = F.when(reason == name, value) if chain is None else chain.when(reason == name, value)
-    return chain.otherwise(F.lit(0).cast("decimal(5,2)"))
+    """Points of a rule, 0 for none. A map lookup, so the reason is evaluated once."""
+    pairs = [F.lit(x) for name, points in RULE_SCORES.items() for x in (name, points)]
+    points = F.try_element_at(F.create_map(*pairs), reason)
+    return F.coalesce(points, F.lit(0)).cast("decimal(5,2)")
+
+
+def flag_of(reason: Column, rules: Rules = DEFAULT_RULES) -> Column:
+    """Whether a rule's points reach the flagging score. Points are fixed per rule, so this is a
+    membership test on the name: a filter on the flag does not drag the scoring along."""
+    flagged = [name for name, points in RULE_SCORES.items() if points >= rules.flag_score]
+    return F.coalesce(reason.isin(*flagged), F.lit(False))
 
 
 def with_reason(rows: DataFrame, reason: Column, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Set fraud_reason and the score and flag that follow from it."""
-    named = rows.withColumn("fraud_reason", reason)
-    scored = named.withColumn("fraud_score", score_of(F.col("fraud_reason")))
-    return scored.withColumn("fraud_flag", F.col("fraud_score") >= rules.flag_score)
+    name = F.col("fraud_reason")
+    return rows.withColumn("fraud_reason", reason).withColumns(
+        {"fraud_score": score_of(name), "fraud_flag": flag_of(name, rules)}
+    )
 
 
 def band(rules: Rules = DEFAULT_RULES) -> Column:

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 # this stays in the low megabytes whatever the size of the tables.
 MAX_BROADCAST_KEYS = 100_000
 
+# A report of at most this many rows may be fetched before names are looked up for it.
+MAX_FETCHED_ROWS = 10_000
+
 _NULL_SPREAD = 512
 
 
@@ -75,18 +78,29 @@ def lookup(rows: DataFrame, dim: DataFrame, key: str, columns: list[str | Column
     return joined.drop("_row_key", "_dim_key")
 
 
+def fetch_few(rows: DataFrame, at_most: int | None) -> DataFrame:
+    """A result of at most ``at_most`` rows as a local table, computed now and once.
+
+    What is shown of a report is used several times over (its keys are looked up in each dimension),
+    and Spark would scan the large table again for each use. Above the bound nothing is fetched.
+    """
+    if at_most is None or at_most > MAX_FETCHED_ROWS:
+        return rows
+    return rows.sparkSession.createDataFrame(rows.limit(at_most).toArrow(), rows.schema)
+
+
 def lookup_few(
-    few: DataFrame, dim: DataFrame, key: str, columns: list[str | Column], at_most: int
+    few: DataFrame, dim: DataFrame, key: str, columns: list[str | Column], at_most: int | None
 ) -> DataFrame:
-    """Left join of a result known to hold at most ``at_most`` rows with a large dimension.
+    """Left join of a fetched result (see :func:`fetch_few`) with a dimension of any size.
 
     The few keys are broadcast to the dimension's scan, and what is left of the dimension (at most
     one row per key) is broadcast back, so the dimension is neither shuffled nor sorted. Above the
     bound this is an ordinary lookup.
     """
-    if at_most > MAX_BROADCAST_KEYS:
+    if at_most is None or at_most > MAX_FETCHED_ROWS:
         return lookup(few, dim, key, columns)
-    wanted = few.select(F.col(key).alias("_dim_key")).filter("_dim_key IS NOT NULL").distinct()
+    wanted = few.select(F.col(key).alias("_dim_key")).filter("_dim_key IS NOT NULL")
     right = dim.select(F.col(key).alias("_dim_key"), *columns)
     right = right.join(F.broadcast(wanted), "_dim_key", "left_semi")
     return few.join(F.broadcast(right), F.col(key) == F.col("_dim_key"), "left").drop("_dim_key")

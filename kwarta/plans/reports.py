@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kwarta.functions import money
 from kwarta.functions.clock import hour_floor, instant, time_range
-from kwarta.operators.keyed import lookup, lookup_few, newest
+from kwarta.operators.keyed import fetch_few, lookup_few, newest
 
 HOUR = timedelta(hours=1)
 
@@ -76,7 +76,8 @@ def fraud_alerts(
     """Newest open alerts with the names behind the ids; all of them when ``limit`` is None.
 
     The limit is taken before the names are looked up: keys are unique in the dimensions, so the
-    rows are the same and the dimensions are only searched for the few that are shown.
+    rows are the same and the dimensions are only searched for the few that are shown. Those few are
+    fetched when this is called.
     """
     open_alerts = alerts.filter("status = 'NEW'")
     if since is not None:
@@ -99,11 +100,8 @@ def open_alerts(alerts: DataFrame) -> DataFrame:
 
 
 def _named(rows: DataFrame, users: DataFrame, merchants: DataFrame, limit: int | None) -> DataFrame:
-    user_name = F.col("full_name").alias("user_name")
-    if limit is None:
-        with_user = lookup(rows, users, "user_id", [user_name])
-        return lookup(with_user, merchants, "merchant_id", ["merchant_name"])
-    with_user = lookup_few(rows, users, "user_id", [user_name], limit)
+    shown = fetch_few(rows, limit)
+    with_user = lookup_few(shown, users, "user_id", [F.col("full_name").alias("user_name")], limit)
     return lookup_few(with_user, merchants, "merchant_id", ["merchant_name"], limit)
 
 

@@ -29,54 +29,54 @@ SPARSE_RULES = Rules(
 # Two columns beyond the payload's schema, fixed so that rates and delays can be compared.
 EXTRA_FIELDS = ("status", "processing_timestamp")
 
-_TYPES = {"purchase": "PAYMENT", "view": "TRANSFER", "click": "CASHOUT", "signup": "CASHIN"}
-_CATEGORIES = ["Food", "Groceries", "Transport", "Bills", "Remittance", "E-commerce", "Entertainment"]
-_CHANNELS = {0: "QR", 1: "InApp", 2: "Online"}
+# Declared, so that opening a table starts no job to infer its columns.
+_COLUMNS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{sf}/{name}.parquet")
 
 
-def _case(value: Column, names: dict, otherwise=None) -> Column:
-    chain = F
-    for key, name in names.items():
-        chain = chain.when(value == key, name)
-    return chain.otherwise(otherwise)
+_CATEGORY = """CASE {} % 7 WHEN 0 THEN 'Food' WHEN 1 THEN 'Groceries' WHEN 2 THEN 'Transport' WHEN 3 THEN 'Bills'
+    WHEN 4 THEN 'Remittance' WHEN 5 THEN 'E-commerce' ELSE 'Entertainment' END"""
 
 
 def bronze(spark: SparkSession, sf: str) -> DataFrame:
     """One typed row per event, with ``geo_key`` for the location tests."""
     customer, supplier = table(spark, sf, "customer"), table(spark, sf, "supplier")
     nation = table(spark, sf, "nation")
-    events = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
-    k, user = F.col("k"), F.col("user_id")
-    delay = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("event_id") % 20).cast("decimal(18,6)"))
+    events = table(spark, sf, "events").selectExpr("*", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k")
     joined = (
-        events.join(customer, F.col("c_custkey") == user, "left")
-        .join(supplier, F.col("s_suppkey") == k, "left")
-        .join(nation, F.col("n_nationkey") == F.col("s_nationkey"), "left")
+        events.join(customer, events.user_id == customer.c_custkey, "left")
+        .join(supplier, events.k == supplier.s_suppkey, "left")
+        .join(nation, nation.n_nationkey == supplier.s_nationkey, "left")
     )
-    return joined.select(
-        F.col("event_id").cast("string").alias("event_id"),
-        F.col("ts").alias("event_timestamp"),
-        _case(F.col("event_type"), _TYPES, "BILLPAY").alias("transaction_type"),
-        F.concat(F.lit("USER-"), user.cast("string")).alias("user_id"),
-        F.concat(F.lit("09"), F.lpad(user.cast("string"), 9, "0")).alias("phone_number"),
-        F.col("c_name").alias("user_name"),
-        (F.col("value").cast("decimal(14,2)") * 1000).cast("decimal(14,2)").alias("amount_php"),
-        F.when(k >= 5, F.concat(F.lit("M-"), k.cast("string"))).alias("merchant_id"),
-        F.col("s_name").alias("merchant_name"),
-        _case(k % 7, dict(enumerate(_CATEGORIES))).alias("merchant_category"),
-        F.col("n_name").alias("province"),
-        F.col("c_mktsegment").alias("city"),
-        _case(k % 4, _CHANNELS).alias("channel"),
-        (F.col("event_id") % 50 == 0).alias("is_international"),
-        F.concat(F.lit("DEVICE_"), (user % 100).cast("string")).alias("device_id"),
-        F.concat(F.lit("10.0.0."), (user % 256).cast("string")).alias("ip_address"),
-        F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCESS").alias("status"),
-        (F.col("ts") + delay).alias("processing_timestamp"),
-        F.col("s_nationkey").alias("geo_key"),
+    return joined.selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
+        "ts AS event_timestamp",
+        """CASE event_type WHEN 'purchase' THEN 'PAYMENT' WHEN 'view' THEN 'TRANSFER' WHEN 'click' THEN 'CASHOUT'
+           WHEN 'signup' THEN 'CASHIN' ELSE 'BILLPAY' END AS transaction_type""",
+        "'USER-' || CAST(user_id AS STRING) AS user_id",
+        "'09' || lpad(CAST(user_id AS STRING), 9, '0') AS phone_number",
+        "c_name AS user_name",
+        "CAST(CAST(value AS DECIMAL(14,2)) * 1000 AS DECIMAL(14,2)) AS amount_php",
+        "CASE WHEN k >= 5 THEN 'M-' || CAST(k AS STRING) END AS merchant_id",
+        "s_name AS merchant_name",
+        _CATEGORY.format("k") + " AS merchant_category",
+        "n_name AS province",
+        "c_mktsegment AS city",
+        "CASE k % 4 WHEN 0 THEN 'QR' WHEN 1 THEN 'InApp' WHEN 2 THEN 'Online' END AS channel",
+        "event_id % 50 = 0 AS is_international",
+        "'DEVICE_' || CAST(user_id % 100 AS STRING) AS device_id",
+        "'10.0.0.' || CAST(user_id % 256 AS STRING) AS ip_address",
+        "CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status",
+        "ts + make_dt_interval(0, 0, 0, CAST(event_id % 20 AS DECIMAL(18,6))) AS processing_timestamp",
+        "s_nationkey AS geo_key",
     )
 
 
@@ -104,11 +104,20 @@ def facts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def users(spark: SparkSession, sf: str) -> DataFrame:
-    return load.new_users(typed(spark, sf))
+    """The stored user dimension, as far as reports read it."""
+    return table(spark, sf, "customer").select(
+        F.concat(F.lit("USER-"), F.col("c_custkey").cast("string")).alias("user_id"),
+        F.col("c_name").alias("full_name"),
+    )
 
 
 def merchants(spark: SparkSession, sf: str) -> DataFrame:
-    return load.new_merchants(typed(spark, sf))
+    """The stored merchant dimension, as far as marts and reports read it."""
+    return table(spark, sf, "supplier").select(
+        F.concat(F.lit("M-"), F.col("s_suppkey").cast("string")).alias("merchant_id"),
+        F.col("s_name").alias("merchant_name"),
+        F.expr(_CATEGORY.format("s_suppkey")).alias("category"),
+    )
 
 
 def payloads(spark: SparkSession, sf: str) -> DataFrame:
@@ -117,9 +126,10 @@ def payloads(spark: SparkSession, sf: str) -> DataFrame:
 
 def landed(sent: DataFrame) -> str:
     """Payloads written as text files, one per line, the way a topic or a drop folder hands them
-    over: parsing starts from plain text and knows nothing of how it was made."""
+    over: parsing starts from plain text and knows nothing of how it was made. The rows are spread
+    as over the partitions of a topic."""
     folder = work_folder(sent.sparkSession, "landed")
-    sent.write.text(f"{folder}/payloads")
+    sent.repartition(8).write.text(f"{folder}/payloads")
     return f"{folder}/payloads"
 
 

@@ -54,18 +54,12 @@ facts AS (
     status, processing_timestamp, CAST(event_timestamp AS DATE) AS event_date
   FROM scored WHERE merchant_id IS NOT NULL
 ),
-users AS (
-  SELECT user_id, phone_hash, user_name AS full_name, province AS home_province, city AS home_city,
-    'Level1' AS kyc_level, 'Active' AS account_status
-  FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp, event_id) AS r FROM typed)
-  WHERE r = 1
-),
+users AS (SELECT 'USER-' || CAST(c_custkey AS VARCHAR) AS user_id, c_name AS full_name FROM customer),
 merchants AS (
-  SELECT merchant_id, merchant_name, merchant_category AS category, CAST(NULL AS VARCHAR) AS subcategory,
-    province, city, false AS is_partner, CAST(0 AS SMALLINT) AS risk_score
-  FROM (SELECT *, row_number() OVER (PARTITION BY merchant_id ORDER BY event_timestamp, event_id) AS r
-        FROM typed WHERE merchant_id IS NOT NULL)
-  WHERE r = 1
+  SELECT 'M-' || CAST(s_suppkey AS VARCHAR) AS merchant_id, s_name AS merchant_name,
+    CASE s_suppkey % 7 WHEN 0 THEN 'Food' WHEN 1 THEN 'Groceries' WHEN 2 THEN 'Transport' WHEN 3 THEN 'Bills'
+      WHEN 4 THEN 'Remittance' WHEN 5 THEN 'E-commerce' ELSE 'Entertainment' END AS category
+  FROM supplier
 )"""
 
 

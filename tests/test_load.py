@@ -105,6 +105,7 @@ def test_lookup_keeps_rows_without_a_match(spark):
     for out in (
         keyed.lookup(left, dim, "k", ["name"]),
         keyed.lookup_few(left, dim, "k", ["name"], 4),
-        keyed.lookup_few(left, dim, "k", ["name"], keyed.MAX_BROADCAST_KEYS + 1),
+        keyed.lookup_few(left, dim, "k", ["name"], keyed.MAX_FETCHED_ROWS + 1),
+        keyed.lookup_few(keyed.fetch_few(left, 4), dim, "k", ["name"], 4),
     ):
         assert sorted((r.n, r.name) for r in out.collect()) == expected

@@ -3,8 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from kwarta.operators import history
+from kwarta.operators.keyed import newest
 from kwarta.plans import marts, reports
 from kwarta.sinks import tables
 from registry import batch
@@ -24,8 +26,15 @@ def test_no_python_and_no_cross_join(spark, name):
 
 
 def test_top_k_is_not_a_full_sort(spark):
-    for name in ("report_province", "report_top_merchants", "report_alerts", "report_live_feed"):
+    for name in ("report_province", "report_top_merchants"):
         assert "TakeOrderedAndProject" in plan(batch.QUERIES[name](spark, SF))
+    latest = newest(fx.facts(spark, SF), [F.desc("event_timestamp")], 100)
+    assert "TakeOrderedAndProject" in plan(latest)
+
+
+def test_names_are_looked_up_without_another_scan_of_the_facts(spark):
+    text = plan(batch.report_live_feed(spark, SF))
+    assert "events.parquet" not in text and "Exchange hashpartitioning" not in text
 
 
 def test_first_row_is_picked_before_the_shuffle(spark):
