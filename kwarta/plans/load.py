@@ -14,7 +14,7 @@ from kwarta import schemas
 from kwarta.config import DEFAULT_RULES, NEW_USER_KYC, NEW_USER_STATUS, Lake, Rules
 from kwarta.operators import fraud
 from kwarta.operators.history import score_with_history
-from kwarta.operators.keyed import first_per_key, missing_from, present_in
+from kwarta.operators.keyed import first_per_key, lookup, missing_from, present_in
 from kwarta.plans import silver
 from kwarta.session import work_folder
 from kwarta.sinks import tables
@@ -107,16 +107,20 @@ def facts(
 
 
 def fact_orphans(scored: DataFrame, users: DataFrame, merchants: DataFrame) -> DataFrame:
-    """The valid rows :func:`facts` leaves out, each with the reason."""
-    rows = as_facts(scored)
-    no_merchant = rows.filter("merchant_id IS NULL").withColumn("orphan_reason", F.lit("NO_MERCHANT"))
-    named = rows.filter("merchant_id IS NOT NULL")
-    no_user = missing_from(named, users, ["user_id"]).withColumn("orphan_reason", F.lit("UNKNOWN_USER"))
-    unknown = missing_from(
-        present_in(named, users, ["user_id"]), merchants, ["merchant_id"]
-    ).withColumn("orphan_reason", F.lit("UNKNOWN_MERCHANT"))
-    columns = rows.columns + ["orphan_reason"]
-    return no_merchant.select(columns).unionByName(no_user.select(columns)).unionByName(unknown.select(columns))
+    """The valid rows :func:`facts` leaves out, each with the reason. One pass over the rows."""
+    found = F.lit(True)
+    marked = lookup(as_facts(scored), users, "user_id", [found.alias("_user")])
+    marked = lookup(marked, merchants, "merchant_id", [found.alias("_merchant")])
+    reason = (
+        F.when(F.col("merchant_id").isNull(), "NO_MERCHANT")
+        .when(F.col("_user").isNull(), "UNKNOWN_USER")
+        .when(F.col("_merchant").isNull(), "UNKNOWN_MERCHANT")
+    )
+    return (
+        marked.withColumn("orphan_reason", reason)
+        .filter(F.col("orphan_reason").isNotNull())
+        .drop("_user", "_merchant")
+    )
 
 
 def dates_in(rows: DataFrame) -> list[date] | None:

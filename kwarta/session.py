@@ -34,9 +34,12 @@ def session(app: str = "kwarta", master: str | None = None, **extra: str) -> Spa
 def work_folder(spark: SparkSession, label: str) -> str:
     """A new folder for one run, below the shared folder the cluster names.
 
-    Only where ``spark.checkpoint.dir`` is unset (a laptop, a test) is a local one used.
+    Only a local session (a laptop, a test) may do without one: on a cluster the executors would each
+    write to a disk of their own.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        return tempfile.mkdtemp(prefix=f"kwarta-{label}-")
-    return f"{shared.rstrip('/')}/kwarta-{label}-{uuid.uuid4().hex}"
+    if shared:
+        return f"{shared.rstrip('/')}/kwarta-{label}-{uuid.uuid4().hex}"
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix=f"kwarta-{label}-")

@@ -51,6 +51,9 @@ def start(
     ``interval`` None processes what there is, in rate-limited micro-batches, and stops. A micro-batch
     that is replayed after a crash finds its rows stored and adds none. Redelivered events are caught
     by their key at the fact table rather than by a watermark, which would also drop late ones.
+
+    ``history`` adds the rules on a user's past. Each user's rows of a micro-batch are then handled
+    together, so the source must be rate limited (Kafka is; for files give ``files_per_trigger``).
     """
     cleansed = silver.cleanse(silver.parse(raw, extra))
     if history:
