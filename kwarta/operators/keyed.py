@@ -62,6 +62,26 @@ def present_in(
     return rows.join(_keys_in_use(stored, rows, keys, at_most), keys, "left_semi")
 
 
+def keep_known(rows: DataFrame, stored: DataFrame, key: str, at_most: int | None = None) -> DataFrame:
+    """The rows of :func:`present_in`, for large ``rows`` of which hardly any are unknown.
+
+    Looks for the unknown keys first (distinct keys only, reduced before their shuffle), now. If there
+    are none, no join is needed; if there are few, they are broadcast. Either way the rows themselves
+    are not shuffled by the key, so a key that holds a third of them does no harm. Only when many
+    keys are unknown does this become the ordinary join.
+    """
+    if at_most is not None and at_most <= MAX_BROADCAST_KEYS:
+        return present_in(rows, stored, [key], at_most)
+    named = rows.filter(F.col(key).isNotNull())
+    unknown = missing_from(named.select(key).distinct(), stored, [key])
+    found = unknown.limit(MAX_BROADCAST_KEYS + 1).count()
+    if found == 0:
+        return named
+    if found <= MAX_BROADCAST_KEYS:
+        return named.join(F.broadcast(unknown), key, "left_anti")
+    return present_in(rows, stored, [key])
+
+
 def lookup(rows: DataFrame, dim: DataFrame, key: str, columns: list[str | Column]) -> DataFrame:
     """Left join with a dimension that has one row per key.
 

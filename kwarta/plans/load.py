@@ -14,7 +14,7 @@ from kwarta import schemas
 from kwarta.config import DEFAULT_RULES, NEW_USER_KYC, NEW_USER_STATUS, Lake, Rules
 from kwarta.operators import fraud
 from kwarta.operators.history import score_with_history
-from kwarta.operators.keyed import first_per_key, lookup, missing_from, present_in
+from kwarta.operators.keyed import first_per_key, keep_known, lookup, missing_from, present_in
 from kwarta.plans import silver
 from kwarta.session import work_folder
 from kwarta.sinks import tables
@@ -176,7 +176,8 @@ def load_facts(
     spark = scored.sparkSession
     if not all(tables.exists(spark, t) for t in lake.silver()):
         return
-    rows = facts(scored, tables.read(spark, lake.users), tables.read(spark, lake.merchants), at_most)
+    rows = keep_known(as_facts(scored), tables.read(spark, lake.users), "user_id", at_most)
+    rows = keep_known(rows, tables.read(spark, lake.merchants), "merchant_id", at_most)
     fresh = new_rows(rows, tables.read(spark, lake.facts), "transaction_id", touched, at_most)
     tables.append(tables.conform(fresh, schemas.FACTS), lake.facts, "event_date")
 

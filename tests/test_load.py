@@ -49,6 +49,18 @@ def test_facts_need_both_dimensions(spark):
     }
 
 
+def test_keep_known_equals_the_join(spark, monkeypatch):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4), (None, 5)], "k string, n int")
+    for known in (["a", "b", "c"], ["a", "b"], ["z"], ["a"]):
+        stored = spark.createDataFrame([(k,) for k in known], "k string")
+        expected = sorted(r.n for r in keyed.present_in(rows, stored, ["k"]).collect())
+        for limit in (100_000, 1):
+            monkeypatch.setattr(keyed, "MAX_BROADCAST_KEYS", limit)
+            for bound in (None, 1):
+                got = keyed.keep_known(rows, stored, "k", bound)
+                assert sorted(r.n for r in got.select("k", "n").collect()) == expected
+
+
 def state(spark, lake):
     names = [lake.users, lake.merchants, lake.facts, lake.alerts, lake.quarantine]
     return [sorted(map(repr, tables.read(spark, n).collect())) for n in names]
