@@ -21,7 +21,7 @@ NEW_USER_STATUS = "Active"
 NEW_ALERT_STATUS = "NEW"
 DEFAULT_TX_STATUS = "SUCCESS"
 
-# Approximate centres of the provinces events come from: (latitude, longitude) in degrees.
+# Approximate centres of the provinces events come from: (latitude, longitude) in degrees.
 PROVINCE_CENTRES = {
     "Metro Manila": (14.60, 120.98),
     "Cebu": (10.32, 123.89),

@@ -17,7 +17,3 @@ def amount_of(text: str) -> Column:
 def fingerprint(column: str) -> Column:
     """SHA-256 of personal data, as hex; null stays null."""
     return F.sha2(F.col(column), 256)
-
-
-def is_blank(column: str) -> Column:
-    return F.col(column).isNull() | (F.col(column) == "")

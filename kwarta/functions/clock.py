@@ -60,7 +60,3 @@ def hour_floor(column: str | Column) -> Column:
 
 def micros_between(start: str, end: str) -> Column:
     return F.timestamp_diff("MICROSECOND", F.col(start), F.col(end))
-
-
-def seconds(span: timedelta) -> float:
-    return span.total_seconds()

@@ -26,11 +26,3 @@ def percent(part: Column, whole: Column, dtype: str = "decimal(5,2)") -> Column:
     """``part`` of ``whole`` in per cent, rounded once; null where ``whole`` is zero."""
     scaled = part.cast("decimal(18,0)") * F.lit(100).cast("decimal(3,0)")
     return F.try_divide(scaled, whole.cast("decimal(18,0)")).cast(dtype)
-
-
-def count_where(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
-def sum_where(condition: Column, amount: str) -> Column:
-    return F.sum(F.when(condition, F.col(amount)).otherwise(F.lit(0).cast("decimal(14,2)")))
