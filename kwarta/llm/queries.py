@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kwarta.llm import bpe, exact_dedup
+from kwarta.llm import bpe, exact_dedup, language, mixing
 from kwarta.llm.shared import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -23,7 +25,27 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(table(spark, folder, "documents"), WORD_VOCABULARY)
 
 
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """What a mix of 150 % of all words takes of each document."""
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+def language_model(docs: DataFrame) -> tuple:
+    """Fitted on labelled documents whose id's checksum does not hold them out."""
+    return language.fit(docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2), PIECE_VOCABULARY)
+
+
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of each document, and whether it was held out when learning."""
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    found = language.identify(docs, PIECE_VOCABULARY, language_model(docs))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op6_bpe": op6_bpe,
+    "op9_mixing": op9_mixing,
+    "op10_language": op10_language,
 }
