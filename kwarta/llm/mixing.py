@@ -4,8 +4,8 @@ Each source gets a target in words. A document is taken floor(target / size of i
 with the fractional probability that is left. Which documents are taken once more is drawn by the cube method:
 the vector of probabilities moves through the null space of two constraints, the source's words and its
 documents, until each probability is 0 or 1. Three open documents always have a direction that keeps both
-totals, so a pass over a chunk of a source holds three documents at a time and leaves two open at most. What
-the chunks leave is passed again, 256 chunks at a time; the last two of a source land where its words come
+totals, so a pass over a chunk of a source moves three documents at a time and leaves a handful. What the
+chunks leave is passed again, 256 chunks at a time; the last handful of a source lands where its words come
 nearest to the target.
 """
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import random
+from collections import deque
 from collections.abc import Iterable, Iterator
 from itertools import product
 
@@ -29,29 +30,43 @@ SHARE, MOST = 1.5, 2.0
 #: Documents that one pass of the flight settles, and chunks whose rests meet in the next.
 CHUNK, MERGED = 8_192, 256
 
+#: Documents of a source whose landing is searched: 2 ** LANDING ways.
+LANDING = 9
+
 _NEAR = 1e-9
 
 
 class Flight:
-    """Moves the probabilities of one group's documents until at most two are open."""
+    """Moves the probabilities of one group's documents until a handful is left."""
 
     def __init__(self, seed: str) -> None:
-        self._random, self.open = random.Random(seed), []
+        self._random, self.open, self._held = random.Random(seed), [], deque()
 
     def add(self, unit: list) -> list[list]:
         """unit: [probability, documents, words a document, ...]; gives back those that are settled now."""
-        self.open.append(unit)
+        self._held.append(unit)
+        if len(self._held) <= LANDING - 2:
+            return []
+        self.open.append(self._held.popleft())
         return self._move() if len(self.open) == 3 else []
 
+    def rest(self) -> list[list]:
+        """What is not settled: two open documents and those that wait."""
+        units, self.open = [*self.open, *self._held], []
+        self._held.clear()
+        return units
+
     def land(self) -> list[list]:
-        """Settle the last two: of the four ways, the one that comes nearest to the words they stand for."""
-        def missed(ends: tuple[float, ...]) -> float:
-            return abs(sum((end - u[0]) * u[1] * u[2] for end, u in zip(ends, self.open, strict=True)))
+        """Settle the rest: of all ways, the one that comes nearest to the words, then the documents, it stands for."""
+        units = self.rest()
 
-        for unit, end in zip(self.open, min(product((1.0, 0.0), repeat=len(self.open)), key=missed), strict=True):
+        def missed(ends: tuple[float, ...]) -> tuple[float, float]:
+            off = [(end - u[0]) * u[1] for end, u in zip(ends, units, strict=True)]
+            return round(abs(sum(o * u[2] for o, u in zip(off, units, strict=True))), 6), abs(sum(off))
+
+        for unit, end in zip(units, min(product((1.0, 0.0), repeat=len(units)), key=missed), strict=True):
             unit[0] = end
-        done, self.open = self.open, []
-        return done
+        return units
 
     @staticmethod
     def _keeping_both(units: list[list]) -> list[float]:
@@ -85,7 +100,7 @@ def _flights(level: int, land: bool):
         def close() -> list[list]:
             if flight is None:
                 return []
-            return flight.land() if land else flight.open
+            return flight.land() if land else flight.rest()
 
         for batch in batches:
             schema, out = batch.schema, []
