@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kwarta.llm import bpe, exact_dedup, language, mixing
+from kwarta.llm import bpe, exact_dedup, language, mixing, near_dedup
 from kwarta.llm.shared import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +20,11 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, folder, "documents"))
 
 
+def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of near-duplicate documents."""
+    return near_dedup.classes(table(spark, folder, "documents"))
+
+
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token count and digests of ids and of decoded text, per document."""
     return bpe.encode(table(spark, folder, "documents"), WORD_VOCABULARY)
@@ -45,6 +50,7 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_near_dedup": op5_near_dedup,
     "op6_bpe": op6_bpe,
     "op9_mixing": op9_mixing,
     "op10_language": op10_language,
