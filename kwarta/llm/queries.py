@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kwarta.llm import bpe, exact_dedup, language, mixing, near_dedup
+from kwarta.llm import bpe, exact_dedup, html_text, language, mixing, near_dedup
 from kwarta.llm.shared import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +20,11 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, folder, "documents"))
 
 
+def op4_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of each page."""
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of near-duplicate documents."""
     return near_dedup.classes(table(spark, folder, "documents"))
@@ -50,6 +55,7 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_html": op4_html,
     "op5_near_dedup": op5_near_dedup,
     "op6_bpe": op6_bpe,
     "op9_mixing": op9_mixing,
