@@ -181,10 +181,11 @@ def content_paths(found: list[tuple[_Block, str]], threshold: float = THRESHOLD)
     mark_ratio = _smooth([s[2] / s[0] for s in sums.values()])
     ratio = [t * math.log2(2 + m) for t, m in zip(text_ratio, mark_ratio, strict=True)]
     most = max(ratio) or 1.0
-    fused = [r / most + NAMED[role] for r, (_, role) in zip(ratio, sums, strict=True)]
+    ratio = [r / most for r in ratio]
+    fused = [r + NAMED[role] for r, (_, role) in zip(ratio, sums, strict=True)]
     named = max(NAMED[role] for _, role in sums)
     # a named container needs no more than its name: its short headings are content too
-    least = named if named > 0 else threshold * pstdev(fused) if len(fused) > 1 else 0.0
+    least = named if named > 0 else threshold * pstdev(ratio)
     return {key for key, score in zip(sums, fused, strict=True) if score >= least and score > 0}
 
 
