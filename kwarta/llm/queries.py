@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kwarta.llm import bpe, exact_dedup, html_text, language, mixing, near_dedup
+from kwarta.llm import bpe, exact_dedup, html_text, language, mixing, near_dedup, secrets
 from kwarta.llm.shared import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -35,6 +35,11 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(table(spark, folder, "documents"), WORD_VOCABULARY)
 
 
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in each document, with linked parts of credentials."""
+    return secrets.find(table(spark, folder, "documents"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """What a mix of 150 % of all words takes of each document."""
     return mixing.mix(table(spark, folder, "documents"))
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_html": op4_html,
     "op5_near_dedup": op5_near_dedup,
     "op6_bpe": op6_bpe,
+    "op7_secrets": op7_secrets,
     "op9_mixing": op9_mixing,
     "op10_language": op10_language,
 }
