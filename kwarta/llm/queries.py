@@ -8,13 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kwarta.llm import bpe, exact_dedup, html_text, language, mixing, near_dedup, secrets
+from kwarta.llm import bpe, exact_dedup, html_text, language, mixing, near_dedup, neighbours, secrets
 from kwarta.llm.shared import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth vector."""
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.search(vectors, vectors.where(F.col("vec_id") % 100 == 0), 10)
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Copies of whole texts: per document the row that stays, the group's size and the text's digest."""
     return exact_dedup.mark_copies(table(spark, folder, "documents"))
@@ -59,6 +65,7 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_neighbours": op1_neighbours,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_html": op4_html,
     "op5_near_dedup": op5_near_dedup,

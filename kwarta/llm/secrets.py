@@ -1,7 +1,7 @@
 """Secrets in texts with multipart credential linking: only DataFrame functions.
 
-Strong findings are reported wherever they stand. Weak candidates, a bare key or an endpoint, say little alone:
-they are reported only where the complementary part of a credential stands in the same scope, which an interval
+Strong findings are reported wherever they stand. Weak candidates, a bare key, an endpoint or an account, say little
+alone: they are reported only where the complementary part of a credential stands in the same scope, which an interval
 join over scope-wide bins finds. Only texts that hold both kinds take part in the join, and of repeated texts
 one; a bin holds as many parts as fit into its characters, so no group grows with the data.
 """
@@ -23,10 +23,11 @@ KINDS = {
     "hex": (r"[0-9a-f]+", 0, 24, None),
     "bare": (r"[A-Za-z0-9+/=]+", 0, 40, 40),
     "endpoint": (r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?", 0, 12, None),
+    "account": (r"[A-Za-z0-9._-]+@[A-Za-z0-9.-]+[.][A-Za-z]+", 0, 6, None),
 }
-BASE, WEAK = ("assign", "access", "hex"), ("bare", "endpoint")
+BASE, WEAK = ("assign", "access", "hex"), ("bare", "endpoint", "account")
 #: The parts that a weak candidate needs in its scope.
-COMPLEMENT = {"bare": ("access",), "endpoint": ("assign", "access", "hex")}
+COMPLEMENT = {"bare": ("access",), "endpoint": ("assign", "access", "hex"), "account": ("assign", "hex")}
 #: Runs of one class are looked for at their least length at once; the match is the same whole run.
 _RUNS = {"access": r"AKIA[A-Z0-9]{16,}", "hex": "[0-9a-f]{24,}", "bare": "[A-Za-z0-9+/=]{40,}"}
 
@@ -110,12 +111,12 @@ def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, scope:
     weak = strong.select(
         "id", *BASE, F.when(some, F.sha2(F.col("text").cast("binary"), 256)).alias("key"),
         F.when(F.size("access") > 0, spans(F.col("text"), "bare")).otherwise(none).alias("bare"),
-        F.when(some, spans(F.col("text"), "endpoint")).otherwise(none).alias("endpoint"))
+        *(F.when(some, spans(F.col("text"), k)).otherwise(none).alias(k) for k in ("endpoint", "account")))
     apart = lambda w: ~F.exists(F.concat(*BASE), lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"]))
     for kind in WEAK:
         weak = weak.withColumn(kind, F.filter(kind, apart))
     base = F.concat(*(_named(k, i) for i, k in enumerate(BASE)))
-    candidates = F.size("bare") + F.size("endpoint") > 0
+    candidates = F.size("bare") + F.size("endpoint") + F.size("account") > 0
     scanned, _ = written(
         weak.select("id", "key", *KINDS, base.alias("base"), candidates.alias("open")), "secret-parts")
     ties = linked(scanned.where("open").dropDuplicates(["key"]), scope)
