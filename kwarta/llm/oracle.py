@@ -1,6 +1,14 @@
 """DuckDB SQL for the operators that SQL can express."""
 
 ORACLE_SQL = {
+    "op2_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS d FROM pages),
+             s AS (SELECT *, CASE WHEN strlen(html) >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS top FROM p)
+        SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, d AS payload_digest,
+               CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> top THEN top END AS refers_to
+        FROM s
+    """,
     "op3_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                row_number() OVER (g ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kwarta.llm import bpe, exact_dedup, html_text, language, mixing, near_dedup, neighbours, secrets
+from kwarta.llm import bpe, exact_dedup, html_text, language, mixing, near_dedup, neighbours, secrets, warc
 from kwarta.llm.shared import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +21,11 @@ def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search(vectors, vectors.where(F.col("vec_id") % 100 == 0), 10)
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written as a WARC record, found by the capture index and read back."""
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Copies of whole texts: per document the row that stays, the group's size and the text's digest."""
     return exact_dedup.mark_copies(table(spark, folder, "documents"))
@@ -66,6 +71,7 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
+    "op2_warc": op2_warc,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_html": op4_html,
     "op5_near_dedup": op5_near_dedup,
