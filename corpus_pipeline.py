@@ -4,14 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kwarta.llm import bpe, exact_dedup
-from kwarta.llm.queries import WORD_VOCABULARY
+from kwarta.llm import bpe, exact_dedup, language, mixing, near_dedup
+from kwarta.llm.queries import PIECE_VOCABULARY, WORD_VOCABULARY, language_model
 from kwarta.llm.shared import table, written
 
+#: Texts whose best language holds less than this share of their probability are rejected.
+LEAST_SCORE = 0.5
+
+
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the learned languages: texts without a letter, and undecided ones, go."""
+    names = docs.columns
+    extra = {n: f"_own_{n}" for n in names if n in ("lang_pred", "score")}
+    rows = docs.withColumnsRenamed(extra)
+    found = language.identify(rows, PIECE_VOCABULARY, language_model(docs), columns=rows.columns)
+    kept = found.where((found["lang_pred"] != language.UNKNOWN) & (found["score"] >= LEAST_SCORE))
+    return kept.drop("lang_pred", "score").withColumnsRenamed({own: n for n, own in extra.items()})
+
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with identical text, the one with the largest doc_id."""
-    return exact_dedup.mark_copies(docs, columns=docs.columns, dropped=False).select(docs.columns)
+    rows = docs.withColumnsRenamed({n: f"_own_{n}" for n in docs.columns})
+    kept = exact_dedup.mark_copies(rows, "_own_text", "_own_doc_id", columns=rows.columns, dropped=False)
+    return kept.select(rows.columns).withColumnsRenamed({f"_own_{n}": n for n in docs.columns})
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near duplicates, the document with the smallest doc_id."""
+    return near_dedup.without_near_copies(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at their target weights: a document occurs as often as the mix takes it."""
+    return mixing.mixed(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,9 +44,15 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, WORD_VOCABULARY, columns=("doc_id", "lang", "source"), ids=True)
 
 
-STAGES = [("exact dedup", exact), ("BPE encoding", encode)]
+STAGES = [
+    ("language", identify),
+    ("exact dedup", exact),
+    ("near dedup", near),
+    ("mixing", mix),
+    ("BPE encoding", encode),
+]
 
-#: SQL cannot express the models; the stages are tested against brute-force versions.
+#: SQL cannot express the models and draws; the stages are tested against brute-force versions.
 ORACLE_SQL = None
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kwarta.llm import bpe, exact_dedup, html_text, language, mixing, near_dedup, neighbours, secrets, warc
+from kwarta.llm import bpe, exact_dedup, html_text, language, licenses, mixing, near_dedup, neighbours, secrets, warc
 from kwarta.llm.shared import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -51,6 +51,11 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.find(table(spark, folder, "documents"))
 
 
+def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licences that each document names or is."""
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """What a mix of 150 % of all words takes of each document."""
     return mixing.mix(table(spark, folder, "documents"))
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_dedup": op5_near_dedup,
     "op6_bpe": op6_bpe,
     "op7_secrets": op7_secrets,
+    "op8_licenses": op8_licenses,
     "op9_mixing": op9_mixing,
     "op10_language": op10_language,
 }
