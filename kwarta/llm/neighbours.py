@@ -25,8 +25,8 @@ from kwarta.llm.shared import written
 SAMPLE, PER_LIST, ROUNDS = 20_000, 500, 8
 #: Most centres; lists then grow with the data, and are split into blocks all the same.
 MOST_LISTS = 4_096
-#: Nearest lists a query scans at least.
-PROBES = 24
+#: Share of the sample's own nearest neighbours that the probed lists hold, and sample queries it is measured on.
+RECALL, MEASURED = 0.97, 256
 #: Vectors of a block, queries of a pack, and dimensions between two tests.
 BLOCK, PACK, STEP = 2_048, 256, 16
 #: How far in standard deviations a partial distance may mislead the test.
@@ -51,6 +51,23 @@ class Model:
             centres = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centres)
         self.centres = centres
         self.sample = turned[:4_096]
+        self._turned = turned
+
+    def probes(self, k: int, recall: float) -> int:
+        """Nearest lists that hold that share of the k nearest neighbours, measured within the sample.
+
+        Neighbours in the sample lie farther off than those in all data, so it is no fewer than all data need.
+        """
+        turned = self._turned
+        asked = turned[:: max(1, len(turned) // MEASURED)][:MEASURED]
+        home, order = self.lists(turned, 1)[:, 0], self.lists(asked, len(self.centres))
+        near = min(k + 1, len(turned))
+        rank = np.argsort(order, axis=1)
+        found = [rank[i, home[np.argpartition(_squares(asked[i : i + 1], turned)[0], near - 1)[:near]]] for i in range(len(asked))]
+        return int(np.quantile(np.concatenate(found), recall, method="higher")) + 1
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_turned"}
 
     @staticmethod
     def _nearest(vectors: np.ndarray, centres: np.ndarray, count: int) -> np.ndarray:
@@ -125,7 +142,7 @@ def _entries(rows: DataFrame, k: int) -> DataFrame:
 
 def search(
     vectors: DataFrame, queries: DataFrame, k: int, vector: str = "embedding", vec_id: str = "vec_id", *,
-    probes: int = PROBES, sample: int = SAMPLE, per_list: int = PER_LIST, seed: int = 7,
+    recall: float = RECALL, sample: int = SAMPLE, per_list: int = PER_LIST, seed: int = 7,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): per row of queries the k nearest found, nearest first, ties by vec_id.
 
@@ -149,7 +166,7 @@ def search(
         drawn = entries.select("v").limit(sample).collect()
     model = Model(np.array([r["v"] for r in drawn], float), rows, seed, per_list)
     sent = spark.sparkContext.broadcast(model)
-    need = k + 1
+    need, probes = k + 1, model.probes(k, recall)
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
