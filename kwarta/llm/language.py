@@ -213,8 +213,9 @@ def identify(
         scorer = Scorer(vocabulary, sent.value)
         for batch in batches:
             found, sure = [], []
-            for logs in scorer.score(batch.column(0).to_pylist()):
-                if logs is None or not langs:
+            texts = batch.column(0).to_pylist()
+            for logs in scorer.score(texts) if langs else [None] * len(texts):
+                if logs is None:
                     found.append(UNKNOWN)
                     sure.append(0.0)
                     continue
