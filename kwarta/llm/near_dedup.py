@@ -4,10 +4,12 @@ A document is its set of distinct five-word shingles. SuperMinHash ranks the shi
 integer parts are a permutation per shingle; ranks are drawn in steps, and a document stops once a further
 step could not lower any component. Documents that agree on a band of components meet in a bucket.
 
-Buckets are worked off in two rounds, so that no group is expanded into its pairs:
+Buckets are worked off in three rounds, so that no group is expanded into its pairs:
 1. each member is held against the bucket's leader; confirmed links are grouped;
-2. in buckets whose members still lie in several groups, members of different groups are held against each
-   other in blocks. Only pairs whose signatures allow the similarity are confirmed.
+2. in buckets whose members still lie in several groups, members are held against those of other groups in
+   blocks, and each against the one it agrees with most is confirmed;
+3. what still lies in different groups then is held against each other once more, and all pairs whose
+   signatures allow the similarity are confirmed.
 Every link used is confirmed on the full shingle sets.
 """
 
@@ -154,19 +156,29 @@ def _agreeing(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok)], names=["a", "b"])
 
 
-def _blocks(least: int, percent: int):
-    """Rows sorted by block (key, i, j): pairs of different groups that may be links."""
+def _blocks(least: int, percent: int, best: bool):
+    """Rows sorted by block (key, i, j): pairs of different groups that may be links.
 
-    def pairs(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    With `best`, for each row the one pair that agrees most. Else all pairs, each in the first band it shares.
+    """
+
+    def pairs(band: int, rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
         side = np.array([r[0] for r in rows])
         node, group, size = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
         prints = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), -1)
+        keys = np.array([r[5] for r in rows], np.int64)
         out = [], []
-        left = np.flatnonzero(side != 1)
-        for i in left:
+        for i in np.flatnonzero(side != 1):
             right = np.arange(i + 1, len(rows)) if side[i] == 2 else np.flatnonzero(side == 1)
             right = right[(group[right] != group[i]) & (100 * np.minimum(size[right], size[i]) >= percent * np.maximum(size[right], size[i]))]
-            right = right[(prints[right] == prints[i]).sum(axis=1) >= least] if len(right) else right
+            if not len(right):
+                continue
+            agree = (prints[right] == prints[i]).sum(axis=1)
+            right, agree = right[agree >= least], agree[agree >= least]
+            if best:
+                right = right[agree.argmax() :][:1] if len(right) else right
+            else:
+                right = right[~(keys[right, :band] == keys[i, :band]).any(axis=1)] if band else right
             out[0].append(np.full(len(right), node[i]))
             out[1].append(node[right])
         none = [np.zeros(0, np.int64)]
@@ -176,15 +188,15 @@ def _blocks(least: int, percent: int):
         block, rows = None, []
 
         def close() -> pa.RecordBatch:
-            a, b = pairs(rows)
+            a, b = pairs(block[3], rows)
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            for key, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (key, i, j) != block:
+            for key, i, j, band, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (key, i, j, band) != block:
                     if rows:
                         yield close()
-                    block, rows = (key, i, j), []
+                    block, rows = (key, i, j, band), []
                 rows.append(tuple(row))
         if rows:
             yield close()
@@ -212,38 +224,40 @@ class _Run:
         return frame
 
     def members(self) -> DataFrame:
-        """(key, node, n, lead): distinct sets in buckets that hold more than one."""
-        in_band = self.features.select("node", "n", F.explode("keys").alias("key"))
+        """(key, band, node, n, lead): distinct sets in buckets that hold more than one."""
+        in_band = self.features.select("node", "n", F.posexplode("keys").alias("band", "key"))
         shared = in_band.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("other")).where("lead <> other")
         return self.kept(in_band.join(shared.select("key", "lead"), "key").distinct(), "near-members")
 
     def prints(self) -> DataFrame:
-        return self.features.where("n > 0").select("node", "n", "print")
+        return self.features.where("n > 0").select("node", "n", "print", "keys")
 
     def near_leader(self, members: DataFrame) -> DataFrame:
         pairs = members.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
         wanted = self.kept(members.select("node").distinct(), "near-wanted")
         self.known = self.kept(
-            self.prints().join(wanted, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("print").alias("print")), "near-prints")
+            self.prints().join(wanted, "node", "left_semi").groupBy("node")
+            .agg(F.first("n").alias("n"), F.first("print").alias("print"), F.first("keys").alias("keys")), "near-prints")
         a = self.known.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("print").alias("pa"))
         b = self.known.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("print").alias("pb"))
         sized = pairs.join(a, "a").join(b, "b").where(100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb"))
         least = self.least
         return self.kept(sized.select("a", "b", "pa", "pb").mapInArrow(lambda x: _agreeing(x, least), "a long, b long"), "near-pairs")
 
-    def between_groups(self, members: DataFrame, groups: DataFrame) -> DataFrame:
-        placed = members.join(groups, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+    def between_groups(self, members: DataFrame, groups: DataFrame, best: bool) -> DataFrame:
+        placed = members.join(groups, "node", "left").select("key", "band", "node", "n", F.coalesce("root", "node").alias("root"))
         placed = self.kept(placed, "near-placed")
         split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
         parts = F.ceil(F.col("size") / F.lit(float(BLOCK))).cast("int")
-        some = placed.join(split.select("key", parts.alias("parts")), "key").join(self.known.select("node", "print"), "node")
+        some = placed.join(split.select("key", parts.alias("parts")), "key").join(self.known.select("node", "print", "keys"), "node")
         own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
         dealt = some.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         side = F.when(F.col("own") == F.col("with"), 2).when(F.col("own") < F.col("with"), 0).otherwise(1)
         blocks = dealt.select(
-            "key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), side.alias("side"), "node", "root", "n", "print")
+            "key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "band", side.alias("side"), "node",
+            "root", "n", "print", "keys")
         dealt = blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        return self.kept(dealt.mapInArrow(_blocks(self.least, self.percent), "a long, b long").distinct(), "near-pairs")
+        return self.kept(dealt.mapInArrow(_blocks(self.least, self.percent, best), "a long, b long").distinct(), "near-pairs")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose full shingle sets are similar enough."""
@@ -291,9 +305,12 @@ def classes(
     members = run.members()
     links = run.confirmed(run.near_leader(members))
     groups = run.grouped(links)
-    pairs = run.between_groups(members, groups)
-    if not pairs.isEmpty():
-        groups = run.grouped(links.union(run.confirmed(pairs)))
+    for best in (True, False):
+        pairs = run.between_groups(members, groups, best)
+        if pairs.isEmpty():
+            break
+        links = links.union(run.confirmed(pairs))
+        groups = run.grouped(links)
     final, _ = written(groups, "near-groups")
     remove(run.spark, run.paths)
     own = run.features.select("_id", "_hash", "n", "node")
