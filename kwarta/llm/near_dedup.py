@@ -4,12 +4,11 @@ A document is its set of distinct five-word shingles. SuperMinHash ranks the shi
 integer parts are a permutation per shingle; ranks are drawn in steps, and a document stops once a further
 step could not lower any component. Documents that agree on a band of components meet in a bucket.
 
-Buckets are worked off in three rounds, so that no group is expanded into its pairs:
+Buckets are worked off in two rounds, so that no group is expanded into its pairs:
 1. each member is held against the bucket's leader; confirmed links are grouped;
 2. in buckets whose members still lie in several groups, members are held against those of other groups in
-   blocks, and each against the one it agrees with most is confirmed;
-3. what still lies in different groups then is held against each other once more, and all pairs whose
-   signatures allow the similarity are confirmed.
+   blocks. Where signatures allow the similarity, the full sets come to the block and a union-find there
+   leaves out what is connected already.
 Every link used is confirmed on the full shingle sets.
 """
 
@@ -34,7 +33,7 @@ BANDS, ROWS = 32, 4
 #: Pairs whose signatures agree less than this many standard deviations below the least similarity are no links.
 DEVIATIONS = 4.0
 #: Members of a bucket in a block, and shingles worked on at once.
-BLOCK, AT_ONCE = 512, 200_000
+BLOCK, AT_ONCE = 256, 200_000
 #: Rows of 8 bytes up to which a table of wanted documents is broadcast; above, it is joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -156,50 +155,103 @@ def _agreeing(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok)], names=["a", "b"])
 
 
-def _blocks(least: int, percent: int, best: bool):
-    """Rows sorted by block (key, i, j): pairs of different groups that may be links.
+_BLOCK_TYPES = {
+    "key": pa.int64(), "i": pa.int32(), "j": pa.int32(), "band": pa.int32(), "side": pa.int32(), "node": pa.int64(),
+    "root": pa.int64(), "n": pa.int64(), "print": pa.binary(), "keys": pa.list_(pa.int64()),
+}
+_BLOCK = list(_BLOCK_TYPES)
+
+
+class _Block:
+    """Members of a bucket that are held against each other, side 0 against side 1 or (side 2) all."""
+
+    def __init__(self, rows: list[tuple], least: int, percent: int) -> None:
+        self.rows, self.least, self.percent, self.band = rows, least, percent, rows[0][3]
+        self.side = np.array([r[4] for r in rows])
+        self.node, self.root, self.size = (np.array([r[k] for r in rows], np.int64) for k in (5, 6, 7))
+        self.prints = np.frombuffer(b"".join(r[8] for r in rows), np.uint8).reshape(len(rows), -1)
+        self.keys = np.array([r[9] for r in rows], np.int64)
+
+    def partners(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows that row i may be linked with, of other groups, met in no earlier band; and their agreement."""
+        right = np.arange(i + 1, len(self.rows)) if self.side[i] == 2 else np.flatnonzero(self.side == 1)
+        small, large = np.minimum(self.size[right], self.size[i]), np.maximum(self.size[right], self.size[i])
+        right = right[(self.root[right] != self.root[i]) & (100 * small >= self.percent * large)]
+        agree = (self.prints[right] == self.prints[i]).sum(axis=1)
+        right, agree = right[agree >= self.least], agree[agree >= self.least]
+        new = ~(self.keys[right, : self.band] == self.keys[i, : self.band]).any(axis=1)
+        return right[new], agree[new]
+
+    def left(self) -> np.ndarray:
+        return np.flatnonzero(self.side != 1)
+
+    def involved(self) -> list[int]:
+        """Rows with a partner."""
+        found = np.zeros(len(self.rows), bool)
+        for i in self.left():
+            right, _ = self.partners(i)
+            found[right] = True
+            found[i] |= len(right) > 0
+        return np.flatnonzero(found).tolist()
+
+    def links(self, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        """Links confirmed on full sets that join groups; what agrees most is looked at first."""
+        group = {r: r for r in self.root.tolist()}
+
+        def find(r: int) -> int:
+            while group[r] != r:
+                group[r] = group[group[r]]
+                r = group[r]
+            return r
+
+        out = []
+        for i in self.left():
+            right, agree = self.partners(i)
+            for j in right[np.argsort(-agree, kind="stable")].tolist():
+                a, b = find(int(self.root[i])), find(int(self.root[j]))
+                if a == b:
+                    continue
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * both >= self.percent * (len(sets[i]) + len(sets[j]) - both):
+                    group[max(a, b)] = min(a, b)
+                    out.append((int(self.node[i]), int(self.node[j])))
+        return out
+
+
+def _each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], list[np.ndarray]]]:
+    """The rows of each block of a stream sorted by block, and their sets where there are any."""
+    block, rows, sets = None, [], []
+    for batch in batches:
+        with_sets = "set" in batch.schema.names
+        columns = [batch.column(c).to_pylist() for c in _BLOCK]
+        for at, row in enumerate(zip(*columns, strict=True)):
+            if row[:4] != block:
+                if rows:
+                    yield rows, sets
+                block, rows, sets = row[:4], [], []
+            rows.append(row)
+            if with_sets:
+                sets.append(batch.column("set")[at].values.to_numpy().copy())
+    if rows:
+        yield rows, sets
+
+
+def _involved(least: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, _ in _each_block(batches):
+            kept = [rows[i] for i in _Block(rows, least, percent).involved()]
+            if kept:
+                columns = zip(zip(*kept, strict=True), _BLOCK_TYPES.values(), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names=_BLOCK)
 
-    With `best`, for each row the one pair that agrees most. Else all pairs, each in the first band it shares.
-    """
+    return run
 
-    def pairs(band: int, rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        side = np.array([r[0] for r in rows])
-        node, group, size = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
-        prints = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), -1)
-        keys = np.array([r[5] for r in rows], np.int64)
-        out = [], []
-        for i in np.flatnonzero(side != 1):
-            right = np.arange(i + 1, len(rows)) if side[i] == 2 else np.flatnonzero(side == 1)
-            right = right[(group[right] != group[i]) & (100 * np.minimum(size[right], size[i]) >= percent * np.maximum(size[right], size[i]))]
-            if not len(right):
-                continue
-            agree = (prints[right] == prints[i]).sum(axis=1)
-            right, agree = right[agree >= least], agree[agree >= least]
-            if best:
-                right = right[agree.argmax() :][:1] if len(right) else right
-            else:
-                right = right[~(keys[right, :band] == keys[i, :band]).any(axis=1)] if band else right
-            out[0].append(np.full(len(right), node[i]))
-            out[1].append(node[right])
-        none = [np.zeros(0, np.int64)]
-        return np.concatenate(out[0] or none), np.concatenate(out[1] or none)
 
+def _linked(least: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, rows = None, []
-
-        def close() -> pa.RecordBatch:
-            a, b = pairs(block[3], rows)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-        for batch in batches:
-            for key, i, j, band, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (key, i, j, band) != block:
-                    if rows:
-                        yield close()
-                    block, rows = (key, i, j, band), []
-                rows.append(tuple(row))
-        if rows:
-            yield close()
+        for rows, sets in _each_block(batches):
+            found = _Block(rows, least, percent).links(sets)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return run
 
@@ -244,7 +296,8 @@ class _Run:
         least = self.least
         return self.kept(sized.select("a", "b", "pa", "pb").mapInArrow(lambda x: _agreeing(x, least), "a long, b long"), "near-pairs")
 
-    def between_groups(self, members: DataFrame, groups: DataFrame, best: bool) -> DataFrame:
+    def between_groups(self, members: DataFrame, groups: DataFrame) -> DataFrame:
+        """Confirmed links between members of a bucket that lie in different groups."""
         placed = members.join(groups, "node", "left").select("key", "band", "node", "n", F.coalesce("root", "node").alias("root"))
         placed = self.kept(placed, "near-placed")
         split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
@@ -253,15 +306,16 @@ class _Run:
         own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
         dealt = some.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         side = F.when(F.col("own") == F.col("with"), 2).when(F.col("own") < F.col("with"), 0).otherwise(1)
-        blocks = dealt.select(
-            "key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "band", side.alias("side"), "node",
-            "root", "n", "print", "keys")
-        dealt = blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        return self.kept(dealt.mapInArrow(_blocks(self.least, self.percent, best), "a long, b long").distinct(), "near-pairs")
-
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose full shingle sets are similar enough."""
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        blocks = dealt.withColumns({"i": F.least("own", "with"), "j": F.greatest("own", "with"), "side": side}).select(*_BLOCK)
+        block = ["key", "i", "j", "band"]
+        found = blocks.repartition(*block).sortWithinPartitions(*block).mapInArrow(_involved(self.least, self.percent), blocks.schema)
+        found = self.kept(found, "near-involved")
+        full = found.join(self.sets_of(found.select("node").distinct()), "node").select(*_BLOCK, "set")
+        return self.kept(
+            full.repartition(*block).sortWithinPartitions(*block).mapInArrow(_linked(self.least, self.percent), "a long, b long"), "near-links")
+
+    def sets_of(self, nodes: DataFrame) -> DataFrame:
+        """(node, set): the full shingle sets, from the text of one document of each."""
         one = self.features.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("_hash", "_id")).alias("row"))
         wanted = self.kept(one.select("node", "row._hash", "row._id"), "near-wanted")
         small = wanted.count() <= BROADCAST_ROWS
@@ -275,7 +329,11 @@ class _Run:
                 found = [shingles(t, words).view(np.int64) for t in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "set"])
 
-        known = self.kept(texts.mapInArrow(sets, "node long, set array<long>").dropDuplicates(["node"]), "near-sets")
+        return self.kept(texts.mapInArrow(sets, "node long, set array<long>").dropDuplicates(["node"]), "near-sets")
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose full shingle sets are similar enough."""
+        known = self.sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct())
         a = known.select(F.col("node").alias("a"), F.col("set").alias("sa"))
         b = known.select(F.col("node").alias("b"), F.col("set").alias("sb"))
         common = F.size(F.array_intersect("sa", "sb"))
@@ -305,12 +363,9 @@ def classes(
     members = run.members()
     links = run.confirmed(run.near_leader(members))
     groups = run.grouped(links)
-    for best in (True, False):
-        pairs = run.between_groups(members, groups, best)
-        if pairs.isEmpty():
-            break
-        links = links.union(run.confirmed(pairs))
-        groups = run.grouped(links)
+    more = run.between_groups(members, groups)
+    if not more.isEmpty():
+        groups = run.grouped(links.union(more))
     final, _ = written(groups, "near-groups")
     remove(run.spark, run.paths)
     own = run.features.select("_id", "_hash", "n", "node")
