@@ -13,9 +13,9 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Pattern and replacement, with $1 for groups, applied in this order to lower-case text.
+#: Pattern and replacement, with $1 for groups, applied in this order to lower-case text. Lines stay.
 CANONICAL = (
-    (r"(?m)^[ \t]*(?:copyright|\(c\)|©)[^\n]*$", " "),
+    (r"(?m)^[ \t]*(?:copyright|\(c\)|©)[^\n]*\n?", ""),
     (r"licenc", "licens"),
     (r"https://", "http://"),
     (r"\b(organi|authori|recogni|utili|initiali)s(e|es|ed|ing|ation)\b", "$1z$2"),
@@ -23,8 +23,10 @@ CANONICAL = (
     (r"acknowledgement", "acknowledgment"),
     (r"non-?commercial", "noncommercial"),
     (r"sub-license", "sublicense"),
-    (r"[^\p{L}\p{N}]+", " "),
+    (r"[^\p{L}\p{N}\n]+", " "),
 )
+#: What separates paragraphs of a text in that form, and what counts as one space at last.
+PARAGRAPH, SPACE = r" *\n *\n[ \n]*", r"[ \n]+"
 
 #: Names that notices use, by licence identifier.
 NAMES = {
@@ -120,17 +122,17 @@ def known_texts() -> Iterator[tuple[str, str]]:
                 yield license_id, notice.format("the " + name)
 
 
-def canonical(text: Column) -> Column:
-    """The text with everything made equal that does not tell licences apart."""
+def lines(text: Column) -> Column:
+    """The text with everything made equal that does not tell licences apart, still in lines."""
     out = F.lower(text)
     for pattern, replacement in CANONICAL:
         out = F.regexp_replace(out, pattern, replacement)
-    return F.trim(out)
+    return out
 
 
-def digest(text: Column) -> Column:
-    """SHA-256 of the canonical form."""
-    return F.sha2(canonical(text).cast("binary"), 256)
+def digest(form: Column) -> Column:
+    """SHA-256 of a text in that form, on one line."""
+    return F.sha2(F.trim(F.regexp_replace(form, SPACE, " ")).cast("binary"), 256)
 
 
 def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -142,18 +144,17 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     """
     spark = docs.sparkSession
     known = spark.createDataFrame(sorted(set(known_texts())), "license string, known string")
-    known = known.select("license", digest(F.col("known")).alias("digest")).distinct()
+    known = known.select("license", digest(lines(F.col("known"))).alias("digest")).distinct()
     whole = F.coalesce(docs[f"`{text}`"].cast("string"), F.lit(""))
-    rows = docs.select(docs[f"`{doc_id}`"].alias("id"), whole.alias("text"), F.sha2(whole.cast("binary"), 256).alias("key"))
+    rows = docs.select(docs[f"`{doc_id}`"].alias("id"), lines(whole).alias("form"), F.sha2(whole.cast("binary"), 256).alias("key"))
+    pieces = F.concat(F.split("form", r"\n"), F.split("form", PARAGRAPH))
     parts = F.concat(
-        F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("part"))),
-        F.transform(
-            F.array_distinct(F.concat(F.split("text", r"\r?\n"), F.split("text", r"\r?\n[ \t]*\r?\n"))),
-            lambda x: F.struct(F.lit(False).alias("whole"), x.alias("part"))))
+        F.array(F.struct(F.lit(True).alias("whole"), F.col("form").alias("part"))),
+        F.transform(pieces, lambda x: F.struct(F.lit(False).alias("whole"), x.alias("part"))))
     each = rows.select("key", F.explode(parts).alias("p")).select("key", "p.whole", digest(F.col("p.part")).alias("digest"))
     hits = each.join(F.broadcast(known), "digest").select("key", "license", "whole").distinct()
     listed = hits.groupBy("key").agg(
         F.array_sort(F.collect_set("license")).alias("found"), F.min(F.when(F.col("whole"), F.col("license"))).alias("whole_license"))
-    return rows.select("id", "key", digest(F.col("text")).alias("canonical_sha256")).join(listed, "key", "left").select(
+    return rows.select("id", "key", digest(F.col("form")).alias("canonical_sha256")).join(listed, "key", "left").select(
         F.col("id").alias(doc_id), F.coalesce(F.array_join("found", ","), F.lit("")).alias("licenses"),
         F.coalesce(F.size("found"), F.lit(0)).cast("long").alias("n_licenses"), "whole_license", "canonical_sha256")

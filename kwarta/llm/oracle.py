@@ -1,6 +1,6 @@
 """DuckDB SQL for the operators that SQL can express."""
 
-from kwarta.llm.licenses import CANONICAL, known_texts
+from kwarta.llm.licenses import CANONICAL, PARAGRAPH, SPACE, known_texts
 
 
 def _text(value: str) -> str:
@@ -11,7 +11,11 @@ def _canonical(column: str) -> str:
     out = f"lower({column})"
     for pattern, replacement in CANONICAL:
         out = f"regexp_replace({out}, {_text(pattern)}, {_text(replacement.replace('$', chr(92)))}, 'g')"
-    return f"trim({out})"
+    return out
+
+
+def _flat(form: str) -> str:
+    return f"trim(regexp_replace({form}, {_text(SPACE)}, ' ', 'g'))"
 
 
 _KNOWN = ", ".join(f"({_text(license_id)}, {_text(text)})" for license_id, text in sorted(set(known_texts())))
@@ -32,17 +36,17 @@ ORACLE_SQL = {
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
     "op8_licenses": f"""
-        WITH known AS (SELECT DISTINCT license, {_canonical('t')} AS form FROM (VALUES {_KNOWN}) AS k(license, t)),
-             docs AS (SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS text FROM documents),
+        WITH known AS (SELECT DISTINCT license, {_flat(_canonical('t'))} AS form FROM (VALUES {_KNOWN}) AS k(license, t)),
+             docs AS (SELECT doc_id, row_number() OVER () AS row, {_canonical("coalesce(text, '')")} AS form FROM documents),
              parts AS (
-                 SELECT row, true AS whole, text AS part FROM docs UNION ALL
-                 SELECT row, false, unnest(regexp_split_to_array(text, '\\r?\\n')) FROM docs UNION ALL
-                 SELECT row, false, unnest(regexp_split_to_array(text, '\\r?\\n[ \\t]*\\r?\\n')) FROM docs),
-             hits AS (SELECT DISTINCT row, license, whole FROM (SELECT row, whole, {_canonical('part')} AS form FROM parts) JOIN known USING (form)),
+                 SELECT row, true AS whole, form FROM docs UNION ALL
+                 SELECT row, false, unnest(regexp_split_to_array(form, '\\n')) FROM docs UNION ALL
+                 SELECT row, false, unnest(regexp_split_to_array(form, {_text(PARAGRAPH)})) FROM docs),
+             hits AS (SELECT DISTINCT row, license, whole FROM (SELECT row, whole, {_flat('form')} AS form FROM parts) JOIN known USING (form)),
              listed AS (SELECT row, string_agg(DISTINCT license, ',' ORDER BY license) AS found, count(DISTINCT license) AS n,
                                min(license) FILTER (whole) AS w FROM hits GROUP BY row)
         SELECT doc_id, coalesce(found, '') AS licenses, coalesce(n, 0) AS n_licenses, w AS whole_license,
-               sha256({_canonical('text')}) AS canonical_sha256
+               sha256({_flat('form')}) AS canonical_sha256
         FROM docs LEFT JOIN listed USING (row)
     """,
 }
