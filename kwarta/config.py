@@ -93,6 +93,22 @@ class Lake:
     def quarantine(self) -> str:
         return self.table("silver/quarantine")
 
+    @property
+    def event_keys(self) -> str:
+        return self.table("silver/event_keys")
+
+    @property
+    def activity(self) -> str:
+        return self.table("silver/user_activity")
+
+    @property
+    def stretches(self) -> str:
+        return self.table("silver/user_stretches")
+
+    @property
+    def decisions(self) -> str:
+        return self.table("gold/alert_decisions")
+
     @property
     def alerts(self) -> str:
         return self.table("gold/mart_fraud_alerts")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from kwarta.functions.clock import micros_between
+
 
 def total(column: str, dtype: str) -> Column:
     return F.sum(column).cast(dtype)
@@ -17,6 +19,12 @@ def mean_millis(micros: Column, n: Column, dtype: str = "decimal(18,2)") -> Colu
     ).cast(dtype)
 
 
+def mean_delay_millis(start: str, end: str) -> Column:
+    """Average time from one instant to another, in milliseconds."""
+    delay = micros_between(start, end).cast("decimal(19,0)")
+    return mean_millis(F.sum(delay), F.count(delay))
+
+
 def mean(amount_sum: Column, n: Column, dtype: str = "decimal(12,2)") -> Column:
     """Average from a sum and a count. ``avg`` would round to six places first, this does not."""
     return F.try_divide(amount_sum.cast("decimal(24,2)"), n.cast("decimal(18,0)")).cast(dtype)

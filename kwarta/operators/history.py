@@ -134,27 +134,44 @@ def location_hit(rules: Rules = DEFAULT_RULES) -> Column:
     return F.coalesce(F.col("km_from_prev") > rules.jump_km, F.lit(False))
 
 
-def dormant_hits(rows: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def stretches_of(rows: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Per user and stretch as long as the gap: the first row and the last instant."""
+    return (
+        rows.select("user_id", _epoch("event_timestamp").alias("us"), "event_id", "amount_php")
+        .groupBy("user_id", _floor_to(F.col("us"), _micros(rules.dormant_gap)).alias("stretch"))
+        .agg(
+            F.min(F.struct("us", "event_id", "amount_php")).alias("first"),
+            F.max("us").alias("last_us"),
+        )
+    )
+
+
+def dormant_hits(rows: DataFrame, rules: Rules = DEFAULT_RULES, earlier: DataFrame | None = None) -> DataFrame:
     """Rows that end a user's silence: ``user_id, event_id, amount_php, event_us, prev_us``.
 
     Within a stretch as long as the gap no row but the first can end a silence, so each (user,
     stretch) is reduced to its first row and its last time. Only those few are put in order.
+    ``earlier`` has the stretches of rows loaded before (user_id, stretch, first_us, last_us).
     """
     gap = _micros(rules.dormant_gap)
-    at = _epoch("event_timestamp")
-    stretches = (
-        rows.select("user_id", at.alias("us"), "event_id", "amount_php")
-        .groupBy("user_id", _floor_to(F.col("us"), gap).alias("stretch"))
-        .agg(
-            F.min(F.struct("us", "event_id", "amount_php")).alias("first"),
-            F.max("us").alias("last_us"),
+    stretches = stretches_of(rows, rules)
+    if earlier is not None:
+        kinds = {f.name: f.dataType for f in stretches.schema["first"].dataType.fields}
+        stored = earlier.select(
+            "user_id", "stretch",
+            F.struct(
+                F.col("first_us").alias("us"), F.lit(None).cast(kinds["event_id"]).alias("event_id"),
+                F.lit(None).cast(kinds["amount_php"]).alias("amount_php"),
+            ).alias("first"),
+            "last_us",
         )
-    )
+        stretches = stretches.unionByName(stored).groupBy("user_id", "stretch").agg(
+            F.min("first").alias("first"), F.max("last_us").alias("last_us"))
     in_order = Window.partitionBy("user_id").orderBy("stretch")
     return (
         stretches.withColumn("prev_us", F.lag("last_us").over(in_order))
         .filter(
-            (F.col("first.us") - F.col("prev_us") >= gap)
+            F.col("first.event_id").isNotNull() & (F.col("first.us") - F.col("prev_us") >= gap)
             & (F.col("first.amount_php") >= rules.dormant_amount)
         )
         .select(
@@ -172,19 +189,27 @@ def with_history(
     rules: Rules = DEFAULT_RULES,
     slot: timedelta = DEFAULT_SLOT,
     place: tuple[Column, Column] | None = None,
+    before: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """Mark each row with ``velocity_hit``, ``location_hit`` and ``dormant_hit``.
 
     The dormancy marks are joined on (user, slot), by which the activity is partitioned already, so
-    the large side is shuffled once in all.
+    the large side is shuffled once in all. ``before`` has what was loaded earlier: events near these rows
+    (user_id, event_id, event_timestamp, lat, lon), and stretches as in :func:`dormant_hits`.
     """
     length = slot_length(rules, slot)
     if rules.dormant_gap < length:
         raise ValueError("the dormancy gap is shorter than a slot")
     if place is None:
         place = (geo.latitude(F.col("province")), geo.longitude(F.col("province")))
-    active = recent_activity(rows, rules, slot, place)
-    dormant = dormant_hits(rows, rules).select(
+    both = rows.withColumns({"_lat0": place[0], "_lon0": place[1], "_own": F.lit(True)})
+    if before is not None:
+        near = before[0].select(
+            "user_id", "event_id", F.col("event_timestamp").cast(rows.schema["event_timestamp"].dataType).alias("event_timestamp"),
+            F.col("lat").alias("_lat0"), F.col("lon").alias("_lon0"), F.lit(False).alias("_own"))
+        both = both.unionByName(near, allowMissingColumns=True)
+    active = recent_activity(both, rules, slot, (F.col("_lat0"), F.col("_lon0"))).filter("_own").drop("_lat0", "_lon0", "_own")
+    dormant = dormant_hits(rows, rules, None if before is None else before[1]).select(
         F.col("user_id").alias("_user"),
         _floor_to(F.col("event_us"), _micros(length)).alias("_slot"),
         F.col("event_id").alias("_woken_by"),
@@ -218,9 +243,10 @@ def score_with_history(
     rules: Rules = DEFAULT_RULES,
     slot: timedelta = DEFAULT_SLOT,
     place: tuple[Column, Column] | None = None,
+    before: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """Valid rows scored by all six rules."""
-    marked = with_history(rows, rules, slot, place)
+    marked = with_history(rows, rules, slot, place, before)
     return fraud.with_reason(marked, full_reason(rules), rules).drop(
         "velocity_hit", "location_hit", "dormant_hit"
     )

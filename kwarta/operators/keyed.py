@@ -9,14 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A lookup that names at most this many rows may be broadcast: at a few hundred bytes per key
-# this stays in the low megabytes whatever the size of the tables.
-MAX_BROADCAST_KEYS = 100_000
-
-# A report of at most this many rows may be fetched before names are looked up for it.
-MAX_FETCHED_ROWS = 10_000
-
-_NULL_SPREAD = 512
+from kwarta.sinks import tables
 
 
 def first_per_key(rows: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
@@ -31,66 +24,30 @@ def first_per_key(rows: DataFrame, keys: list[str], order: list[str | Column]) -
     )
 
 
-def _keys_in_use(stored: DataFrame, rows: DataFrame, keys: list[str], at_most: int | None) -> DataFrame:
-    """The keys of ``stored`` that matter for ``rows``.
-
-    A micro-batch of known size is met with a stored table of any size: its keys are broadcast to
-    the table's scan, so what goes on to the join is no larger than the batch and the table is not
-    shuffled. Without a known, small size the stored keys are joined as they are.
-    """
-    stored_keys = stored.select(*keys)
-    if at_most is None or at_most > MAX_BROADCAST_KEYS:
-        return stored_keys
-    return stored_keys.join(F.broadcast(rows.select(*keys)), keys, "left_semi")
-
+def _keys_in_use(stored: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys of ``stored`` that ``rows`` names. Where the rows are few, as in a cached micro-batch, their
+    keys go to the stored table's scan and the table is not shuffled; the optimizer decides by their size."""
+    return stored.select(*keys).join(rows.select(*keys), keys, "left_semi")
 
-def missing_from(
-    rows: DataFrame, stored: DataFrame, keys: list[str], at_most: int | None = None
-) -> DataFrame:
-    """Rows whose key is not stored yet (left anti). Only the keys of ``stored`` are read.
 
-    ``at_most`` is a checked bound on the number of ``rows``, if the caller has one.
-    """
-    return rows.join(_keys_in_use(stored, rows, keys, at_most), keys, "left_anti")
+def missing_from(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key is not stored yet (left anti). Only the keys of ``stored`` are read."""
+    return rows.join(_keys_in_use(stored, rows, keys), keys, "left_anti")
 
 
-def present_in(
-    rows: DataFrame, stored: DataFrame, keys: list[str], at_most: int | None = None
-) -> DataFrame:
+def present_in(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key is stored (left semi). Equal to an inner join on a unique key, but needs
     no column of the other side and cannot multiply rows."""
-    return rows.join(_keys_in_use(stored, rows, keys, at_most), keys, "left_semi")
-
-
-def keep_known(rows: DataFrame, stored: DataFrame, key: str, at_most: int | None = None) -> DataFrame:
-    """The rows of :func:`present_in`, for large ``rows`` of which hardly any are unknown.
-
-    Looks for the unknown keys first (distinct keys only, reduced before their shuffle), now. If there
-    are none, no join is needed; if there are few, they are broadcast. Either way the rows themselves
-    are not shuffled by the key, so a key that holds a third of them does no harm. Only when many
-    keys are unknown does this become the ordinary join.
-    """
-    if at_most is not None and at_most <= MAX_BROADCAST_KEYS:
-        return present_in(rows, stored, [key], at_most)
-    named = rows.filter(F.col(key).isNotNull())
-    unknown = missing_from(named.select(key).distinct(), stored, [key])
-    found = unknown.limit(MAX_BROADCAST_KEYS + 1).count()
-    if found == 0:
-        return named
-    if found <= MAX_BROADCAST_KEYS:
-        return named.join(F.broadcast(unknown), key, "left_anti")
-    return present_in(rows, stored, [key])
+    return rows.join(stored.select(*keys), keys, "left_semi")
 
 
 def lookup(rows: DataFrame, dim: DataFrame, key: str, columns: list[str | Column]) -> DataFrame:
     """Left join with a dimension that has one row per key.
 
-    Null keys match nothing, yet an outer join hashes them all to one task. They are spread over
-    several non-matching values first. A hot key that does match is split by AQE's skew join.
+    Null keys match nothing, yet an outer join hashes them all to one task. They take the row's own
+    hash, marked so that it matches nothing, instead. A hot key that does match is split by AQE's skew join.
     """
-    spread = F.concat(
-        F.lit("\u0000"), F.pmod(F.xxhash64(*rows.columns), F.lit(_NULL_SPREAD)).cast("string")
-    )
+    spread = F.concat(F.lit("\u0000"), F.xxhash64(*rows.columns).cast("string"))
     right = dim.select(F.col(key).alias("_dim_key"), *columns)
     joined = rows.withColumn("_row_key", F.coalesce(F.col(key), spread)).join(
         right, F.col("_row_key") == F.col("_dim_key"), "left"
@@ -98,32 +55,19 @@ def lookup(rows: DataFrame, dim: DataFrame, key: str, columns: list[str | Column
     return joined.drop("_row_key", "_dim_key")
 
 
-def fetch_few(rows: DataFrame, at_most: int | None) -> DataFrame:
-    """A result of at most ``at_most`` rows as a local table, computed now and once.
-
-    What is shown of a report is used several times over (its keys are looked up in each dimension),
-    and Spark would scan the large table again for each use. Above the bound nothing is fetched.
-    """
-    if at_most is None or at_most > MAX_FETCHED_ROWS:
-        return rows
-    return rows.sparkSession.createDataFrame(rows.limit(at_most).toArrow(), rows.schema)
-
+def newest_partitions(rows: DataFrame, limit: int, partition: str = "event_date", kept: Column | None = None) -> DataFrame:
+    """The newest partitions of a stored table that hold ``limit`` rows, for an order that begins with them.
 
-def lookup_few(
-    few: DataFrame, dim: DataFrame, key: str, columns: list[str | Column], at_most: int | None
-) -> DataFrame:
-    """Left join of a fetched result (see :func:`fetch_few`) with a dimension of any size.
-
-    The few keys are broadcast to the dimension's scan, and what is left of the dimension (at most
-    one row per key) is broadcast back, so the dimension is neither shuffled nor sorted. Above the
-    bound this is an ordinary lookup.
+    Partitions are counted from the newest on, twice as many each time, until there are enough: no file of an
+    older one is opened. A frame that is not a partitioned table comes back as it is.
     """
-    if at_most is None or at_most > MAX_FETCHED_ROWS:
-        return lookup(few, dim, key, columns)
-    wanted = few.select(F.col(key).alias("_dim_key")).filter("_dim_key IS NOT NULL")
-    right = dim.select(F.col(key).alias("_dim_key"), *columns)
-    right = right.join(F.broadcast(wanted), "_dim_key", "left_semi")
-    return few.join(F.broadcast(right), F.col(key) == F.col("_dim_key"), "left").drop("_dim_key")
+    days, take = tables.stored_dates(rows, partition), 1
+    while take < len(days):
+        some = rows.filter(F.col(partition) >= F.lit(days[take - 1]))
+        if (some if kept is None else some.filter(kept)).limit(limit).count() >= limit:
+            return some
+        take *= 2
+    return rows
 
 
 def newest(rows: DataFrame, order: list[Column], limit: int | None) -> DataFrame:

@@ -5,28 +5,30 @@ Every load is keyed, so running one again for the same rows adds nothing.
 
 from __future__ import annotations
 
-from datetime import date
+import re
+import uuid
+from hashlib import sha256
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kwarta import schemas
 from kwarta.config import DEFAULT_RULES, NEW_USER_KYC, NEW_USER_STATUS, Lake, Rules
+from kwarta.functions import geo
 from kwarta.operators import fraud
-from kwarta.operators.history import score_with_history
-from kwarta.operators.keyed import first_per_key, keep_known, lookup, missing_from, present_in
+from kwarta.operators.history import score_with_history, stretches_of
+from kwarta.operators.keyed import first_per_key, lookup, missing_from, present_in
 from kwarta.plans import silver
-from kwarta.session import work_folder
 from kwarta.sinks import tables
 
+# The fact table's columns besides its key and date.
 FACT_COLUMNS = [
     "event_timestamp", "user_id", "merchant_id", "transaction_type", "amount_php", "channel",
     "province", "city", "is_international", "device_id", "ip_hash", "fraud_score", "fraud_flag",
     "fraud_reason", "status", "processing_timestamp",
 ]
 
-_MAX_DATES = 1_000
-
 _EARLIEST = ["event_timestamp", "event_id"]
 
 
@@ -34,12 +36,11 @@ def new_users(
     scored: DataFrame,
     stored: DataFrame | None = None,
     now: Column | None = None,
-    at_most: int | None = None,
 ) -> DataFrame:
     """Users met for the first time, described by their earliest row. Stored users never change."""
     stamp = F.current_timestamp() if now is None else now
     first = _first_seen(
-        scored, "user_id", ["phone_hash", "user_name", "province", "city"], stored, at_most
+        scored, "user_id", ["phone_hash", "user_name", "province", "city"], stored
     )
     return first.select(
         "user_id",
@@ -59,13 +60,12 @@ def new_merchants(
     scored: DataFrame,
     stored: DataFrame | None = None,
     now: Column | None = None,
-    at_most: int | None = None,
 ) -> DataFrame:
     """Merchants met for the first time, described by their earliest row."""
     stamp = F.current_timestamp() if now is None else now
     first = _first_seen(
         scored, "merchant_id", ["merchant_name", "merchant_category", "province", "city"],
-        stored, at_most,
+        stored,
     )
     return first.select(
         "merchant_id",
@@ -82,12 +82,10 @@ def new_merchants(
     )
 
 
-def _first_seen(
-    scored: DataFrame, key: str, columns: list[str], stored: DataFrame | None, at_most: int | None
-) -> DataFrame:
+def _first_seen(scored: DataFrame, key: str, columns: list[str], stored: DataFrame | None) -> DataFrame:
     rows = scored.filter(F.col(key).isNotNull()).select(key, *columns, *_EARLIEST)
     first = first_per_key(rows, [key], _EARLIEST)
-    return first if stored is None else missing_from(first, stored, [key], at_most)
+    return first if stored is None else missing_from(first, stored, [key])
 
 
 def as_facts(scored: DataFrame) -> DataFrame:
@@ -98,12 +96,10 @@ def as_facts(scored: DataFrame) -> DataFrame:
     )
 
 
-def facts(
-    scored: DataFrame, users: DataFrame, merchants: DataFrame, at_most: int | None = None
-) -> DataFrame:
+def facts(scored: DataFrame, users: DataFrame, merchants: DataFrame) -> DataFrame:
     """Rows whose user and merchant are both stored. A row without a merchant is not a fact."""
-    known = present_in(as_facts(scored), users, ["user_id"], at_most)
-    return present_in(known, merchants, ["merchant_id"], at_most)
+    known = present_in(as_facts(scored), users, ["user_id"])
+    return present_in(known, merchants, ["merchant_id"])
 
 
 def fact_orphans(scored: DataFrame, users: DataFrame, merchants: DataFrame) -> DataFrame:
@@ -123,93 +119,162 @@ def fact_orphans(scored: DataFrame, users: DataFrame, merchants: DataFrame) -> D
     )
 
 
-def dates_in(rows: DataFrame) -> list[date] | None:
-    """The calendar days the rows fall on, or None if there are too many to be worth listing."""
-    days = rows.select(F.to_date("event_timestamp").alias("d")).distinct().limit(_MAX_DATES + 1).collect()
-    return None if len(days) > _MAX_DATES else [row.d for row in days]
+def _same_days(stored: DataFrame, rows: DataFrame, column: str = "event_timestamp") -> DataFrame:
+    """The stored rows of the days that ``rows`` span."""
+    first, last = rows.agg(F.min(F.to_date(column)), F.max(F.to_date(column))).first()
+    return stored.filter(F.col("event_date").between(F.lit(first), F.lit(last)))
 
 
-def new_rows(
-    rows: DataFrame,
-    stored: DataFrame,
-    key: str,
-    touched: list[date] | None = None,
-    at_most: int | None = None,
-) -> DataFrame:
-    """Rows to append so that ``key`` stays unique: one per key, none that is stored.
+def unseen(rows: DataFrame, lake: Lake, load_id: str) -> DataFrame:
+    """One row per event, and none that another load has brought, on whatever day.
 
-    ``touched`` limits the search to the partitions the rows fall into: a redelivered event carries
-    its original time, so it lands where its first copy is.
+    What this very load has stored under the same date is kept: the load is then being repeated, after a
+    crash perhaps, and the later steps find what is stored already.
     """
-    unique = first_per_key(rows, [key], ["event_timestamp", F.xxhash64(*rows.columns)])
-    if touched is not None:
-        stored = stored.filter(F.col("event_date").isin(*touched))
-    return missing_from(unique, stored, [key], at_most)
+    unique = first_per_key(rows, ["event_id"], ["event_timestamp", F.xxhash64(*rows.columns)])
+    keys = tables.read(rows.sparkSession, lake.event_keys).withColumnsRenamed(
+        {"transaction_id": "event_id", "event_date": "_date", "load_id": "_load"})
+    known = keys.join(unique.select("event_id"), "event_id", "left_semi")
+    own = (F.col("_load") == load_id) & (F.col("_date") == F.to_date("event_timestamp"))
+    return unique.join(known, (unique["event_id"] == known["event_id"]) & ~own, "left_anti")
+
+
+def earlier(rows: DataFrame, lake: Lake, load_id: str, rules: Rules = DEFAULT_RULES) -> tuple[DataFrame, DataFrame]:
+    """What other loads have stored of these rows' users: events as far back as a rule looks, and stretches."""
+    spark, users = rows.sparkSession, rows.select("user_id").distinct()
+    first, last = rows.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
+    others = F.col("load_id") != load_id
+    events = tables.read(spark, lake.activity).filter(others)
+    if first is None:
+        events = events.filter("false")
+    else:
+        start = first - max(rules.velocity_window, rules.jump_window)
+        events = events.filter(
+            F.col("event_date").between(F.lit(start.date()), F.lit(last.date()))
+            & F.col("event_timestamp").between(F.lit(start), F.lit(last)))
+    stretches = tables.read(spark, lake.stretches).filter(others)
+    return events.join(users, "user_id", "left_semi"), stretches.join(users, "user_id", "left_semi")
 
 
 def create_tables(spark: SparkSession, lake: Lake) -> None:
-    """Create whichever of the silver and gold tables are not there yet."""
-    for path in (lake.users, lake.merchants):
+    """Create whichever of the tables are not there yet."""
+    for path in (lake.users, lake.merchants, lake.event_keys, lake.stretches, lake.decisions):
         tables.create(spark, path)
-    for path in (lake.facts, lake.alerts):
+    for path in (lake.facts, lake.alerts, lake.activity):
         tables.create(spark, path, "event_date")
-    tables.create(spark, lake.quarantine, "arrival_date", "load_id")
+    tables.create(spark, lake.quarantine, "load_group", "arrival_date")
     tables.create(spark, lake.user_daily, "spend_date")
     tables.create(spark, lake.merchant_daily, "analysis_date")
     tables.create(spark, lake.hourly, "window_date")
 
 
-def load_dimensions(scored: DataFrame, lake: Lake, at_most: int | None = None) -> None:
+def load_dimensions(scored: DataFrame, lake: Lake) -> None:
     spark = scored.sparkSession
     for path, build, schema in (
         (lake.users, new_users, schemas.USERS),
         (lake.merchants, new_merchants, schemas.MERCHANTS),
     ):
         if tables.exists(spark, path):
-            rows = build(scored, tables.read(spark, path), at_most=at_most)
-            tables.append(tables.conform(rows, schema), path)
+            tables.append(tables.conform(build(scored, tables.read(spark, path)), schema), path)
 
 
-def load_facts(
-    scored: DataFrame, lake: Lake, touched: list[date] | None = None, at_most: int | None = None
-) -> None:
+def load_facts(scored: DataFrame, lake: Lake, again: bool = False) -> None:
+    """Rows with a merchant. Their users and merchants have just been stored with the same rows.
+
+    ``again``: the load is repeated, so what it has stored is looked for on the days it spans.
+    """
     spark = scored.sparkSession
     if not all(tables.exists(spark, t) for t in lake.silver()):
         return
-    rows = keep_known(as_facts(scored), tables.read(spark, lake.users), "user_id", at_most)
-    rows = keep_known(rows, tables.read(spark, lake.merchants), "merchant_id", at_most)
-    fresh = new_rows(rows, tables.read(spark, lake.facts), "transaction_id", touched, at_most)
-    tables.append(tables.conform(fresh, schemas.FACTS), lake.facts, "event_date")
+    rows = as_facts(scored).filter("merchant_id IS NOT NULL")
+    if again:
+        rows = missing_from(rows, _same_days(tables.read(spark, lake.facts), scored), ["transaction_id"])
+    tables.append(tables.conform(rows, schemas.FACTS), lake.facts, "event_date")
 
 
-def load_alerts(
-    scored: DataFrame, lake: Lake, touched: list[date] | None = None, at_most: int | None = None
-) -> None:
+def load_alerts(scored: DataFrame, lake: Lake, again: bool = False) -> None:
     spark = scored.sparkSession
     if not tables.exists(spark, lake.alerts):
         return
-    fresh = new_rows(fraud.alerts(scored), tables.read(spark, lake.alerts), "alert_id", touched, at_most)
-    tables.append(tables.conform(fresh, schemas.ALERTS), lake.alerts, "event_date")
+    rows = fraud.alerts(scored)
+    if again:
+        stored = _same_days(tables.read(spark, lake.alerts), scored)
+        rows = missing_from(rows, stored, ["transaction_id", "alert_type"])
+    tables.append(tables.conform(rows, schemas.ALERTS), lake.alerts, "event_date")
 
 
-def load_quarantine(rejected: DataFrame, lake: Lake, load_id: str) -> None:
-    """Store rejected rows under the id of their load; loading them again replaces them."""
-    rows = rejected.withColumn("load_id", F.lit(load_id))
-    tables.replace_partitions(
-        tables.conform(rows, schemas.QUARANTINE), lake.quarantine, "arrival_date", "load_id"
-    )
+STREAMED = "stream"
 
 
-def load_scored(scored: DataFrame, lake: Lake, at_most: int | None = None) -> None:
-    """Dimensions before facts, facts before alerts. A load whose tables are missing is skipped, and
-    a crash between two loads is repaired by running the same rows again.
+def load_group(load_id: str) -> str:
+    """Folder name of a load's quarantine."""
+    return f"{re.sub('[^A-Za-z0-9_.-]', '_', load_id)}-{sha256(load_id.encode()).hexdigest()[:8]}"
 
-    ``scored`` is read several times: pass a cached micro-batch or a written table.
+
+def load_quarantine(rejected: DataFrame, lake: Lake, load_id: str, streamed: bool = False) -> None:
+    """Store rejected rows of a load. Loading it again replaces them, on whatever day and by however many.
+
+    A batch has a folder of its own, which is removed first; a crash in between is repaired by running the
+    load again. Micro-batches share a folder per day and are skipped if they are there.
     """
-    touched = dates_in(scored)
-    load_dimensions(scored, lake, at_most)
-    load_facts(scored, lake, touched, at_most)
-    load_alerts(scored, lake, touched, at_most)
+    spark = rejected.sparkSession
+    group = STREAMED if streamed else load_group(load_id)
+    rows = rejected.withColumns({"load_id": F.lit(load_id), "load_group": F.lit(group)})
+    if streamed:
+        stored = tables.read(spark, lake.quarantine).filter(
+            (F.col("load_group") == group) & (F.col("arrival_date") >= F.date_sub(F.current_date(), 1)) & (F.col("load_id") == load_id))
+        if not stored.isEmpty():
+            return
+    else:
+        tables.remove(spark, f"{lake.quarantine}/load_group={group}")
+    tables.conform(rows, schemas.QUARANTINE).write.mode("append").partitionBy("load_group", "arrival_date").parquet(lake.quarantine)
+
+
+def remember(scored: DataFrame, lake: Lake, load_id: str, rules: Rules = DEFAULT_RULES, history: bool = False) -> None:
+    """Store the keys of a load's events, and with ``history`` what later loads look back on.
+
+    This comes before the facts: after a crash in between, the repeated load knows its own keys.
+    """
+    day, mine = F.to_date("event_timestamp").alias("event_date"), F.lit(load_id).alias("load_id")
+    keys = scored.select(F.col("event_id").alias("transaction_id"), day, mine)
+    tables.append(tables.conform(keys, schemas.EVENT_KEYS), lake.event_keys)
+    if history:
+        where = (geo.latitude(F.col("province")).alias("lat"), geo.longitude(F.col("province")).alias("lon"))
+        events = scored.select("user_id", "event_id", "event_timestamp", *where, mine, day)
+        tables.append(tables.conform(events, schemas.ACTIVITY), lake.activity, "event_date")
+        stretches = stretches_of(scored, rules).select("user_id", "stretch", F.col("first.us").alias("first_us"), "last_us", mine)
+        tables.append(tables.conform(stretches, schemas.STRETCHES), lake.stretches)
+
+
+def load_rows(rows: DataFrame, lake: Lake, load_id: str, rules: Rules = DEFAULT_RULES, history: bool = False) -> None:
+    """Score a load's valid rows and store what follows from them. Loading it again changes nothing.
+
+    ``rows`` is read several times: pass a cached micro-batch or a written table. With ``history`` the rules on
+    a user's past see what all earlier loads with ``history`` brought; rows stored before, or delivered
+    twice, do not count as activity. Dimensions come before facts, facts before alerts.
+    """
+    spark = rows.sparkSession
+    if not tables.exists(spark, lake.event_keys):
+        return
+    again = not tables.read(spark, lake.event_keys).filter(F.col("load_id") == load_id).isEmpty()
+    stage = lake.table(f"_stage/{uuid.uuid4().hex}")
+    fresh = unseen(rows, lake, load_id).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if history:
+            scored = score_with_history(fresh, rules, before=earlier(fresh, lake, load_id, rules))
+        else:
+            scored = silver.score(fresh, rules)
+        # Written, not cached: appending to a table would have every cached plan that reads it computed again.
+        scored.write.parquet(stage)
+        fresh.unpersist()
+        scored = spark.read.schema(scored.schema).parquet(stage)
+        remember(scored, lake, load_id, rules, history)
+        load_dimensions(scored, lake)
+        load_facts(scored, lake, again)
+        load_alerts(scored, lake, again)
+    finally:
+        fresh.unpersist()
+        tables.remove(spark, stage)
 
 
 def load_batch(
@@ -219,24 +284,22 @@ def load_batch(
     rules: Rules = DEFAULT_RULES,
     history: bool = False,
     extra: tuple[str, ...] = (),
+    stage: str | None = None,
 ) -> None:
     """Load raw payloads of any volume in one go, with all rules or only the row-local ones.
 
-    The parsed rows are written once to the shared work folder and loaded from there: five reads of
-    Parquet instead of five parses, and a lost executor costs a file read, not the lineage.
+    The parsed rows are written once, to ``stage`` (default: a new folder below the lake), loaded from there,
+    and removed: the JSON is parsed once, and a lost executor costs a file read, not the lineage. Good rows
+    are staged without their payload.
     """
     spark = raw.sparkSession
-    stage = work_folder(spark, "load")
+    stage = stage or lake.table(f"_stage/{uuid.uuid4().hex}")
     cleansed = silver.cleanse(silver.parse(raw, extra))
-    cleansed.write.parquet(f"{stage}/cleansed")
-    cleansed = spark.read.schema(cleansed.schema).parquet(f"{stage}/cleansed")
-    rows = silver.valid(cleansed)
-    if history:
-        # A redelivered row must not count as activity.
-        rows = first_per_key(rows, ["event_id"], ["event_timestamp", F.xxhash64(*rows.columns)])
-        score_with_history(rows, rules).write.parquet(f"{stage}/scored")
-        scored = spark.read.parquet(f"{stage}/scored")
-    else:
-        scored = silver.score(rows, rules)
-    load_scored(scored, lake)
-    load_quarantine(silver.quarantined(cleansed), lake, load_id)
+    cleansed = cleansed.withColumn("payload", F.when(F.col("reject_reason").isNotNull(), F.col("payload")))
+    cleansed.write.parquet(stage)
+    try:
+        staged = spark.read.schema(cleansed.schema).parquet(stage)
+        load_rows(silver.valid(staged), lake, load_id, rules, history)
+        load_quarantine(silver.quarantined(staged), lake, load_id)
+    finally:
+        tables.remove(spark, stage)

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from kwarta import schemas
 from kwarta.config import Lake
 from kwarta.functions import money
-from kwarta.functions.clock import hour_floor, instant, micros_between, midnight, time_range
-from kwarta.operators.keyed import lookup
+from kwarta.functions.clock import hour_floor, instant, midnight, time_range
+from kwarta.operators.keyed import first_per_key, lookup
 from kwarta.operators.merge import merge_by_key
 from kwarta.sinks import tables
 
@@ -168,7 +168,6 @@ def hourly(facts: DataFrame, as_of: datetime | str, now: Column | None = None) -
     """System-wide volume, rates and processing time per hour."""
     n, ok = F.count(F.lit(1)), F.count_if(F.col("status") == "SUCCESS")
     flagged = F.count_if("fraud_flag")
-    delay = micros_between("event_timestamp", "processing_timestamp").cast("decimal(19,0)")
     return (
         time_range(facts, midnight(as_of) - DAY, instant(as_of), include_end=True)
         .groupBy(hour_floor("event_timestamp").alias("window_hour"))
@@ -180,7 +179,7 @@ def hourly(facts: DataFrame, as_of: datetime | str, now: Column | None = None) -
             F.count_if(F.col("transaction_type") == "CASHOUT").alias("cashout_count"),
             money.percent(ok, n).alias("success_rate"),
             money.percent(flagged, n, "decimal(7,4)").alias("fraud_rate"),
-            money.mean_millis(F.sum(delay), F.count(delay)).alias("avg_processing_ms"),
+            money.mean_delay_millis("event_timestamp", "processing_timestamp").alias("avg_processing_ms"),
         )
         .withColumn("created_at", _stamp(now))
     )
@@ -217,23 +216,31 @@ def build_all(lake: Lake, spark, as_of) -> None:
     build_hourly(lake, facts, as_of)
 
 
-def triage(lake: Lake, decisions: DataFrame, touched: list[date]) -> None:
-    """Apply analysts' decisions to stored alerts.
+def triage(lake: Lake, decisions: DataFrame) -> None:
+    """Store analysts' decisions on alerts: alert_id, status, investigated_by, notes, resolved_at.
 
-    ``decisions`` has alert_id, event_date, status, investigated_by, notes and resolved_at. A decision
-    on an alert that is not stored is ignored, not inserted.
+    They are only ever appended, beside the alerts, which a running stream may be adding to.
     """
-    spark = decisions.sparkSession
-    stored = tables.read(spark, lake.alerts).filter(F.col("event_date").isin(*touched))
-    tables.replace_partitions(decided(stored, decisions), lake.alerts, "event_date")
+    tables.append(tables.conform(decisions, schemas.DECISIONS), lake.decisions)
+
+
+def alerts_now(lake: Lake, spark) -> DataFrame:
+    """The stored alerts with the latest decision on each."""
+    return decided(tables.read(spark, lake.alerts), tables.read(spark, lake.decisions))
 
 
 TRIAGE_COLUMNS = ["status", "investigated_by", "notes", "resolved_at"]
 
 
 def decided(alerts: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Alerts with the triage columns replaced where there is a decision."""
-    latest = decisions.select("alert_id", *[F.col(c).alias(f"_{c}") for c in TRIAGE_COLUMNS])
+    """Alerts with the triage columns of their latest decision, where there is one.
+
+    The latest is the one resolved last; of several resolved at once the same one is taken every time. A
+    decision on an alert that is not there is ignored.
+    """
+    order = [F.col("resolved_at").desc_nulls_last(), F.xxhash64("status", "investigated_by", "notes")]
+    latest = first_per_key(decisions.select("alert_id", *TRIAGE_COLUMNS), ["alert_id"], order)
+    latest = latest.select("alert_id", *[F.col(c).alias(f"_{c}") for c in TRIAGE_COLUMNS])
     joined = alerts.join(latest.withColumn("_decided", F.lit(True)), "alert_id", "left")
     return joined.select(
         *[

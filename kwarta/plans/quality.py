@@ -113,9 +113,14 @@ def mart_counts(
 
 
 def freshness(
-    facts: DataFrame, as_of: datetime | str, span: timedelta = timedelta(minutes=10)
+    facts: DataFrame, as_of: datetime | str, span: timedelta = timedelta(minutes=10),
+    lateness: timedelta | None = None,
 ) -> DataFrame:
-    """Arrivals in the last minutes, and the last arrival among them. A warning, not an error."""
+    """Arrivals in the last minutes, and the last arrival among them. A warning, not an error.
+
+    With ``lateness``, events older than that on arrival are not looked for, so only the newest days of the
+    stored table are opened.
+    """
     now = instant(as_of)
     column = "processing_timestamp"
     recent = facts.filter(
@@ -123,6 +128,8 @@ def freshness(
             literal_like(facts, column, now - span), literal_like(facts, column, now)
         )
     )
+    if lateness is not None:
+        recent = recent.filter(F.col("event_date") >= F.lit((now - span - lateness).date()))
     found = recent.agg(F.count(F.lit(1)).alias("n"), F.max(column).alias("last_arrival"))
     return found.select(
         *_verdict(F.lit("recent arrivals"), "> 0", F.col("n"), F.col("n") > 0), "last_arrival"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kwarta.functions import money
 from kwarta.functions.clock import hour_floor, instant, time_range
-from kwarta.operators.keyed import fetch_few, lookup_few, newest
+from kwarta.operators.keyed import lookup, newest, newest_partitions
 
 HOUR = timedelta(hours=1)
 
@@ -76,14 +76,14 @@ def fraud_alerts(
     """Newest open alerts with the names behind the ids; all of them when ``limit`` is None.
 
     The limit is taken before the names are looked up: keys are unique in the dimensions, so the
-    rows are the same and the dimensions are only searched for the few that are shown. Those few are
-    fetched when this is called.
+    rows are the same and the dimensions are only searched for the few that are shown. ``since`` is a bound on
+    the alert's creation.
     """
     open_alerts = alerts.filter("status = 'NEW'")
     if since is not None:
         open_alerts = open_alerts.filter(F.col("created_at") >= F.lit(since))
     order = [F.desc("created_at"), F.asc("transaction_id"), F.asc("alert_type")]
-    shown = _named(newest(open_alerts, order, limit), users, merchants, limit).select(
+    shown = _named(newest(open_alerts, order, limit), users, merchants).select(
         "alert_id", "transaction_id", "user_id", "alert_type", "fraud_score", "amount_php",
         "province", "event_timestamp", "status", "user_name", "merchant_name", "created_at",
     )
@@ -91,18 +91,20 @@ def fraud_alerts(
 
 
 def open_alerts(alerts: DataFrame) -> DataFrame:
-    """The triage queue: every open alert, newest first."""
+    """The triage queue: every open alert, in no order."""
     return (
         alerts.filter("status = 'NEW'")
-        .orderBy(F.desc("created_at"), "transaction_id", "alert_type")
         .select("alert_id", "user_id", "alert_type", "fraud_score", "amount_php", "status")
     )
 
 
-def _named(rows: DataFrame, users: DataFrame, merchants: DataFrame, limit: int | None) -> DataFrame:
-    shown = fetch_few(rows, limit)
-    with_user = lookup_few(shown, users, "user_id", [F.col("full_name").alias("user_name")], limit)
-    return lookup_few(with_user, merchants, "merchant_id", ["merchant_name"], limit)
+def _named(shown: DataFrame, users: DataFrame, merchants: DataFrame) -> DataFrame:
+    """With the names behind the ids. The dimensions are reduced to the ids shown before they are joined."""
+    for dim, key, column in (
+        (users, "user_id", F.col("full_name").alias("user_name")), (merchants, "merchant_id", F.col("merchant_name")),
+    ):
+        shown = lookup(shown, dim.join(shown.select(key), key, "left_semi"), key, [column])
+    return shown
 
 
 def _by_merchant(facts: DataFrame, as_of: datetime | str, merchants: DataFrame, columns: list[str]) -> DataFrame:
@@ -177,7 +179,7 @@ def live_transactions(
     """The newest transactions with names. ``fraud_only`` filters what is shown: it keeps the flagged
     ones among the newest ``limit``, it does not look for older flagged ones."""
     order = [F.desc("event_timestamp"), F.asc("transaction_id")]
-    latest = facts.select(
+    latest = newest_partitions(facts, limit).select(
         "transaction_id", "event_timestamp", "user_id", "merchant_id", "amount_php", "channel",
         "province", "fraud_flag", "fraud_score",
     )
@@ -185,7 +187,7 @@ def live_transactions(
     if fraud_only:
         latest = latest.filter("fraud_flag")
     return (
-        _named(latest, users, merchants, limit)
+        _named(latest, users, merchants)
         .select(
             "transaction_id", "event_timestamp", "user_name", "merchant_name", "amount_php",
             "channel", "province", "fraud_flag", "fraud_score",

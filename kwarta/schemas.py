@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 _TYPES = {
     "string": T.StringType(), "boolean": T.BooleanType(), "smallint": T.ShortType(),
-    "bigint": T.LongType(), "date": T.DateType(), "timestamp": T.TimestampType(),
+    "bigint": T.LongType(), "double": T.DoubleType(), "date": T.DateType(), "timestamp": T.TimestampType(),
 }
 
 
@@ -53,7 +53,7 @@ FACTS = _schema(
 
 QUARANTINE = _schema(
     """payload string, reject_reason string, processing_timestamp timestamp,
-    arrival_date date, load_id string"""
+    load_id string, load_group string, arrival_date date"""
 )
 
 ALERTS = _schema(
@@ -63,6 +63,22 @@ ALERTS = _schema(
     event_date date"""
 )
 
+# Every valid event that was loaded: its key, where it lies, and the load that brought it.
+EVENT_KEYS = _schema("transaction_id string, event_date date, load_id string")
+
+# What the history rules look back on: each event's user, instant and place; and, per user and stretch of the
+# dormancy gap, the first and the last instant.
+ACTIVITY = _schema(
+    """user_id string, event_id string, event_timestamp timestamp, lat double, lon double,
+    load_id string, event_date date"""
+)
+STRETCHES = _schema("user_id string, stretch bigint, first_us bigint, last_us bigint, load_id string")
+
+# Analysts' decisions, only ever appended.
+DECISIONS = _schema(
+    """alert_id bigint, status string, investigated_by string, notes string, resolved_at timestamp"""
+)
+
 USER_DAILY = _schema(
     """user_id string, total_spend_php decimal(16,2), transaction_count bigint,
     avg_transaction_php decimal(12,2), top_category string, top_merchant string,
@@ -93,7 +109,7 @@ PRIMARY_KEYS = {
     "dim_merchants": ["merchant_id"],
     "fact_transactions": ["transaction_id"],
     "mart_daily_user_dashboard": ["user_id", "spend_date"],
-    "mart_fraud_alerts": ["alert_id"],
+    "mart_fraud_alerts": ["transaction_id", "alert_type"],
     "mart_merchant_performance": ["merchant_id", "analysis_date"],
     "mart_hourly_velocity": ["window_hour"],
 }

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from datetime import date
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +17,10 @@ BY_NAME = {
     "dim_merchants": schemas.MERCHANTS,
     "fact_transactions": schemas.FACTS,
     "quarantine": schemas.QUARANTINE,
+    "event_keys": schemas.EVENT_KEYS,
+    "user_activity": schemas.ACTIVITY,
+    "user_stretches": schemas.STRETCHES,
+    "alert_decisions": schemas.DECISIONS,
     "mart_fraud_alerts": schemas.ALERTS,
     "mart_daily_user_dashboard": schemas.USER_DAILY,
     "mart_merchant_performance": schemas.MERCHANT_DAILY,
@@ -69,8 +76,45 @@ def _spread(df: DataFrame, partition: str | None) -> DataFrame:
 
 
 def append(df: DataFrame, path: str, partition: str | None = None) -> None:
-    writer = _spread(df, partition).write.mode("append")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    """Add rows. Without any, nothing is written: a partitioned write makes no file then, and any other
+    is looked at first."""
+    if partition is None:
+        df = df.persist()
+        try:
+            if not df.isEmpty():
+                df.write.mode("append").parquet(path)
+        finally:
+            df.unpersist()
+        return
+    _spread(df, partition).write.mode("append").partitionBy(partition).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def compact(spark: SparkSession, path: str, stage: str, partition: str | None = None, where: Column | None = None) -> None:
+    """Rewrite a table, or the partitions that ``where`` names, in fewer files.
+
+    The rows are copied to ``stage`` first and written from there. Run it while nothing appends to those
+    partitions: closed days, or dimensions between two loads.
+    """
+    rows = read(spark, path)
+    (rows if where is None else rows.filter(where)).write.parquet(stage)
+    copied = spark.read.schema(rows.schema).parquet(stage)
+    if partition is None:
+        copied.hint("rebalance").write.mode("overwrite").parquet(path)
+    else:
+        replace_partitions(copied, path, partition)
+    remove(spark, stage)
+
+
+def stored_dates(df: DataFrame, partition: str = "event_date") -> list[date]:
+    """The days a stored table has partitions of, newest first, from its file listing. Empty for other frames."""
+    found = {m[1] for name in df.inputFiles() if (m := re.search(rf"/{partition}=(\d{{4}}-\d\d-\d\d)/", name))}
+    return sorted(map(date.fromisoformat, found), reverse=True)
 
 
 def replace_partitions(df: DataFrame, path: str, *partitions: str) -> None:

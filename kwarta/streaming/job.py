@@ -7,10 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from kwarta.config import DEFAULT_RULES, Lake, Rules
-from kwarta.operators import fraud
-from kwarta.operators.history import full_reason
 from kwarta.plans import load, silver
-from kwarta.streaming import last_seen
 
 
 def load_micro_batch(
@@ -18,21 +15,15 @@ def load_micro_batch(
 ) -> None:
     """Load one micro-batch of cleansed rows. Loading it again changes nothing.
 
-    The batch feeds four outputs, so it is cached once. Its counted size tells the loads whether
-    its keys may be broadcast to the scans of the stored tables.
+    The batch feeds several outputs, so it is cached once; its counted size also tells the optimizer that
+    its keys may go to the scans of the stored tables.
     """
     batch = cleansed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        size = batch.count()
-        if size == 0:
+        if batch.count() == 0:
             return
-        rows = silver.valid(batch)
-        if history:
-            scored = fraud.with_reason(rows, full_reason(rules), rules)
-        else:
-            scored = silver.score(rows, rules)
-        load.load_scored(scored, lake, at_most=size)
-        load.load_quarantine(silver.quarantined(batch), lake, load_id)
+        load.load_rows(silver.valid(batch), lake, load_id, rules, history)
+        load.load_quarantine(silver.quarantined(batch), lake, load_id, streamed=True)
     finally:
         batch.unpersist()
 
@@ -50,14 +41,12 @@ def start(
 
     ``interval`` None processes what there is, in rate-limited micro-batches, and stops. A micro-batch
     that is replayed after a crash finds its rows stored and adds none. Redelivered events are caught
-    by their key at the fact table rather than by a watermark, which would also drop late ones.
+    by their stored keys rather than by a watermark, which would also drop late ones.
 
-    ``history`` adds the rules on a user's past. Each user's rows of a micro-batch are then handled
-    together, so the source must be rate limited (Kafka is; for files give ``files_per_trigger``).
+    ``history`` adds the rules on a user's past, by the same operators as a batch load: each micro-batch is
+    scored together with what earlier ones stored of its users.
     """
     cleansed = silver.cleanse(silver.parse(raw, extra))
-    if history:
-        cleansed = last_seen.with_history(cleansed, rules)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")

@@ -28,10 +28,11 @@ def hourly_metrics(scored: DataFrame, delay: str = "10 minutes", hour: str = "1
             F.count_if(F.col("transaction_type") == "CASHOUT").alias("cashout_count"),
             money.percent(F.count_if(F.col("status") == "SUCCESS"), n).alias("success_rate"),
             money.percent(F.count_if("fraud_flag"), n, "decimal(7,4)").alias("fraud_rate"),
+            money.mean_delay_millis("event_timestamp", "processing_timestamp").alias("avg_processing_ms"),
         )
         .select(
             F.col("w.start").alias("window_hour"), "transaction_count", "total_volume_php",
-            "payment_count", "transfer_count", "cashout_count", "success_rate", "fraud_rate",
+            "payment_count", "transfer_count", "cashout_count", "success_rate", "fraud_rate", "avg_processing_ms",
         )
     )
 

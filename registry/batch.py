@@ -194,6 +194,57 @@ def load_replay(spark: SparkSession, sf: str) -> DataFrame:
     return plain(tables.read(spark, lake.facts))
 
 
+def load_redelivery(spark: SparkSession, sf: str) -> DataFrame:
+    """All payloads loaded; then some again with their date moved by a day, alone and among all others."""
+    lake = Lake(work_folder(spark, "lake"))
+    load.create_tables(spark, lake)
+    sent = fx.read_payloads(spark, sf)
+    number = F.get_json_object("value", "$.event_id").cast("bigint")
+    text = F.get_json_object("value", "$.event_timestamp")
+    later = F.date_format(text.cast("timestamp") + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    moved = sent.filter(number % 7 == 0).withColumn("value", F.replace("value", text, later))
+    for load_id, rows in (("all", sent), ("alone", moved), ("among", moved.union(sent.filter(number % 7 == 1)))):
+        load.load_batch(rows, lake, load_id, extra=fx.EXTRA_FIELDS)
+    return plain(tables.read(spark, lake.facts))
+
+
+def stored_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """The alerts as stored after the same load has run twice."""
+    lake = Lake(work_folder(spark, "lake"))
+    load.create_tables(spark, lake)
+    sent = fx.read_payloads(spark, sf)
+    for _ in range(2):
+        load.load_batch(sent, lake, "all", extra=fx.EXTRA_FIELDS)
+    return plain(tables.read(spark, lake.alerts)).drop("alert_id", "investigated_by", "notes")
+
+
+def quarantine_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows in quarantine after a load of damaged payloads, and after the same load with repaired ones."""
+    lake = Lake(work_folder(spark, "lake"))
+    load.create_tables(spark, lake)
+    out = []
+    for step, sent in (("damaged", dirty_payloads(spark, sf)), ("repaired", fx.read_payloads(spark, sf))):
+        load.load_batch(sent.select("value"), lake, "one", extra=fx.EXTRA_FIELDS)
+        rows = tables.read(spark, lake.quarantine)
+        out.append((step, rows.count()))
+    return spark.createDataFrame(out, "step string, rejected bigint")
+
+
+def _history_alerts(spark: SparkSession, lake: Lake) -> DataFrame:
+    return tables.read(spark, lake.alerts).select("transaction_id", "user_id", "alert_type", "fraud_score")
+
+
+def history_two_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts of all rules, the events loaded in two parts."""
+    lake = Lake(work_folder(spark, "lake"))
+    load.create_tables(spark, lake)
+    sent, cut = fx.read_payloads(spark, sf), F.lit("2024-01-15").cast("timestamp")
+    at = F.get_json_object("value", "$.event_timestamp").cast("timestamp")
+    for load_id, part in (("one", sent.filter(at < cut)), ("two", sent.filter(at >= cut))):
+        load.load_batch(part, lake, load_id, fx.SPARSE_RULES, history=True, extra=fx.EXTRA_FIELDS)
+    return _history_alerts(spark, lake)
+
+
 def facts_by_partition(spark: SparkSession, sf: str) -> DataFrame:
     """The fact table written in date partitions, and counted by partition when read again."""
     path = Lake(work_folder(spark, "facts")).facts
@@ -267,15 +318,21 @@ def merge_hourly_mart(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def alert_triage(spark: SparkSession, sf: str) -> DataFrame:
-    """Alerts of the highest rule are confirmed, the others stay open."""
+    """Alerts of the highest rule are dismissed, then confirmed; the others stay open."""
     alerts = _alerts(spark, sf)
-    decisions = alerts.filter("fraud_score >= 85").select(
+    highest, resolved = alerts.filter("fraud_score >= 85"), F.col("created_at").cast("timestamp")
+    first = highest.select(
+        "alert_id", F.lit("DISMISSED").alias("status"), F.lit("night shift").alias("investigated_by"),
+        F.lit("at first sight").alias("notes"), (resolved - F.expr("INTERVAL 1 HOUR")).alias("resolved_at"),
+    )
+    last = highest.select(
         "alert_id",
         F.lit("CONFIRMED").alias("status"),
         F.concat(F.lit("analyst of "), "province").alias("investigated_by"),
         F.col("transaction_id").alias("notes"),
-        F.col("created_at").cast("timestamp").alias("resolved_at"),
+        resolved.alias("resolved_at"),
     )
+    decisions = first.union(last)
     return marts.decided(alerts, decisions).select(
         "transaction_id", "alert_type", "status", "investigated_by", "notes"
     )
@@ -424,6 +481,19 @@ def stream_facts(spark: SparkSession, sf: str) -> DataFrame:
     return plain(tables.read(spark, lake.facts))
 
 
+def stream_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts of all rules, the events streamed in five micro-batches."""
+    folder = work_folder(spark, "silver")
+    lake = Lake(folder)
+    load.create_tables(spark, lake)
+    cuts = [datetime(2024, 1, day) for day in (7, 13, 19, 25)]
+    raw = files.stream_payloads(spark, fx.landed_in_order(spark, sf, cuts), files_per_trigger=1)
+    job.start(
+        raw, lake, f"{folder}/checkpoint", fx.SPARSE_RULES, history=True, interval=None, extra=fx.EXTRA_FIELDS,
+    ).awaitTermination()
+    return _history_alerts(spark, lake)
+
+
 def stream_hourly_window(spark: SparkSession, sf: str) -> DataFrame:
     return plain(_run_to_table(windows.hourly_metrics(fx.scored_stream(spark, sf)), "hourly"))
 
@@ -447,13 +517,13 @@ QUERIES = {
         fraud_static, fraud_band, fraud_alerts,
         rolling_count, velocity_spike, location_jump, dormant, fraud_history,
         new_users_anti, new_merchants_anti, dedupe_first, facts_load, facts_orphans,
-        load_replay, facts_by_partition,
+        load_replay, load_redelivery, stored_alerts, quarantine_reload, history_two_loads, facts_by_partition,
         mart_user_daily, mart_user_daily_backfill, mart_merchant_daily, mart_hourly,
         merchant_growth, merge_user_mart, merge_merchant_mart, merge_hourly_mart, alert_triage,
         report_realtime, report_hourly, report_alerts, report_open_alerts, report_category,
         report_province, report_top_merchants, report_channel, report_live_feed, report_live_fraud,
         dq_constraints, dq_pk_unique, dq_repeated_keys, dq_fk, dq_length, dq_completeness,
         dq_mart_counts, dq_freshness, dq_topic_sample, dq_tables,
-        stream_facts, stream_hourly_window, stream_velocity_window, stream_unique_events,
+        stream_facts, stream_history, stream_hourly_window, stream_velocity_window, stream_unique_events,
     )
 }

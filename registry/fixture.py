@@ -129,7 +129,7 @@ def landed(sent: DataFrame) -> str:
     over: parsing starts from plain text and knows nothing of how it was made. The rows are spread
     as over the partitions of a topic."""
     folder = work_folder(sent.sparkSession, "landed")
-    sent.repartition(8).write.text(f"{folder}/payloads")
+    sent.repartition("value").write.text(f"{folder}/payloads")
     return f"{folder}/payloads"
 
 
@@ -143,3 +143,17 @@ def stream_payloads(spark: SparkSession, sf: str) -> DataFrame:
 
 def scored_stream(spark: SparkSession, sf: str) -> DataFrame:
     return silver.score(silver.valid(silver.cleanse(silver.parse(stream_payloads(spark, sf), EXTRA_FIELDS))))
+
+
+def landed_in_order(spark: SparkSession, sf: str, cuts: list[datetime]) -> str:
+    """Payloads landed in time order, one file per span between the cuts."""
+    folder = work_folder(spark, "landed")
+    rows, edges = bronze(spark, sf).drop("geo_key"), [None, *cuts, None]
+    for start, end in zip(edges, edges[1:], strict=False):
+        span = rows
+        if start is not None:
+            span = span.filter(F.col("event_timestamp") >= F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz"))
+        if end is not None:
+            span = span.filter(F.col("event_timestamp") < F.lit(end.isoformat(sep=" ")).cast("timestamp_ntz"))
+        silver.publish(span).coalesce(1).write.mode("append").text(f"{folder}/payloads")
+    return f"{folder}/payloads"

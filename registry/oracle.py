@@ -232,6 +232,18 @@ _FACT_COLUMNS = "SELECT * FROM facts"
 
 _STREAM_LIMIT = "(SELECT date_trunc('millisecond', max(event_timestamp)) - INTERVAL 10 MINUTES FROM typed)"
 
+# The places in the payloads are not among the known provinces, so the location rule never applies.
+_HISTORY_ALERTS = _sql(
+    """SELECT event_id AS transaction_id, user_id, reason AS alert_type,
+          CAST(CASE reason WHEN 'HIGH_AMOUNT_NIGHT' THEN 85 WHEN 'INTERNATIONAL_HIGH_AMOUNT' THEN 65
+            WHEN 'VELOCITY_SPIKE' THEN 75 WHEN 'DORMANT_REACTIVATION' THEN 70 END AS DECIMAL(5,2)) AS fraud_score
+        FROM (SELECT hits.event_id, hits.user_id, CASE WHEN scored.fraud_reason IS NOT NULL THEN scored.fraud_reason
+                WHEN velocity_hit THEN 'VELOCITY_SPIKE' WHEN dormant_hit THEN 'DORMANT_REACTIVATION' END AS reason
+              FROM hits JOIN scored ON scored.event_id = hits.event_id)
+        WHERE reason <> 'ROUND_AMOUNT'""",
+    _IN_ORDER,
+)
+
 ORACLE_SQL = {
     "bronze_parse": _sql(
         """SELECT event_id, strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_timestamp,
@@ -317,6 +329,18 @@ ORACLE_SQL = {
         _DIMS,
     ),
     "load_replay": _sql(_FACT_COLUMNS),
+    "load_redelivery": _sql(_FACT_COLUMNS),
+    "stored_alerts": _sql(
+        """SELECT event_id AS transaction_id, user_id, merchant_id, fraud_reason AS alert_type, fraud_score,
+          amount_php, province, event_timestamp, 'NEW' AS status, CAST(event_timestamp AS DATE) AS event_date
+        FROM scored WHERE fraud_flag"""
+    ),
+    "quarantine_reload": _sql(
+        """SELECT 'damaged' AS step, count(*) AS rejected FROM dirty WHERE reject_reason IS NOT NULL
+        UNION ALL SELECT 'repaired', count(*) FROM bronze WHERE NOT coalesce(amount_php > 0, false)""",
+        _DIRTY,
+    ),
+    "history_two_loads": _HISTORY_ALERTS,
     "facts_by_partition": _sql(
         """SELECT event_date, count(*) AS tx_count, CAST(sum(amount_php) AS DECIMAL(24,2)) AS volume
         FROM facts GROUP BY event_date"""
@@ -500,6 +524,12 @@ ORACLE_SQL = {
     "dq_topic_sample": """SELECT 'messages sampled' AS "check", '> 0' AS expected,
         least(count(*), 100) AS actual, count(*) > 0 AS passed FROM events""",
     "stream_facts": _sql(_FACT_COLUMNS),
+    "stream_history": _HISTORY_ALERTS,
+    "dq_tables": """SELECT * FROM (VALUES ('dim_users', 'exists', 1, true), ('dim_merchants', 'exists', 1, true),
+        ('fact_transactions', 'exists', 1, true), ('mart_daily_user_dashboard', 'exists', 1, true),
+        ('mart_merchant_performance', 'exists', 1, true), ('mart_hourly_velocity', 'exists', 1, true),
+        ('mart_fraud_alerts', 'exists', 1, true), ('silver tables', '>= 3', 3, true), ('gold tables', '>= 4', 4, true))
+        AS t("check", expected, actual, passed)""",
     "stream_hourly_window": _sql(
         f"""SELECT date_trunc('hour', event_timestamp) AS window_hour, count(*) AS transaction_count,
           CAST(sum(amount_php) AS DECIMAL(16,2)) AS total_volume_php,
@@ -507,7 +537,9 @@ ORACLE_SQL = {
           {_count_if("transaction_type = 'TRANSFER'")} AS transfer_count,
           {_count_if("transaction_type = 'CASHOUT'")} AS cashout_count,
           {_percent("count(*) FILTER (WHERE status = 'SUCCESS')", 'count(*)')} AS success_rate,
-          {_percent('count(*) FILTER (WHERE fraud_flag)', 'count(*)', 4, 'DECIMAL(7,4)')} AS fraud_rate
+          {_percent('count(*) FILTER (WHERE fraud_flag)', 'count(*)', 4, 'DECIMAL(7,4)')} AS fraud_rate,
+          CAST(CAST((2 * sum(epoch_us(processing_timestamp) - epoch_us(event_timestamp)) + 10 * count(*)) // (20 * count(*))
+            AS DECIMAL(18,0)) / 100 AS DECIMAL(18,2)) AS avg_processing_ms
         FROM scored GROUP BY 1
         HAVING date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR <= {_STREAM_LIMIT}"""
     ),

@@ -1,9 +1,11 @@
-from datetime import date
+from datetime import date, datetime
+from glob import glob
 
 from make import rows
+from pyspark.sql import functions as F
 
 from kwarta.operators import keyed
-from kwarta.plans import load, silver
+from kwarta.plans import load, marts, silver
 from kwarta.sinks import tables
 from make import payload
 
@@ -30,8 +32,7 @@ def test_first_row_of_a_key_describes_it(spark):
 def test_stored_members_are_left_alone(spark):
     df = scored(spark, dict(), dict(user_id="u2"))
     stored = load.new_users(scored(spark, dict()))
-    for bound in (None, 10):
-        assert [r.user_id for r in load.new_users(df, stored, at_most=bound).collect()] == ["u2"]
+    assert [r.user_id for r in load.new_users(df, stored).collect()] == ["u2"]
 
 
 def test_facts_need_both_dimensions(spark):
@@ -41,26 +42,13 @@ def test_facts_need_both_dimensions(spark):
     )
     known = scored(spark, dict())
     users, merchants = load.new_users(known), load.new_merchants(known)
-    for bound in (None, 10):
-        assert [r.transaction_id for r in load.facts(df, users, merchants, bound).collect()] == ["e0000"]
+    assert [r.transaction_id for r in load.facts(df, users, merchants).collect()] == ["e0000"]
     orphans = {r.transaction_id: r.orphan_reason for r in load.fact_orphans(df, users, merchants).collect()}
     assert orphans == {
         "e0001": "UNKNOWN_USER", "e0002": "UNKNOWN_MERCHANT", "e0003": "NO_MERCHANT", "e0004": "UNKNOWN_USER",
     }
 
 
-def test_keep_known_equals_the_join(spark, monkeypatch):
-    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4), (None, 5)], "k string, n int")
-    for known in (["a", "b", "c"], ["a", "b"], ["z"], ["a"]):
-        stored = spark.createDataFrame([(k,) for k in known], "k string")
-        expected = sorted(r.n for r in keyed.present_in(rows, stored, ["k"]).collect())
-        for limit in (100_000, 1):
-            monkeypatch.setattr(keyed, "MAX_BROADCAST_KEYS", limit)
-            for bound in (None, 1):
-                got = keyed.keep_known(rows, stored, "k", bound)
-                assert sorted(r.n for r in got.select("k", "n").collect()) == expected
-
-
 def state(spark, lake):
     names = [lake.users, lake.merchants, lake.facts, lake.alerts, lake.quarantine]
     return [sorted(map(repr, tables.read(spark, n).collect())) for n in names]
@@ -95,7 +83,7 @@ def test_missing_tables_are_skipped(spark, tmp_path):
     from kwarta.config import Lake
 
     bare = Lake(str(tmp_path / "bare"))
-    load.load_scored(scored(spark, dict()), bare)
+    load.load_rows(rows(spark, dict()), bare, "one")
     assert not tables.exists(spark, bare.facts)
 
 
@@ -114,10 +102,85 @@ def test_lookup_keeps_rows_without_a_match(spark):
     left = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), (None, 4)], "k string, n int")
     dim = spark.createDataFrame([("a", "x"), (None, "never")], "k string, name string")
     expected = [(1, "x"), (2, None), (3, None), (4, None)]
-    for out in (
-        keyed.lookup(left, dim, "k", ["name"]),
-        keyed.lookup_few(left, dim, "k", ["name"], 4),
-        keyed.lookup_few(left, dim, "k", ["name"], keyed.MAX_FETCHED_ROWS + 1),
-        keyed.lookup_few(keyed.fetch_few(left, 4), dim, "k", ["name"], 4),
-    ):
-        assert sorted((r.n, r.name) for r in out.collect()) == expected
+    assert sorted((r.n, r.name) for r in keyed.lookup(left, dim, "k", ["name"]).collect()) == expected
+
+
+def burst(spark, start, stop):
+    return spark.createDataFrame([
+        (payload(event_id=f"e{n:02d}", event_timestamp=f"2024-01-15T12:00:{n:02d}Z"),) for n in range(start, stop)
+    ], "value string")
+
+
+def found(spark, lake):
+    return sorted((a.transaction_id, a.alert_type) for a in tables.read(spark, lake.alerts).collect())
+
+
+def test_history_rules_see_earlier_loads(spark, lake):
+    load.load_batch(burst(spark, 0, 6), lake, "one", history=True)
+    load.load_batch(burst(spark, 4, 12), lake, "two", history=True)  # two rows again: they do not count twice
+    expected = [("e10", "VELOCITY_SPIKE"), ("e11", "VELOCITY_SPIKE")]
+    assert found(spark, lake) == expected
+    once = state(spark, lake)
+    load.load_batch(burst(spark, 4, 12), lake, "two", history=True)
+    assert state(spark, lake) == once
+    old = spark.createDataFrame([(payload(event_id="late", event_timestamp="2024-08-15T12:00:00Z", amount_php=20001.5),)], "value string")
+    load.load_batch(old, lake, "three", history=True)
+    assert found(spark, lake) == [*expected, ("late", "DORMANT_REACTIVATION")]
+
+
+def test_an_event_is_stored_once_whatever_its_batch_and_day(spark, lake):
+    def sent(*records):
+        return spark.createDataFrame([(payload(event_id=i, event_timestamp=f"2024-01-{day}T12:00:00Z"),) for i, day in records], "value string")
+
+    load.load_batch(sent(("a", 15)), lake, "one")
+    load.load_batch(sent(("a", 14)), lake, "alone")
+    load.load_batch(sent(("a", 14), ("b", 15)), lake, "among")
+    load.load_batch(sent(("a", 13)), lake, "one")
+    facts = tables.read(spark, lake.facts).collect()
+    assert sorted((r.transaction_id, r.event_date.day) for r in facts) == [("a", 15), ("b", 15)]
+
+
+def test_a_crash_before_the_facts_is_repaired_by_the_same_load(spark, lake):
+    df = rows(spark, dict(event_id="a"), dict(event_id="b", amount_php="60000.00", event_timestamp="2024-01-15 01:00:00"))
+    load.remember(silver.score(df), lake, "one")  # the keys are stored, the facts are not
+    load.load_rows(df, lake, "one")
+    assert tables.read(spark, lake.facts).count() == 2 and len(found(spark, lake)) == 1
+    load.load_rows(df, lake, "two")
+    assert tables.read(spark, lake.facts).count() == 2 and len(found(spark, lake)) == 1
+
+
+def test_quarantine_is_replaced_by_the_load_of_the_same_name(spark, lake):
+    good, bad = spark.createDataFrame([(payload(),)], "value string"), spark.createDataFrame([("garbage",)], "value string")
+    count = lambda: tables.read(spark, lake.quarantine).count()
+    load.load_batch(good.union(bad), lake, "x/1")
+    load.load_batch(bad, lake, "y")
+    assert count() == 2
+    yesterday = tables.read(spark, lake.quarantine).filter("load_id = 'y'").withColumn("arrival_date", F.date_sub("arrival_date", 1))
+    load.load_quarantine(spark.createDataFrame(yesterday.collect(), yesterday.schema), lake, "y")
+    load.load_batch(good, lake, "x/1")
+    assert [(r.load_id, r.payload) for r in tables.read(spark, lake.quarantine).collect()] == [("y", "garbage")]
+    load.load_batch(bad, lake, "y")
+    assert count() == 1
+
+
+def test_known_members_add_no_file_and_tables_can_be_compacted(spark, lake):
+    for n in range(3):
+        load.load_batch(spark.createDataFrame([(payload(event_id=f"e{n}"),)], "value string"), lake, f"l{n}")
+    files = len(tables.read(spark, lake.users).inputFiles())
+    load.load_batch(spark.createDataFrame([(payload(event_id="e3"),)], "value string"), lake, "l3")
+    assert len(tables.read(spark, lake.users).inputFiles()) == files
+    assert not glob(f"{lake.root}/_stage/*")
+    before = state(spark, lake)
+    tables.compact(spark, lake.event_keys, lake.table("_stage/keys"))
+    tables.compact(spark, lake.facts, lake.table("_stage/facts"), "event_date", F.col("event_date") == "2024-01-15")
+    assert len(tables.read(spark, lake.facts).inputFiles()) < 5
+    assert state(spark, lake) == before and tables.read(spark, lake.event_keys).count() == 4
+
+
+def test_the_latest_decision_counts(spark, lake):
+    load.load_batch(burst(spark, 0, 11), lake, "one", history=True)
+    alert = tables.read(spark, lake.alerts).first().alert_id
+    for n, status in ((2, "CONFIRMED"), (1, "DISMISSED")):
+        marts.triage(lake, spark.createDataFrame(
+            [(alert, status, "ana", "n", datetime(2024, 1, 16, n)), (1, "CONFIRMED", "ana", "no such alert", None)], tables.BY_NAME["alert_decisions"]))
+    assert [r.status for r in marts.alerts_now(lake, spark).collect()] == ["CONFIRMED"]

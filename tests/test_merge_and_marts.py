@@ -122,13 +122,12 @@ def test_rebuilding_a_mart_changes_nothing(spark, lake):
 
 def test_triage_updates_only_decided_alerts(spark, lake):
     big = dict(amount_php="60000", event_timestamp="2024-01-15 01:00:00")
-    load.load_scored(silver.score(rows(spark, big, big)), lake)
+    load.load_rows(rows(spark, big, big), lake, "one")
     target = tables.read(spark, lake.alerts).filter("transaction_id = 'e0001'").first()
     decisions = spark.createDataFrame(
-        [(target.alert_id, target.event_date, "CLOSED", "ana", None, ts("2024-01-16 08:00:00")),
-         (1, target.event_date, "CLOSED", "ana", None, None)],
-        "alert_id bigint, event_date date, status string, investigated_by string, notes string, resolved_at timestamp",
+        [(target.alert_id, "CLOSED", "ana", None, ts("2024-01-16 08:00:00")), (1, "CLOSED", "ana", None, None)],
+        "alert_id bigint, status string, investigated_by string, notes string, resolved_at timestamp",
     )
-    marts.triage(lake, decisions, [target.event_date])
-    after = {r.transaction_id: (r.status, r.investigated_by) for r in tables.read(spark, lake.alerts).collect()}
+    marts.triage(lake, decisions)
+    after = {r.transaction_id: (r.status, r.investigated_by) for r in marts.alerts_now(lake, spark).collect()}
     assert after == {"e0000": ("NEW", None), "e0001": ("CLOSED", "ana")}

@@ -1,13 +1,14 @@
 """The physical plans are the ones meant."""
 
 import re
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from kwarta.operators import history
 from kwarta.operators.keyed import newest
-from kwarta.plans import marts, reports
+from kwarta.plans import marts, quality, reports
 from kwarta.sinks import tables
 from registry import batch
 from registry import fixture as fx
@@ -19,7 +20,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in batch.QUERIES if not n.startswith(("stream_", "load_", "dq_tables"))])
+@pytest.mark.parametrize("name", [n for n in batch.QUERIES if not n.startswith(("stream_", "load_", "stored_", "history_", "quarantine_", "dq_tables"))])
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(batch.QUERIES[name](spark, SF))
     assert not re.search("Python|Pandas|CartesianProduct|BroadcastNestedLoop", text)
@@ -32,9 +33,14 @@ def test_top_k_is_not_a_full_sort(spark):
     assert "TakeOrderedAndProject" in plan(latest)
 
 
-def test_names_are_looked_up_without_another_scan_of_the_facts(spark):
-    text = plan(batch.report_live_feed(spark, SF))
-    assert "events.parquet" not in text and "Exchange hashpartitioning" not in text
+def test_newest_rows_and_arrivals_open_the_newest_days_only(spark, stored):
+    users, merchants = fx.users(spark, SF), fx.merchants(spark, SF)
+    text = plan(reports.live_transactions(stored, users, merchants, limit=5))
+    assert re.search(r"PartitionFilters: \[[^\]]*event_date[^\]]*>= 2024-", text)
+    late = quality.freshness(stored, fx.REPORT_AS_OF, timedelta(hours=1), lateness=timedelta(days=1))
+    assert re.search(r"PartitionFilters: \[[^\]]*event_date[^\]]*>= 2024-01-14", plan(late))
+    rows = reports.live_transactions(stored, users, merchants, limit=5).collect()
+    assert rows == reports.live_transactions(stored.filter("true"), users, merchants, limit=5).collect() and len(rows) == 5
 
 
 def test_first_row_is_picked_before_the_shuffle(spark):

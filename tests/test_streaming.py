@@ -5,11 +5,10 @@ from datetime import timedelta
 from make import payload, ts
 
 from kwarta.config import Lake, Rules
-from kwarta.operators import history
 from kwarta.plans import load, silver
 from kwarta.sinks import tables
 from kwarta.sources import files
-from kwarta.streaming import job, last_seen, windows
+from kwarta.streaming import job, windows
 
 START = ts("2024-01-15 11:50:00")
 
@@ -88,20 +87,21 @@ def test_history_on_a_stream_equals_batch(spark, tmp_path, lake):
     assert tables.read(spark, lake.quarantine).count() == 3
 
 
-def test_dormancy_state_outlives_a_micro_batch():
-    import pandas as pd
-
-    def frame(us, large):
-        return pd.DataFrame({"_us": [us], "event_id": [f"e{us}"], "_lat": [1.0], "_lon": [1.0], "_large": [large]})
-
-    gap = 180 * 86_400_000_000
-    first, state = last_seen.mark(frame(0, True), None, Rules())
-    assert not first.dormant_hit[0]
-    assert last_seen.mark(frame(gap, True), state, Rules())[0].dormant_hit[0]
-    assert not last_seen.mark(frame(gap - 1, True), state, Rules())[0].dormant_hit[0]
-    assert not last_seen.mark(frame(gap, False), state, Rules())[0].dormant_hit[0]
-    late, kept = last_seen.mark(frame(-5, True), state, Rules())
-    assert not late.dormant_hit[0] and kept[2] == 0
+def test_restart_from_the_same_checkpoint(spark, tmp_path, lake):
+    """Each start goes on where the last has stopped, on a timed trigger too."""
+    sent, dropped = some_payloads(5, 60), tmp_path / "in"
+    for n in range(2):
+        drop(dropped, n, sent[n * 30:(n + 1) * 30])
+        stream = files.stream_payloads(spark, str(dropped), files_per_trigger=1)
+        query = job.start(stream, lake, str(tmp_path / "cp"), interval="1 second")
+        query.processAllAvailable()
+        batches = [p["batchId"] for p in query.recentProgress if p["numInputRows"]]
+        query.stop()
+        assert batches == [n]
+    batch = Lake(str(tmp_path / "batch"))
+    load.create_tables(spark, batch)
+    load.load_batch(spark.read.text(str(dropped)), batch, "all")
+    assert contents(spark, lake) == contents(spark, batch)
 
 
 def test_micro_batch_replay_is_a_no_op(spark, lake):
@@ -131,7 +131,3 @@ def test_redelivery_and_closed_windows(spark, tmp_path):
     assert sorted(r.event_id for r in to_table(once, tmp_path / "u", spark).collect()) == ["e0", "e1", "e2", "e3"]
     hours = to_table(windows.hourly_metrics(scored), tmp_path / "h", spark).collect()
     assert [(str(h.window_hour), h.transaction_count) for h in hours] == [("2024-01-15 10:00:00", 2)]
-
-
-def test_history_module_is_used_by_both():
-    assert history.full_reason is job.full_reason
