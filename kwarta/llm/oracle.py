@@ -1,6 +1,7 @@
 """DuckDB SQL for the operators that SQL can express."""
 
 from kwarta.llm.licenses import CANONICAL, PARAGRAPH, SPACE, known_texts
+from kwarta.llm.secrets import BASE, COMPLEMENT, KINDS, SCOPE
 
 
 def _text(value: str) -> str:
@@ -20,6 +21,25 @@ def _flat(form: str) -> str:
 
 _KNOWN = ", ".join(f"({_text(license_id)}, {_text(text)})" for license_id, text in sorted(set(known_texts())))
 
+
+
+def _spans(kind: str) -> str:
+    """Array of [start, end] of a kind in `text`, from what its pattern leaves between matches."""
+    pattern, group, least, most = KINDS[kind]
+    p = _text(pattern)
+    return f"""(
+        SELECT list([s, s + w] ORDER BY s) FILTER (m >= {least} AND m <= {most or 2**31 - 1}) FROM (
+            SELECT sum(g + w) OVER (ORDER BY i) - w AS s, w, m FROM (
+                SELECT unnest(range(1, len(a) + 1)) AS i, unnest(list_transform(a, lambda x: length(x))) AS w,
+                       unnest(list_transform(list_slice(b, 1, len(a)), lambda x: length(x))) AS g, unnest(list_transform(c, lambda x: length(x))) AS m
+                FROM (SELECT regexp_extract_all(text, {p}) AS a, regexp_split_to_array(text, {p}) AS b, regexp_extract_all(text, {p}, {group}) AS c))))"""
+
+
+_PARTS = " UNION ALL ".join(
+    f"SELECT row, '{kind}' AS kind, {order} AS ord, unnest({kind}) AS span FROM found" for order, kind in enumerate(KINDS))
+_NEEDS = " OR ".join(
+    f"(w.kind = '{kind}' AND b.kind IN ({', '.join(map(_text, parts))}))" for kind, parts in COMPLEMENT.items())
+
 ORACLE_SQL = {
     "op2_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS d FROM pages),
@@ -49,4 +69,23 @@ ORACLE_SQL = {
                sha256({_flat('form')}) AS canonical_sha256
         FROM docs LEFT JOIN listed USING (row)
     """,
+    "op7_secrets": f"""
+        WITH docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+             found AS (SELECT row, {', '.join(f'{_spans(k)} AS {k}' for k in KINDS)} FROM docs),
+             parts AS (SELECT row, kind, ord, CAST(span[1] AS BIGINT) AS s, CAST(span[2] AS BIGINT) AS e FROM ({_PARTS})),
+             base AS (SELECT * FROM parts WHERE kind IN ({', '.join(map(_text, BASE))})),
+             linked AS (
+                 SELECT * FROM parts w WHERE EXISTS (
+                     SELECT 1 FROM base b WHERE b.row = w.row AND b.s <= w.e + {SCOPE} AND w.s <= b.e + {SCOPE} AND ({_NEEDS}))
+                 AND NOT EXISTS (SELECT 1 FROM base b WHERE b.row = w.row AND b.s < w.e AND w.s < b.e)),
+             listed AS (SELECT row, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ord, e) AS spans
+                        FROM (SELECT * FROM base UNION ALL SELECT * FROM linked) GROUP BY row),
+             counted AS (SELECT row, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS c,
+                                count(*) FILTER (kind = 'hex') AS h, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ord) AS own
+                         FROM base GROUP BY row),
+             more AS (SELECT row, count(*) AS n FROM linked GROUP BY row)
+        SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(h, 0) AS n_hex,
+               sha256(coalesce(own, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n, 0) AS n_linked
+        FROM docs LEFT JOIN listed USING (row) LEFT JOIN counted USING (row) LEFT JOIN more USING (row)
+    """,
 }

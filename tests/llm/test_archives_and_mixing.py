@@ -157,3 +157,18 @@ def test_queries_have_sql_where_it_can_say_it():
 
     assert set(ORACLE_SQL) <= set(queries.QUERIES)
     assert set(queries.QUERIES) == {n for n in queries.QUERIES if re.match(r"op\d+_", n)} and len(queries.QUERIES) == 10
+
+
+@pytest.mark.parametrize("name", ["op2_warc", "op3_exact_dedup", "op7_secrets", "op8_licenses"])
+def test_same_rows_as_the_sql(spark, name):
+    import duckdb
+
+    from kwarta.llm.oracle import ORACLE_SQL
+
+    con = duckdb.connect()
+    for table in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    found = con.execute(ORACLE_SQL[name])
+    names = [d[0] for d in found.description]
+    got = queries.QUERIES[name](spark, SF).select(names).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, found.fetchall()))
