@@ -55,6 +55,33 @@ ORACLE_SQL = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    # for pages laid out as the test tables' are: one article, of headings, paragraphs and bold text
+    "op4_html": r"""
+        WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS x FROM pages),
+             b AS (SELECT page_id, url, regexp_replace(regexp_replace(x, '</?(p|h1|br)>', ' ', 'g'), '</?b>', '', 'g') AS x FROM a),
+             c AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(
+                       regexp_replace(x, '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM b)
+        SELECT page_id, url, text, length(text) AS n_chars FROM c
+    """,
+    "op5_near_dedup": r"""
+        WITH RECURSIVE d AS (
+                 SELECT doc_id, regexp_extract_all(
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+                 FROM documents),
+             s AS (SELECT doc_id, list_distinct(list_transform(
+                       range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i : i + 4], ' '))) AS g
+                   FROM d WHERE len(w) > 0),
+             e AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+             p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+                   FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+             l AS (SELECT a, b FROM p WHERE 100 * c >= 75 * (na + nb - c)),
+             sym AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+             r AS (SELECT a AS doc_id, b AS reach FROM sym UNION SELECT r.doc_id, sym.b FROM r JOIN sym ON r.reach = sym.a),
+             low AS (SELECT doc_id, min(reach) AS m FROM r GROUP BY 1)
+        SELECT doc_id, coalesce(len(g), 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id,
+               doc_id = least(doc_id, coalesce(m, doc_id)) AS kept
+        FROM d LEFT JOIN s USING (doc_id) LEFT JOIN low USING (doc_id)
+    """,
     "op8_licenses": f"""
         WITH known AS (SELECT DISTINCT license, {_flat(_canonical('t'))} AS form FROM (VALUES {_KNOWN}) AS k(license, t)),
              docs AS (SELECT doc_id, row_number() OVER () AS row, {_canonical("coalesce(text, '')")} AS form FROM documents),

@@ -38,7 +38,7 @@ def op4_html(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of near-duplicate documents."""
-    return near_dedup.classes(table(spark, folder, "documents"))
+    return near_dedup.classes(table(spark, folder, "documents")).drop("text_hash")
 
 
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:

@@ -20,7 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a new one on a local master where that is unset, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="kwarta-")
         spark.conf.set("spark.checkpoint.dir", folder)

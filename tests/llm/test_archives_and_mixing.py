@@ -159,7 +159,7 @@ def test_queries_have_sql_where_it_can_say_it():
     assert set(queries.QUERIES) == {n for n in queries.QUERIES if re.match(r"op\d+_", n)} and len(queries.QUERIES) == 10
 
 
-@pytest.mark.parametrize("name", ["op2_warc", "op3_exact_dedup", "op7_secrets", "op8_licenses"])
+@pytest.mark.parametrize("name", ["op2_warc", "op3_exact_dedup", "op4_html", "op5_near_dedup", "op7_secrets", "op8_licenses"])
 def test_same_rows_as_the_sql(spark, name):
     import duckdb
 
