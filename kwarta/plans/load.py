@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from datetime import timedelta
 from hashlib import sha256
 
 from pyspark import StorageLevel
@@ -142,16 +143,19 @@ def unseen(rows: DataFrame, lake: Lake, load_id: str) -> DataFrame:
 def earlier(rows: DataFrame, lake: Lake, load_id: str, rules: Rules = DEFAULT_RULES) -> tuple[DataFrame, DataFrame]:
     """What other loads have stored of these rows' users: events as far back as a rule looks, and stretches."""
     spark, users = rows.sparkSession, rows.select("user_id").distinct()
-    first, last = rows.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
+    back = max(rules.velocity_window, rules.jump_window) // timedelta(microseconds=1)
+    at = F.unix_micros(F.col("event_timestamp").cast("timestamp"))
+    start, end = F.timestamp_micros(F.min(at) - back), F.timestamp_micros(F.max(at))
+    first, last, first_day, last_day = rows.agg(
+        F.unix_micros(start), F.unix_micros(end), F.to_date(start), F.to_date(end)).first()
     others = F.col("load_id") != load_id
     events = tables.read(spark, lake.activity).filter(others)
     if first is None:
         events = events.filter("false")
     else:
-        start = first - max(rules.velocity_window, rules.jump_window)
         events = events.filter(
-            F.col("event_date").between(F.lit(start.date()), F.lit(last.date()))
-            & F.col("event_timestamp").between(F.lit(start), F.lit(last)))
+            F.col("event_date").between(F.lit(first_day), F.lit(last_day))
+            & F.col("event_timestamp").between(F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last))))
     stretches = tables.read(spark, lake.stretches).filter(others)
     return events.join(users, "user_id", "left_semi"), stretches.join(users, "user_id", "left_semi")
 
