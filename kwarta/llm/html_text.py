@@ -3,7 +3,7 @@
 Every block of text has a path of tags from the root. Per path two ratios are taken over all its blocks: text
 outside links per block, and punctuation per block. Both are smoothed along the page, since content stands
 together, and fused with what the path itself says: elements named for content or for furniture. Paths whose
-fused score reaches a threshold are content, and so are their blocks.
+fused score reaches a threshold are content, and so are their blocks; short blocks are taken in by what they stand with.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from kwarta.llm.shared import small_batches
 
-#: Share of the standard deviation of the paths' scores that a path without a telling name must reach.
+#: Share of the standard deviation of the paths' fused scores that a path must reach.
 THRESHOLD = 0.8
 #: Weights of the neighbours when smoothing along the page.
 KERNEL = (0.25, 0.5, 0.25)
@@ -53,18 +53,35 @@ _NAMES = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'
 _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
+#: Words in class, id or role of an article that is not the page's own.
+_ASIDE_ARTICLES = frozenset("comment comments ad ads advert sponsored promo related recommended teaser teasers".split())
+_HEADING = re.compile(r"/h[1-6](?:/|\Z)")
+
 _PLAIN, _MAIN, _ARTICLE, _OUT = range(4)
-#: What a path's name adds to its ratio, which lies between 0 and 1.
-NAMED = {_PLAIN: 0.0, _MAIN: 2.0, _ARTICLE: 4.0, _OUT: -4.0}
+#: What a path's name adds to its ratio, which lies between 0 and 1: a good ratio outweighs content's names.
+NAMED = {_PLAIN: 0.0, _MAIN: 0.3, _ARTICLE: 0.5, _OUT: -1.0}
+
+
+class _Element:
+    """An open element; its holder is the article or main that it belongs to, if any."""
+
+    __slots__ = ("tag", "path", "role", "holder")
+
+    def __init__(self, tag: str, path: str, role: int, holder: _Element | None) -> None:
+        self.tag, self.path, self.role, self.holder = tag, path, role, holder
 
 
 class _Block:
     """Text between two borders of block elements."""
 
-    __slots__ = ("parts", "linked", "path", "role")
+    __slots__ = ("parts", "linked", "element")
+
+    def __init__(self, element: _Element) -> None:
+        self.parts, self.linked, self.element = [], 0, element
 
-    def __init__(self, path: str, role: int) -> None:
-        self.parts, self.linked, self.path, self.role = [], 0, path, role
+    @property
+    def key(self) -> tuple[str, int]:
+        return self.element.path, self.element.role
 
 
 def _role(tag: str, attributes: str, outer: int) -> int:
@@ -81,7 +98,7 @@ def _role(tag: str, attributes: str, outer: int) -> int:
                 return _OUT
             elif name.lower() == "role" and words == ["main"]:
                 outer = max(outer, _MAIN)
-            elif tag == "article" and not {"comment", "comments", "ad", "ads", "advert", "sponsored"}.isdisjoint(words):
+            elif tag == "article" and not _ASIDE_ARTICLES.isdisjoint(words):
                 return _OUT
     if tag == "article":
         return _ARTICLE
@@ -91,17 +108,17 @@ def _role(tag: str, attributes: str, outer: int) -> int:
 def blocks(page: str) -> list[_Block]:
     """All blocks with text, in page order; scripts, styles and other raw elements have none."""
     found: list[_Block] = []
-    stack: list[tuple[str, str, int]] = [("", "", _PLAIN)]
-    block = _Block("", _PLAIN)
+    stack = [_Element("", "", _PLAIN, None)]
+    block = _Block(stack[0])
 
     def border() -> None:
         nonlocal block
         if block.parts:
             found.append(block)
-        block = _Block(stack[-1][1], stack[-1][2])
+        block = _Block(stack[-1])
 
     def pop_to(at: int) -> None:
-        split = any(tag not in _INLINE or role != stack[at - 1][2] for tag, _, role in stack[at:])
+        split = any(e.tag not in _INLINE or e.role != stack[at - 1].role for e in stack[at:])
         del stack[at:]
         if split:
             border()
@@ -121,7 +138,7 @@ def blocks(page: str) -> list[_Block]:
         tag = tag.lower()
         if token[1] or token[4]:
             for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
+                if stack[i].tag == tag:
                     pop_to(i)
                     break
             if tag == "a":
@@ -142,17 +159,20 @@ def blocks(page: str) -> list[_Block]:
         if tag not in _INLINE:
             closes = _CLOSED_BY.get(tag)
             for i in range(len(stack) - 1, 0, -1):
-                open_tag = stack[i][0]
+                open_tag = stack[i].tag
                 if open_tag == "p" or (closes and open_tag in closes):
                     pop_to(i)
                     break
                 if open_tag in _HOLDS:
                     break
         attributes = token[3] or token[6] or ""
-        outer = stack[-1][2]
-        role = _role(tag, attributes, outer)
-        stack.append((tag, f"{stack[-1][1]}/{tag}" if tag not in _INLINE else stack[-1][1], role))
-        if tag not in _INLINE or role != outer:
+        outer = stack[-1]
+        role = _role(tag, attributes, outer.role)
+        element = _Element(tag, f"{outer.path}/{tag}" if tag not in _INLINE else outer.path, role, outer.holder)
+        if tag == "article" or role > outer.role:
+            element.holder = element
+        stack.append(element)
+        if tag not in _INLINE or role != outer.role:
             border()
             links = 0 if tag not in _INLINE else links
         if tag == "a":
@@ -161,42 +181,65 @@ def blocks(page: str) -> list[_Block]:
     return found
 
 
-def _smooth(values: list[float]) -> list[float]:
-    last = len(values) - 1
+def _smooth(values: list[float], roles: list[int]) -> list[float]:
+    """Each value with its neighbours on the page; one of another role lends nothing."""
     before, here, after = KERNEL
-    return [before * values[max(0, i - 1)] + here * v + after * values[min(last, i + 1)] for i, v in enumerate(values)]
+    out = []
+    for i, v in enumerate(values):
+        left = values[i - 1] if i > 0 and roles[i - 1] == roles[i] else v
+        right = values[i + 1] if i + 1 < len(values) and roles[i + 1] == roles[i] else v
+        out.append(before * left + here * v + after * right)
+    return out
 
 
 def content_paths(found: list[tuple[_Block, str]], threshold: float = THRESHOLD) -> set[tuple[str, int]]:
-    """The (path, role) pairs that hold the page's content."""
+    """The (path, role) pairs that hold the page's content: their fused scores reach the threshold.
+
+    Furniture neither scales the ratios nor counts for the spread, however much of it a page has.
+    """
     sums: dict[tuple[str, int], list[float]] = {}
     for block, text in found:
-        of = sums.setdefault((block.path, block.role), [0, 0, 0])
+        if NAMED[block.element.role] <= -1:
+            continue
+        of = sums.setdefault(block.key, [0, 0, 0])
         of[0] += 1
         of[1] += max(0, len(text) - block.linked)
         of[2] += len(_PUNCTUATION.findall(text))
     if not sums:
         return set()
-    text_ratio = _smooth([s[1] / s[0] for s in sums.values()])
-    mark_ratio = _smooth([s[2] / s[0] for s in sums.values()])
+    roles = [role for _, role in sums]
+    text_ratio = _smooth([s[1] / s[0] for s in sums.values()], roles)
+    mark_ratio = _smooth([s[2] / s[0] for s in sums.values()], roles)
     ratio = [t * math.log2(2 + m) for t, m in zip(text_ratio, mark_ratio, strict=True)]
     most = max(ratio) or 1.0
-    ratio = [r / most for r in ratio]
-    fused = [r + NAMED[role] for r, (_, role) in zip(ratio, sums, strict=True)]
-    named = max(NAMED[role] for _, role in sums)
-    # a named container needs no more than its name: its short headings are content too
-    least = named if named > 0 else threshold * pstdev(ratio)
+    fused = [r / most + NAMED[role] for r, role in zip(ratio, roles, strict=True)]
+    least = threshold * pstdev(fused)
     return {key for key, score in zip(sums, fused, strict=True) if score >= least and score > 0}
 
 
+def content(found: list[tuple[_Block, str]], threshold: float = THRESHOLD) -> list[bool]:
+    """Which blocks are content: those of content paths, and what is not furniture and belongs to them.
+
+    An article or main with content is taken in whole, without the articles inside that have none; elsewhere
+    headings are that content follows.
+    """
+    chosen = content_paths(found, threshold)
+    holders = {id(b.element.holder) for b, _ in found if b.element.holder is not None and b.key in chosen}
+    taken = [b.key in chosen or (NAMED[b.element.role] > -1 and id(b.element.holder) in holders) for b, _ in found]
+    for i in range(len(found) - 2, -1, -1):
+        element = found[i][0].element
+        if not taken[i] and taken[i + 1] and NAMED[element.role] > -1 and _HEADING.search(element.path):
+            taken[i] = True
+    return taken
+
+
 def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     """The page's main text: character references decoded, one space for white space and between blocks."""
     if not page:
         return ""
     found = [(b, " ".join(html.unescape("".join(b.parts)).split())) for b in blocks(page)]
     found = [(b, text) for b, text in found if text]
-    chosen = content_paths(found, threshold)
-    return " ".join(text for b, text in found if (b.path, b.role) in chosen)
+    return " ".join(text for (_, text), taken in zip(found, content(found, threshold), strict=True) if taken)
 
 
 def extract(

@@ -154,3 +154,19 @@ def test_article_of_every_test_page(spark):
         article = re.search("<article>(.*)</article>", r.html, re.S)[1]
         plain = html.unescape(re.sub("</?[a-z][^>]*>", "", re.sub("</?(p|h1|br)>", " ", article)))
         assert r.text == " ".join(plain.split())
+
+
+BODY = "".join(f"<p>Sentence {i} of the body, which is long enough to be read; it has marks, too.</p>" for i in range(6))
+BODY_TEXT = " ".join(f"Sentence {i} of the body, which is long enough to be read; it has marks, too." for i in range(6))
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (f"<main><h1>Head</h1>{BODY}<article class='teaser related'><h2>More</h2><p>Short, a teaser.</p></article></main>", f"Head {BODY_TEXT}"),
+    (f"<div><h1>Head</h1>{BODY}</div><article class=x><p>One line</p></article>", f"Head {BODY_TEXT} One line"),
+    (f"<main><article><h2>One</h2>{BODY}<ul><li>Short</ul></article><article><h2>Two</h2>{BODY}</article></main>",
+     f"One {BODY_TEXT} Short Two {BODY_TEXT}"),
+    (f"<ul><li><a href=x>Menu</a></ul><div><h1>Head</h1>{BODY}<h2>Part</h2>{BODY}</div><div><span>Posted</span></div>",
+     f"Head {BODY_TEXT} Part {BODY_TEXT}"),
+])
+def test_names_do_not_overrule_the_ratios(page, text):
+    assert html_text.main_text(page) == text
