@@ -31,7 +31,9 @@ _RAW = frozenset("script style textarea title noscript iframe template svg math
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike "
     "strong sub sup time tt u var".split())
-_FURNITURE = frozenset("nav footer aside form button dialog menu head".split())
+_FURNITURE = frozenset("nav footer aside button dialog menu head".split())
+#: Elements that only a head holds; any other ends it.
+_IN_HEAD = frozenset("base link meta noscript script style template title".split())
 _CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"},
@@ -49,7 +51,8 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|"
     r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|[^<]++|<",
     re.S)
-_NAMES = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTRIBUTES = re.compile(r"([^\s\"'=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NAMING = frozenset(("class", "id", "role", "itemprop"))
 _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
@@ -57,18 +60,27 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 _ASIDE_ARTICLES = frozenset("comment comments ad ads advert sponsored promo related recommended teaser teasers".split())
 _HEADING = re.compile(r"/h[1-6](?:/|\Z)")
 
-_PLAIN, _MAIN, _ARTICLE, _OUT = range(4)
+#: What an element's own name says, before its text is known: furniture by tag, or by a word that may mean a wrapper.
+_NONE, _NAMED_MAIN, _NAMED_ARTICLE, _WORDED, _TAGGED = range(5)
+#: Roles; an article is disputed inside furniture that only a word names.
+_PLAIN, _MAIN, _ARTICLE, _DISPUTED, _SIDE, _OUT = range(6)
 #: What a path's name adds to its ratio, which lies between 0 and 1: a good ratio outweighs content's names.
-NAMED = {_PLAIN: 0.0, _MAIN: 0.3, _ARTICLE: 0.5, _OUT: -1.0}
+NAMED = {_PLAIN: 0.0, _MAIN: 0.3, _ARTICLE: 0.5, _DISPUTED: -0.5, _SIDE: -1.0, _OUT: -1.0}
 
 
 class _Element:
-    """An open element; its holder is the article or main that it belongs to, if any."""
+    """An open element: its name, the text outside links in it, and the articles and mains with their own name.
 
-    __slots__ = ("tag", "path", "role", "holder")
+    Its holder is the article or main that it belongs to, if any.
+    """
+
+    __slots__ = ("tag", "outer", "path", "name", "within", "chars", "marks", "role", "holder")
 
-    def __init__(self, tag: str, path: str, role: int, holder: _Element | None) -> None:
-        self.tag, self.path, self.role, self.holder = tag, path, role, holder
+    def __init__(self, tag: str, outer: _Element | None, path: str, name: int) -> None:
+        self.tag, self.outer, self.path, self.name = tag, outer, path, name
+        self.within = name in (_NAMED_MAIN, _NAMED_ARTICLE) or (outer is not None and outer.within)
+        self.chars = self.marks = 0
+        self.role, self.holder = _PLAIN, None
 
 
 class _Block:
@@ -84,31 +96,67 @@ class _Block:
         return self.element.path, self.element.role
 
 
-def _role(tag: str, attributes: str, outer: int) -> int:
-    """What an element's name says of its text; furniture stays furniture inside."""
-    if outer == _OUT or tag in _FURNITURE or (tag == "header" and outer == _PLAIN):
-        return _OUT
+def _name(tag: str, attributes: str, outer: _Element) -> int:
+    """What an element's own name says of its text."""
+    if tag in _FURNITURE or (tag == "header" and not outer.within):
+        return _TAGGED
+    found = _NAMED_ARTICLE if tag == "article" else _NAMED_MAIN if tag == "main" else _WORDED if tag == "form" else _NONE
     if attributes and tag not in ("html", "body"):
-        for name, a, b, c in _NAMES.findall(attributes):
+        for name, a, b, c in _ATTRIBUTES.findall(attributes):
+            if (name := name.lower()) not in _NAMING:
+                continue
             words = [w.lower() for w in _WORDS.findall(a or b or c)]
-            if name.lower() == "itemprop":
+            if name == "itemprop":
                 if "".join(words) == "articlebody":
-                    return _ARTICLE
+                    return _NAMED_ARTICLE
             elif not _FURNITURE_WORDS.isdisjoint(words) and tag not in ("article", "main"):
-                return _OUT
-            elif name.lower() == "role" and words == ["main"]:
-                outer = max(outer, _MAIN)
+                return _WORDED
+            elif name == "role" and words == ["main"]:
+                found = max(found, _NAMED_MAIN) if found != _WORDED else _NAMED_MAIN
             elif tag == "article" and not _ASIDE_ARTICLES.isdisjoint(words):
-                return _OUT
-    if tag == "article":
-        return _ARTICLE
-    return max(outer, _MAIN) if tag == "main" else outer
+                return _WORDED
+    return found
+
+
+def _settle(elements: list[_Element], found: list[_Block]) -> None:
+    """Roles and holders of all elements, outer ones first.
+
+    A word that names furniture, and a form, count for nothing if the element holds most of the page's text outside
+    links and furniture tags and no article or main is outside it: it is a wrapper, such as "has-sidebar".
+    """
+    for block in found:
+        block.element.chars += max(0, len(" ".join("".join(block.parts).split())) - block.linked)
+    for e in reversed(elements):
+        if e.outer is not None and e.name != _TAGGED:
+            e.outer.chars += e.chars
+    total = elements[0].chars
+    for e in reversed(elements):
+        e.marks += e.name in (_NAMED_MAIN, _NAMED_ARTICLE)
+        if e.outer is not None and e.name != _TAGGED and (e.name != _WORDED or 2 * e.chars > total):
+            e.outer.marks += e.marks
+    marks = elements[0].marks
+    for e in elements[1:]:
+        outer, name = e.outer, e.name
+        if name == _WORDED and 2 * e.chars > total and e.marks == marks:
+            name = _NAMED_ARTICLE if e.tag == "article" else _NONE
+        e.role, e.holder = outer.role, outer.holder
+        if outer.role == _OUT or name == _TAGGED:
+            e.role = _OUT
+        elif name == _WORDED:
+            e.role = _SIDE
+        elif name == _NAMED_MAIN:
+            e.role = max(outer.role, _MAIN) if outer.role <= _ARTICLE else _MAIN
+            e.holder = e
+        elif name == _NAMED_ARTICLE:
+            e.role = _ARTICLE if outer.role <= _ARTICLE else _DISPUTED
+            e.holder = e
 
 
 def blocks(page: str) -> list[_Block]:
     """All blocks with text, in page order; scripts, styles and other raw elements have none."""
     found: list[_Block] = []
-    stack = [_Element("", "", _PLAIN, None)]
+    stack = [_Element("", None, "", _NONE)]
+    elements = [stack[0]]
     block = _Block(stack[0])
 
     def border() -> None:
@@ -118,7 +166,7 @@ def blocks(page: str) -> list[_Block]:
         block = _Block(stack[-1])
 
     def pop_to(at: int) -> None:
-        split = any(e.tag not in _INLINE or e.role != stack[at - 1].role for e in stack[at:])
+        split = any(e.tag not in _INLINE or e.name != _NONE for e in stack[at:])
         del stack[at:]
         if split:
             border()
@@ -136,6 +184,8 @@ def blocks(page: str) -> list[_Block]:
                     block.linked += len(text)
             continue
         tag = tag.lower()
+        if stack[-1].tag == "head" and not (token[1] or token[4]) and tag not in _IN_HEAD:
+            pop_to(len(stack) - 1)
         if token[1] or token[4]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
@@ -167,17 +217,16 @@ def blocks(page: str) -> list[_Block]:
                     break
         attributes = token[3] or token[6] or ""
         outer = stack[-1]
-        role = _role(tag, attributes, outer.role)
-        element = _Element(tag, f"{outer.path}/{tag}" if tag not in _INLINE else outer.path, role, outer.holder)
-        if tag == "article" or role > outer.role:
-            element.holder = element
-        stack.append(element)
-        if tag not in _INLINE or role != outer.role:
+        name = _name(tag, attributes, outer)
+        stack.append(_Element(tag, outer, f"{outer.path}/{tag}" if tag not in _INLINE else outer.path, name))
+        elements.append(stack[-1])
+        if tag not in _INLINE or name != _NONE:
             border()
             links = 0 if tag not in _INLINE else links
         if tag == "a":
             links += 1
     border()
+    _settle(elements, found)
     return found
 
 

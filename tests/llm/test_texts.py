@@ -170,3 +170,18 @@ BODY_TEXT = " ".join(f"Sentence {i} of the body, which is long enough to be read
 ])
 def test_names_do_not_overrule_the_ratios(page, text):
     assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class='layout has-sidebar'><article>{BODY}</article><div class=sidebar>Side text.</div></div>",
+    f"<div id='search-results-page'><div>{BODY}</div></div><footer>End of the page.</footer>",
+    f"<div class='no-comments'><main>{BODY}</main></div><div class=related><article><p>A teaser.</p></article></div>",
+    f"<form id='aspnetForm'><ul class=menu><li>Menu</ul><article>{BODY}</article></form>",
+    f"<article data-id='comments-12' title='a class=ad b'>{BODY}</article>", f"<div data-id='comments-12'>{BODY}</div>",
+    f"<article class='post has-related'>{BODY}</article>",
+    f"<div class='page with-banner'><article>{BODY}</article></div><div>{'<p>x y.</p>' * 300}</div>",
+    f"<head><title>t</title><body>{BODY}", f"<article>{BODY}</article><div id=comments>{'<p>Nice, I like it.</p>' * 80}</div>",
+    f"<article>{BODY}</article><section class=related><article><h3>Other</h3><p>Short.</p></article></section>",
+])
+def test_furniture_words_on_wrappers(page):
+    assert html_text.main_text(page) == BODY_TEXT
