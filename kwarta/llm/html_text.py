@@ -27,7 +27,10 @@ KERNEL = (0.25, 0.5, 0.25)
 
 #: Elements by their role in HTML.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title noscript iframe template svg math select object noframes xmp".split())
+_RAW = frozenset("script style textarea title iframe noframes xmp".split())
+#: Furniture if they have an end tag (else what follows is the page's), their choices in any case.
+_EMBEDDED, _CHOICES = frozenset("noscript template svg select object".split()), frozenset("option optgroup".split())
+_FOREIGN, _HTML_IN_FOREIGN = frozenset("svg math".split()), frozenset("foreignobject desc annotation-xml".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike "
     "strong sub sup time tt u var".split())
@@ -36,8 +39,12 @@ _FURNITURE = frozenset("nav footer aside button dialog menu head".split())
 _IN_HEAD = frozenset("base link meta noscript script style template title".split())
 _CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
-    "option": {"option"},
+    "option": {"option"}, "optgroup": {"option", "optgroup"},
 }
+#: HTML elements that end an svg or math left open.
+_ENDS_FOREIGN = frozenset(
+    "article aside blockquote body br center dd div dl dt embed footer form h1 h2 h3 h4 h5 h6 head header hr img li main "
+    "menu meta nav ol p pre section table ul".split())
 _HOLDS = frozenset("ul ol dl table select article section div main body html nav aside footer header form td th li dd".split())
 #: Words in class, id or role that name furniture.
 _FURNITURE_WORDS = frozenset(
@@ -74,10 +81,13 @@ class _Element:
     Its holder is the article or main that it belongs to, if any.
     """
 
-    __slots__ = ("tag", "outer", "path", "name", "within", "chars", "marks", "role", "holder")
+    __slots__ = ("tag", "outer", "path", "name", "inline", "foreign", "within", "chars", "marks", "role", "holder")
 
-    def __init__(self, tag: str, outer: _Element | None, path: str, name: int) -> None:
-        self.tag, self.outer, self.path, self.name = tag, outer, path, name
+    def __init__(self, tag: str, outer: _Element | None, name: int) -> None:
+        self.tag, self.outer, self.name = tag, outer, name
+        self.foreign = tag in _FOREIGN or (outer is not None and outer.foreign and tag not in _HTML_IN_FOREIGN)
+        self.inline = tag in _INLINE or self.foreign
+        self.path = "" if outer is None else outer.path if self.inline else f"{outer.path}/{tag}"
         self.within = name in (_NAMED_MAIN, _NAMED_ARTICLE) or (outer is not None and outer.within)
         self.chars = self.marks = 0
         self.role, self.holder = _PLAIN, None
@@ -98,7 +108,7 @@ class _Block:
 
 def _name(tag: str, attributes: str, outer: _Element) -> int:
     """What an element's own name says of its text."""
-    if tag in _FURNITURE or (tag == "header" and not outer.within):
+    if tag in _FURNITURE or tag in _CHOICES or (tag == "header" and not outer.within):
         return _TAGGED
     found = _NAMED_ARTICLE if tag == "article" else _NAMED_MAIN if tag == "main" else _WORDED if tag == "form" else _NONE
     if attributes and tag not in ("html", "body"):
@@ -155,7 +165,7 @@ def _settle(elements: list[_Element], found: list[_Block]) -> None:
 def blocks(page: str) -> list[_Block]:
     """All blocks with text, in page order; scripts, styles and other raw elements have none."""
     found: list[_Block] = []
-    stack = [_Element("", None, "", _NONE)]
+    stack = [_Element("", None, _NONE)]
     elements = [stack[0]]
     block = _Block(stack[0])
 
@@ -166,7 +176,7 @@ def blocks(page: str) -> list[_Block]:
         block = _Block(stack[-1])
 
     def pop_to(at: int) -> None:
-        split = any(e.tag not in _INLINE or e.name != _NONE for e in stack[at:])
+        split = any(not e.inline or e.name != _NONE or e.tag in _EMBEDDED for e in stack[at:])
         del stack[at:]
         if split:
             border()
@@ -189,6 +199,8 @@ def blocks(page: str) -> list[_Block]:
         if token[1] or token[4]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
+                    if tag in _EMBEDDED:
+                        stack[i].name = _TAGGED
                     pop_to(i)
                     break
             if tag == "a":
@@ -196,6 +208,23 @@ def blocks(page: str) -> list[_Block]:
             elif tag == "p":
                 border()
             continue
+        attributes = token[3] or token[6] or ""
+        if attributes.endswith("/") and (tag in _FOREIGN or stack[-1].foreign):
+            continue
+        if stack[-1].foreign and tag in _ENDS_FOREIGN:
+            top = next(i for i in range(len(stack) - 1, 0, -1) if not stack[i - 1].foreign)
+            if stack[top].tag in _EMBEDDED:
+                stack[top].name = _TAGGED
+            pop_to(top)
+        if tag not in _INLINE and tag not in _CHOICES and tag != "hr":
+            top = len(stack) - 1
+            while stack[top].tag in _CHOICES:
+                top -= 1
+            if stack[top].tag == "select":
+                stack[top].name = _TAGGED
+                pop_to(top)
+            elif top < len(stack) - 1:
+                pop_to(top + 1)
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
             at = end.end() if end else size
@@ -206,7 +235,7 @@ def blocks(page: str) -> list[_Block]:
             if tag in ("br", "hr"):
                 border()
             continue
-        if tag not in _INLINE:
+        if tag not in _INLINE and tag not in _EMBEDDED and not (tag in _FOREIGN or stack[-1].foreign):
             closes = _CLOSED_BY.get(tag)
             for i in range(len(stack) - 1, 0, -1):
                 open_tag = stack[i].tag
@@ -215,14 +244,14 @@ def blocks(page: str) -> list[_Block]:
                     break
                 if open_tag in _HOLDS:
                     break
-        attributes = token[3] or token[6] or ""
         outer = stack[-1]
         name = _name(tag, attributes, outer)
-        stack.append(_Element(tag, outer, f"{outer.path}/{tag}" if tag not in _INLINE else outer.path, name))
-        elements.append(stack[-1])
-        if tag not in _INLINE or name != _NONE:
+        element = _Element(tag, outer, name)
+        stack.append(element)
+        elements.append(element)
+        if not element.inline or name != _NONE or tag in _EMBEDDED:
             border()
-            links = 0 if tag not in _INLINE else links
+            links = 0 if not element.inline else links
         if tag == "a":
             links += 1
     border()

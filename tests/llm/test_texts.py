@@ -185,3 +185,18 @@ def test_names_do_not_overrule_the_ratios(page, text):
 ])
 def test_furniture_words_on_wrappers(page):
     assert html_text.main_text(page) == BODY_TEXT
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (f"<article><svg width='1'/>{BODY}<p>x <math/> y</p></article>", f"{BODY_TEXT} x y"),
+    (f"<article><svg><title/><path d=''/><text>Label</text></svg>{BODY}</article>", BODY_TEXT),
+    (f"<article><svg><text>Label</text>{BODY}</article>", BODY_TEXT),
+    (f"<article><object data=x>{BODY}</article><p>z</p>", BODY_TEXT), (f"<div><noscript>{BODY}</div>", BODY_TEXT),
+    (f"<article><select><option>One<option>Two{BODY}</article>", BODY_TEXT), (f"<template>{BODY}", BODY_TEXT),
+    (f"<article><p>In <math><mi>a</mi><mo>=</mo><mi>b</mi></math>.</p>{BODY}</article>", f"In a=b. {BODY_TEXT}"),
+    (f"<article>{BODY}<p>Pick <select><option>One<option>Two</select> now</p></article>", f"{BODY_TEXT} Pick now"),
+    (f"<article><object>Old</object><noscript><p>No</noscript><template><p>T</p></template>{BODY}</article>", BODY_TEXT),
+    (f"<script>'<p>'</script><textarea><p>t</textarea><div>{BODY}</div>", BODY_TEXT),
+])
+def test_elements_that_are_not_raw_text(page, text):
+    assert html_text.main_text(page) == text
