@@ -2,15 +2,16 @@
 
 A text is brought to a canonical form: case, copyright lines, equivalent spellings, punctuation and white space
 no longer count. Its digest is then joined to the digests of known licences and licence notices. Whole texts,
-their paragraphs and their lines are looked up, each as an entire text. The known digests are a fixed list and
-are broadcast; only what matches is ever shuffled.
+their paragraphs and their lines are looked up, each as an entire text; and wherever the first words of a licence in
+full stand, as much text as that licence has. The known digests are a fixed list and are broadcast; only what matches
+is ever shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Pattern and replacement, with $1 for groups, applied in this order to lower-case text. Lines stay.
@@ -27,6 +28,10 @@ CANONICAL = (
 )
 #: What separates paragraphs of a text in that form, and what counts as one space at last.
 PARAGRAPH, SPACE = r" *\n *\n[ \n]*", r"[ \n]+"
+#: Lines of a text in that form that go with its copyright lines when it is looked up.
+RIGHTS, RIGHTS_LINE = "all rights reserved", r"(?m)^ *all rights reserved *(?:\n|\z)"
+#: Words that a licence in full is looked for by.
+FIRST_WORDS = 12
 
 #: Names that notices use, by licence identifier.
 NAMES = {
@@ -110,6 +115,31 @@ TEXTS = {
     "Apache-2.0": (_APACHE_HEAD,),
 }
 
+#: Long licences in full, as their canonical form's first words, length and digest. Of those with an
+#: appendix on how to apply them, also what ends before it.
+FULL = (
+    ("Apache-2.0", "apache license version 2 0 january 2004 http www apache org licenses", 9701,
+     "ff7be961361eda3cd2a76927dd0d9482cf45defafde2045befedf77400d98100"),
+    ("Apache-2.0", "apache license version 2 0 january 2004 http www apache org licenses", 8685,
+     "e9dbf930ca0f1e090ec68da9a37b657d11bc9e43b30643455d6a96dbf73116ca"),
+    ("CC0-1.0", "creative commons legal code cc0 1 0 universal creative commons corporation is", 6692,
+     "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GPL-2.0", "gnu general public license version 2 june 1991 51 franklin street fifth", 17053,
+     "b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1"),
+    ("GPL-2.0", "gnu general public license version 2 june 1991 51 franklin street fifth", 14419,
+     "e4d14510e41435c3eb12c255b72546a3cb9943f06f209c72bc30a19095b08999"),
+    ("GPL-3.0", "gnu general public license version 3 29 june 2007 everyone is permitted", 33274,
+     "010ce52b3b970c80b5447205f4afc3b42084811cda2d11b95178b1fd3940764f"),
+    ("GPL-3.0", "gnu general public license version 3 29 june 2007 everyone is permitted", 30836,
+     "3dcf77ad8c25248618918aaff1de8a2cb80cea6ca922ef4a7a389cca96a7560b"),
+    ("LGPL-3.0", "gnu lesser general public license version 3 29 june 2007 everyone is", 7104,
+     "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-2.0", "mozilla public license version 2 0 1 definitions 1 1 contributor means", 14271,
+     "95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9"),
+    ("Unlicense", "this is free and unencumbered software released into the public domain anyone", 1170,
+     "e2380bdfe57ca73b01d0b1848a4ee630998d729b260e63082b9267100b4a7229"),
+)
+
 
 def known_texts() -> Iterator[tuple[str, str]]:
     """(licence, text): full texts, and each notice with each name."""
@@ -130,28 +160,70 @@ def lines(text: Column) -> Column:
     return out
 
 
+def flat(form: Column) -> Column:
+    """A text in that form on one line."""
+    return F.trim(F.regexp_replace(form, SPACE, " "))
+
+
 def digest(form: Column) -> Column:
     """SHA-256 of a text in that form, on one line."""
-    return F.sha2(F.trim(F.regexp_replace(form, SPACE, " ")).cast("binary"), 256)
+    return F.sha2(flat(form).cast("binary"), 256)
+
+
+def known_runs(spark: SparkSession) -> dict[str, list[int]]:
+    """First words of licences in full, and the lengths of the texts that begin with them."""
+    texts = [(t,) for texts in TEXTS.values() for t in texts]
+    forms = [r[0] for r in spark.createDataFrame(texts, "t string").select(flat(lines(F.col("t")))).collect()]
+    # of a text with its heading and without, the latter is part of the former
+    forms = [f for f in forms if not any(f != g and f.endswith(g) for g in forms)]
+    found: dict[str, set[int]] = {}
+    for words, size in [(" ".join(f.split(" ")[:FIRST_WORDS]), len(f)) for f in forms] + [(words, size) for _, words, size, _ in FULL]:
+        found.setdefault(words, set()).add(size)
+    return {words: sorted(sizes) for words, sizes in found.items()}
+
+
+def runs(line: Column, known: dict[str, list[int]]) -> Column:
+    """From each place in a text on one line where the first words of a licence stand, text of its length.
+
+    No licence repeats its first words, so each run ends before they stand again.
+    """
+    padded = F.concat(F.lit(" "), line, F.lit(" "))
+    none = F.array().cast("array<string>")
+
+    def cut(after: Column, words: str, size: int) -> Column:
+        rest = size - len(words) - 1
+        ends = F.filter(after, lambda x: F.substring(x, rest + 1, 1).isin("", " "))
+        return F.transform(ends, lambda x: F.concat(F.lit(f"{words} "), F.substring(x, 1, rest)))
+
+    found = []
+    for words, sizes in known.items():
+        after = F.slice(F.split(padded, f" {words} "), 2, 2**30)
+        some = F.contains(padded, F.lit(f" {words} "))
+        found.append(F.when(some, F.concat(*(cut(after, words, n) for n in sizes))).otherwise(none))
+    return F.concat(*found)
 
 
 def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row: doc_id, licenses, n_licenses, whole_license, canonical_sha256.
 
     licenses: identifiers found in the text, sorted, comma-joined (empty if none); whole_license: the licence
-    whose text the whole is, else null (of several, the first in order). Null and empty texts hold none.
+    whose text the whole is, else null (of several, the first in order). Lines that reserve all rights do not count
+    for either, but for the digest. Null and empty texts hold none.
     Repeated rows give repeated results, null ids stay null. Empty table: no rows.
     """
     spark = docs.sparkSession
     known = spark.createDataFrame(sorted(set(known_texts())), "license string, known string")
-    known = known.select("license", digest(lines(F.col("known"))).alias("digest")).distinct()
+    known = known.select("license", digest(lines(F.col("known"))).alias("digest"))
+    full = spark.createDataFrame([(license_id, sha) for license_id, _, _, sha in FULL], "license string, digest string")
+    known = known.unionByName(full).distinct()
     whole = F.coalesce(docs[f"`{text}`"].cast("string"), F.lit(""))
     rows = docs.select(docs[f"`{doc_id}`"].alias("id"), lines(whole).alias("form"), F.sha2(whole.cast("binary"), 256).alias("key"))
-    pieces = F.concat(F.split("form", r"\n"), F.split("form", PARAGRAPH))
+    pieces = F.concat(F.split("form", r"\n"), F.split("form", PARAGRAPH), runs(F.col("line"), known_runs(spark)))
+    bare = F.when(F.contains("form", F.lit(RIGHTS)), F.regexp_replace("form", RIGHTS_LINE, "")).otherwise(F.col("form"))
     parts = F.concat(
-        F.array(F.struct(F.lit(True).alias("whole"), F.col("form").alias("part"))),
+        F.array(F.struct(F.lit(True).alias("whole"), bare.alias("part"))),
         F.transform(pieces, lambda x: F.struct(F.lit(False).alias("whole"), x.alias("part"))))
-    each = rows.select("key", F.explode(parts).alias("p")).select("key", "p.whole", digest(F.col("p.part")).alias("digest"))
+    each = rows.withColumn("line", flat(F.col("form"))).select("key", F.explode(parts).alias("p")).select("key", "p.whole", digest(F.col("p.part")).alias("digest"))
     hits = each.join(F.broadcast(known), "digest").select("key", "license", "whole").distinct()
     listed = hits.groupBy("key").agg(
         F.array_sort(F.collect_set("license")).alias("found"), F.min(F.when(F.col("whole"), F.col("license"))).alias("whole_license"))

@@ -2,6 +2,7 @@
 
 import hashlib
 import html
+import os
 import random
 import re
 
@@ -95,6 +96,29 @@ def test_licences(spark):
     assert licenses.scan(docs.where("false")).count() == 0
 
 
+def test_licences_in_full_and_inside_texts(spark):
+    text = {k: ts[0] for k, ts in licenses.TEXTS.items()}
+    wrapped = "\n".join(" * " + line for line in re.findall(r"\S.{1,60}(?:\s|\Z)", text["MIT"].replace("\n\n", " ")))
+    texts = [
+        ("Copyright (c) 2020, Me\nAll rights reserved.\n\n" + text["BSD-2-Clause"], "BSD-2-Clause", "BSD-2-Clause"),
+        ("Some words.\n\n" + text["BSD-3-Clause"] + "\n\nMore words.", "BSD-3-Clause", None),
+        (f"/*\n{wrapped}\n */\nint main;", "MIT", None),
+        (f"One\n{text['ISC']} and\n{text['MIT']}\n{text['MIT']}\n\n{text['0BSD']}\n\n{text['Apache-2.0']}", "0BSD,Apache-2.0,ISC,MIT", None),
+        (text["MIT"][:-40] + " but not the end", "", None), ("x " + text["MIT"][:-1] + "s", "", None), ("All rights reserved.", "", None),
+    ]
+    kept = {"Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0"}
+    for name, file in kept.items():
+        if os.path.exists(path := f"/usr/share/common-licenses/{file}"):
+            with open(path) as f:
+                full = f.read()
+            texts += [(full, name, name), (f"# Third parties\n\n{full}\nEnd.", name, None)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.licenses, r.whole_license) for r in licenses.scan(docs).collect()}
+    for i, (_, found, whole) in enumerate(texts):
+        assert found == got[i][0] or set(found.split(",")) <= set(got[i][0].split(",")) and i >= 7, (i, got[i])
+        assert whole == got[i][1], (i, got[i])
+
+
 def test_language_of_documents_held_out(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     lang = {r.doc_id: r.lang for r in docs.collect()}
