@@ -8,12 +8,12 @@ the sum over all ways to cut it into pieces, and a text is the product of its wo
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +32,8 @@ WORDS_KEPT = 600_000
 UNKNOWN = "und"
 
 _START = "▁"
-_LETTERS = re.compile(r"[^\W\d_]{1,%d}" % LONGEST_RUN).findall
+_RUN = r"\p{L}{1,%d}" % LONGEST_RUN
+_LETTERS = regex.compile(_RUN).findall
 
 
 class Pieces:
@@ -132,7 +133,7 @@ def fit(
     share = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, docs_per_language / sizes[lang]))])
     draw = F.pmod(F.xxhash64("id", "text"), F.lit(1_000_003)) / F.lit(1_000_003.0)
     chosen = labelled.where(draw < share[F.col("lang")])
-    runs = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]{1,%d}" % LONGEST_RUN), F.lit(0))
+    runs = F.regexp_extract_all(F.lower("text"), F.lit(_RUN), F.lit(0))
     words = chosen.select("lang", F.explode(runs).alias("word")).groupBy("lang", "word").count().persist()
     place = {lang: i for i, lang in enumerate(langs)}
     for _ in range(rounds):

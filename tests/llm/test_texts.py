@@ -139,6 +139,15 @@ def test_language_rows(spark):
     assert language.identify(empty(spark), queries.PIECE_VOCABULARY, model).count() == 0
 
 
+def test_numbers_that_are_no_digits_are_no_letters(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.fit(docs, queries.PIECE_VOCABULARY, docs_per_language=20, rounds=1)
+    texts = ["12 ² ½", "Ⅷ ① ೬ ⅔ ㊗", "² the ½"]
+    odd = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.score > 0) for r in language.identify(odd, queries.PIECE_VOCABULARY, model).collect()}
+    assert got[0] == got[1] == ("und", False) and got[2][0] in model[0]
+
+
 def test_forward_sums_all_segmentations():
     pieces = language.Pieces.__new__(language.Pieces)
     pieces.number, pieces.longest, pieces.other, pieces.none = {"▁": 0, "a": 1, "b": 2, "ab": 3, "▁a": 4}, 2, 5, 6
