@@ -86,7 +86,7 @@ def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
         "bin", F.explode(F.sequence(F.floor((F.col("start") - scope) / width), F.floor((F.col("end") + scope) / width))))
     strong = each.where(F.col("kind").isin(*BASE)).select(
         F.col("key").alias("k"), F.col("kind").alias("part"), F.col("start").alias("s"), F.col("end").alias("e"),
-        F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("end") - 1) / width))).alias("b"))
+        F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width))).alias("b"))
     needs = F.lit(False)
     for kind, wanted in COMPLEMENT.items():
         needs = needs | ((F.col("kind") == kind) & F.col("part").isin(*wanted))

@@ -83,6 +83,17 @@ def test_weak_candidates_need_their_complement(spark):
     assert got == {0: (1, "access,bare"), 1: (0, ""), 2: (0, "access"), 3: (2, "account,assign,endpoint"), 4: (0, "")}
 
 
+def test_linked_parts_exactly_the_scope_apart(spark):
+    key, bare = "AKIA" + "A1" * 8, "Zz9+" * 10
+    texts = []
+    for end in (199, 200, 201, 400):
+        for gap in (secrets.SCOPE - 1, secrets.SCOPE, secrets.SCOPE + 1):
+            texts += [" " * (end - len(key)) + key + " " * gap + bare, " " * (end - len(bare)) + bare + " " * gap + key]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_linked for r in secrets.find(docs).collect()}
+    assert got == {i: int(i // 2 % 3 < 2) for i in range(len(texts))}
+
+
 def test_licences(spark):
     mit = next(t for k, t in licenses.known_texts() if k == "MIT")
     texts = [
