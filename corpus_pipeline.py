@@ -8,17 +8,14 @@ from kwarta.llm import bpe, exact_dedup, language, mixing, near_dedup
 from kwarta.llm.queries import PIECE_VOCABULARY, WORD_VOCABULARY, language_model
 from kwarta.llm.shared import table, written
 
-#: Texts whose best language holds less than this share of their probability are rejected.
-LEAST_SCORE = 0.5
-
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages: texts without a letter, and undecided ones, go."""
+    """Documents with a predicted language, however close the next one is: texts without a letter go."""
     names = docs.columns
     extra = {n: f"_own_{n}" for n in names if n in ("lang_pred", "score")}
     rows = docs.withColumnsRenamed(extra)
     found = language.identify(rows, PIECE_VOCABULARY, language_model(docs), columns=rows.columns)
-    kept = found.where((found["lang_pred"] != language.UNKNOWN) & (found["score"] >= LEAST_SCORE))
+    kept = found.where(found["lang_pred"] != language.UNKNOWN)
     return kept.drop("lang_pred", "score").withColumnsRenamed({own: n for n, own in extra.items()})
 
 

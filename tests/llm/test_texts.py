@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from kwarta.llm import bpe, html_text, language, licenses, queries, secrets
 
 SF = "/root/testdata/sf0.001"
@@ -159,6 +160,15 @@ def test_numbers_that_are_no_digits_are_no_letters(spark):
     assert got[0] == got[1] == ("und", False) and got[2][0] in model[0]
 
 
+def test_the_pipeline_keeps_texts_between_languages(spark):
+    rows = [(i, f"the cat sat on mat {i // 3}", "abc"[i % 3]) for i in range(120)] + [(-2, "12 ² ½", None), (-3, "", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    scores = [r.score for r in language.identify(docs, queries.PIECE_VOCABULARY, queries.language_model(docs)).collect()]
+    assert sum(0 < s < 0.5 for s in scores) == 120
+    assert {r.doc_id for r in corpus_pipeline.identify(spark, docs, SF).collect()} == set(range(120))
+
+
+
 def test_forward_sums_all_segmentations():
     pieces = language.Pieces.__new__(language.Pieces)
     pieces.number, pieces.longest, pieces.other, pieces.none = {"▁": 0, "a": 1, "b": 2, "ab": 3, "▁a": 4}, 2, 5, 6
