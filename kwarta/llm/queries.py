@@ -8,10 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kwarta.llm import bpe, exact_dedup, html_text, language, licenses, mixing, near_dedup, neighbours, secrets, warc
+from kwarta.llm import (
+    bpe, exact_dedup, html_text, language, licenses, mixing, near_dedup, neighbours, secrets, token_store, warc,
+)
 from kwarta.llm.shared import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -74,6 +77,11 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids written to directly addressable files, and read back."""
+    return token_store.round_trip(table(spark, folder, "documents"), BYTE_VOCABULARY, end_id=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_warc": op2_warc,
@@ -85,4 +93,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_mixing": op9_mixing,
     "op10_language": op10_language,
+    "op11_token_files": op11_token_files,
 }

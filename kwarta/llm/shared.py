@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,9 +29,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark reads it under, so that other readers do not take it for a local one."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
+def place(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a qualified path, as executors' Python reaches it."""
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    if "://" not in uri:
+        return fs.LocalFileSystem(), uri
+    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    return qualified(spark, f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}")
 
 
 def written(frame: DataFrame, name: str) -> tuple[DataFrame, str]:
