@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kwarta.llm import (
-    bpe, exact_dedup, html_text, language, licenses, mixing, near_dedup, neighbours, secrets, token_store, warc,
+    bpe, exact_dedup, html_text, language, licenses, mixing, near_dedup, neighbours, periodic, secrets, token_store,
+    warc,
 )
-from kwarta.llm.shared import table
+from kwarta.llm.shared import WORD, table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -82,6 +83,22 @@ def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_store.round_trip(table(spark, folder, "documents"), BYTE_VOCABULARY, end_id=2)
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """In a tenth of the documents, by the checksum of the id, the words from some place on repeat with some period."""
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    words, seed = F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.floor(checksum / 10)
+    planted = docs.select("doc_id", "text", checksum.alias("h"), seed.alias("g"), F.when(checksum % 10 == 0, words).alias("w"))
+    planted = planted.withColumn("n", F.size("w").cast("long")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    planted = planted.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    again = F.expr("transform(sequence(0L, n - 1), i -> w[cast(if(i < a, i, a + (i - a) % p) as int)])")
+    return planted.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in every document, and its text without the repetitions."""
+    return periodic.find(with_planted_runs(table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_warc": op2_warc,
@@ -94,4 +111,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_language": op10_language,
     "op11_token_files": op11_token_files,
+    "op12_periodic": op12_periodic,
 }
