@@ -40,6 +40,37 @@ _PARTS = " UNION ALL ".join(
 _NEEDS = " OR ".join(
     f"(w.kind = '{kind}' AND b.kind IN ({', '.join(map(_text, parts))}))" for kind, parts in COMPLEMENT.items())
 
+#: Levels of the tree that the SQL goes through: enough for 16 ** 5 rows of a source and 16 ** 4 sources.
+_ROW_LEVELS, _SOURCE_LEVELS = 5, 4
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+def _levels(name: str, count: int) -> str:
+    """Runs of sixteen and the nodes above them, level by level: {name}r0, {name}1, {name}r1 .."""
+    return ", ".join(f"""
+        {name}r{k} AS (SELECT tree, idx // 16 AS run, m, list(digest ORDER BY idx) AS kids FROM {name}{k} GROUP BY ALL),
+        {name}{k + 1} AS (SELECT tree, run AS idx, (m + 15) // 16 AS m,
+                                 CASE WHEN m = 1 THEN kids[1] ELSE sha256(array_to_string(kids, '')) END AS digest FROM {name}r{k})"""
+        for k in range(count))
+
+
+def _fold(name: str, rows: str, count: int) -> str:
+    """Rows' digests and proofs carried up through those runs: {rows}1, {rows}2 .."""
+    rest = "r.kids[1 : f.at % 16] || {} r.kids[f.at % 16 + 2 :]"
+    return ", ".join(f"""
+        {rows}{k + 1} AS (SELECT f.id, f.tree, f.at // 16 AS at,
+            CASE WHEN r.m = 1 THEN f.cur ELSE sha256(array_to_string({rest.format('[f.cur] ||')}, '')) END AS cur,
+            f.proof || CASE WHEN r.m = 1 THEN '' ELSE array_to_string({rest.format('')}, '') END AS proof
+            FROM {rows}{k} f JOIN {name}r{k} r ON r.tree = f.tree AND r.run = f.at // 16)""" for k in range(count))
+
+
 ORACLE_SQL = {
     "op2_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS d FROM pages),
@@ -96,6 +127,22 @@ ORACLE_SQL = {
                sha256({_flat('form')}) AS canonical_sha256
         FROM docs LEFT JOIN listed USING (row)
     """,
+    "op13_merkle": f"""
+        WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                         lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+             d AS (SELECT row_number() OVER () AS id, documents.*, {_leaf("text")} AS leaf,
+                          {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS lowered,
+                          xor(4294967295, list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+                              lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 5 = 0 AS hit FROM documents, crc),
+             o AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM d),
+             n AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS m FROM o),
+             t0 AS (SELECT tree, idx, m, leaf AS digest FROM n), {_levels('t', _ROW_LEVELS)},
+             u0 AS (SELECT 0 AS tree, tree AS idx, count(*) OVER () AS m, digest FROM t{_ROW_LEVELS}), {_levels('u', _SOURCE_LEVELS)},
+             f0 AS (SELECT id, tree, idx AS at, CASE WHEN hit THEN lowered ELSE leaf END AS cur, '' AS proof FROM n), {_fold('t', 'f', _ROW_LEVELS)},
+             g0 AS (SELECT id, 0 AS tree, tree AS at, cur, proof FROM f{_ROW_LEVELS}), {_fold('u', 'g', _SOURCE_LEVELS)}
+        SELECT n.doc_id, n.leaf, s.digest AS subroot, r.digest AS root, sha256(g.proof) AS proof_sha256, g.cur AS folded_root, g.cur = r.digest AS verified
+        FROM n JOIN g{_SOURCE_LEVELS} g USING (id) JOIN u0 s ON s.idx = n.tree, u{_SOURCE_LEVELS} r
+    """,
     "op7_secrets": f"""
         WITH docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
              found AS (SELECT row, {', '.join(f'{_spans(k)} AS {k}' for k in KINDS)} FROM docs),

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kwarta.llm import (
-    bpe, exact_dedup, html_text, language, licenses, mixing, near_dedup, neighbours, periodic, secrets, token_store,
-    warc,
+    bpe, exact_dedup, html_text, language, licenses, merkle, mixing, near_dedup, neighbours, periodic, secrets,
+    token_store, warc,
 )
 from kwarta.llm.shared import WORD, table
 
@@ -99,6 +99,13 @@ def op12_periodic(spark: SparkSession, folder: str) -> DataFrame:
     return periodic.find(with_planted_runs(table(spark, folder, "documents")))
 
 
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's proof in the dataset's tree, and whether a later change of case shows."""
+    docs = table(spark, folder, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return merkle.manifest(docs, changes={"text": merkle.lowered(docs["text"])}, where=changed)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_warc": op2_warc,
@@ -112,4 +119,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language": op10_language,
     "op11_token_files": op11_token_files,
     "op12_periodic": op12_periodic,
+    "op13_merkle": op13_merkle,
 }
