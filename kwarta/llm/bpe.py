@@ -47,7 +47,7 @@ _NARROW_PIECES = re.compile(
 ).findall
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The printable letter that stands for each byte in byte-level vocabularies."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     letters = {b: chr(b) for b in plain}
@@ -88,7 +88,7 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         by_id = {i: t for t, i in (model["vocab"] | self.special).items()}
         self.token_text = [by_id.get(i, "") for i in range(max(by_id) + 1)]
-        letters = _byte_letters()
+        letters = byte_letters()
         self._symbol_of = {letter: chr(b) for b, letter in enumerate(letters)}
         vocab = model["vocab"]
         self._parts, self._rank = {}, {}

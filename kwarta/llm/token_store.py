@@ -20,7 +20,6 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import Split
 
+from kwarta.llm.bpe import byte_letters, pack
 from kwarta.llm.shared import new_folder, place, qualified, small_batches, written
 
 MAGIC = b"KWDACID1"
@@ -38,17 +39,77 @@ FILE_TOKENS = 1 << 24
 BLOCK = 512
 #: Ids packed at once, documents of one reading task's unit, tokens read at once, positions of a bin of take().
 PACKED, READ_DOCS, READ_TOKENS, BIN = 1 << 20, 4_096, 1 << 20, 1 << 20
-#: Words whose ids a task remembers, and the longest of them.
-WORDS_KEPT, LONGEST_KEPT = 600_000, 64
-
-# A space after anything but white space begins a new piece; these count as white space in some Unicode version.
-_SPACES = r"\s\x1c-\x1f\x85\u180e\u200b\ufeff"
-_ODD = re.compile(f"[{_SPACES}] ").search
-_BORDERS = re.compile(f"(?<=[^{_SPACES}]) ").split
+#: Pieces whose ids a task remembers, the longest of them, those learned at once, and bytes of texts encoded at once.
+PIECES_KEPT, LONGEST_KEPT, LEARNED_AT_ONCE, TEXT_AT_ONCE = 1_200_000, 64, 10_000, 4 << 20
+
+# What the vocabulary's pre-tokeniser takes as one piece, for letters that have been letters in all
+# versions of Unicode, digits and signs. Anything else goes through the library's own.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
+_PLAIN = re.compile(f" ?[{_LETTERS}]+| ?[0-9]+| ?[!-&(-/:-@[-`{{-~]+").fullmatch
+# Last bytes of characters that are white space in some version of Unicode, after the bytes before them.
+_SPACE_ENDS = {
+    b"\xc2": b"\x85\xa0", b"\xe1\x9a": b"\x80", b"\xe1\xa0": b"\x8e", b"\xe2\x80": bytes([*range(0x80, 0x8C), 0xA8, 0xA9, 0xAF]),
+    b"\xe2\x81": b"\x9f", b"\xe3\x80": b"\x80", b"\xef\xbb": b"\xbf",
+}
+
+# Classes of bytes: the space, letters, digits, signs, other white space, and what only the library knows.
+_BLANK, _LETTER, _DIGIT, _SIGN, _GAP, _OPEN = range(6)
+_CLASS = np.full(256, _OPEN, np.uint8)
+_CLASS[0x21:0x7F] = _SIGN
+for _first, _last, _kind in ((0x41, 0x5A, _LETTER), (0x61, 0x7A, _LETTER), (0x30, 0x39, _DIGIT), (0x09, 0x0D, _GAP), (0x20, 0x20, _BLANK)):
+    _CLASS[_first : _last + 1] = _kind
+#: Whether a piece always ends between bytes of two classes: at the end of letters, digits, signs or a gap.
+_CUT = np.zeros((6, 6), bool)
+for _before in (_LETTER, _DIGIT, _SIGN):
+    _CUT[_before, [k for k in (_BLANK, _LETTER, _DIGIT, _SIGN, _GAP) if k != _before]] = True
+_CUT[_GAP, [_LETTER, _DIGIT, _SIGN]] = True
+
+
+def borders(data: np.ndarray) -> np.ndarray:
+    """Places of the spaces that follow something else than white space: there, whatever follows, a new piece begins."""
+    at = np.flatnonzero(data == 0x20)
+    at = at[at > 0]
+    last = data[at - 1]
+    free = last > 0x20
+    high = np.flatnonzero(last >= 0x80)
+    for before, ends in _SPACE_ENDS.items():
+        hit = high[np.isin(last[high], np.frombuffer(ends, np.uint8)) & (at[high] > len(before))]
+        for back, byte in enumerate(reversed(before), 2):
+            hit = hit[data[at[hit] - back] == byte]
+        free[hit] = False
+    return at[free]
+
+
+def cuts(data: np.ndarray, edges: np.ndarray, whole: list[bytes]) -> np.ndarray:
+    """Places between which texts are encoded alone, with the edges of the texts. None lies within one of `whole`."""
+    kinds = _CLASS[data]
+    lead = np.flatnonzero((data >= 0xC3) & (data <= 0xC5))  # letters of two bytes, but for two signs
+    lead = lead[(data[lead] != 0xC3) | ((data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7))]
+    kinds[lead] = kinds[lead + 1] = _LETTER
+    mark = np.zeros(len(data) + 1, bool)
+    mark[1:-1] = _CUT[kinds[:-1], kinds[1:]]
+    last = np.flatnonzero(mark[1:-1] & (kinds[:-1] == _GAP))
+    mark[last] = True  # the last of several gaps before a word is a piece of its own
+    quoted = np.flatnonzero(data[:-1] == 0x27)  # what an apostrophe takes with it is left to the pattern
+    mark[quoted + 1] &= kinds[quoted + 1] != _LETTER
+    mark[borders(data)] = True
+    text = data.tobytes() if whole else b""
+    for content in whole:
+        at = text.find(content)
+        while at >= 0:
+            mark[at + 1 : at + len(content)] = False
+            mark[max(at - 1, 0)] = False  # before it, gaps are at an end, not before a word
+            at = text.find(content, at + 1)
+    mark[edges] = True
+    return np.flatnonzero(mark)
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library, remembered by word where the vocabulary allows it."""
+    """Ids of whole texts by the tokenizers library, each piece encoded once where the vocabulary allows it.
+
+    A byte-level vocabulary encodes the pieces that its pattern cuts a text into one by one. Where such a piece ends
+    whatever its neighbours are, texts are cut here; the pieces that a task has not met are all that the library sees.
+    """
 
     def __init__(self, vocabulary: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -57,12 +118,17 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(vocabulary)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
-        self._by_word = self._cuts_at_spaces(spec)
-        self._words: dict[str, bytes] = {}
+        self._by_piece = self._cuts_at_spaces(spec)
+        self._added = [t["content"].encode() for t in spec.get("added_tokens") or []]
+        letters = byte_letters()
+        self._letters, self._line = dict(enumerate(letters)), self._tokenizer.token_to_id(letters[ord("\n")])
+        self._plain = Tokenizer(self._tokenizer.model)
+        self._plain.pre_tokenizer = Split(letters[ord("\n")], "isolated")
+        self._pieces: dict[bytes, bytes] = {}
 
     @staticmethod
     def _cuts_at_spaces(spec: dict) -> bool:
-        """Whether encoding never looks across a space that follows something else than white space."""
+        """Whether the vocabulary is a byte-level one with the usual pattern, and nothing in it spans a space."""
         cutter, added = spec.get("pre_tokenizer") or {}, spec.get("added_tokens") or []
         plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
         return (
@@ -70,28 +136,61 @@ class Encoder:
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in added)
         )
 
-    def _ids(self, texts: list[str]) -> Iterator[bytes]:
-        for found in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array(found.ids, "<u4").tobytes()
+    def _whole(self, text: str) -> bytes:
+        return pack(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+
+    def _learn(self, new: list[bytes]) -> Iterator[bytes]:
+        """Ids of pieces: of plain ones by the library's model, many as one text with a line's end between, of others by
+        all of the library."""
+        plain = [bool(_PLAIN(piece.decode())) and not any(t in piece for t in self._added) for piece in new]
+        text = b"\n".join(piece for piece, one in zip(new, plain, strict=True) if one)
+        ids = np.frombuffer(pack(self._plain.encode_batch_fast([text.decode("latin-1").translate(self._letters)])[0].ids), "<u4")
+        ends = np.flatnonzero(ids == self._line).tolist()
+        runs = zip([0, *(e + 1 for e in ends)], [*ends, len(ids)], strict=True)
+        for piece, one in zip(new, plain, strict=True):
+            if one:
+                first, last = next(runs)
+                yield ids[first:last].tobytes()
+            else:
+                yield self._whole(piece.decode())
+
+    def _found(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece; those not met before are learned and, unless they are long, remembered."""
+        found = list(map(self._pieces.get, pieces))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        for low in range(0, len(missing), LEARNED_AT_ONCE):
+            some = missing[low : low + LEARNED_AT_ONCE]
+            for i, ids in zip(some, self._learn([pieces[i] for i in some]), strict=True):
+                found[i] = ids
+                if len(pieces[i]) <= LONGEST_KEPT:
+                    self._pieces[pieces[i]] = ids
+        return found
+
+    def encode_all(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of whole texts in UTF-8; none for empty ones."""
+        if not self._by_piece:
+            return [np.frombuffer(self._whole(text.decode()) if text else b"", "<u4") for text in texts]
+        if len(self._pieces) > PIECES_KEPT:
+            self._pieces.clear()
+        data = b"".join(texts)
+        if not data:
+            return [np.zeros(0, "<u4") for _ in texts]
+        edges = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        places = cuts(np.frombuffer(data, np.uint8), edges, self._added)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(data)])
+        which = pieces.dictionary_encode().indices.to_numpy()
+        sample = np.flatnonzero(np.diff(np.maximum.accumulate(which), prepend=-1))  # codes are given by first occurrence
+        found = self._found([data[a:b] for a, b in zip(places[sample].tolist(), places[sample + 1].tolist(), strict=True)])
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first, own = np.cumsum(sizes) - sizes, sizes[which]
+        before = np.concatenate([[0], np.cumsum(own)])
+        ids = np.frombuffer(b"".join(found), "<u4")[np.repeat(first[which] - before[:-1], own) + np.arange(before[-1])]
+        limits = before[np.searchsorted(places, edges)].tolist()
+        return [ids[a:b] for a, b in zip(limits[:-1], limits[1:], strict=True)]
 
     def encode(self, text: str | None) -> bytes:
-        """Packed little-endian ids of a whole text; none for null and empty."""
-        if not text:
-            return b""
-        if not self._by_word:
-            return next(self._ids([text]))
-        head, *rest = text.split(" ") if _ODD(text) is None else _BORDERS(text)
-        words = self._words
-        if len(words) > WORDS_KEPT:
-            words.clear()
-        new = set(rest).difference(words)
-        for some in batched(new, 10_000):
-            words.update(zip(some, self._ids([" " + word for word in some]), strict=True))
-        ids = next(self._ids([head])) + b"".join(map(words.__getitem__, rest))
-        for word in new:
-            if len(word) > LONGEST_KEPT:
-                del words[word]
-        return ids
+        """Packed little-endian ids of one text; none for null and empty."""
+        return self.encode_all([(text or "").encode()])[0].tobytes()
 
 
 @lru_cache(2)
@@ -238,8 +337,20 @@ class Store:
 _FILES = "task long, seq long, path string, tokens long, documents long"
 
 
+def _encoded(words: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, np.ndarray]]:
+    """Ids of documents and of their texts, a few texts at a time."""
+    for batch in batches:
+        doc_ids, low, texts, size = batch.column(0).to_pylist(), 0, [], 0
+        for i, value in enumerate(batch.column(1)):
+            texts.append(value.as_py())
+            size += len(texts[-1])
+            if size >= TEXT_AT_ONCE or i + 1 == batch.num_rows:
+                yield from zip(doc_ids[low : i + 1], words.encode_all(texts), strict=True)
+                low, texts, size = i + 1, [], 0
+
+
 def _writer(folder: str, vocabulary: str, end_id: int | None, file_tokens: int):
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    end = np.array([] if end_id is None else [end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(vocabulary)
@@ -251,7 +362,7 @@ def _writer(folder: str, vocabulary: str, end_id: int | None, file_tokens: int):
             path = f"{uuid.uuid4().hex}.dac"
             starts = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
             with system.open_output_stream(f"{root}/{path}", compression=None) as out:
-                write_file(out, np.frombuffer(b"".join(held), "<u4"), doc_ids, starts)
+                write_file(out, np.concatenate(held), doc_ids, starts)
             row = [[task], [seq], [f"{folder}/{path}"], [int(starts[-1])], [len(doc_ids)]]
             seq += 1
             for kept in (held, doc_ids, sizes):
@@ -259,15 +370,14 @@ def _writer(folder: str, vocabulary: str, end_id: int | None, file_tokens: int):
             return pa.RecordBatch.from_arrays(list(map(pa.array, row)), names=["task", "seq", "path", "tokens", "documents"])
 
         total = 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                held.append(words.encode(text.as_py()) + end)
-                doc_ids.append(doc_id)
-                sizes.append(len(held[-1]) // 4)
-                total += sizes[-1]
-                if total >= file_tokens:
-                    yield close()
-                    total = 0
+        for doc_id, ids in _encoded(words, batches):
+            held += [ids, end]
+            doc_ids.append(doc_id)
+            sizes.append(len(ids) + len(end))
+            total += sizes[-1]
+            if total >= file_tokens:
+                yield close()
+                total = 0
         if doc_ids:
             yield close()
 
@@ -291,7 +401,7 @@ def write(
     folder = qualified(spark, folder)
     system, root = place(folder)
     system.create_dir(root, recursive=True)
-    rows = docs.select(docs[f"`{doc_id}`"].cast("long").alias("_id"), docs[f"`{text}`"].cast("string").alias("_text"))
+    rows = docs.select(docs[f"`{doc_id}`"].cast("long").alias("_id"), F.coalesce(docs[f"`{text}`"].cast("string"), F.lit("")).cast("binary").alias("_text"))
     rows = rows.withColumns({"_tie": F.xxhash64("_text"), "_row": F.monotonically_increasing_id()})
     ordered = rows.repartitionByRange("_id", "_tie", "_row").sortWithinPartitions("_id", "_tie", "_row").select("_id", "_text")
     files, _ = written(ordered.mapInArrow(_writer(folder, vocabulary, end_id, file_tokens), _FILES), "token-files")
