@@ -51,24 +51,33 @@ _FURNITURE_WORDS = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs footer sidebar aside ad ads advert adverts advertisement "
     "advertising sponsor sponsored promo banner cookie cookies consent notice notices alert popup modal newsletter subscribe "
     "comment comments respond disqus share sharing social related recommended widget toolbar pagination pager login signup "
-    "search complementary contentinfo masthead copyright".split())
+    "search complementary contentinfo masthead copyright reply replies discussion".split())
 _CONTENT_WORDS = frozenset("main articlebody".split())
 
+# A quote opens a value only after an equals sign; one that is never closed is an ordinary character.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|"
-    r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|[^<]++|<",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>?|"
+    r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+|(?=[>\"'])))*+)>|"
+    r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|[^<]++|<",
     re.S)
+_TAG_BEGINS = re.compile(r"</?[a-zA-Z]|<[!?]")
 _ATTRIBUTES = re.compile(r"([^\s\"'=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAMING = frozenset(("class", "id", "role", "itemprop"))
 _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
 #: Words in class, id or role of an article that is not the page's own.
-_ASIDE_ARTICLES = frozenset("comment comments ad ads advert sponsored promo related recommended teaser teasers".split())
-_HEADING = re.compile(r"/h[1-6](?:/|\Z)")
+_ASIDE_ARTICLES = frozenset("comment comments reply replies ad ads advert sponsored promo related recommended teaser teasers".split())
+#: Words that name what readers wrote, whatever it looks like.
+_READER_WORDS = frozenset("comment comments respond disqus reply replies reader readers".split())
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+#: A part of an article that is named like furniture is prose all the same if it has so many blocks, so much text outside
+#: links in each on average, and so small a share of links.
+PROSE_BLOCKS, PROSE_CHARS, PROSE_LINKS = 2, 80, 0.1
 
 #: What an element's own name says, before its text is known: furniture by tag, or by a word that may mean a wrapper.
-_NONE, _NAMED_MAIN, _NAMED_ARTICLE, _WORDED, _TAGGED = range(5)
+#: What readers wrote is named by a word too, and no look of its text speaks against it.
+_NONE, _NAMED_MAIN, _NAMED_ARTICLE, _WORDED, _READERS, _TAGGED = range(6)
 #: Roles; an article is disputed inside furniture that only a word names.
 _PLAIN, _MAIN, _ARTICLE, _DISPUTED, _SIDE, _OUT = range(6)
 #: What a path's name adds to its ratio, which lies between 0 and 1: a good ratio outweighs content's names.
@@ -78,18 +87,21 @@ NAMED = {_PLAIN: 0.0, _MAIN: 0.3, _ARTICLE: 0.5, _DISPUTED: -0.5, _SIDE: -1.0, _
 class _Element:
     """An open element: its name, the text outside links in it, and the articles and mains with their own name.
 
-    Its holder is the article or main that it belongs to, if any.
+    Its path is a number, given to each pair of an outer path and a tag, so that a deep page costs no more per
+    element than a flat one. Its holder is the article or main that it belongs to, if any.
     """
 
-    __slots__ = ("tag", "outer", "path", "name", "inline", "foreign", "within", "chars", "marks", "role", "holder")
+    __slots__ = (
+        "tag", "outer", "path", "heading", "name", "inline", "foreign", "within", "chars", "marks", "blocks", "linked", "role", "holder")
 
-    def __init__(self, tag: str, outer: _Element | None, name: int) -> None:
+    def __init__(self, tag: str, outer: _Element | None, name: int, paths: dict[tuple[int, str], int]) -> None:
         self.tag, self.outer, self.name = tag, outer, name
         self.foreign = tag in _FOREIGN or (outer is not None and outer.foreign and tag not in _HTML_IN_FOREIGN)
         self.inline = tag in _INLINE or self.foreign
-        self.path = "" if outer is None else outer.path if self.inline else f"{outer.path}/{tag}"
+        self.path = 0 if outer is None else outer.path if self.inline else paths.setdefault((outer.path, tag), len(paths) + 1)
+        self.heading = (not self.inline and tag in _HEADINGS) or (outer is not None and outer.heading)
         self.within = name in (_NAMED_MAIN, _NAMED_ARTICLE) or (outer is not None and outer.within)
-        self.chars = self.marks = 0
+        self.chars = self.marks = self.blocks = self.linked = 0
         self.role, self.holder = _PLAIN, None
 
 
@@ -102,7 +114,7 @@ class _Block:
         self.parts, self.linked, self.element = [], 0, element
 
     @property
-    def key(self) -> tuple[str, int]:
+    def key(self) -> tuple[int, int]:
         return self.element.path, self.element.role
 
 
@@ -120,11 +132,11 @@ def _name(tag: str, attributes: str, outer: _Element) -> int:
                 if "".join(words) == "articlebody":
                     return _NAMED_ARTICLE
             elif not _FURNITURE_WORDS.isdisjoint(words) and tag not in ("article", "main"):
-                return _WORDED
+                return _WORDED if _READER_WORDS.isdisjoint(words) else _READERS
             elif name == "role" and words == ["main"]:
                 found = max(found, _NAMED_MAIN) if found != _WORDED else _NAMED_MAIN
             elif tag == "article" and not _ASIDE_ARTICLES.isdisjoint(words):
-                return _WORDED
+                return _WORDED if _READER_WORDS.isdisjoint(words) else _READERS
     return found
 
 
@@ -132,27 +144,36 @@ def _settle(elements: list[_Element], found: list[_Block]) -> None:
     """Roles and holders of all elements, outer ones first.
 
     A word that names furniture, and a form, count for nothing if the element holds most of the page's text outside
-    links and furniture tags and no article or main is outside it: it is a wrapper, such as "has-sidebar".
+    links and furniture tags and no article or main is outside it: it is a wrapper, such as "has-sidebar". In an
+    article or main the word counts for nothing either if the element's own ratios are those of prose, as
+    in "social-history"; only words for what readers wrote always count.
     """
     for block in found:
-        block.element.chars += max(0, len(" ".join("".join(block.parts).split())) - block.linked)
+        size = len(" ".join("".join(block.parts).split()))
+        block.element.chars += max(0, size - block.linked)
+        block.element.blocks += size > 0
+        block.element.linked += min(size, block.linked)
     for e in reversed(elements):
         if e.outer is not None and e.name != _TAGGED:
             e.outer.chars += e.chars
-    total = elements[0].chars
+            e.outer.blocks += e.blocks
+            e.outer.linked += e.linked
+    total, worded = elements[0].chars, (_WORDED, _READERS)
     for e in reversed(elements):
         e.marks += e.name in (_NAMED_MAIN, _NAMED_ARTICLE)
-        if e.outer is not None and e.name != _TAGGED and (e.name != _WORDED or 2 * e.chars > total):
+        if e.outer is not None and e.name != _TAGGED and (e.name not in worded or 2 * e.chars > total):
             e.outer.marks += e.marks
     marks = elements[0].marks
     for e in elements[1:]:
         outer, name = e.outer, e.name
-        if name == _WORDED and 2 * e.chars > total and e.marks == marks:
+        if name in worded and 2 * e.chars > total and e.marks == marks:
             name = _NAMED_ARTICLE if e.tag == "article" else _NONE
+        elif name == _WORDED and outer.within and e.tag not in ("form", "article") and _is_prose(e):
+            name = _NONE
         e.role, e.holder = outer.role, outer.holder
         if outer.role == _OUT or name == _TAGGED:
             e.role = _OUT
-        elif name == _WORDED:
+        elif name in worded:
             e.role = _SIDE
         elif name == _NAMED_MAIN:
             e.role = max(outer.role, _MAIN) if outer.role <= _ARTICLE else _MAIN
@@ -162,10 +183,17 @@ def _settle(elements: list[_Element], found: list[_Block]) -> None:
             e.holder = e
 
 
+def _is_prose(e: _Element) -> bool:
+    """Whether an element's text per block and its links are those of prose."""
+    return e.blocks >= PROSE_BLOCKS and e.chars >= PROSE_CHARS * e.blocks and e.linked <= PROSE_LINKS * (e.chars + e.linked)
+
+
 def blocks(page: str) -> list[_Block]:
     """All blocks with text, in page order; scripts, styles and other raw elements have none."""
     found: list[_Block] = []
-    stack = [_Element("", None, _NONE)]
+    paths: dict[tuple[int, str], int] = {}
+    stack = [_Element("", None, _NONE, paths)]
+    open_tags: dict[str, int] = {}
     elements = [stack[0]]
     block = _Block(stack[0])
 
@@ -177,12 +205,19 @@ def blocks(page: str) -> list[_Block]:
 
     def pop_to(at: int) -> None:
         split = any(not e.inline or e.name != _NONE or e.tag in _EMBEDDED for e in stack[at:])
+        for e in stack[at:]:
+            open_tags[e.tag] -= 1
         del stack[at:]
         if split:
             border()
 
-    at, size, links = 0, len(page), 0
+    at, size, links, last_end = 0, len(page), 0, page.rfind(">")
     while at < size:
+        if at > last_end:  # no tag can end here any more: one that begins takes the rest of the page with it
+            text = _TAG_BEGINS.split(page[at:], maxsplit=1)[0]
+            block.parts.append(text)
+            block.linked += len(text) if links else 0
+            break
         token = _TOKEN.match(page, at)
         at = token.end()
         tag = token[2] or token[5]
@@ -197,7 +232,7 @@ def blocks(page: str) -> list[_Block]:
         if stack[-1].tag == "head" and not (token[1] or token[4]) and tag not in _IN_HEAD:
             pop_to(len(stack) - 1)
         if token[1] or token[4]:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if open_tags.get(tag) else ():
                 if stack[i].tag == tag:
                     if tag in _EMBEDDED:
                         stack[i].name = _TAGGED
@@ -246,8 +281,9 @@ def blocks(page: str) -> list[_Block]:
                     break
         outer = stack[-1]
         name = _name(tag, attributes, outer)
-        element = _Element(tag, outer, name)
+        element = _Element(tag, outer, name, paths)
         stack.append(element)
+        open_tags[tag] = open_tags.get(tag, 0) + 1
         elements.append(element)
         if not element.inline or name != _NONE or tag in _EMBEDDED:
             border()
@@ -270,12 +306,12 @@ def _smooth(values: list[float], roles: list[int]) -> list[float]:
     return out
 
 
-def content_paths(found: list[tuple[_Block, str]], threshold: float = THRESHOLD) -> set[tuple[str, int]]:
+def content_paths(found: list[tuple[_Block, str]], threshold: float = THRESHOLD) -> set[tuple[int, int]]:
     """The (path, role) pairs that hold the page's content: their fused scores reach the threshold.
 
     Furniture neither scales the ratios nor counts for the spread, however much of it a page has.
     """
-    sums: dict[tuple[str, int], list[float]] = {}
+    sums: dict[tuple[int, int], list[float]] = {}
     for block, text in found:
         if NAMED[block.element.role] <= -1:
             continue
@@ -306,7 +342,7 @@ def content(found: list[tuple[_Block, str]], threshold: float = THRESHOLD) -> li
     taken = [b.key in chosen or (NAMED[b.element.role] > -1 and id(b.element.holder) in holders) for b, _ in found]
     for i in range(len(found) - 2, -1, -1):
         element = found[i][0].element
-        if not taken[i] and taken[i + 1] and NAMED[element.role] > -1 and _HEADING.search(element.path):
+        if not taken[i] and taken[i + 1] and NAMED[element.role] > -1 and element.heading:
             taken[i] = True
     return taken
 
