@@ -1,7 +1,9 @@
 """Mixing sources to target weights by balanced sampling (the cube method).
 
 Each source gets a target in words. A document is taken floor(target / size of its source) times, and once more
-with the fractional probability that is left. Which documents are taken once more is drawn by the cube method:
+with the fractional probability that is left. Rows that repeat are one unit: of their once-mores the whole number
+that is due is taken for sure, and the unit stands for one document with the fraction that is left. Which
+documents are taken once more is drawn by the cube method:
 the vector of probabilities moves through the null space of two constraints, the source's words and its
 documents, until each probability is 0 or 1. Three open documents always have a direction that keeps both
 totals, so a pass over a chunk of a source moves three documents at a time and leaves a handful. What the
@@ -30,6 +32,8 @@ SHARE, MOST = 1.5, 2.0
 #: Documents that one pass of the flight settles, and chunks whose rests meet in the next.
 CHUNK, MERGED = 8_192, 256
 
+#: Repetitions of a row that one task gives out.
+REPEATED = 65_536
 #: Documents of a source whose landing is searched: 2 ** LANDING ways.
 LANDING = 9
 
@@ -105,13 +109,13 @@ def _flights(level: int, land: bool):
         for batch in batches:
             schema, out = batch.schema, []
             names = schema.names
-            at = [names.index(c) for c in ("_p", "_rows", "_size", "_src", "_none", "_chunk")]
+            at = [names.index(c) for c in ("_p", "_size", "_src", "_none", "_chunk")]
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                p, rows, size, *key = (row[i] for i in at)
+                p, size, *key = (row[i] for i in at)
                 if key != group:
                     out += close()
                     group, flight = key, Flight(f"{level}|{key}")
-                out += flight.add([p, rows, size, row])
+                out += flight.add([p, 1, size, row])
             yield _batch(out, schema, at[0])
         if schema is not None:
             yield _batch(close(), schema, at[0])
@@ -170,7 +174,7 @@ def plan(
     """One row per distinct (source, doc_id, text): how often the mix takes it.
 
     Columns _id, _key (a hash of doc_id and text), _src, _none, _size, _rows (how often the row occurs),
-    source_size, target, copies. Repeated rows are one unit and share its fate. A null source is a source of
+    source_size, target, copies (of each of these rows) and more (rows that are taken once more). A null source is a source of
     its own, the last; a null doc_id or text (no words) is a document like others. A source without words
     has target 0 and is not taken. Empty table: no rows. The draw depends on the data only, not on partitions.
     """
@@ -190,10 +194,12 @@ def plan(
     whole = F.floor(times + F.lit(_NEAR)).cast("int")
     placed = units.join(targets, ["_src", "_none"]).select(
         "_id", "_key", "_src", "_none", "_size", "_rows", "source_size", "target", whole.alias("_whole"),
-        F.greatest(times - whole, F.lit(0.0)).alias("_p"),
+        (F.greatest(times - whole, F.lit(0.0)) * F.col("_rows")).alias("_due"),
         F.pmod(F.xxhash64("_key", F.lit(1)), F.ceil(F.col("_docs") / F.lit(float(chunk)))).alias("_chunk"),
         F.xxhash64("_key", F.lit(2)).alias("_order"),
     )
+    sure = F.floor(F.col("_due") + F.lit(_NEAR))
+    placed = placed.withColumns({"_sure": sure, "_p": F.greatest(F.col("_due") - sure, F.lit(0.0))}).drop("_due")
     open_p = (F.col("_p") > _NEAR) & (F.col("_p") < 1 - _NEAR)
     most_docs = targets.agg(F.max("_docs")).first()[0] or 0
     groups, level = math.ceil(most_docs / chunk), 0
@@ -211,32 +217,61 @@ def plan(
         out = out.unionByName(part)
     return out.select(
         "_id", "_key", "_src", "_none", "_size", "_rows", "source_size", "target",
-        (F.col("_whole") + F.round("_p").cast("int")).alias("copies"))
+        F.col("_whole").alias("copies"), (F.col("_sure") + F.round("_p").cast("long")).alias("more"))
+
+
+def _numbered(units: DataFrame) -> DataFrame:
+    """Every unit once per row, numbered from 0 in _nth; many repetitions are dealt over tasks."""
+    parts = units.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_rows") - 1, F.lit(REPEATED).cast("long"))))
+    each = F.sequence(F.col("_from"), F.least(F.col("_from") + REPEATED, F.col("_rows")) - 1)
+    return parts.repartition("_key", "_from").withColumn("_nth", F.explode(each)).drop("_from")
 
 
 def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", **settings) -> DataFrame:
-    """Per row: doc_id, size, source_size, target and taken, the words the mix takes of it (repeats counted)."""
-    units = plan(docs, text, doc_id, source, **settings)
-    return units.select(
-        F.explode(F.array_repeat("_size", F.col("_rows").cast("int"))).alias("size"),
-        F.col("_id").alias(doc_id), "source_size", "target", (F.col("_size") * F.col("copies")).alias("taken"),
-    ).select(doc_id, "size", "source_size", "target", "taken")
+    """Per row: doc_id, size, source_size, target and taken, the words the mix takes of it (repeats counted).
+
+    Nulls, repeated rows and empty tables are as in :func:`plan`; columns that are not named are not read.
+    """
+    rows = _numbered(plan(docs, text, doc_id, source, **settings))
+    times = F.col("copies") + F.when(F.col("_nth") < F.col("more"), 1).otherwise(0)
+    return rows.select(
+        F.col("_id").alias(doc_id), F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * times).alias("taken"))
 
 
 def mixed(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", **settings,
 ) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it."""
-    units = plan(docs, text, doc_id, source, **settings).where("copies > 0")
+    """The rows of docs, each as often as the mix takes it, with all their columns, whatever their names."""
+    key = ["_key", "_src", "_none"]
+    units = plan(docs, text, doc_id, source, **settings).select(*key, "_rows", "copies", "more")
+    # rows of other doc_ids and texts that share a hash are one unit here
+    units, _ = written(units.groupBy(*key).agg(
+        F.sum("_rows").alias("_rows"), F.max("copies").cast("long").alias("copies"), F.sum("more").alias("more")), "mix-taken")
     names: Iterable[str] = docs.columns
     rows = docs.select(
         *(docs[f"`{n}`"].alias(f"_in_{i}") for i, n in enumerate(names)),
         F.xxhash64(docs[f"`{doc_id}`"], docs[f"`{text}`"]).alias("_key"),
         F.coalesce(docs[f"`{source}`"].cast("string"), F.lit("")).alias("_src"), docs[f"`{source}`"].isNull().alias("_none"),
     )
-    taken = units.select("_key", "_src", "_none", "copies").groupBy("_key", "_src", "_none").agg(F.max("copies").alias("copies"))
+    alike = (F.col("more") == 0) | (F.col("more") == F.col("_rows"))
+    same = units.where(alike).select(*key, (F.col("copies") + F.when(F.col("more") > 0, 1).otherwise(0)).alias("times"))
+    taken = rows.join(same.where("times > 0"), key)
+    if not (unlike := units.where(~alike)).isEmpty():
+        taken = taken.unionByName(_some_once_more(rows.join(unlike, key), key))
     return (
-        rows.join(taken, ["_key", "_src", "_none"])
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
         .select(*(F.col(f"_in_{i}").alias(n) for i, n in enumerate(names)))
     )
+
+
+def _some_once_more(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Of each unit's rows `copies` each, and `more` of them once more. They are numbered by written partition: what is
+    counted per unit is a row per partition."""
+    kept, _ = written(rows.withColumn("_at", F.monotonically_increasing_id()), "mix-repeated")
+    kept = kept.withColumn("_part", F.shiftright("_at", 33))
+    counts = kept.groupBy(*key, "_part").agg(F.count(F.lit(1)).alias("_own"))
+    before = F.sum("_own").over(Window.partitionBy(*key).orderBy("_part")) - F.col("_own")
+    placed = kept.join(counts.withColumn("_before", before).drop("_own"), [*key, "_part"])
+    nth = F.col("_before") + F.row_number().over(Window.partitionBy(*key, "_part").orderBy("_at")) - 1
+    times = F.col("copies") + F.when(nth < F.col("more"), 1).otherwise(0)
+    return placed.withColumn("times", times).where("times > 0").drop("_rows", "copies", "more", "_at", "_part", "_before")
