@@ -22,11 +22,10 @@ from functools import lru_cache
 from urllib.parse import urlsplit
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kwarta.llm.shared import new_folder, small_batches, written
+from kwarta.llm.shared import new_folder, place, qualified, small_batches, written
 
 #: Payloads below this many bytes are always written.
 LEAST_SHARED = 1_000
@@ -40,15 +39,6 @@ _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 _GZIP = 31  # zlib's window for gzip members
 
 
-def place(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path, as executors' Python reaches it."""
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
-
-
 def reversed_host(url: str | None) -> str:
     """Key that sorts a site's pages together: host parts in reverse, then the rest; "-" without a url."""
     if not url:
@@ -137,7 +127,9 @@ def write_archives(
     null page_id is below all others; where no id is known all are responses. Empty table: no archive.
     """
     small_batches(pages.sparkSession)
-    place(folder)[0].create_dir(place(folder)[1], recursive=True)
+    folder = qualified(pages.sparkSession, folder)
+    system, root = place(folder)
+    system.create_dir(root, recursive=True)
     rows = pages.select(
         pages[f"`{page_id}`"].cast("long").alias("id"), pages[f"`{url}`"].cast("string").alias("url"),
         F.encode(F.coalesce(pages[f"`{payload}`"].cast("string"), F.lit("")), "UTF-8").alias("payload"))
@@ -167,6 +159,7 @@ def build_index(captures: DataFrame, archives: str, folder: str, *, lines: int =
 
     Key and page_id deal them out, so a key with many captures spreads over blocks and shards.
     """
+    archives, folder = qualified(captures.sparkSession, archives), qualified(captures.sparkSession, folder)
     system, root = place(folder)
     system.create_dir(root, recursive=True)
 
@@ -223,19 +216,25 @@ def _block(folder: str, name: str, start: int, size: int) -> tuple[list[str], li
     return [r[0] for r in rows], rows
 
 
-def captures_of(index: Index, key: str) -> Iterator[list]:
-    """A key's captures: bisect shards, bisect the directory, read the blocks that can hold it."""
+def blocks_of(index: Index, key: str) -> Iterator[tuple[str, int, int]]:
+    """The blocks that can hold a key, as shard and byte range: bisect the shards' bounds, then their directories."""
     for shard in range(bisect_left(index.last, key), bisect_right(index.first, key)):
         first, last, places = _directory(index.folder, index.name[shard])
         for b in range(bisect_left(last, key), bisect_right(first, key)):
-            keys, rows = _block(index.folder, index.name[shard], *places[b])
-            yield from rows[bisect_left(keys, key) : bisect_right(keys, key)]
+            yield index.name[shard], *places[b]
+
+
+def captures_in(index: Index, key: str, name: str, start: int, size: int) -> list[list]:
+    """A key's captures in a block."""
+    keys, rows = _block(index.folder, name, start, size)
+    return rows[bisect_left(keys, key) : bisect_right(keys, key)]
 
 
 def lookup(spark: SparkSession, index: Index, urls: DataFrame, url: str = "url") -> DataFrame:
     """Captures of every distinct url (null too): key, page_id, path, start, bytes. Unknown urls give no row.
 
-    The keys are sorted first, so that a task stays within few blocks.
+    Directories tell which blocks can hold a key. The pairs are then dealt by block, so the blocks of a key with many
+    captures are read by many tasks, and each block by one.
     """
     sent = spark.sparkContext.broadcast(index)
 
@@ -243,6 +242,15 @@ def lookup(spark: SparkSession, index: Index, urls: DataFrame, url: str = "url")
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([reversed_host(u) for u in batch.column(0).to_pylist()], pa.string())], names=["key"])
 
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for key in batch.column(0).to_pylist():
+                rows += [(key, *block) for block in blocks_of(sent.value, key)]
+            if rows:
+                columns = zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in columns], names=["key", "name", "start", "size"])
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
 
@@ -252,18 +260,18 @@ def lookup(spark: SparkSession, index: Index, urls: DataFrame, url: str = "url")
 
         for batch in batches:
             rows = []
-            for key in batch.column(0).to_pylist():
-                for capture in captures_of(sent.value, key):
-                    rows.append(capture)
-                    if len(rows) >= BLOCK_LINES:
-                        yield batch_of(rows)
-                        rows = []
+            for wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rows += captures_in(sent.value, *wanted)
+                if len(rows) >= BLOCK_LINES:
+                    yield batch_of(rows)
+                    rows = []
             if rows:
                 yield batch_of(rows)
 
     distinct, _ = written(urls.select(urls[f"`{url}`"].cast("string").alias("url")).mapInArrow(keys, "key string").distinct(), "warc-keys")
-    wanted = distinct.repartitionByRange("key").sortWithinPartitions("key")
-    return wanted.mapInArrow(find, "key string, page_id long, path string, start long, bytes long")
+    wanted = distinct.repartition("key").mapInArrow(blocks, "key string, name string, start long, size long")
+    dealt = wanted.repartition("name", "start").sortWithinPartitions("name", "start", "key")
+    return dealt.mapInArrow(find, "key string, page_id long, path string, start long, bytes long")
 
 
 def read(captures: DataFrame, archives: str) -> DataFrame:
@@ -308,7 +316,9 @@ def round_trip(pages: DataFrame, payload: str = "html", url: str = "url", page_i
     """Write every page, look every url up in the index, and read the records back.
 
     Per record: page_id, payload_bytes and payload_digest (lower-case hex SHA-1) of the full payload,
-    record_type, refers_to; payload_bytes of a revisit are those of the response it names.
+    record_type, refers_to; payload_bytes of a revisit are those of the response it names, which has the same
+    digest: ids may repeat with other payloads. A null page_id, url or payload is a page like others (the payload
+    empty). Repeated rows give repeated records. Empty table: no rows. Columns that are not named are not read.
     """
     spark = pages.sparkSession
     archives = new_folder(spark, "warc")
@@ -319,7 +329,9 @@ def round_trip(pages: DataFrame, payload: str = "html", url: str = "url", page_i
             "page_id", "record_type", "refers_to", F.octet_length("payload").cast("long").alias("size"),
             F.when(F.col("record_type") == "response", F.sha1("payload")).otherwise(F.col("digest")).alias("payload_digest")),
         "warc-records")
-    sizes = records.where("record_type = 'response'").select(F.col("page_id").alias("response"), F.col("size").alias("full")).distinct()
-    again = records.where("record_type = 'revisit'").join(sizes, F.col("refers_to") == F.col("response"), "left").withColumn("size", F.col("full"))
+    sizes = records.where("record_type = 'response'").select(
+        F.col("page_id").alias("response"), F.col("payload_digest").alias("digest"), F.col("size").alias("full")).distinct()
+    same = (F.col("refers_to") == F.col("response")) & (F.col("payload_digest") == F.col("digest"))
+    again = records.where("record_type = 'revisit'").join(sizes, same, "left").withColumn("size", F.col("full"))
     names = ["page_id", F.col("size").alias("payload_bytes"), "payload_digest", "record_type", "refers_to"]
     return records.where("record_type = 'response'").select(*names).unionByName(again.select(*names))
