@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kwarta.llm.shared import remove, written
+from kwarta.llm.shared import remove, told, written
 
 
 def unite(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -40,19 +40,19 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _smallest(links: DataFrame) -> DataFrame:
-    return links.groupBy("a").agg(F.min("b").alias("m"))
+    return links.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, total: int) -> DataFrame:
     """Every neighbour above a node is linked to the node's smallest neighbour (or the node) instead."""
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = _smallest(both).select("a", F.least("a", "m").alias("m"))
-    return both.join(near, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    near = _smallest(both).select("a", "n", F.least("a", "m").alias("m"))
+    return told(both, near, "a", "n", 2 * total, "m").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, total: int) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
-    joined = links.join(_smallest(links), "a")
+    joined = told(links, _smallest(links), "a", "n", total, "m")
     return joined.select(F.explode(F.array(
         F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
     )).alias("l")).select("l.a", "l.b").where("a <> b")
@@ -61,8 +61,8 @@ def _small_star(links: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> tuple[DataFrame, str]:
     """(a, b) links to a table (node, root): every node that is not its component's smallest. Also its path.
 
-    Self-links are ignored; without links the table is empty. Nothing is gathered in one task or the driver:
-    a node with many links is reduced to a minimum first and joined back.
+    Self-links are ignored; without links the table is empty. Nothing is gathered in one task or the driver: a
+    node's smallest neighbour is found by partial minima, and where a node has many links it is broadcast to them.
     """
     spark = links.sparkSession
     ordered = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -73,5 +73,6 @@ def components(links: DataFrame) -> tuple[DataFrame, str]:
         if now == state:
             return stars.select(F.col("a").alias("node"), F.col("b").alias("root")), path
         state, old = now, path
-        stars, path = written(_small_star(_large_star(stars)).distinct(), "stars")
-        remove(spark, [old])
+        large, between = written(_large_star(stars, now[0]).distinct(), "stars")
+        stars, path = written(_small_star(large, now[0]).distinct(), "stars")
+        remove(spark, [old, between])

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kwarta.llm.components import components
-from kwarta.llm.shared import remove, small_batches, written
+from kwarta.llm.shared import carried, remove, restored, small_batches, told, written
 
 #: Words of a shingle; least similarity in percent.
 WORDS, PERCENT = 5, 75
@@ -34,8 +34,6 @@ BANDS, ROWS = 32, 4
 DEVIATIONS = 4.0
 #: Members of a bucket in a block, and shingles worked on at once.
 BLOCK, AT_ONCE = 256, 200_000
-#: Rows of 8 bytes up to which a table of wanted documents is broadcast; above, it is joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
 
 _U = np.uint64
 _GOLDEN, _M1, _M2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -318,10 +316,9 @@ class _Run:
         """(node, set): the full shingle sets, from the text of one document of each."""
         one = self.features.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("_hash", "_id")).alias("row"))
         wanted = self.kept(one.select("node", "row._hash", "row._id"), "near-wanted")
-        small = wanted.count() <= BROADCAST_ROWS
         side = wanted.select("node", F.col("_hash").alias("h"), F.col("_id").alias("i"))
         where = (F.col("_hash") == F.col("h")) & F.col("_id").eqNullSafe(F.col("i"))
-        texts = self.docs.join(F.broadcast(side) if small else side, where).select("node", "_text")
+        texts = self.docs.join(side, where).select("node", "_text")
         words = self.words
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -370,8 +367,8 @@ def classes(
     remove(run.spark, run.paths)
     own = run.features.select("_id", "_hash", "n", "node")
     with_words = own.where("n > 0").join(final, "node", "left").select("_id", "_hash", "n", F.coalesce("root", "node").alias("root"))
-    lowest = with_words.groupBy("root").agg(F.min("_id").alias("component_id"))
-    named = with_words.join(lowest, "root").select("_id", "_hash", "n", "component_id")
+    lowest = with_words.groupBy("root").agg(F.min("_id").alias("component_id"), F.count(F.lit(1)).alias("size"))
+    named = told(with_words, lowest, "root", "size", own.count(), "component_id").select("_id", "_hash", "n", "component_id")
     without = own.where("n = 0").select("_id", "_hash", "n", F.col("_id").alias("component_id"))
     return named.unionByName(without).select(
         F.col("_id").alias(doc_id), F.col("n").alias("n_shingles"), "component_id",
@@ -379,8 +376,11 @@ def classes(
 
 
 def without_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **settings) -> DataFrame:
-    """The rows of docs that stay: one document of each class."""
+    """The rows of docs that stay: one document of each class, with all columns, whatever their names. Nulls, repeated
+    rows and empty tables are as in :func:`classes`."""
     gone = classes(docs, text, doc_id, **settings).where("not kept").select(
         F.col(doc_id).alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).distinct()
-    same = (F.xxhash64(docs[f"`{text}`"]) == F.col("_gone_hash")) & docs[f"`{doc_id}`"].eqNullSafe(F.col("_gone_id"))
-    return docs.join(gone, same, "left_anti")
+    names = docs.columns
+    rows = docs.select(*carried(docs, names), F.xxhash64(docs[f"`{text}`"]).alias("_hash"), docs[f"`{doc_id}`"].alias("_id"))
+    same = (F.col("_hash") == F.col("_gone_hash")) & F.col("_id").eqNullSafe(F.col("_gone_id"))
+    return rows.join(gone, same, "left_anti").select(*restored(names))

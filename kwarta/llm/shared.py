@@ -85,3 +85,21 @@ def restored(columns: Iterable[str]) -> list[Column]:
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A test table."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+#: A group is large if it holds this share of all rows at least: there are at most 1 / LARGE such groups.
+LARGE = 0.001
+
+
+def told(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, value: str) -> DataFrame:
+    """Rows with their group's value: an inner join on the key, whose large groups meet no task of their own.
+
+    `groups` has one row per key with its number of rows. The large ones are at most 1 / LARGE and are broadcast, so
+    their rows stay where they are; the others are joined as usual.
+    """
+    least = max(2.0, LARGE * total)
+    large = groups.where(F.col(size) >= least).select(F.col(key).alias("_large"), value)
+    others = groups.where(F.col(size) < least).select(key, value)
+    here = rows.join(F.broadcast(large), F.col(key) == F.col("_large")).drop("_large")
+    rest = rows.join(F.broadcast(large.select("_large")), F.col(key) == F.col("_large"), "left_anti")
+    return here.unionByName(rest.join(others, key))
