@@ -3,11 +3,14 @@
 Pieces come from a fixed public vocabulary. Each language has a probability per piece, learned by expectation
 maximisation: the forward-backward algorithm counts a piece in every segmentation of a word by the
 segmentation's share. A text is scored with the forward algorithm: the probability of a word in a language is
-the sum over all ways to cut it into pieces, and a text is the product of its words.
+the sum over all ways to cut it into pieces, and a text is the product of its words. A word is a letter and all
+letters and marks that follow it, however many.
 """
 
 from __future__ import annotations
 
+import re
+from collections import deque
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -24,16 +27,28 @@ from kwarta.llm.shared import small_batches
 DOCS_PER_LANGUAGE, ROUNDS = 500, 2
 #: Added to each piece's expected count.
 SMOOTHING = 0.1
-#: Longer runs of letters are cut there; pieces do not cross the cut.
-LONGEST_RUN = 200
-#: Words whose scores a task remembers; when full, it starts anew.
-WORDS_KEPT = 600_000
+#: Words longer than this are scored in a window that moves along them, and not remembered.
+LONG = 64
+#: Words whose scores a task remembers, and bytes of these scores; when full, it starts anew.
+WORDS_KEPT, BYTES_KEPT = 600_000, 128 << 20
 #: What texts without a letter get.
 UNKNOWN = "und"
 
 _START = "▁"
-_RUN = r"\p{L}{1,%d}" % LONGEST_RUN
+#: A word: letters with the marks that stand on them, as many as there are.
+_RUN = r"\p{L}[\p{L}\p{M}]*"
 _LETTERS = regex.compile(_RUN).findall
+#: The same in lower-case text of the first 256 characters only; the plain engine is several times faster.
+_WIDE, _NARROW_LETTERS = re.compile("[^\x00-\xff]").search, re.compile("[a-zªµºß-öø-ÿ]+").findall
+_PIECE = regex.compile(r"[\p{L}\p{M}]+").fullmatch
+
+
+def words_of(text: str | None) -> list[str]:
+    """The lower-case words of a text."""
+    if not text:
+        return []
+    low = text.lower()
+    return _LETTERS(low) if _WIDE(low) else _NARROW_LETTERS(low)
 
 
 class Pieces:
@@ -42,7 +57,7 @@ class Pieces:
     def __init__(self, path: str) -> None:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         found = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not model.is_control(i) and not model.is_byte(i))
-        usable = [p for p in found if (p == _START or p.removeprefix(_START).isalpha()) and p == p.lower()]
+        usable = [p for p in found if (p == _START or _PIECE(p.removeprefix(_START))) and p == p.lower()]
         self.number = {p: i for i, p in enumerate(dict.fromkeys(usable))}
         self.longest = max(map(len, self.number), default=1)
         #: Two numbers behind the pieces: a letter that is no piece, and no piece at all.
@@ -56,6 +71,10 @@ class Pieces:
         get, none, longest = self.number.get, self.none, self.longest
         for n, places in by_length.items():
             width = min(n, longest)
+            if n > LONG + 1:
+                for k in places:
+                    yield [k], self._grid(_START + words[k], width)
+                continue
             spans = [(max(0, i - size), i) for i in range(1, n + 1) for size in range(1, width + 1)]
             for first in range(0, len(places), 512):
                 some = places[first : first + 512]
@@ -68,6 +87,34 @@ class Pieces:
                 yield some, grid
 
 
+    def _grid(self, word: str, width: int) -> np.ndarray:
+        """The lattice of one long word, a column of pieces at a time."""
+        get, none, n = self.number.get, self.none, len(word)
+        grid = np.full((1, n, width), none, np.int32)
+        for size in range(1, width + 1):
+            grid[0, size - 1 :, size - 1] = np.fromiter((get(word[i : i + size], none) for i in range(n - size + 1)), np.int32, n - size + 1)
+        single = grid[0, :, 0]
+        single[single == none] = self.other
+        return grid
+
+    def long_score(self, word: str, chances: np.ndarray) -> np.ndarray:
+        """The log of a long word's summed probability per language; only the sums that a piece can reach are held."""
+        word, get, scale = _START + word, self.number.get, 0.0
+        window = deque([np.ones(chances.shape[1])], maxlen=self.longest)  # sums of the places before, the nearest last
+        for end in range(1, len(word) + 1):
+            here = np.zeros(chances.shape[1])
+            for size in range(1, len(window) + 1):
+                piece = get(word[end - size : end], self.other if size == 1 else None)
+                if piece is not None:
+                    here += window[-size] * chances[piece]
+            window.append(here)
+            if here.max() < _TINY:
+                for sums in window:
+                    sums *= _LIFT
+                scale -= np.log(_LIFT)
+        return np.log(np.maximum(window[-1], 1e-300)) + scale
+
+
 _TINY, _LIFT = 1e-100, 1e100
 
 
@@ -168,43 +215,50 @@ class Scorer:
     def __init__(self, vocabulary: str, chances: np.ndarray) -> None:
         self._pieces, self._chances = pieces(vocabulary), chances
         self._row: dict[str, int] = {}
+        self._kept = max(1, min(WORDS_KEPT, BYTES_KEPT // (8 * max(1, chances.shape[1]))))
         self._scores = np.zeros((1024, chances.shape[1]))
 
     def _learn(self, words: list[str]) -> None:
         first = len(self._row)
         if (need := first + len(words)) > len(self._scores):
-            self._scores = np.concatenate([self._scores, np.zeros((max(need, len(self._scores)), self._scores.shape[1]))])
+            size = max(need, min(2 * len(self._scores), self._kept))
+            self._scores = np.concatenate([self._scores[:first], np.zeros((size - first, self._scores.shape[1]))])
         for some, grid in self._pieces.lattices(words):
             self._scores[first + np.array(some)] = forward(grid, self._chances)[0]
         self._row.update(zip(words, range(first, need), strict=True))
 
     def score(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """Per text the log probability per language; None without a letter."""
-        cut = [_LETTERS(t.lower()) if t else [] for t in texts]
+        cut, long = [], []
+        for text in texts:
+            words = words_of(text)
+            long.append([w for w in words if len(w) > LONG])
+            cut.append([w for w in words if len(w) <= LONG] if long[-1] else words)
         row = self._row
         new = {w: None for words in cut for w in words if w not in row}
-        if len(row) + len(new) > WORDS_KEPT:
+        if len(row) + len(new) > self._kept:
             row.clear()
             new = {w: None for words in cut for w in words}
         if new:
             self._learn(list(new))
-        return [
-            self._scores[np.fromiter(map(row.__getitem__, words), np.int64, len(words))].sum(axis=0) if words else None
-            for words in cut
-        ]
+        return [self._sum(words, far) if words or far else None for words, far in zip(cut, long, strict=True)]
+
+    def _sum(self, words: list[str], long: list[str]) -> np.ndarray:
+        known = np.fromiter(map(self._row.__getitem__, words), np.int64, len(words))
+        return sum((self._pieces.long_score(w, self._chances) for w in long), self._scores[known].sum(axis=0))
 
 
 def identify(
     docs: DataFrame, vocabulary: str, model: tuple[list[str], np.ndarray], text: str = "text", *, columns: Iterable[str] = ("doc_id",),
 ) -> DataFrame:
-    """The given columns with lang_pred and score, the language's share of the text's probability (0 to 1).
+    """The given columns with lang_pred, score, the language's share of the text's probability (0 to 1), and rejected.
 
-    Whole texts count. Null and empty texts, those without a letter, and all if no language was learned: und,
-    score 0. Ties go to the first language in code point order. Repeated rows give repeated results. Empty
+    Whole texts count. rejected are null and empty texts, and those without a letter: they are und, score 0, and so
+    are all if no language was learned. Ties go to the first language in code point order. Repeated rows give repeated results. Empty
     table: no rows. Input columns named like a result are not carried. The model's size is languages x
     pieces of the vocabulary; it is broadcast.
     """
-    names = [n for n in columns if n not in ("lang_pred", "score")]
+    names = [n for n in columns if n not in ("lang_pred", "score", "rejected")]
     small_batches(docs.sparkSession)
     langs, chances = model
     sent = docs.sparkSession.sparkContext.broadcast(chances)
@@ -213,10 +267,11 @@ def identify(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(vocabulary, sent.value)
         for batch in batches:
-            found, sure = [], []
+            found, sure, out = [], [], []
             texts = batch.column(0).to_pylist()
-            for logs in scorer.score(texts) if langs else [None] * len(texts):
-                if logs is None:
+            for logs in scorer.score(texts) if langs else [np.zeros(0) if words_of(t) else None for t in texts]:
+                out.append(logs is None)
+                if logs is None or not langs:
                     found.append(UNKNOWN)
                     sure.append(0.0)
                     continue
@@ -224,9 +279,9 @@ def identify(
                 found.append(langs[best])
                 sure.append(float(1.0 / np.exp(logs - logs[best]).sum()))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(found, pa.string()), pa.array(sure, pa.float64())],
-                names=[*batch.schema.names[1:], "lang_pred", "score"])
+                [*batch.columns[1:], pa.array(found, pa.string()), pa.array(sure, pa.float64()), pa.array(out, pa.bool_())],
+                names=[*batch.schema.names[1:], "lang_pred", "score", "rejected"])
 
     kept = "".join(f"_in_{i} {rows.schema[f'_in_{i}'].dataType.simpleString()}, " for i in range(len(names)))
-    done = rows.mapInArrow(run, kept + "lang_pred string, score double")
-    return done.select(*(F.col(f"_in_{i}").alias(n) for i, n in enumerate(names)), "lang_pred", "score")
+    done = rows.mapInArrow(run, kept + "lang_pred string, score double, rejected boolean")
+    return done.select(*(F.col(f"_in_{i}").alias(n) for i, n in enumerate(names)), "lang_pred", "score", "rejected")
