@@ -12,7 +12,6 @@ import hashlib
 import json
 import math
 import re
-import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -22,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from kwarta.llm.shared import small_batches
 
@@ -35,12 +35,8 @@ LONGEST_KEPT = 64
 #: First symbol for "last byte of a word"; the 256 symbols below it are the bytes.
 _END = 0x2000
 
-#: Fixed values of the vocabulary's file format: how its normaliser and pre-tokeniser cut lower-case text.
-_PIECES = (
-    r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|"
-    r"[^\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\p{L}\p{N}]+"
-)
-#: The same for text of the first 256 characters only, in lower case; the plain engine is several times faster.
+#: How the vocabulary's normaliser and pre-tokeniser cut text of the first 256 characters, in lower case.
+#: Classes and composition of all others depend on the library's version of Unicode, so the library cuts such text.
 _WIDE = re.compile("[^\x00-\xff]")
 _NARROW_PIECES = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\x09-\x0D\x20\x85\xA0a-zªµºß-öø-ÿ0-9²³¹¼-¾]+"
@@ -108,7 +104,8 @@ class Codec:
             self._automaton.add_word(symbols, (len(symbols), i))
         self._automaton.make_automaton()
         self.words = Found(lambda word: pack(self.word_ids(word)))
-        self._pieces = regex.compile(_PIECES).findall
+        library = Tokenizer.from_file(path)
+        self._normaliser, self._cutter = library.normalizer, library.pre_tokenizer
         self._specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
     def _symbols(self, token: str, end: str) -> str:
@@ -192,13 +189,14 @@ class Codec:
         return ids[::-1]
 
     def _plain_ids(self, text: str) -> bytes:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-        # each character is lowered by itself, so a sigma at a word's end is an ordinary sigma
-        text = text.replace("Σ", "σ").lower()
-        pieces = self._pieces(text) if _WIDE.search(text) else _NARROW_PIECES(text)
+        pieces = self._cut(text) if _WIDE.search(text) else _NARROW_PIECES(text.lower())
         return b"".join(map(self.words.__getitem__, pieces))
 
+    def _cut(self, text: str) -> list[str]:
+        """Pieces of any text by the library's normaliser and pre-tokeniser, which gives a letter for each byte."""
+        cut = self._cutter.pre_tokenize_str(self._normaliser.normalize_str(text))
+        return ["".join(map(self._symbol_of.__getitem__, piece)).encode("latin-1").decode() for piece, _ in cut]
+
     def encode(self, text: str | None) -> bytes:
         """Packed ids of a whole text; special tokens written out in it keep their ids. Null and empty: none."""
         if not text:
