@@ -29,6 +29,8 @@ MOST_LISTS = 4_096
 RECALL, MEASURED = 0.97, 256
 #: Vectors of a block, queries of a pack, and dimensions between two tests.
 BLOCK, PACK, STEP = 2_048, 256, 16
+#: Queries whose distances to all centres a task holds at once.
+PROBED = 512
 #: How far in standard deviations a partial distance may mislead the test.
 EPSILON = 2.1
 
@@ -83,6 +85,20 @@ class Model:
         """Numbers of the nearest lists, nearest first."""
         return self._nearest(turned, self.centres, min(count, len(self.centres)))
 
+    def probed(self, turned: np.ndarray, counts: np.ndarray, need: int, probes: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of a query's place and a list to scan: the nearest `probes`, and further ones until `need` entries are there."""
+        nearest = self.lists(turned, probes)
+        places, found = [np.repeat(np.arange(len(turned)), nearest.shape[1])], [nearest.ravel()]
+        short = np.flatnonzero(counts[nearest].sum(axis=1) < need)
+        if len(short):
+            order = self.lists(turned[short], len(self.centres))
+            enough = (np.cumsum(counts[order], axis=1) < need).sum(axis=1) + 1
+            at = np.arange(order.shape[1])[None, :]
+            q, more = np.nonzero((at >= nearest.shape[1]) & (at < enough[:, None]))
+            places.append(short[q])
+            found.append(order[q, more])
+        return np.concatenate(places), np.concatenate(found)
+
     def bounds(self, turned: np.ndarray, k: int) -> np.ndarray:
         """Per query a squared distance within which k entries lie for sure."""
         if len(self.sample) < k:
@@ -161,10 +177,10 @@ def search(
     entries = all_entries.where(F.size("v") == size)
     rows = entries.count()
     draw = F.pmod(F.xxhash64("v"), F.lit(1_000_003)) < F.lit(int(1_000_003 * min(1.0, sample / rows)) + 1)
-    drawn = entries.where(draw).select("v").orderBy(F.xxhash64("v"), "v").limit(2 * sample).collect()
-    if not drawn:
-        drawn = entries.select("v").limit(sample).collect()
-    model = Model(np.array([r["v"] for r in drawn], float), rows, seed, per_list)
+    drawn = entries.where(draw).select("v").orderBy(F.xxhash64("v"), "v").limit(2 * sample).toArrow().column(0)
+    if not len(drawn):
+        drawn = entries.select("v").limit(sample).toArrow().column(0)
+    model = Model(_matrix(drawn.combine_chunks(), size), rows, seed, per_list)
     sent = spark.sparkContext.broadcast(model)
     need, probes = k + 1, model.probes(k, recall)
 
@@ -178,24 +194,22 @@ def search(
 
     filed, _ = written(entries.select("v", "ids").mapInArrow(file, "list long, v array<double>, ids array<long>"), "ann-lists")
     held = {r["list"]: r["n"] for r in filed.groupBy("list").agg(F.sum(F.size("ids")).alias("n")).collect()}  # a row per list
-    held_sent = spark.sparkContext.broadcast(held)
+    counts = np.zeros(len(model.centres), np.int64)
+    counts[list(held)] = list(held.values())
+    counts_sent = spark.sparkContext.broadcast(counts)
     asked, _ = written(_usable(queries, vector, vec_id).where(F.size("v") == size).distinct(), "ann-queries")
     searched, _ = written(asked.groupBy("v").agg(F.min("id").alias("q")), "ann-searched")  # equal queries: one search
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, count = sent.value, held_sent.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            turned = _matrix(batch.column(0), size) @ known.rotation
-            nearest = known.lists(turned, len(known.centres))
-            has = np.cumsum(np.vectorize(lambda i: count.get(i, 0))(nearest), axis=1)
-            enough = np.maximum((has < need).sum(axis=1) + 1, probes)  # further lists until k are there
-            q, at = np.nonzero(np.arange(nearest.shape[1])[None, :] < enough[:, None])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nearest[q, at]), batch.column(0).take(pa.array(q)), batch.column(1).take(pa.array(q)),
-                 pa.array(known.bounds(turned, need)[q])],
-                names=["list", "v", "q", "bound"])
+        for whole in batches:
+            for low in range(0, whole.num_rows, PROBED):
+                batch = whole.slice(low, PROBED)
+                turned = _matrix(batch.column(0), size) @ sent.value.rotation
+                q, lists = sent.value.probed(turned, counts_sent.value, need, probes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(lists), batch.column(0).take(pa.array(q)), batch.column(1).take(pa.array(q)),
+                     pa.array(sent.value.bounds(turned, need)[q])],
+                    names=["list", "v", "q", "bound"])
 
     probed = searched.select("v", "q").mapInArrow(probe, "list long, v array<double>, q long, bound double")
     blocks = _packed(filed, "list", BLOCK, {"ids": "ids"})
