@@ -97,6 +97,14 @@ class Lake:
     def event_keys(self) -> str:
         return self.table("silver/event_keys")
 
+    @property
+    def user_keys(self) -> str:
+        return self.table("silver/user_keys")
+
+    @property
+    def merchant_keys(self) -> str:
+        return self.table("silver/merchant_keys")
+
     @property
     def activity(self) -> str:
         return self.table("silver/user_activity")
@@ -125,6 +133,19 @@ class Lake:
     def hourly(self) -> str:
         return self.table("gold/mart_hourly_velocity")
 
+    def segmented(self) -> list[str]:
+        """Tables that are searched by key in every load."""
+        return [self.event_keys, self.user_keys, self.merchant_keys, self.stretches]
+
+    @property
+    def touched(self) -> str:
+        """Days whose facts have changed since their marts were built: a folder per day, a small file per load."""
+        return self.table("_touched")
+
+    def load_mark(self, load: str, step: str) -> str:
+        """A small file that tells that a load has begun, or is done."""
+        return self.table(f"_loads/{load}/{step}")
+
     def silver(self) -> list[str]:
         return [self.users, self.merchants, self.facts]
 

@@ -7,11 +7,14 @@ from __future__ import annotations
 
 import re
 import uuid
-from datetime import timedelta
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
+from datetime import date, timedelta
 from hashlib import sha256
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kwarta import schemas
@@ -21,7 +24,7 @@ from kwarta.operators import fraud
 from kwarta.operators.history import score_with_history, stretches_of
 from kwarta.operators.keyed import first_per_key, lookup, missing_from, present_in
 from kwarta.plans import silver
-from kwarta.sinks import tables
+from kwarta.sinks import segments, tables
 
 # The fact table's columns besides its key and date.
 FACT_COLUMNS = [
@@ -126,21 +129,42 @@ def _same_days(stored: DataFrame, rows: DataFrame, column: str = "event_timestam
     return stored.filter(F.col("event_date").between(F.lit(first), F.lit(last)))
 
 
-def unseen(rows: DataFrame, lake: Lake, load_id: str) -> DataFrame:
+#: Rows of a load whose keys are searched for as a list; a larger load is joined with all stored keys.
+LISTED = 50_000
+
+
+def keys_in(rows: DataFrame, columns: tuple[str, ...] = ("event_id", "user_id", "merchant_id")) -> dict[str, list[int]] | None:
+    """The hashes of a small load's keys, by column. None for a load of more than LISTED rows."""
+    hashes = [F.when(F.col(c).isNotNull(), segments.hash_of(c)).alias(c) for c in columns]
+    found = rows.select(F.struct(*hashes).alias("k")).limit(LISTED + 1).agg(F.collect_list("k")).first()[0]
+    return None if len(found) > LISTED else {c: sorted({r[c] for r in found} - {None}) for c in columns}
+
+
+def _stored(rows: DataFrame, path: str, column: str, keys: dict[str, list[int]] | None, rare: bool = False) -> DataFrame:
+    """What a keyed table holds of the rows' keys. `rare`: most are not stored, so their hashes are looked for first."""
+    spark, key = rows.sparkSession, segments.kind_of(path).key
+    if keys is None:
+        return segments.read(spark, path).join(rows.select(F.col(column).alias(key)), key, "left_semi")
+    hashes = segments.known_hashes(spark, path, keys[column]) if rare else keys[column]
+    return segments.lookup(spark, path, hashes)
+
+
+def unseen(rows: DataFrame, lake: Lake, load_id: str, keys: dict[str, list[int]] | None = None) -> DataFrame:
     """One row per event, and none that another load has brought, on whatever day.
 
     What this very load has stored under the same date is kept: the load is then being repeated, after a
     crash perhaps, and the later steps find what is stored already.
     """
     unique = first_per_key(rows, ["event_id"], ["event_timestamp", F.xxhash64(*rows.columns)])
-    keys = tables.read(rows.sparkSession, lake.event_keys).withColumnsRenamed(
-        {"transaction_id": "event_id", "event_date": "_date", "load_id": "_load"})
-    known = keys.join(unique.select("event_id"), "event_id", "left_semi")
+    known = _stored(rows, lake.event_keys, "event_id", keys, rare=True).select(
+        F.col("transaction_id").alias("_known"), F.col("event_date").alias("_date"), F.col("load_id").alias("_load"))
     own = (F.col("_load") == load_id) & (F.col("_date") == F.to_date("event_timestamp"))
-    return unique.join(known, (unique["event_id"] == known["event_id"]) & ~own, "left_anti")
+    return unique.join(known, (F.col("event_id") == F.col("_known")) & ~own, "left_anti")
 
 
-def earlier(rows: DataFrame, lake: Lake, load_id: str, rules: Rules = DEFAULT_RULES) -> tuple[DataFrame, DataFrame]:
+def earlier(
+    rows: DataFrame, lake: Lake, load_id: str, rules: Rules = DEFAULT_RULES, keys: dict[str, list[int]] | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """What other loads have stored of these rows' users: events as far back as a rule looks, and stretches."""
     spark, users = rows.sparkSession, rows.select("user_id").distinct()
     back = max(rules.velocity_window, rules.jump_window) // timedelta(microseconds=1)
@@ -148,7 +172,7 @@ def earlier(rows: DataFrame, lake: Lake, load_id: str, rules: Rules = DEFAULT_RU
     start, end = F.timestamp_micros(F.min(at) - back), F.timestamp_micros(F.max(at))
     first, last, first_day, last_day = rows.agg(
         F.unix_micros(start), F.unix_micros(end), F.to_date(start), F.to_date(end)).first()
-    others = F.col("load_id") != load_id
+    others = ~F.col("load_id").eqNullSafe(F.lit(load_id))  # folded stretches name no load
     events = tables.read(spark, lake.activity).filter(others)
     if first is None:
         events = events.filter("false")
@@ -156,14 +180,16 @@ def earlier(rows: DataFrame, lake: Lake, load_id: str, rules: Rules = DEFAULT_RU
         events = events.filter(
             F.col("event_date").between(F.lit(first_day), F.lit(last_day))
             & F.col("event_timestamp").between(F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last))))
-    stretches = tables.read(spark, lake.stretches).filter(others)
+    stretches = _stored(rows, lake.stretches, "user_id", keys).filter(others)
     return events.join(users, "user_id", "left_semi"), stretches.join(users, "user_id", "left_semi")
 
 
 def create_tables(spark: SparkSession, lake: Lake) -> None:
     """Create whichever of the tables are not there yet."""
-    for path in (lake.users, lake.merchants, lake.event_keys, lake.stretches, lake.decisions):
+    for path in (lake.users, lake.merchants, lake.decisions):
         tables.create(spark, path)
+    for path in lake.segmented():
+        segments.create(spark, path)
     for path in (lake.facts, lake.alerts, lake.activity):
         tables.create(spark, path, "event_date")
     tables.create(spark, lake.quarantine, "load_group", "arrival_date")
@@ -172,14 +198,42 @@ def create_tables(spark: SparkSession, lake: Lake) -> None:
     tables.create(spark, lake.hourly, "window_date")
 
 
-def load_dimensions(scored: DataFrame, lake: Lake) -> None:
+def together(spark: SparkSession, *steps: Callable[[], object]) -> None:
+    """Run steps that do not wait for each other at the same time: small writes take longer to plan than to run."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    for step in running:
+        step.result()
+
+
+def load_dimension(
+    scored: DataFrame, lake: Lake, load_id: str, key: str, keys: dict[str, list[int]] | None = None, again: bool = False,
+) -> None:
+    """Store the users or merchants that no load has met. Their keys come first: the repeated load knows its own,
+    and looks in the dimension itself for what it has stored."""
     spark = scored.sparkSession
-    for path, build, schema in (
-        (lake.users, new_users, schemas.USERS),
-        (lake.merchants, new_merchants, schemas.MERCHANTS),
-    ):
-        if tables.exists(spark, path):
-            tables.append(tables.conform(build(scored, tables.read(spark, path)), schema), path)
+    path, keyed, build, schema = {
+        "user_id": (lake.users, lake.user_keys, new_users, schemas.USERS),
+        "merchant_id": (lake.merchants, lake.merchant_keys, new_merchants, schemas.MERCHANTS),
+    }[key]
+    if not tables.exists(spark, path):
+        return
+    known = _stored(scored, keyed, key, keys).filter(F.col("load_id") != load_id)
+    new = build(scored, known)
+    if again:
+        new = missing_from(new, tables.read(spark, path), [key])
+    new = new.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if segments.append(new.select(key, F.lit(load_id).alias("load_id")), keyed, load_group(load_id), few=keys is not None):
+            tables.conform(new, schema).write.mode("append").parquet(path)
+    finally:
+        new.unpersist()
+
+
+def touch(spark: SparkSession, lake: Lake, days: Iterable[date], load_id: str) -> None:
+    """Note the days whose facts a load is about to change, for the marts that stand on them."""
+    for day in days:
+        tables.put_text(spark, f"{lake.touched}/{day.isoformat()}/{load_group(load_id)}", load_id)
 
 
 def load_facts(scored: DataFrame, lake: Lake, again: bool = False) -> None:
@@ -211,71 +265,130 @@ STREAMED = "stream"
 
 
 def load_group(load_id: str) -> str:
-    """Folder name of a load's quarantine."""
+    """Folder name of what belongs to a load alone."""
     return f"{re.sub('[^A-Za-z0-9_.-]', '_', load_id)}-{sha256(load_id.encode()).hexdigest()[:8]}"
 
 
-def load_quarantine(rejected: DataFrame, lake: Lake, load_id: str, streamed: bool = False) -> None:
+def begin(spark: SparkSession, lake: Lake, load_id: str) -> bool:
+    """Mark a load as begun. Back comes whether it had begun before, so that this is a repetition."""
+    mark = lake.load_mark(load_group(load_id), "begun")
+    if tables.is_there(spark, mark):
+        return True
+    tables.put_text(spark, mark, load_id)
+    return False
+
+
+def finish(spark: SparkSession, lake: Lake, load_id: str) -> None:
+    """Mark a load as done: what it stored may be folded with what others stored."""
+    tables.put_text(spark, lake.load_mark(load_group(load_id), "done"), load_id)
+
+
+def fold(spark: SparkSession, lake: Lake) -> None:
+    """Fold the keyed tables' segments where enough have come together. Every load does it before it begins."""
+    for path in lake.segmented():
+        if segments.is_due(spark, path):
+            segments.fold(spark, path, lambda load: tables.is_there(spark, lake.load_mark(load, "done")))
+
+
+@dataclass(frozen=True)
+class Counts:
+    """Rows of a load: new valid events, those of them that a rule flagged, and rejected payloads."""
+
+    accepted: int = 0
+    flagged: int = 0
+    rejected: int = 0
+
+
+def load_quarantine(rejected: DataFrame, lake: Lake, load_id: str, streamed: bool = False, again: bool = True) -> int:
     """Store rejected rows of a load. Loading it again replaces them, on whatever day and by however many.
 
     A batch has a folder of its own, which is removed first; a crash in between is repaired by running the
-    load again. Micro-batches share a folder per day and are skipped if they are there.
+    load again. Micro-batches share a folder per day. A repeated one is skipped if any of its rows is there,
+    whatever their days: rows without a time of their own arrive on the day they are read. The rows of one
+    load are committed together, so none is missing then.
     """
     spark = rejected.sparkSession
     group = STREAMED if streamed else load_group(load_id)
+    seen = Observation()
     rows = rejected.withColumns({"load_id": F.lit(load_id), "load_group": F.lit(group)})
     if streamed:
-        stored = tables.read(spark, lake.quarantine).filter(
-            (F.col("load_group") == group) & (F.col("arrival_date") >= F.date_sub(F.current_date(), 1)) & (F.col("load_id") == load_id))
-        if not stored.isEmpty():
-            return
+        if again and not tables.read(spark, lake.quarantine).filter((F.col("load_group") == group) & (F.col("load_id") == load_id)).isEmpty():
+            return 0
     else:
         tables.remove(spark, f"{lake.quarantine}/load_group={group}")
-    tables.conform(rows, schemas.QUARANTINE).write.mode("append").partitionBy("load_group", "arrival_date").parquet(lake.quarantine)
+    counted = tables.conform(rows, schemas.QUARANTINE).observe(seen, F.count(F.lit(1)).alias("rejected"))
+    counted.write.mode("append").partitionBy("load_group", "arrival_date").parquet(lake.quarantine)
+    return seen.get.get("rejected", 0)
 
 
-def remember(scored: DataFrame, lake: Lake, load_id: str, rules: Rules = DEFAULT_RULES, history: bool = False) -> None:
+def remember(
+    scored: DataFrame, lake: Lake, load_id: str, rules: Rules = DEFAULT_RULES, history: bool = False, few: bool = False,
+) -> None:
     """Store the keys of a load's events, and with ``history`` what later loads look back on.
 
     This comes before the facts: after a crash in between, the repeated load knows its own keys.
     """
-    day, mine = F.to_date("event_timestamp").alias("event_date"), F.lit(load_id).alias("load_id")
+    spark = scored.sparkSession
+    day, mine, load = F.to_date("event_timestamp").alias("event_date"), F.lit(load_id).alias("load_id"), load_group(load_id)
     keys = scored.select(F.col("event_id").alias("transaction_id"), day, mine)
-    tables.append(tables.conform(keys, schemas.EVENT_KEYS), lake.event_keys)
+    steps = [lambda: segments.append(keys, lake.event_keys, load, few)]
     if history:
         where = (geo.latitude(F.col("province")).alias("lat"), geo.longitude(F.col("province")).alias("lon"))
-        events = scored.select("user_id", "event_id", "event_timestamp", *where, mine, day)
-        tables.append(tables.conform(events, schemas.ACTIVITY), lake.activity, "event_date")
+        events = tables.conform(scored.select("user_id", "event_id", "event_timestamp", *where, mine, day), schemas.ACTIVITY)
         stretches = stretches_of(scored, rules).select("user_id", "stretch", F.col("first.us").alias("first_us"), "last_us", mine)
-        tables.append(tables.conform(stretches, schemas.STRETCHES), lake.stretches)
+        steps += [
+            lambda: tables.append(events, lake.activity, "event_date"),
+            lambda: segments.append(stretches, lake.stretches, load, few),
+        ]
+    together(spark, *steps)
 
 
-def load_rows(rows: DataFrame, lake: Lake, load_id: str, rules: Rules = DEFAULT_RULES, history: bool = False) -> None:
+def load_rows(
+    rows: DataFrame, lake: Lake, load_id: str, rules: Rules = DEFAULT_RULES, history: bool = False, again: bool | None = None,
+) -> Counts:
     """Score a load's valid rows and store what follows from them. Loading it again changes nothing.
 
     ``rows`` is read several times: pass a cached micro-batch or a written table. With ``history`` the rules on
     a user's past see what all earlier loads with ``history`` brought; rows stored before, or delivered
-    twice, do not count as activity. Dimensions come before facts, facts before alerts.
+    twice, do not count as activity. Keys and dimensions come before facts and alerts. ``again`` tells whether
+    this load had begun before; by default that is looked up.
     """
     spark = rows.sparkSession
     if not tables.exists(spark, lake.event_keys):
-        return
-    again = not tables.read(spark, lake.event_keys).filter(F.col("load_id") == load_id).isEmpty()
+        return Counts()
+    if again is None:
+        again = begin(spark, lake, load_id)
+    fold(spark, lake)
+    keys = keys_in(rows)
+    if keys is not None and not keys["event_id"]:
+        return Counts()
     stage = lake.table(f"_stage/{uuid.uuid4().hex}")
-    fresh = unseen(rows, lake, load_id).persist(StorageLevel.MEMORY_AND_DISK)
+    fresh = unseen(rows, lake, load_id, keys).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if history:
-            scored = score_with_history(fresh, rules, before=earlier(fresh, lake, load_id, rules))
+            scored = score_with_history(fresh, rules, before=earlier(fresh, lake, load_id, rules, keys))
         else:
             scored = silver.score(fresh, rules)
         # Written, not cached: appending to a table would have every cached plan that reads it computed again.
-        scored.write.parquet(stage)
+        seen, schema = Observation(), scored.schema
+        scored.observe(
+            seen, F.count(F.lit(1)).alias("accepted"), F.count_if("fraud_flag").alias("flagged"),
+            F.collect_set(F.date_format("event_timestamp", "yyyy-MM-dd")).alias("days"),
+        ).write.parquet(stage)
         fresh.unpersist()
-        scored = spark.read.schema(scored.schema).parquet(stage)
-        remember(scored, lake, load_id, rules, history)
-        load_dimensions(scored, lake)
-        load_facts(scored, lake, again)
-        load_alerts(scored, lake, again)
+        counts = Counts(seen.get["accepted"], seen.get["flagged"])
+        if not counts.accepted:
+            return counts
+        scored = spark.read.schema(schema).parquet(stage)
+        together(
+            spark,
+            lambda: remember(scored, lake, load_id, rules, history, few=keys is not None),
+            lambda: load_dimension(scored, lake, load_id, "user_id", keys, again),
+            lambda: load_dimension(scored, lake, load_id, "merchant_id", keys, again),
+        )
+        touch(spark, lake, map(date.fromisoformat, seen.get["days"]), load_id)
+        together(spark, lambda: load_facts(scored, lake, again), lambda: load_alerts(scored, lake, again))
+        return counts
     finally:
         fresh.unpersist()
         tables.remove(spark, stage)
@@ -289,7 +402,7 @@ def load_batch(
     history: bool = False,
     extra: tuple[str, ...] = (),
     stage: str | None = None,
-) -> None:
+) -> Counts:
     """Load raw payloads of any volume in one go, with all rules or only the row-local ones.
 
     The parsed rows are written once, to ``stage`` (default: a new folder below the lake), loaded from there,
@@ -303,7 +416,9 @@ def load_batch(
     cleansed.write.parquet(stage)
     try:
         staged = spark.read.schema(cleansed.schema).parquet(stage)
-        load_rows(silver.valid(staged), lake, load_id, rules, history)
-        load_quarantine(silver.quarantined(staged), lake, load_id)
+        counts = load_rows(silver.valid(staged), lake, load_id, rules, history)
+        rejected = load_quarantine(silver.quarantined(staged), lake, load_id)
+        finish(spark, lake, load_id)
+        return replace(counts, rejected=rejected)
     finally:
         tables.remove(spark, stage)

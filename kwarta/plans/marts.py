@@ -1,11 +1,13 @@
 """The daily and hourly marts. Each build is a function of ``as_of`` and can be repeated.
 
 The user and merchant marts cover the day before ``as_of``, or the ``days`` days before it for a
-backfill in one job. The hourly mart runs from the midnight before through ``as_of``.
+backfill in one job. The hourly mart runs from the midnight before through ``as_of``. All can be built for any
+set of days instead: every load notes the days whose facts it changes, and :func:`refresh` rebuilds those.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,15 +33,23 @@ def days_before(as_of: datetime | str, days: int = 1) -> list[date]:
     return [(end - n * DAY).date() for n in range(days, 0, -1)]
 
 
+def on_days(facts: DataFrame, days: Iterable[date]) -> DataFrame:
+    """The facts of those days. Other partitions are not opened."""
+    return facts.filter(F.col("event_date").isin(sorted(set(days))))
+
+
 def user_daily(
     facts: DataFrame,
     merchants: DataFrame,
     as_of: datetime | str,
     days: int = 1,
     now: Column | None = None,
+    on: Iterable[date] | None = None,
 ) -> DataFrame:
     """Spending of each user on each day, with the most frequent category and merchant.
 
+    ``on`` names the days instead of ``days`` before ``as_of``.
+
     Facts are reduced to one row per (user, day, merchant) before the join, so a busy merchant
     reaches it as one row per user and a busy user as one row per merchant. The two modes are the
     largest of pre-counted groups; no per-user list of values is ever held.
@@ -47,7 +57,7 @@ def user_daily(
     end = midnight(as_of)
     key = ["user_id", "spend_date"]
     visits = (
-        time_range(facts, end - days * DAY, end)
+        (time_range(facts, end - days * DAY, end) if on is None else on_days(facts, on))
         .groupBy("user_id", F.to_date("event_timestamp").alias("spend_date"), "merchant_id")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -98,17 +108,18 @@ def _growth(today: Column, before: Column) -> Column:
 
 
 def merchant_daily(
-    facts: DataFrame, as_of: datetime | str, days: int = 1, now: Column | None = None
+    facts: DataFrame, as_of: datetime | str, days: int = 1, now: Column | None = None, on: Iterable[date] | None = None
 ) -> DataFrame:
-    """Volume, customers, channels and growth of each merchant on each day.
+    """Volume, customers, channels and growth of each merchant on each day. ``on`` names the days instead.
 
     Growth needs one more day of facts than is reported. Counting distinct users makes Spark group
     by (merchant, day, user) first, which spreads a busy merchant over all tasks.
     """
     end = midnight(as_of)
     start = end - days * DAY
+    wanted = days_before(as_of, days) if on is None else sorted(set(on))
     daily = (
-        time_range(facts, start - DAY, end)
+        (time_range(facts, start - DAY, end) if on is None else on_days(facts, [*wanted, *(d - DAY for d in wanted)]))
         .filter("merchant_id IS NOT NULL")
         .groupBy("merchant_id", F.to_date("event_timestamp").alias("analysis_date"))
         .agg(
@@ -126,7 +137,7 @@ def merchant_daily(
     n = F.col("transaction_count")
     return (
         daily.withColumn("growth_vs_yesterday", _day_over_day("analysis_date"))
-        .filter(F.col("analysis_date") >= F.lit(start.date()))
+        .filter(F.col("analysis_date").isin(wanted))
         .select(
             "merchant_id",
             "analysis_date",
@@ -164,12 +175,12 @@ def merchant_growth(facts: DataFrame) -> DataFrame:
     )
 
 
-def hourly(facts: DataFrame, as_of: datetime | str, now: Column | None = None) -> DataFrame:
-    """System-wide volume, rates and processing time per hour."""
+def hourly(facts: DataFrame, as_of: datetime | str, now: Column | None = None, on: Iterable[date] | None = None) -> DataFrame:
+    """System-wide volume, rates and processing time per hour. ``on`` names whole days instead."""
     n, ok = F.count(F.lit(1)), F.count_if(F.col("status") == "SUCCESS")
     flagged = F.count_if("fraud_flag")
     return (
-        time_range(facts, midnight(as_of) - DAY, instant(as_of), include_end=True)
+        (time_range(facts, midnight(as_of) - DAY, instant(as_of), include_end=True) if on is None else on_days(facts, on))
         .groupBy(hour_floor("event_timestamp").alias("window_hour"))
         .agg(
             n.alias("transaction_count"),
@@ -185,35 +196,72 @@ def hourly(facts: DataFrame, as_of: datetime | str, now: Column | None = None) -
     )
 
 
-def build_user_daily(lake: Lake, facts: DataFrame, merchants: DataFrame, as_of, days: int = 1) -> None:
-    rows = tables.conform(user_daily(facts, merchants, as_of, days), schemas.USER_DAILY)
-    merge_by_key(
-        lake.user_daily, rows, ["user_id", "spend_date"], "spend_date", days_before(as_of, days)
-    )
+def build_user_daily(
+    lake: Lake, facts: DataFrame, merchants: DataFrame, as_of, days: int = 1, on: Iterable[date] | None = None
+) -> None:
+    rows = tables.conform(user_daily(facts, merchants, as_of, days, on=on), schemas.USER_DAILY)
+    touched = days_before(as_of, days) if on is None else sorted(set(on))
+    merge_by_key(lake.user_daily, rows, ["user_id", "spend_date"], "spend_date", touched)
 
 
-def build_merchant_daily(lake: Lake, facts: DataFrame, as_of, days: int = 1) -> None:
-    rows = tables.conform(merchant_daily(facts, as_of, days), schemas.MERCHANT_DAILY)
-    merge_by_key(
-        lake.merchant_daily, rows, ["merchant_id", "analysis_date"], "analysis_date",
-        days_before(as_of, days),
-    )
+def build_merchant_daily(lake: Lake, facts: DataFrame, as_of, days: int = 1, on: Iterable[date] | None = None) -> None:
+    rows = tables.conform(merchant_daily(facts, as_of, days, on=on), schemas.MERCHANT_DAILY)
+    touched = days_before(as_of, days) if on is None else sorted(set(on))
+    merge_by_key(lake.merchant_daily, rows, ["merchant_id", "analysis_date"], "analysis_date", touched)
 
 
-def build_hourly(lake: Lake, facts: DataFrame, as_of) -> None:
-    dated = hourly(facts, as_of).withColumn("window_date", F.to_date("window_hour"))
-    merge_by_key(
-        lake.hourly, tables.conform(dated, schemas.HOURLY), ["window_hour"], "window_date",
-        [*days_before(as_of), instant(as_of).date()],
-    )
+def build_hourly(lake: Lake, facts: DataFrame, as_of, on: Iterable[date] | None = None) -> None:
+    dated = hourly(facts, as_of, on=on).withColumn("window_date", F.to_date("window_hour"))
+    touched = [*days_before(as_of), instant(as_of).date()] if on is None else sorted(set(on))
+    merge_by_key(lake.hourly, tables.conform(dated, schemas.HOURLY), ["window_hour"], "window_date", touched)
+
+
+def touched_days(lake: Lake, spark, as_of) -> dict[date, list[str]]:
+    """Closed days whose facts have changed since their marts were built, with the notes that say so."""
+    days = sorted(map(date.fromisoformat, tables.names_in(spark, lake.touched)))
+    return {d: notes for d in days if d < midnight(as_of).date() and (notes := tables.names_in(spark, f"{lake.touched}/{d}"))}
+
+
+def _settle(lake: Lake, spark, seen: dict[date, list[str]]) -> None:
+    """Forget notes that have been seen. What a load has noted meanwhile stays."""
+    for day, notes in seen.items():
+        for note in notes:
+            tables.remove(spark, f"{lake.touched}/{day}/{note}")
+        tables.remove_if_empty(spark, f"{lake.touched}/{day}")
+
+
+def _rebuild(lake: Lake, facts: DataFrame, merchants: DataFrame, as_of, days: list[date]) -> None:
+    """The marts of those days. A merchant's growth on the day after stands on them too."""
+    after = {d + DAY for d in days if d + DAY < midnight(as_of).date()}
+    build_user_daily(lake, facts, merchants, as_of, on=days)
+    build_merchant_daily(lake, facts, as_of, on={*days, *after})
+    build_hourly(lake, facts, as_of, on=days)
+
+
+def refresh(lake: Lake, spark, as_of) -> list[date]:
+    """Rebuild the marts of the closed days that loads have changed, however old; back come these days.
+
+    Only their partitions are read and written. The notes are read before the facts and forgotten after the
+    marts, so a load that comes in between is seen here or by the next refresh, and a refresh that fails
+    is done again.
+    """
+    seen = touched_days(lake, spark, as_of)
+    if seen:
+        _rebuild(lake, tables.read(spark, lake.facts), tables.read(spark, lake.merchants), as_of, list(seen))
+        _settle(lake, spark, seen)
+    return list(seen)
 
 
 def build_all(lake: Lake, spark, as_of) -> None:
-    """The nightly build. The three marts do not depend on each other."""
+    """The nightly build: yesterday, the hours up to now, and older days that late facts have changed."""
+    seen = touched_days(lake, spark, as_of)
     facts, merchants = tables.read(spark, lake.facts), tables.read(spark, lake.merchants)
+    if late := [d for d in seen if d not in days_before(as_of)]:
+        _rebuild(lake, facts, merchants, as_of, late)
     build_user_daily(lake, facts, merchants, as_of)
     build_merchant_daily(lake, facts, as_of)
     build_hourly(lake, facts, as_of)
+    _settle(lake, spark, seen)
 
 
 def triage(lake: Lake, decisions: DataFrame) -> None:

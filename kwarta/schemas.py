@@ -65,6 +65,9 @@ ALERTS = _schema(
 
 # Every valid event that was loaded: its key, where it lies, and the load that brought it.
 EVENT_KEYS = _schema("transaction_id string, event_date date, load_id string")
+# The keys of the dimensions' rows, and the load that met them first.
+USER_KEYS = _schema("user_id string, load_id string")
+MERCHANT_KEYS = _schema("merchant_id string, load_id string")
 
 # What the history rules look back on: each event's user, instant and place; and, per user and stretch of the
 # dormancy gap, the first and the last instant.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -17,9 +18,7 @@ BY_NAME = {
     "dim_merchants": schemas.MERCHANTS,
     "fact_transactions": schemas.FACTS,
     "quarantine": schemas.QUARANTINE,
-    "event_keys": schemas.EVENT_KEYS,
     "user_activity": schemas.ACTIVITY,
-    "user_stretches": schemas.STRETCHES,
     "alert_decisions": schemas.DECISIONS,
     "mart_fraud_alerts": schemas.ALERTS,
     "mart_daily_user_dashboard": schemas.USER_DAILY,
@@ -89,10 +88,58 @@ def append(df: DataFrame, path: str, partition: str | None = None) -> None:
     _spread(df, partition).write.mode("append").partitionBy(partition).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder, if it is there."""
+def _place(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or a file, if it is there."""
+    place, files = _place(spark, path)
+    files.delete(place, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    place, files = _place(spark, path)
+    files.mkdirs(place)
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it is not there."""
+    place, files = _place(spark, folder)
+    return [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all."""
+    (place, files), (draft, _) = _place(spark, path), _place(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    out = files.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    files.rename(draft, place)
+
+
+def text_of(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    place, files = _place(spark, path)
+    stream = files.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def remove_if_empty(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that holds nothing."""
+    place, files = _place(spark, folder)
+    if files.exists(place) and not files.listStatus(place):
+        files.delete(place, False)
+
+
+def is_there(spark: SparkSession, path: str) -> bool:
+    place, files = _place(spark, path)
+    return files.exists(place)
 
 
 def compact(spark: SparkSession, path: str, stage: str, partition: str | None = None, where: Column | None = None) -> None:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -12,18 +15,19 @@ from kwarta.plans import load, silver
 
 def load_micro_batch(
     cleansed: DataFrame, load_id: str, lake: Lake, rules: Rules = DEFAULT_RULES, history: bool = False
-) -> None:
+) -> load.Counts:
     """Load one micro-batch of cleansed rows. Loading it again changes nothing.
 
-    The batch feeds several outputs, so it is cached once; its counted size also tells the optimizer that
-    its keys may go to the scans of the stored tables.
+    The batch feeds several outputs, so it is cached once. Its rows are counted by the writes that store them.
     """
+    spark = cleansed.sparkSession
     batch = cleansed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if batch.count() == 0:
-            return
-        load.load_rows(silver.valid(batch), lake, load_id, rules, history)
-        load.load_quarantine(silver.quarantined(batch), lake, load_id, streamed=True)
+        again = load.begin(spark, lake, load_id)
+        counts = load.load_rows(silver.valid(batch), lake, load_id, rules, history, again)
+        rejected = load.load_quarantine(silver.quarantined(batch), lake, load_id, streamed=True, again=again)
+        load.finish(spark, lake, load_id)
+        return replace(counts, rejected=rejected)
     finally:
         batch.unpersist()
 
@@ -36,6 +40,7 @@ def start(
     history: bool = False,
     interval: str | None = "10 seconds",
     extra: tuple[str, ...] = (),
+    on_batch: Callable[[str, load.Counts], None] | None = None,
 ) -> StreamingQuery:
     """Start the job on a streaming ``raw`` whose ``value`` holds payloads.
 
@@ -44,13 +49,16 @@ def start(
     by their stored keys rather than by a watermark, which would also drop late ones.
 
     ``history`` adds the rules on a user's past, by the same operators as a batch load: each micro-batch is
-    scored together with what earlier ones stored of its users.
+    scored together with what earlier ones stored of its users. ``on_batch`` is told each micro-batch's counts.
     """
     cleansed = silver.cleanse(silver.parse(raw, extra))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        load_micro_batch(batch, f"{query}-{batch_id}", lake, rules, history)
+        load_id = f"{query}-{batch_id}"
+        counts = load_micro_batch(batch, load_id, lake, rules, history)
+        if on_batch is not None:
+            on_batch(load_id, counts)
 
     writer = (
         cleansed.writeStream.foreachBatch(handle)

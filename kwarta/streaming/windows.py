@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from kwarta import schemas
+from kwarta.config import Lake
 from kwarta.functions import money
+from kwarta.operators.merge import merge_by_key
+from kwarta.sinks import tables
 
 
 def unique_events(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -37,6 +42,31 @@ def hourly_metrics(scored: DataFrame, delay: str = "10 minutes", hour: str = "1
     )
 
 
+def start_live_hours(
+    scored: DataFrame, lake: Lake, checkpoint: str, delay: str = "10 minutes", interval: str | None = "10 seconds"
+) -> StreamingQuery:
+    """Keep the stored hourly mart up to date while its hours are still open.
+
+    The stream holds one row of sums per open hour and emits the hours that a micro-batch has changed; they are
+    merged by key into the partitions of their days. A replayed micro-batch writes the same rows again. What comes
+    after the watermark has closed an hour is left to the nightly build and :func:`marts.refresh`. ``interval``
+    None processes what there is and stops.
+    """
+
+    def upsert(changed: DataFrame, _: int) -> None:
+        dated = changed.withColumns({"window_date": F.to_date("window_hour"), "created_at": F.current_timestamp()})
+        rows = tables.conform(dated, schemas.HOURLY).persist()
+        try:
+            days = [d for (d,) in rows.select("window_date").distinct().collect()]
+            if days:
+                merge_by_key(lake.hourly, rows, ["window_hour"], "window_date", days)
+        finally:
+            rows.unpersist()
+
+    writer = hourly_metrics(scored, delay).writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
+    return writer.trigger(**({"availableNow": True} if interval is None else {"processingTime": interval})).start()
+
+
 def velocity_windows(
     events: DataFrame,
     more_than: int = 10,

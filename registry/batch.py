@@ -218,6 +218,20 @@ def stored_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return plain(tables.read(spark, lake.alerts)).drop("alert_id", "investigated_by", "notes")
 
 
+def alert_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored alerts of two loads of the same payloads: one id each, and the same id again."""
+    lake = Lake(work_folder(spark, "lake"))
+    load.create_tables(spark, lake)
+    sent = fx.read_payloads(spark, sf)
+    for load_id in ("one", "two"):
+        load.load_batch(sent, lake, load_id, extra=fx.EXTRA_FIELDS)
+    stored = tables.read(spark, lake.alerts).select("alert_id", "transaction_id")
+    again = fraud.alerts(fx.scored(spark, sf)).select("alert_id", "transaction_id", F.lit(True).alias("same"))
+    return stored.join(again, ["alert_id", "transaction_id"], "left").agg(
+        F.count("alert_id").alias("alerts"), F.countDistinct("alert_id").alias("ids"),
+        F.count_if(F.col("alert_id").isNull()).alias("without_id"), F.count("same").alias("recomputed"))
+
+
 def quarantine_reload(spark: SparkSession, sf: str) -> DataFrame:
     """Rows in quarantine after a load of damaged payloads, and after the same load with repaired ones."""
     lake = Lake(work_folder(spark, "lake"))
@@ -234,17 +248,42 @@ def _history_alerts(spark: SparkSession, lake: Lake) -> DataFrame:
     return tables.read(spark, lake.alerts).select("transaction_id", "user_id", "alert_type", "fraud_score")
 
 
-def history_two_loads(spark: SparkSession, sf: str) -> DataFrame:
-    """Alerts of all rules, the events loaded in two parts."""
+def _two_loads(spark: SparkSession, sent: DataFrame) -> DataFrame:
     lake = Lake(work_folder(spark, "lake"))
     load.create_tables(spark, lake)
-    sent, cut = fx.read_payloads(spark, sf), F.lit("2024-01-15").cast("timestamp")
-    at = F.get_json_object("value", "$.event_timestamp").cast("timestamp")
+    cut, at = F.lit("2024-01-15").cast("timestamp"), F.get_json_object("value", "$.event_timestamp").cast("timestamp")
     for load_id, part in (("one", sent.filter(at < cut)), ("two", sent.filter(at >= cut))):
         load.load_batch(part, lake, load_id, fx.SPARSE_RULES, history=True, extra=fx.EXTRA_FIELDS)
     return _history_alerts(spark, lake)
 
 
+def history_two_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts of all rules, the events loaded in two parts."""
+    return _two_loads(spark, fx.read_payloads(spark, sf))
+
+
+def location_two_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with events in known provinces, whose distances the engine looks up."""
+    sent = silver.publish(fx.located(fx.bronze(spark, sf)).drop("geo_key"))
+    return _two_loads(spark, files.read_payloads(spark, fx.landed(sent)))
+
+
+def quarantine_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows in quarantine after micro-batches that run twice: one that arrived three days ago, one whose rows bring
+    times of their own, or none."""
+    lake = Lake(work_folder(spark, "lake"))
+    load.create_tables(spark, lake)
+    sent = dirty_payloads(spark, sf).select("value")
+    ago = F.current_timestamp() - F.expr("INTERVAL 3 DAYS")
+    out = []
+    for batch, cleansed in (("ago", silver.cleanse(silver.parse(sent), ago)), ("own", silver.cleanse(silver.parse(sent, fx.EXTRA_FIELDS)))):
+        for run in (1, 2):
+            job.load_micro_batch(cleansed, f"q-{batch}", lake)
+            stored = tables.read(spark, lake.quarantine).groupBy("load_id").agg(F.count(F.lit(1)).alias("n"))
+            out += [(batch, run, r.load_id, r.n) for r in stored.collect()]
+    return spark.createDataFrame(out, "batch string, run int, load_id string, rejected bigint")
+
+
 def facts_by_partition(spark: SparkSession, sf: str) -> DataFrame:
     """The fact table written in date partitions, and counted by partition when read again."""
     path = Lake(work_folder(spark, "facts")).facts
@@ -276,6 +315,28 @@ def mart_hourly(spark: SparkSession, sf: str) -> DataFrame:
     return plain(marts.hourly(fx.facts(spark, sf), fx.MART_AS_OF))
 
 
+def marts_after_late_load(spark: SparkSession, sf: str) -> DataFrame:
+    """The merchant mart of all days, built as far as facts were there, then refreshed after late ones have come."""
+    lake = Lake(work_folder(spark, "lake"))
+    load.create_tables(spark, lake)
+    sent = fx.read_payloads(spark, sf)
+    late = F.get_json_object("value", "$.event_id").cast("bigint") % 9 == 4
+    for load_id, rows in (("first", sent.filter(~late)), ("late", sent.filter(late))):
+        load.load_batch(rows, lake, load_id, extra=fx.EXTRA_FIELDS)
+        marts.refresh(lake, spark, datetime(2024, 2, 1))
+    return plain(tables.read(spark, lake.merchant_daily))
+
+
+def mart_merchant_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The merchant mart as two nightly builds of the same day leave it."""
+    lake = Lake(work_folder(spark, "lake"))
+    load.create_tables(spark, lake)
+    load.load_batch(fx.read_payloads(spark, sf), lake, "all", extra=fx.EXTRA_FIELDS)
+    for _ in range(2):
+        marts.build_all(lake, spark, fx.MART_AS_OF)
+    return plain(tables.read(spark, lake.merchant_daily).filter(F.col("analysis_date") == F.lit(NIGHTLY)))
+
+
 def merchant_growth(spark: SparkSession, sf: str) -> DataFrame:
     return marts.merchant_growth(fx.facts(spark, sf))
 
@@ -481,23 +542,44 @@ def stream_facts(spark: SparkSession, sf: str) -> DataFrame:
     return plain(tables.read(spark, lake.facts))
 
 
-def stream_history(spark: SparkSession, sf: str) -> DataFrame:
-    """Alerts of all rules, the events streamed in five micro-batches."""
+def _streamed_history(spark: SparkSession, sf: str, places: bool) -> DataFrame:
     folder = work_folder(spark, "silver")
     lake = Lake(folder)
     load.create_tables(spark, lake)
     cuts = [datetime(2024, 1, day) for day in (7, 13, 19, 25)]
-    raw = files.stream_payloads(spark, fx.landed_in_order(spark, sf, cuts), files_per_trigger=1)
+    raw = files.stream_payloads(spark, fx.landed_in_order(spark, sf, cuts, places), files_per_trigger=fx.SPAN_FILES)
     job.start(
         raw, lake, f"{folder}/checkpoint", fx.SPARSE_RULES, history=True, interval=None, extra=fx.EXTRA_FIELDS,
     ).awaitTermination()
     return _history_alerts(spark, lake)
 
 
+def stream_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts of all rules, the events streamed in five micro-batches."""
+    return _streamed_history(spark, sf, places=False)
+
+
+def stream_location(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with events in known provinces."""
+    return _streamed_history(spark, sf, places=True)
+
+
 def stream_hourly_window(spark: SparkSession, sf: str) -> DataFrame:
     return plain(_run_to_table(windows.hourly_metrics(fx.scored_stream(spark, sf)), "hourly"))
 
 
+def stream_hourly_live(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored hourly mart as a stream of five micro-batches keeps it, open hours included."""
+    folder = work_folder(spark, "live")
+    lake = Lake(folder)
+    load.create_tables(spark, lake)
+    cuts = [datetime(2024, 1, day) for day in (7, 13, 19, 25)]
+    raw = files.stream_payloads(spark, fx.landed_in_order(spark, sf, cuts), files_per_trigger=fx.SPAN_FILES)
+    scored = silver.score(silver.valid(silver.cleanse(silver.parse(raw, fx.EXTRA_FIELDS))))
+    windows.start_live_hours(scored, lake, f"{folder}/checkpoint", interval=None).awaitTermination()
+    return plain(tables.read(spark, lake.hourly)).drop("window_date")
+
+
 def stream_velocity_window(spark: SparkSession, sf: str) -> DataFrame:
     spikes = windows.velocity_windows(fx.scored_stream(spark, sf), 2, "6 hours", "1 hour")
     return plain(_run_to_table(spikes, "velocity"))
@@ -517,13 +599,15 @@ QUERIES = {
         fraud_static, fraud_band, fraud_alerts,
         rolling_count, velocity_spike, location_jump, dormant, fraud_history,
         new_users_anti, new_merchants_anti, dedupe_first, facts_load, facts_orphans,
-        load_replay, load_redelivery, stored_alerts, quarantine_reload, history_two_loads, facts_by_partition,
-        mart_user_daily, mart_user_daily_backfill, mart_merchant_daily, mart_hourly,
+        load_replay, load_redelivery, stored_alerts, alert_ids, quarantine_reload, quarantine_replay, history_two_loads,
+        location_two_loads, facts_by_partition,
+        mart_user_daily, mart_user_daily_backfill, mart_merchant_daily, mart_merchant_stored, mart_hourly,
+        marts_after_late_load,
         merchant_growth, merge_user_mart, merge_merchant_mart, merge_hourly_mart, alert_triage,
         report_realtime, report_hourly, report_alerts, report_open_alerts, report_category,
         report_province, report_top_merchants, report_channel, report_live_feed, report_live_fraud,
         dq_constraints, dq_pk_unique, dq_repeated_keys, dq_fk, dq_length, dq_completeness,
         dq_mart_counts, dq_freshness, dq_topic_sample, dq_tables,
-        stream_facts, stream_history, stream_hourly_window, stream_velocity_window, stream_unique_events,
+        stream_facts, stream_history, stream_location, stream_hourly_window, stream_hourly_live, stream_velocity_window, stream_unique_events,
     )
 }

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kwarta.config import Rules
+from kwarta.config import PROVINCE_CENTRES, Rules
 from kwarta.plans import load, silver
 from kwarta.session import work_folder
 from kwarta.sources import files
@@ -124,6 +124,12 @@ def payloads(spark: SparkSession, sf: str) -> DataFrame:
     return silver.publish(bronze(spark, sf).drop("geo_key"))
 
 
+def located(rows: DataFrame) -> DataFrame:
+    """Bronze rows whose nation stands for one of the known provinces, so that the engine finds their places itself."""
+    names = F.array(*map(F.lit, PROVINCE_CENTRES))
+    return rows.withColumn("province", F.get(names, F.col("geo_key") % len(PROVINCE_CENTRES)))
+
+
 def landed(sent: DataFrame) -> str:
     """Payloads written as text files, one per line, the way a topic or a drop folder hands them
     over: parsing starts from plain text and knows nothing of how it was made. The rows are spread
@@ -145,15 +151,20 @@ def scored_stream(spark: SparkSession, sf: str) -> DataFrame:
     return silver.score(silver.valid(silver.cleanse(silver.parse(stream_payloads(spark, sf), EXTRA_FIELDS))))
 
 
-def landed_in_order(spark: SparkSession, sf: str, cuts: list[datetime]) -> str:
-    """Payloads landed in time order, one file per span between the cuts."""
+#: Files that each span of the events is landed in.
+SPAN_FILES = 4
+
+
+def landed_in_order(spark: SparkSession, sf: str, cuts: list[datetime], places: bool = False) -> str:
+    """Payloads landed in time order, SPAN_FILES files per span between the cuts. `places`: in known provinces."""
     folder = work_folder(spark, "landed")
-    rows, edges = bronze(spark, sf).drop("geo_key"), [None, *cuts, None]
+    rows, edges = bronze(spark, sf), [None, *cuts, None]
+    rows = (located(rows) if places else rows).drop("geo_key")
     for start, end in zip(edges, edges[1:], strict=False):
         span = rows
         if start is not None:
             span = span.filter(F.col("event_timestamp") >= F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz"))
         if end is not None:
             span = span.filter(F.col("event_timestamp") < F.lit(end.isoformat(sep=" ")).cast("timestamp_ntz"))
-        silver.publish(span).coalesce(1).write.mode("append").text(f"{folder}/payloads")
+        silver.publish(span).repartition(SPAN_FILES).write.mode("append").text(f"{folder}/payloads")
     return f"{folder}/payloads"

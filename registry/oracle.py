@@ -115,7 +115,7 @@ def _user_mart(rows: str) -> str:
     LEFT JOIN mer ON mer.user_id = tot.user_id AND mer.spend_date = tot.spend_date AND mer.r = 1)"""
 
 
-def _merchant_mart(rows: str, day: str = "2024-01-15") -> str:
+def _merchant_mart(rows: str, days: str = "= DATE '2024-01-15'") -> str:
     return f"""(
   WITH d AS (SELECT merchant_id, CAST(event_timestamp AS DATE) AS analysis_date,
       count(*) AS transaction_count, CAST(sum(amount_php) AS DECIMAL(18,2)) AS total_volume_php,
@@ -127,7 +127,7 @@ def _merchant_mart(rows: str, day: str = "2024-01-15") -> str:
     FROM {rows} GROUP BY ALL)
   SELECT d.*, {_growth('d.total_volume_php', 'p.total_volume_php')} AS growth_vs_yesterday
   FROM d LEFT JOIN d p ON p.merchant_id = d.merchant_id AND p.analysis_date = d.analysis_date - 1
-  WHERE d.analysis_date = DATE '{day}')"""
+  WHERE d.analysis_date {days})"""
 
 
 def _hourly_mart(rows: str) -> str:
@@ -178,10 +178,12 @@ all_facts AS (
     merchant_id IN (SELECT merchant_id FROM known) AS has_merchant
   FROM scored)"""
 
-_IN_ORDER = """
+
+def _in_order(lat: str, lon: str) -> str:
+    """Each event with what its user did before it; the places by `geo_key`."""
+    return f"""
 steps AS (
-  SELECT *, 5 + (geo_key % 5) * 3 AS lat, 117 + (geo_key // 5) * 2 AS lon,
-    epoch_us(event_timestamp) AS us
+  SELECT *, {lat} AS lat, {lon} AS lon, epoch_us(event_timestamp) AS us
   FROM typed),
 seen AS (
   SELECT *, count(*) OVER (PARTITION BY user_id ORDER BY event_timestamp
@@ -200,6 +202,17 @@ hits AS (
     coalesce(us - prev_us >= 86400000000 AND amount_php >= 20000, false) AS dormant_hit
   FROM measured)"""
 
+
+_IN_ORDER = _in_order("5 + (geo_key % 5) * 3", "117 + (geo_key // 5) * 2")
+
+# Latitude and longitude of the known provinces' centres, in the order in which nations stand for them.
+_CENTRES = [
+    (14.60, 120.98), (10.32, 123.89), (7.07, 125.61), (14.28, 120.87), (14.17, 121.33), (14.84, 120.81), (15.03, 120.69),
+    (13.76, 121.06), (14.59, 121.18), (10.67, 122.95), (10.72, 122.56), (16.41, 120.59), (16.04, 120.33), (8.48, 124.65),
+    (7.83, 123.44), (6.11, 125.17), (11.24, 125.00), (9.74, 118.74), (9.65, 123.85),
+]
+_LOCATED = _in_order(*(f"CAST({[c[axis] for c in _CENTRES]}[geo_key % {len(_CENTRES)} + 1] AS DOUBLE)" for axis in (0, 1)))
+
 _OPEN_ALERTS = "SELECT * FROM scored WHERE fraud_flag"
 
 _FACT_LIMITS = {
@@ -230,19 +243,34 @@ def _completeness(columns: list[str], source: str) -> str:
 
 _FACT_COLUMNS = "SELECT * FROM facts"
 
+_HOURS = f"""SELECT date_trunc('hour', event_timestamp) AS window_hour, count(*) AS transaction_count,
+          CAST(sum(amount_php) AS DECIMAL(16,2)) AS total_volume_php,
+          {_count_if("transaction_type = 'PAYMENT'")} AS payment_count,
+          {_count_if("transaction_type = 'TRANSFER'")} AS transfer_count,
+          {_count_if("transaction_type = 'CASHOUT'")} AS cashout_count,
+          {_percent("count(*) FILTER (WHERE status = 'SUCCESS')", 'count(*)')} AS success_rate,
+          {_percent('count(*) FILTER (WHERE fraud_flag)', 'count(*)', 4, 'DECIMAL(7,4)')} AS fraud_rate,
+          CAST(CAST((2 * sum(epoch_us(processing_timestamp) - epoch_us(event_timestamp)) + 10 * count(*)) // (20 * count(*))
+            AS DECIMAL(18,0)) / 100 AS DECIMAL(18,2)) AS avg_processing_ms
+        FROM scored GROUP BY 1"""
+
 _STREAM_LIMIT = "(SELECT date_trunc('millisecond', max(event_timestamp)) - INTERVAL 10 MINUTES FROM typed)"
 
-# The places in the payloads are not among the known provinces, so the location rule never applies.
-_HISTORY_ALERTS = _sql(
-    """SELECT event_id AS transaction_id, user_id, reason AS alert_type,
+
+def _history_alerts(in_order: str, places: bool) -> str:
+    """Alerts of all rules. Where payloads name places that are not known provinces, the location rule never applies."""
+    return _sql(
+        f"""SELECT event_id AS transaction_id, user_id, reason AS alert_type,
           CAST(CASE reason WHEN 'HIGH_AMOUNT_NIGHT' THEN 85 WHEN 'INTERNATIONAL_HIGH_AMOUNT' THEN 65
-            WHEN 'VELOCITY_SPIKE' THEN 75 WHEN 'DORMANT_REACTIVATION' THEN 70 END AS DECIMAL(5,2)) AS fraud_score
+            WHEN 'VELOCITY_SPIKE' THEN 75 WHEN 'LOCATION_JUMP' THEN 90 WHEN 'DORMANT_REACTIVATION' THEN 70 END AS DECIMAL(5,2)) AS fraud_score
         FROM (SELECT hits.event_id, hits.user_id, CASE WHEN scored.fraud_reason IS NOT NULL THEN scored.fraud_reason
-                WHEN velocity_hit THEN 'VELOCITY_SPIKE' WHEN dormant_hit THEN 'DORMANT_REACTIVATION' END AS reason
+                WHEN velocity_hit THEN 'VELOCITY_SPIKE' WHEN {places} AND location_hit THEN 'LOCATION_JUMP'
+                WHEN dormant_hit THEN 'DORMANT_REACTIVATION' END AS reason
               FROM hits JOIN scored ON scored.event_id = hits.event_id)
         WHERE reason <> 'ROUND_AMOUNT'""",
-    _IN_ORDER,
-)
+        in_order,
+    )
+
 
 ORACLE_SQL = {
     "bronze_parse": _sql(
@@ -335,12 +363,23 @@ ORACLE_SQL = {
           amount_php, province, event_timestamp, 'NEW' AS status, CAST(event_timestamp AS DATE) AS event_date
         FROM scored WHERE fraud_flag"""
     ),
+    "alert_ids": _sql(
+        "SELECT count(*) AS alerts, count(*) AS ids, 0 AS without_id, count(*) AS recomputed FROM scored WHERE fraud_flag"
+    ),
     "quarantine_reload": _sql(
         """SELECT 'damaged' AS step, count(*) AS rejected FROM dirty WHERE reject_reason IS NOT NULL
         UNION ALL SELECT 'repaired', count(*) FROM bronze WHERE NOT coalesce(amount_php > 0, false)""",
         _DIRTY,
     ),
-    "history_two_loads": _HISTORY_ALERTS,
+    # what each of two micro-batches leaves, seen after its first run and after its second
+    "quarantine_replay": _sql(
+        """SELECT b.batch, CAST(run AS INTEGER) AS run, 'q-' || seen AS load_id, rejected
+        FROM (SELECT count(*) AS rejected FROM dirty WHERE reject_reason IS NOT NULL),
+             (VALUES ('ago', 'ago'), ('own', 'ago'), ('own', 'own')) AS b(batch, seen), range(1, 3) AS r(run)""",
+        _DIRTY,
+    ),
+    "history_two_loads": _history_alerts(_IN_ORDER, False),
+    "location_two_loads": _history_alerts(_LOCATED, True),
     "facts_by_partition": _sql(
         """SELECT event_date, count(*) AS tx_count, CAST(sum(amount_php) AS DECIMAL(24,2)) AS volume
         FROM facts GROUP BY event_date"""
@@ -348,6 +387,8 @@ ORACLE_SQL = {
     "mart_user_daily": _sql(f"SELECT * FROM {_user_mart(f'(SELECT * FROM facts {_DAY})')}"),
     "mart_user_daily_backfill": _sql(f"SELECT * FROM {_user_mart('facts')}"),
     "mart_merchant_daily": _sql(f"SELECT * FROM {_merchant_mart('facts')}"),
+    "mart_merchant_stored": _sql(f"SELECT * FROM {_merchant_mart('facts')}"),
+    "marts_after_late_load": _sql(f"SELECT * FROM {_merchant_mart('facts', 'IS NOT NULL')}"),
     "mart_hourly": _sql(f"SELECT * FROM {_hourly_mart('facts')}"),
     "merchant_growth": _sql(
         f"""SELECT d.*, {_growth('d.total_volume_php', 'p.total_volume_php')} AS growth_vs_yesterday
@@ -524,25 +565,18 @@ ORACLE_SQL = {
     "dq_topic_sample": """SELECT 'messages sampled' AS "check", '> 0' AS expected,
         least(count(*), 100) AS actual, count(*) > 0 AS passed FROM events""",
     "stream_facts": _sql(_FACT_COLUMNS),
-    "stream_history": _HISTORY_ALERTS,
+    "stream_history": _history_alerts(_IN_ORDER, False),
+    "stream_location": _history_alerts(_LOCATED, True),
     "dq_tables": """SELECT * FROM (VALUES ('dim_users', 'exists', 1, true), ('dim_merchants', 'exists', 1, true),
         ('fact_transactions', 'exists', 1, true), ('mart_daily_user_dashboard', 'exists', 1, true),
         ('mart_merchant_performance', 'exists', 1, true), ('mart_hourly_velocity', 'exists', 1, true),
         ('mart_fraud_alerts', 'exists', 1, true), ('silver tables', '>= 3', 3, true), ('gold tables', '>= 4', 4, true))
         AS t("check", expected, actual, passed)""",
     "stream_hourly_window": _sql(
-        f"""SELECT date_trunc('hour', event_timestamp) AS window_hour, count(*) AS transaction_count,
-          CAST(sum(amount_php) AS DECIMAL(16,2)) AS total_volume_php,
-          {_count_if("transaction_type = 'PAYMENT'")} AS payment_count,
-          {_count_if("transaction_type = 'TRANSFER'")} AS transfer_count,
-          {_count_if("transaction_type = 'CASHOUT'")} AS cashout_count,
-          {_percent("count(*) FILTER (WHERE status = 'SUCCESS')", 'count(*)')} AS success_rate,
-          {_percent('count(*) FILTER (WHERE fraud_flag)', 'count(*)', 4, 'DECIMAL(7,4)')} AS fraud_rate,
-          CAST(CAST((2 * sum(epoch_us(processing_timestamp) - epoch_us(event_timestamp)) + 10 * count(*)) // (20 * count(*))
-            AS DECIMAL(18,0)) / 100 AS DECIMAL(18,2)) AS avg_processing_ms
-        FROM scored GROUP BY 1
+        f"""{_HOURS}
         HAVING date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR <= {_STREAM_LIMIT}"""
     ),
+    "stream_hourly_live": _sql(_HOURS),
     "stream_velocity_window": _sql(
         f"""SELECT user_id, window_start, window_start + INTERVAL 6 HOURS AS window_end, count(*) AS tx_count
         FROM (SELECT user_id, date_trunc('hour', event_timestamp) - to_hours(CAST(i AS INTEGER)) AS window_start

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kwarta.operators import keyed
 from kwarta.plans import load, marts, silver
-from kwarta.sinks import tables
+from kwarta.sinks import segments, tables
 from make import payload
 
 
@@ -163,6 +163,51 @@ def test_quarantine_is_replaced_by_the_load_of_the_same_name(spark, lake):
     assert count() == 1
 
 
+def arriving(spark, day, *payloads):
+    """Rejected rows that arrived on that day."""
+    rows = [(p, "MALFORMED", datetime.fromisoformat(f"{day}T10:00:00"), date.fromisoformat(day)) for p in payloads]
+    return spark.createDataFrame(rows, "payload string, reject_reason string, processing_timestamp timestamp, arrival_date date")
+
+
+def test_a_replayed_micro_batch_adds_no_quarantine_whenever_it_arrived(spark, lake):
+    for again in (False, True, True):
+        load.load_quarantine(arriving(spark, "2024-01-12", "x", "x"), lake, "q-1", streamed=True, again=again)
+    load.load_quarantine(arriving(spark, "2026-11-30", "x", "x"), lake, "q-1", streamed=True, again=True)  # read on another day
+    load.load_quarantine(arriving(spark, "2024-01-12", "y"), lake, "q-2", streamed=True, again=True)
+    assert sorted((r.load_id, r.payload) for r in tables.read(spark, lake.quarantine).collect()) == [("q-1", "x"), ("q-1", "x"), ("q-2", "y")]
+
+
+def test_counts_come_from_the_writes(spark, lake):
+    raw = spark.createDataFrame([
+        (payload(event_id="a"),), (payload(event_id="a"),), ("garbage",), (payload(event_id="n", amount_php=60000, event_timestamp="2024-01-14T01:00:00Z"),),
+    ], "value string")
+    assert load.load_batch(raw, lake, "one") == load.Counts(accepted=2, flagged=1, rejected=1)
+    assert load.load_batch(raw, lake, "two") == load.Counts(rejected=1)
+    assert load.load_batch(raw.where("false"), lake, "none") == load.Counts()
+
+
+def test_a_crash_before_the_dimensions_is_repaired_by_the_same_load(spark, lake):
+    df = rows(spark, dict(event_id="a"), dict(event_id="b", user_id="u2", merchant_id="m2"))
+    assert not load.begin(spark, lake, "one")
+    load.remember(silver.score(df), lake, "one")
+    segments.append(df.selectExpr("user_id", "'one' AS load_id"), lake.user_keys, load.load_group("one"))  # the rows are not stored
+    load.load_rows(df, lake, "one")
+    load.load_rows(df, lake, "one")
+    load.load_rows(rows(spark, dict(event_id="c", user_id="u2")), lake, "two")
+    assert sorted(r.user_id for r in tables.read(spark, lake.users).collect()) == ["u1", "u2"]
+    assert sorted(r.merchant_id for r in tables.read(spark, lake.merchants).collect()) == ["m1", "m2"]
+    assert tables.read(spark, lake.facts).count() == 3
+
+
+def test_a_large_load_is_joined_with_all_keys(spark, lake, monkeypatch):
+    monkeypatch.setattr(load, "LISTED", 3)
+    load.load_batch(burst(spark, 0, 8), lake, "one", history=True)
+    assert load.keys_in(rows(spark, *[{}] * 4)) is None
+    load.load_batch(burst(spark, 4, 12), lake, "two", history=True)
+    assert found(spark, lake) == [("e10", "VELOCITY_SPIKE"), ("e11", "VELOCITY_SPIKE")]
+    assert tables.read(spark, lake.facts).count() == 12 and tables.read(spark, lake.users).count() == 1
+
+
 def test_known_members_add_no_file_and_tables_can_be_compacted(spark, lake):
     for n in range(3):
         load.load_batch(spark.createDataFrame([(payload(event_id=f"e{n}"),)], "value string"), lake, f"l{n}")
@@ -171,10 +216,10 @@ def test_known_members_add_no_file_and_tables_can_be_compacted(spark, lake):
     assert len(tables.read(spark, lake.users).inputFiles()) == files
     assert not glob(f"{lake.root}/_stage/*")
     before = state(spark, lake)
-    tables.compact(spark, lake.event_keys, lake.table("_stage/keys"))
+    assert segments.fold(spark, lake.event_keys, fan=2) == 1 and len(segments.segments(spark, lake.event_keys)) == 1
     tables.compact(spark, lake.facts, lake.table("_stage/facts"), "event_date", F.col("event_date") == "2024-01-15")
     assert len(tables.read(spark, lake.facts).inputFiles()) < 5
-    assert state(spark, lake) == before and tables.read(spark, lake.event_keys).count() == 4
+    assert state(spark, lake) == before and segments.read(spark, lake.event_keys).count() == 4
 
 
 def test_the_latest_decision_counts(spark, lake):
