@@ -137,6 +137,19 @@ class Lake:
         """Tables that are searched by key in every load."""
         return [self.event_keys, self.user_keys, self.merchant_keys, self.stretches]
 
+    @property
+    def customers(self) -> str:
+        return self.table("gold/mart_merchant_customers")
+
+    @property
+    def profiles(self) -> str:
+        return self.table("gold/fact_profiles")
+
+    @property
+    def arrivals(self) -> str:
+        """When each load began to store its rows: a folder per day, a small file per load."""
+        return self.table("_arrivals")
+
     @property
     def touched(self) -> str:
         """Days whose facts have changed since their marts were built: a folder per day, a small file per load."""

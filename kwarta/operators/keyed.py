@@ -59,7 +59,8 @@ def newest_partitions(rows: DataFrame, limit: int, partition: str = "event_date"
     """The newest partitions of a stored table that hold ``limit`` rows, for an order that begins with them.
 
     Partitions are counted from the newest on, twice as many each time, until there are enough: no file of an
-    older one is opened. A frame that is not a partitioned table comes back as it is.
+    older one is opened. That is a small job per doubling, while the report is being built. A frame that is not a
+    stored table comes back as it is.
     """
     days, take = tables.stored_dates(rows, partition), 1
     while take < len(days):

@@ -24,7 +24,7 @@ from kwarta.operators import fraud
 from kwarta.operators.history import score_with_history, stretches_of
 from kwarta.operators.keyed import first_per_key, lookup, missing_from, present_in
 from kwarta.plans import silver
-from kwarta.sinks import segments, tables
+from kwarta.sinks import arrivals, segments, tables
 
 # The fact table's columns besides its key and date.
 FACT_COLUMNS = [
@@ -196,6 +196,8 @@ def create_tables(spark: SparkSession, lake: Lake) -> None:
     tables.create(spark, lake.user_daily, "spend_date")
     tables.create(spark, lake.merchant_daily, "analysis_date")
     tables.create(spark, lake.hourly, "window_date")
+    tables.create(spark, lake.customers, "analysis_date")
+    tables.create(spark, lake.profiles, "event_date")
 
 
 def together(spark: SparkSession, *steps: Callable[[], object]) -> None:
@@ -386,7 +388,9 @@ def load_rows(
             lambda: load_dimension(scored, lake, load_id, "user_id", keys, again),
             lambda: load_dimension(scored, lake, load_id, "merchant_id", keys, again),
         )
-        touch(spark, lake, map(date.fromisoformat, seen.get["days"]), load_id)
+        days = list(map(date.fromisoformat, seen.get["days"]))
+        touch(spark, lake, days, load_id)
+        arrivals.note(spark, lake, load_group(load_id), counts.flagged, days)
         together(spark, lambda: load_facts(scored, lake, again), lambda: load_alerts(scored, lake, again))
         return counts
     finally:

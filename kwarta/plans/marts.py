@@ -19,7 +19,8 @@ from kwarta.functions import money
 from kwarta.functions.clock import hour_floor, instant, midnight, time_range
 from kwarta.operators.keyed import first_per_key, lookup
 from kwarta.operators.merge import merge_by_key
-from kwarta.sinks import tables
+from kwarta.plans import quality
+from kwarta.sinks import arrivals, tables
 
 DAY = timedelta(days=1)
 
@@ -196,6 +197,36 @@ def hourly(facts: DataFrame, as_of: datetime | str, now: Column | None = None, o
     )
 
 
+#: Buckets of a sketch of customers, as a power of two: a standard error of 1.2 % for many, none for few.
+SKETCH_BITS = 13
+
+
+def merchant_customers(facts: DataFrame, on: Iterable[date]) -> DataFrame:
+    """A mergeable sketch of each merchant's distinct customers on each of the days."""
+    return (
+        on_days(facts, on).filter("merchant_id IS NOT NULL")
+        .groupBy("merchant_id", F.to_date("event_timestamp").alias("analysis_date"))
+        .agg(F.hll_sketch_agg("user_id", F.lit(SKETCH_BITS)).alias("customers"))
+    )
+
+
+def approximate_customers(customers: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
+    """About how many customers each merchant had from one day through another, from the daily sketches alone."""
+    if start is not None:
+        customers = customers.filter(F.col("analysis_date") >= F.lit(start))
+    if end is not None:
+        customers = customers.filter(F.col("analysis_date") <= F.lit(end))
+    return customers.groupBy("merchant_id").agg(F.hll_sketch_estimate(F.hll_union_agg("customers")).alias("customers"))
+
+
+def build_customers(lake: Lake, facts: DataFrame, on: Iterable[date]) -> None:
+    tables.replace_partitions(tables.conform(merchant_customers(facts, on), schemas.CUSTOMERS), lake.customers, "analysis_date")
+
+
+def build_profiles(lake: Lake, facts: DataFrame, on: Iterable[date]) -> None:
+    tables.replace_partitions(tables.conform(quality.profile(on_days(facts, on)), schemas.PROFILES), lake.profiles, "event_date")
+
+
 def build_user_daily(
     lake: Lake, facts: DataFrame, merchants: DataFrame, as_of, days: int = 1, on: Iterable[date] | None = None
 ) -> None:
@@ -231,11 +262,13 @@ def _settle(lake: Lake, spark, seen: dict[date, list[str]]) -> None:
 
 
 def _rebuild(lake: Lake, facts: DataFrame, merchants: DataFrame, as_of, days: list[date]) -> None:
-    """The marts of those days. A merchant's growth on the day after stands on them too."""
+    """The marts, sketches and profiles of those days. A merchant's growth on the day after stands on them too."""
     after = {d + DAY for d in days if d + DAY < midnight(as_of).date()}
     build_user_daily(lake, facts, merchants, as_of, on=days)
     build_merchant_daily(lake, facts, as_of, on={*days, *after})
     build_hourly(lake, facts, as_of, on=days)
+    build_customers(lake, facts, days)
+    build_profiles(lake, facts, days)
 
 
 def refresh(lake: Lake, spark, as_of) -> list[date]:
@@ -261,6 +294,8 @@ def build_all(lake: Lake, spark, as_of) -> None:
     build_user_daily(lake, facts, merchants, as_of)
     build_merchant_daily(lake, facts, as_of)
     build_hourly(lake, facts, as_of)
+    build_customers(lake, facts, days_before(as_of))
+    build_profiles(lake, facts, days_before(as_of))
     _settle(lake, spark, seen)
 
 
@@ -272,9 +307,27 @@ def triage(lake: Lake, decisions: DataFrame) -> None:
     tables.append(tables.conform(decisions, schemas.DECISIONS), lake.decisions)
 
 
-def alerts_now(lake: Lake, spark) -> DataFrame:
-    """The stored alerts with the latest decision on each."""
-    return decided(tables.read(spark, lake.alerts), tables.read(spark, lake.decisions))
+def alerts_now(lake: Lake, spark, newest_open: int | None = None) -> DataFrame:
+    """The stored alerts with the latest decision on each.
+
+    With ``newest_open`` only those of the newest loads, so many loads that they hold this many open ones, if there
+    are: the notes that loads leave tell their days and times, so older partitions and files are not opened. A
+    look at the alerts per doubling is taken while the frame is being built.
+    """
+    alerts, decisions = tables.read(spark, lake.alerts), tables.read(spark, lake.decisions)
+    if newest_open is None:
+        return decided(alerts, decisions)
+    days, found, wanted = set(), 0, newest_open
+    for arrival in arrivals.newest(spark, lake, with_alerts=True):
+        days.update(arrival.days)
+        found += arrival.alerts
+        if found >= wanted:
+            some = on_days(alerts, days).filter(F.col("created_at") >= F.timestamp_micros(F.lit(arrival.micros)))
+            some = decided(some, decisions.join(some.select("alert_id"), "alert_id", "left_semi"))
+            if some.filter("status = 'NEW'").limit(newest_open).count() >= newest_open:
+                return some
+            wanted = 2 * found
+    return decided(alerts, decisions)
 
 
 TRIAGE_COLUMNS = ["status", "investigated_by", "notes", "resolved_at"]

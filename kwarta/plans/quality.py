@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kwarta import schemas
 from kwarta.config import Lake
 from kwarta.functions.clock import literal_like, instant, midnight
-from kwarta.sinks import tables
+from kwarta.sinks import arrivals, tables
 
 
 def _verdict(check: Column, expected: str, actual: Column, passed: Column) -> list[Column]:
@@ -136,6 +137,66 @@ def freshness(
     )
 
 
+def stored_freshness(lake: Lake, spark: SparkSession, as_of: datetime | str, span: timedelta = timedelta(minutes=10)) -> DataFrame:
+    """:func:`freshness` of the stored facts. A row is stored after it has arrived, so only the days of loads that have
+    begun since the start of the span are opened."""
+    facts, since = tables.read(spark, lake.facts), instant(as_of) - span
+    days = {day for arrival in arrivals.newest(spark, lake, since) for day in arrival.days}
+    return freshness(facts.filter(F.col("event_date").isin(sorted(days)) if days else F.lit(False)), as_of, span)
+
+
+def _measures() -> dict[str, Column]:
+    """What a profile counts of the facts, by name: rows, missing and present values, bad amounts, texts that are too long."""
+    facts = schemas.FACTS.names
+    return {
+        "rows": F.count(F.lit(1)),
+        **{f"{c} is null": F.count_if(F.col(c).isNull()) for c in facts},
+        "amount_php not positive": F.count_if(F.col("amount_php") <= 0),
+        **{f"{c} longer than {n}": F.count_if(F.length(c) > n) for c, n in schemas.MAX_LENGTH["fact_transactions"].items()},
+    }
+
+
+def profile(facts: DataFrame) -> DataFrame:
+    """event_date, measure, value: counts of each day that add up over days."""
+    measures = _measures()
+    daily = facts.groupBy(F.col("event_date").alias("_day")).agg(*[m.alias(name) for name, m in measures.items()])
+    return daily.unpivot(["_day"], list(measures), "measure", "value").withColumnRenamed("_day", "event_date")
+
+
+def profiled(lake: Lake, spark: SparkSession) -> DataFrame:
+    """measure, value over all facts. Profiles of days that no load has changed since are added up as they are stored;
+    only the other days are scanned."""
+    facts, stored = tables.read(spark, lake.facts), tables.read(spark, lake.profiles)
+    changed = {date.fromisoformat(d) for d in tables.names_in(spark, lake.touched)}
+    known = set(tables.stored_dates(stored)) - changed
+    open_days = sorted(set(tables.stored_dates(facts)) - known)
+    counts = stored.filter(F.col("event_date").isin(sorted(known)) if known else F.lit(False)).select("measure", "value")
+    if open_days:
+        counts = counts.unionByName(profile(facts.filter(F.col("event_date").isin(open_days))).select("measure", "value"))
+    return counts.groupBy("measure").agg(F.sum("value").alias("value"))
+
+
+def profile_checks(profiles: DataFrame, not_null: list[str], positive: list[str] = (), limits: dict[str, int] | None = None) -> DataFrame:
+    """The verdicts of :func:`constraints` and :func:`lengths`, from counts alone."""
+    wanted = [*(f"{c} is null" for c in not_null), *(f"{c} not positive" for c in positive),
+              *(f"{c} longer than {n}" for c, n in (limits or {}).items())]
+    counts = profiles.filter(F.col("measure").isin(wanted))
+    return counts.select(*_verdict(F.col("measure"), "= 0", F.col("value"), F.col("value") == 0))
+
+
+def profile_completeness(profiles: DataFrame, columns: list[str], target: str = "99.9") -> DataFrame:
+    """The verdicts of :func:`completeness`, from counts alone."""
+    missing = {c: F.max(F.when(F.col("measure") == f"{c} is null", F.col("value"))) for c in columns}
+    rows = F.max(F.when(F.col("measure") == "rows", F.col("value"))).cast("decimal(18,0)")
+    wide = profiles.agg(*[
+        F.try_divide((rows - n.cast("decimal(18,0)")) * F.lit(100).cast("decimal(3,0)"), rows).cast("decimal(7,4)").alias(c)
+        for c, n in missing.items()
+    ])
+    limit = F.lit(target).cast("decimal(7,4)")
+    return wide.unpivot([], columns, "check", "actual").select(
+        *_verdict(F.col("check"), f"> {target}", F.col("actual"), F.col("actual") > limit))
+
+
 def has_messages(source: DataFrame, at_most: int = 100) -> DataFrame:
     """Whether a source holds anything, looking at a bounded sample of it only."""
     found = source.limit(at_most).agg(F.count(F.lit(1)).alias("n"))

@@ -2,109 +2,97 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import types as T
 
 
-_TYPES = {
-    "string": T.StringType(), "boolean": T.BooleanType(), "smallint": T.ShortType(),
-    "bigint": T.LongType(), "double": T.DoubleType(), "date": T.DateType(), "timestamp": T.TimestampType(),
-}
+TEXT, FLAG, DAY, INSTANT = T.StringType(), T.BooleanType(), T.DateType(), T.TimestampType()
+SHORT, LONG, DOUBLE, BYTES = T.ShortType(), T.LongType(), T.DoubleType(), T.BinaryType()
 
 
-def _schema(columns: str) -> T.StructType:
-    """Columns as "name type, ...", without needing a session as ``StructType.fromDDL`` does."""
-    fields = re.findall(r"(\w+) (?:decimal\((\d+),(\d+)\)|(\w+))", columns)
-    return T.StructType([
-        T.StructField(name, _TYPES[kind] if kind else T.DecimalType(int(digits), int(places)))
-        for name, digits, places, kind in fields
-    ])
+def _struct(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
 # The JSON payload. Amount and timestamp arrive as text and are typed by the cleansing step.
-BRONZE = _schema(
-    """event_id string, event_timestamp string, transaction_type string, user_id string,
-    phone_number string, user_name string, amount_php string, merchant_id string,
-    merchant_name string, merchant_category string, province string, city string,
-    channel string, is_international boolean, device_id string, ip_address string"""
+BRONZE = _struct(
+    event_id=TEXT, event_timestamp=TEXT, transaction_type=TEXT, user_id=TEXT, phone_number=TEXT,
+    user_name=TEXT, amount_php=TEXT, merchant_id=TEXT, merchant_name=TEXT, merchant_category=TEXT,
+    province=TEXT, city=TEXT, channel=TEXT, is_international=FLAG, device_id=TEXT, ip_address=TEXT,
 )
 
-USERS = _schema(
-    """user_id string, phone_hash string, full_name string, home_province string, home_city string,
-    kyc_level string, account_status string, registration_date date,
-    created_at timestamp, updated_at timestamp"""
+USERS = _struct(
+    user_id=TEXT, phone_hash=TEXT, full_name=TEXT, home_province=TEXT, home_city=TEXT, kyc_level=TEXT,
+    account_status=TEXT, registration_date=DAY, created_at=INSTANT, updated_at=INSTANT,
 )
 
-MERCHANTS = _schema(
-    """merchant_id string, merchant_name string, category string, subcategory string,
-    province string, city string, is_partner boolean, onboarding_date date, risk_score smallint,
-    created_at timestamp, updated_at timestamp"""
+MERCHANTS = _struct(
+    merchant_id=TEXT, merchant_name=TEXT, category=TEXT, subcategory=TEXT, province=TEXT, city=TEXT,
+    is_partner=FLAG, onboarding_date=DAY, risk_score=SHORT, created_at=INSTANT, updated_at=INSTANT,
 )
 
 # event_date is the partition column; it is derived from event_timestamp.
-FACTS = _schema(
-    """transaction_id string, event_timestamp timestamp, user_id string, merchant_id string,
-    transaction_type string, amount_php decimal(14,2), channel string, province string, city string,
-    is_international boolean, device_id string, ip_hash string, fraud_score decimal(5,2),
-    fraud_flag boolean, fraud_reason string, status string, processing_timestamp timestamp,
-    event_date date"""
+FACTS = _struct(
+    transaction_id=TEXT, event_timestamp=INSTANT, user_id=TEXT, merchant_id=TEXT, transaction_type=TEXT,
+    amount_php=T.DecimalType(14, 2), channel=TEXT, province=TEXT, city=TEXT, is_international=FLAG,
+    device_id=TEXT, ip_hash=TEXT, fraud_score=T.DecimalType(5, 2), fraud_flag=FLAG, fraud_reason=TEXT,
+    status=TEXT, processing_timestamp=INSTANT, event_date=DAY,
 )
 
-QUARANTINE = _schema(
-    """payload string, reject_reason string, processing_timestamp timestamp,
-    load_id string, load_group string, arrival_date date"""
+QUARANTINE = _struct(
+    payload=TEXT, reject_reason=TEXT, processing_timestamp=INSTANT, load_id=TEXT, load_group=TEXT,
+    arrival_date=DAY,
 )
 
-ALERTS = _schema(
-    """alert_id bigint, transaction_id string, user_id string, merchant_id string, alert_type string,
-    fraud_score decimal(5,2), amount_php decimal(14,2), province string, event_timestamp timestamp,
-    status string, investigated_by string, notes string, created_at timestamp, resolved_at timestamp,
-    event_date date"""
+ALERTS = _struct(
+    alert_id=LONG, transaction_id=TEXT, user_id=TEXT, merchant_id=TEXT, alert_type=TEXT,
+    fraud_score=T.DecimalType(5, 2), amount_php=T.DecimalType(14, 2), province=TEXT, event_timestamp=INSTANT,
+    status=TEXT, investigated_by=TEXT, notes=TEXT, created_at=INSTANT, resolved_at=INSTANT, event_date=DAY,
 )
 
 # Every valid event that was loaded: its key, where it lies, and the load that brought it.
-EVENT_KEYS = _schema("transaction_id string, event_date date, load_id string")
+EVENT_KEYS = _struct(transaction_id=TEXT, event_date=DAY, load_id=TEXT)
 # The keys of the dimensions' rows, and the load that met them first.
-USER_KEYS = _schema("user_id string, load_id string")
-MERCHANT_KEYS = _schema("merchant_id string, load_id string")
+USER_KEYS = _struct(user_id=TEXT, load_id=TEXT)
+MERCHANT_KEYS = _struct(merchant_id=TEXT, load_id=TEXT)
 
 # What the history rules look back on: each event's user, instant and place; and, per user and stretch of the
 # dormancy gap, the first and the last instant.
-ACTIVITY = _schema(
-    """user_id string, event_id string, event_timestamp timestamp, lat double, lon double,
-    load_id string, event_date date"""
+ACTIVITY = _struct(
+    user_id=TEXT, event_id=TEXT, event_timestamp=INSTANT, lat=DOUBLE, lon=DOUBLE, load_id=TEXT, event_date=DAY,
 )
-STRETCHES = _schema("user_id string, stretch bigint, first_us bigint, last_us bigint, load_id string")
+STRETCHES = _struct(user_id=TEXT, stretch=LONG, first_us=LONG, last_us=LONG, load_id=TEXT)
 
 # Analysts' decisions, only ever appended.
-DECISIONS = _schema(
-    """alert_id bigint, status string, investigated_by string, notes string, resolved_at timestamp"""
-)
-
-USER_DAILY = _schema(
-    """user_id string, total_spend_php decimal(16,2), transaction_count bigint,
-    avg_transaction_php decimal(12,2), top_category string, top_merchant string,
-    food_spend_php decimal(12,2), bills_spend_php decimal(12,2), transport_spend_php decimal(12,2),
-    ecommerce_spend_php decimal(12,2), fraud_alerts_today bigint, created_at timestamp,
-    spend_date date"""
+DECISIONS = _struct(alert_id=LONG, status=TEXT, investigated_by=TEXT, notes=TEXT, resolved_at=INSTANT)
+
+USER_DAILY = _struct(
+    user_id=TEXT, total_spend_php=T.DecimalType(16, 2), transaction_count=LONG,
+    avg_transaction_php=T.DecimalType(12, 2), top_category=TEXT, top_merchant=TEXT,
+    food_spend_php=T.DecimalType(12, 2), bills_spend_php=T.DecimalType(12, 2),
+    transport_spend_php=T.DecimalType(12, 2), ecommerce_spend_php=T.DecimalType(12, 2),
+    fraud_alerts_today=LONG, created_at=INSTANT, spend_date=DAY,
 )
 
 # growth_vs_yesterday is wider than the (6,2) one would expect: a merchant that goes from one
 # centavo to a normal day grows by more than 9999.99 %, and ANSI casts raise on overflow.
-MERCHANT_DAILY = _schema(
-    """merchant_id string, transaction_count bigint, total_volume_php decimal(18,2),
-    avg_ticket_php decimal(12,2), unique_customers bigint, qr_count bigint, inapp_count bigint,
-    online_count bigint, success_rate decimal(5,2), fraud_incidents bigint,
-    growth_vs_yesterday decimal(24,2), created_at timestamp, analysis_date date"""
+MERCHANT_DAILY = _struct(
+    merchant_id=TEXT, transaction_count=LONG, total_volume_php=T.DecimalType(18, 2),
+    avg_ticket_php=T.DecimalType(12, 2), unique_customers=LONG, qr_count=LONG, inapp_count=LONG,
+    online_count=LONG, success_rate=T.DecimalType(5, 2), fraud_incidents=LONG,
+    growth_vs_yesterday=T.DecimalType(24, 2), created_at=INSTANT, analysis_date=DAY,
 )
 
+# A sketch of each merchant's customers on each day, from which those of any period can be told.
+CUSTOMERS = _struct(merchant_id=TEXT, customers=BYTES, analysis_date=DAY)
+
+# What a check of a day's facts has counted.
+PROFILES = _struct(measure=TEXT, value=LONG, event_date=DAY)
+
 # fraud_rate is a percentage and avg_processing_ms has no natural bound, hence the widths.
-HOURLY = _schema(
-    """window_hour timestamp, transaction_count bigint, total_volume_php decimal(16,2),
-    payment_count bigint, transfer_count bigint, cashout_count bigint, success_rate decimal(5,2),
-    fraud_rate decimal(7,4), avg_processing_ms decimal(18,2), created_at timestamp,
-    window_date date"""
+HOURLY = _struct(
+    window_hour=INSTANT, transaction_count=LONG, total_volume_php=T.DecimalType(16, 2), payment_count=LONG,
+    transfer_count=LONG, cashout_count=LONG, success_rate=T.DecimalType(5, 2), fraud_rate=T.DecimalType(7, 4),
+    avg_processing_ms=T.DecimalType(18, 2), created_at=INSTANT, window_date=DAY,
 )
 
 PRIMARY_KEYS = {

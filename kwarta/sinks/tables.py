@@ -24,6 +24,8 @@ BY_NAME = {
     "mart_daily_user_dashboard": schemas.USER_DAILY,
     "mart_merchant_performance": schemas.MERCHANT_DAILY,
     "mart_hourly_velocity": schemas.HOURLY,
+    "mart_merchant_customers": schemas.CUSTOMERS,
+    "fact_profiles": schemas.PROFILES,
 }
 
 
@@ -42,12 +44,15 @@ def exists(spark: SparkSession, name: str) -> bool:
 
 def read(spark: SparkSession, name: str) -> DataFrame:
     """A stored table. The engine's own tables are read with their declared schema, so no footer
-    is opened to infer one and an empty table has its columns."""
+    is opened to infer one and an empty table has its columns. The frame remembers its folder, for
+    :func:`stored_dates`."""
     if "/" not in name:
         return spark.table(name)
     declared = BY_NAME.get(name.rstrip("/").rsplit("/", 1)[-1])
     reader = spark.read if declared is None else spark.read.schema(declared)
-    return reader.parquet(name)
+    frame = reader.parquet(name)
+    frame._stored_at = name
+    return frame
 
 
 def create(spark: SparkSession, path: str, *partitions: str) -> None:
@@ -159,9 +164,14 @@ def compact(spark: SparkSession, path: str, stage: str, partition: str | None =
 
 
 def stored_dates(df: DataFrame, partition: str = "event_date") -> list[date]:
-    """The days a stored table has partitions of, newest first, from its file listing. Empty for other frames."""
-    found = {m[1] for name in df.inputFiles() if (m := re.search(rf"/{partition}=(\d{{4}}-\d\d-\d\d)/", name))}
-    return sorted(map(date.fromisoformat, found), reverse=True)
+    """The days a stored table, as :func:`read` gives it, has partitions of, newest first, by listing its folders.
+
+    Files are not listed. Empty for other frames.
+    """
+    path, prefix = getattr(df, "_stored_at", None), f"{partition}="
+    names = names_in(df.sparkSession, path) if path else []
+    found = (n.removeprefix(prefix) for n in names if n.startswith(prefix))
+    return sorted((date.fromisoformat(day) for day in found if re.fullmatch(r"\d{4}-\d\d-\d\d", day)), reverse=True)
 
 
 def replace_partitions(df: DataFrame, path: str, *partitions: str) -> None:

@@ -327,6 +327,18 @@ def marts_after_late_load(spark: SparkSession, sf: str) -> DataFrame:
     return plain(tables.read(spark, lake.merchant_daily))
 
 
+def customers_approximate(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers of each merchant over all days, from daily sketches, and whether that is within 3 % of the true count."""
+    lake = Lake(work_folder(spark, "lake"))
+    load.create_tables(spark, lake)
+    facts = fx.facts(spark, sf)
+    marts.build_customers(lake, facts, [d for (d,) in facts.select("event_date").distinct().collect()])
+    about = marts.approximate_customers(tables.read(spark, lake.customers))
+    exact = facts.groupBy("merchant_id").agg(F.countDistinct("user_id").alias("exact"))
+    close = F.abs(F.col("customers") - F.col("exact")) <= F.col("exact") * 0.03
+    return exact.join(about, "merchant_id", "left").select("merchant_id", "exact", F.coalesce(close, F.lit(False)).alias("within"))
+
+
 def mart_merchant_stored(spark: SparkSession, sf: str) -> DataFrame:
     """The merchant mart as two nightly builds of the same day leave it."""
     lake = Lake(work_folder(spark, "lake"))
@@ -486,6 +498,20 @@ def dq_completeness(spark: SparkSession, sf: str) -> DataFrame:
     return quality.completeness(fx.typed(spark, sf), columns)
 
 
+def dq_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Constraints, lengths and completeness of the stored facts from daily profiles, of which the last days are not
+    stored yet."""
+    lake = Lake(work_folder(spark, "lake"))
+    load.create_tables(spark, lake)
+    load.load_batch(fx.read_payloads(spark, sf), lake, "all", extra=fx.EXTRA_FIELDS)
+    marts.refresh(lake, spark, datetime(2024, 1, 21))
+    found, actual = quality.profiled(lake, spark), F.col("actual").cast("decimal(24,4)").alias("actual")
+    limits = schemas.MAX_LENGTH["fact_transactions"]
+    checks = quality.profile_checks(found, schemas.NOT_NULL["fact_transactions"], ["amount_php"], limits)
+    filled = quality.profile_completeness(found, ["user_id", "merchant_id", "province", "channel"])
+    return checks.withColumn("actual", actual).unionByName(filled.withColumn("actual", actual))
+
+
 def dq_mart_counts(spark: SparkSession, sf: str) -> DataFrame:
     facts, merchants = fx.facts(spark, sf), fx.merchants(spark, sf)
     return quality.mart_counts(
@@ -602,11 +628,11 @@ QUERIES = {
         load_replay, load_redelivery, stored_alerts, alert_ids, quarantine_reload, quarantine_replay, history_two_loads,
         location_two_loads, facts_by_partition,
         mart_user_daily, mart_user_daily_backfill, mart_merchant_daily, mart_merchant_stored, mart_hourly,
-        marts_after_late_load,
+        marts_after_late_load, customers_approximate,
         merchant_growth, merge_user_mart, merge_merchant_mart, merge_hourly_mart, alert_triage,
         report_realtime, report_hourly, report_alerts, report_open_alerts, report_category,
         report_province, report_top_merchants, report_channel, report_live_feed, report_live_fraud,
-        dq_constraints, dq_pk_unique, dq_repeated_keys, dq_fk, dq_length, dq_completeness,
+        dq_constraints, dq_pk_unique, dq_repeated_keys, dq_fk, dq_length, dq_completeness, dq_profiles,
         dq_mart_counts, dq_freshness, dq_topic_sample, dq_tables,
         stream_facts, stream_history, stream_location, stream_hourly_window, stream_hourly_live, stream_velocity_window, stream_unique_events,
     )

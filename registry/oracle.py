@@ -387,6 +387,8 @@ ORACLE_SQL = {
     "mart_user_daily": _sql(f"SELECT * FROM {_user_mart(f'(SELECT * FROM facts {_DAY})')}"),
     "mart_user_daily_backfill": _sql(f"SELECT * FROM {_user_mart('facts')}"),
     "mart_merchant_daily": _sql(f"SELECT * FROM {_merchant_mart('facts')}"),
+    "customers_approximate": _sql(
+        "SELECT merchant_id, count(DISTINCT user_id) AS exact, true AS within FROM facts GROUP BY merchant_id"),
     "mart_merchant_stored": _sql(f"SELECT * FROM {_merchant_mart('facts')}"),
     "marts_after_late_load": _sql(f"SELECT * FROM {_merchant_mart('facts', 'IS NOT NULL')}"),
     "mart_hourly": _sql(f"SELECT * FROM {_hourly_mart('facts')}"),
@@ -562,6 +564,18 @@ ORACLE_SQL = {
         FROM facts WHERE processing_timestamp BETWEEN TIMESTAMP '2024-01-15 11:00:00'
           AND TIMESTAMP '2024-01-15 12:00:00'"""
     ),
+    "dq_profiles": _sql(
+        "SELECT \"check\", expected, CAST(actual AS DECIMAL(24,4)) AS actual, passed FROM ("
+        + _none_allowed(
+            {
+                **{f"{c} is null": f"{c} IS NULL" for c in ("transaction_id", "event_timestamp", "transaction_type", "amount_php")},
+                "amount_php not positive": "amount_php <= 0",
+                **{f"{c} longer than {n}": f"length({c}) > {n}" for c, n in (_FACT_LIMITS | {"transaction_type": 20, "province": 50}).items()},
+            }, "facts",
+        )
+        + ") UNION ALL SELECT \"check\", expected, CAST(actual AS DECIMAL(24,4)), passed FROM ("
+        + _completeness(["user_id", "merchant_id", "province", "channel"], "facts") + ")"
+    ),
     "dq_topic_sample": """SELECT 'messages sampled' AS "check", '> 0' AS expected,
         least(count(*), 100) AS actual, count(*) > 0 AS passed FROM events""",
     "stream_facts": _sql(_FACT_COLUMNS),
