@@ -34,6 +34,8 @@ BANDS, ROWS = 32, 4
 DEVIATIONS = 4.0
 #: Members of a bucket in a block, and shingles worked on at once.
 BLOCK, AT_ONCE = 256, 200_000
+#: Bytes up to which the table of documents whose text is wanted is broadcast to the texts; above, both are shuffled.
+BROADCAST_BYTES = 64 << 20
 
 _U = np.uint64
 _GOLDEN, _M1, _M2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -316,9 +318,10 @@ class _Run:
         """(node, set): the full shingle sets, from the text of one document of each."""
         one = self.features.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("_hash", "_id")).alias("row"))
         wanted = self.kept(one.select("node", "row._hash", "row._id"), "near-wanted")
+        size = wanted.agg(F.sum(F.lit(24) + F.coalesce(F.octet_length(F.col("_id").cast("string")), F.lit(0)))).first()[0] or 0
         side = wanted.select("node", F.col("_hash").alias("h"), F.col("_id").alias("i"))
         where = (F.col("_hash") == F.col("h")) & F.col("_id").eqNullSafe(F.col("i"))
-        texts = self.docs.join(side, where).select("node", "_text")
+        texts = self.docs.join(F.broadcast(side) if size <= BROADCAST_BYTES else side, where).select("node", "_text")
         words = self.words
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,9 +369,13 @@ def classes(
     final, _ = written(groups, "near-groups")
     remove(run.spark, run.paths)
     own = run.features.select("_id", "_hash", "n", "node")
-    with_words = own.where("n > 0").join(final, "node", "left").select("_id", "_hash", "n", F.coalesce("root", "node").alias("root"))
-    lowest = with_words.groupBy("root").agg(F.min("_id").alias("component_id"), F.count(F.lit(1)).alias("size"))
-    named = told(with_words, lowest, "root", "size", own.count(), "component_id").select("_id", "_hash", "n", "component_id")
+    # copies of a set are one row until their class is known
+    some = own.where("n > 0")
+    sets = some.groupBy("node").agg(F.min("_id").alias("low"), F.count(F.lit(1)).alias("size"))
+    placed, _ = written(sets.join(final, "node", "left").select("node", "low", "size", F.coalesce("root", "node").alias("root")), "near-sets")
+    lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("members"))
+    of_set, _ = written(told(placed.select("node", "size", "root"), lowest, "root", "members", placed.count(), "component_id"), "near-classes")
+    named = told(some, of_set, "node", "size", own.count(), "component_id").select("_id", "_hash", "n", "component_id")
     without = own.where("n = 0").select("_id", "_hash", "n", F.col("_id").alias("component_id"))
     return named.unionByName(without).select(
         F.col("_id").alias(doc_id), F.col("n").alias("n_shingles"), "component_id",
