@@ -2,8 +2,8 @@
 
 A text is brought to a canonical form: case, copyright lines, equivalent spellings, punctuation and white space
 no longer count. Its digest is then joined to the digests of known licences and licence notices. Whole texts,
-their paragraphs and their lines are looked up, each as an entire text; and wherever the first words of a licence in
-full stand, as much text as that licence has. The known digests are a fixed list and are broadcast; only what matches
+their paragraphs and their lines are looked up, each as an entire text; the members of an expression of identifiers;
+and wherever the first words of a licence in full stand, as much text as that licence has. The known digests are a fixed list and are broadcast; only what matches
 is ever shuffled.
 """
 
@@ -14,6 +14,8 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kwarta.llm.shared import written
+
 #: Pattern and replacement, with $1 for groups, applied in this order to lower-case text. Lines stay.
 CANONICAL = (
     (r"(?m)^[ \t]*(?:copyright|\(c\)|©)[^\n]*\n?", ""),
@@ -41,6 +43,7 @@ NAMES = {
     "GPL-3.0": ("GNU General Public License, version 3", "GNU GPL v3", "GPLv3", "GPL-3.0"),
     "LGPL-3.0": ("GNU Lesser General Public License, version 3", "LGPLv3", "LGPL-3.0"),
     "AGPL-3.0": ("GNU Affero General Public License, version 3", "AGPLv3", "AGPL-3.0"),
+    "LGPL-2.1": ("GNU Lesser General Public License, version 2.1", "LGPLv2.1", "LGPL-2.1"),
     "MPL-2.0": ("Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "MPL 2.0", "MPL-2.0"),
     "BSD-2-Clause": ("BSD 2-Clause License", "Simplified BSD License", "BSD-2-Clause"),
     "BSD-3-Clause": ("BSD 3-Clause License", "New BSD License", "BSD-3-Clause"),
@@ -56,12 +59,27 @@ NAMES = {
         }.items()
     },
 }
+#: What may follow the identifier of a licence of GNU.
+VERSIONS = ("-only", "-or-later", "+")
+#: Line that holds an expression of identifiers, and what stands between these, in canonical form.
+EXPRESSION, BETWEEN = "spdx license identifier ", r" (?:or|and|with) "
 #: What notices say of a name; an article before the name is optional.
 NOTICES = (
     "{}", "Licensed under {}", "Released under {}", "Distributed under {}", "Available under {}",
     "This work is licensed under {}", "This software is licensed under {}", "This file is licensed under {}",
     "This project is licensed under {}", "This program is licensed under {}", "License: {}", "SPDX-License-Identifier: {}",
+    "Licensed under the terms of {}", "Distributed under the terms of {}", "Released under the terms of {}",
+)
+#: The notice at the head of a file under a licence of GNU: identifier, name, version; and what it calls the file.
+GNU_NOTICE = (
+    "This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by "
+    "the Free Software Foundation, either version {version} of the License, or (at your option) any later version.")
+GNU_LICENSES = (
+    ("GPL-2.0", "General Public License", "2"), ("GPL-3.0", "General Public License", "3"),
+    ("LGPL-2.1", "Lesser General Public License", "2.1"), ("LGPL-3.0", "Lesser General Public License", "3"),
+    ("AGPL-3.0", "Affero General Public License", "3"),
 )
+GNU_WORKS = ("program", "library", "file", "software")
 
 #: Licences in full.
 _AS_IS = (
@@ -136,17 +154,36 @@ FULL = (
      "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
     ("MPL-2.0", "mozilla public license version 2 0 1 definitions 1 1 contributor means", 14271,
      "95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9"),
+    ("Artistic-1.0-Perl", "the artistic license preamble the intent of this document is to state", 5683,
+     "cc2cd6cccfacd5fb622fb0e9b9a373fa9dcb86a8c152213a2b856dfbe24fe304"),
+    ("BSD-3-Clause", "redistribution and use in source and binary forms with or without modification", 1361,
+     "21ce5e311a0ef74591e636cf6d0a236029bcaa0ee86324ac68d5748657aa8651"),
+    ("GFDL-1.2", "gnu free documentation license version 1 2 november 2002 51 franklin st", 19509,
+     "19d29a7c800a0d85704b63b4c09d5cd01dd9a287c61e238f4717d8a9e75d214f"),
+    ("GFDL-1.3", "gnu free documentation license version 1 3 3 november 2008 http fsf", 21877,
+     "e70f40f3a50995855f972521fe4eaa4af360a4597e5914977b6093cce5243480"),
+    ("GPL-1.0", "gnu general public license version 1 february 1989 51 franklin st fifth", 11765,
+     "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("LGPL-2.0", "gnu library general public license version 2 june 1991 51 franklin street", 23937,
+     "9b0b3105b96203f9d9e4b72d4b77951152156c88139302b5aedf6295e3ceaaa3"),
+    ("LGPL-2.1", "gnu lesser general public license version 2 1 february 1999 51 franklin", 25024,
+     "cb225061bb71741fe8b31a2092e22fe05b1130438158ae5d16c48fd50186e345"),
+    ("MPL-1.1", "mozilla public license version 1 1 1 definitions 1 0 1 commercial", 22319,
+     "fcb579371133afd771fed87cd5d8c6dc5648746c9945d4adf08ec5c79aba5c61"),
     ("Unlicense", "this is free and unencumbered software released into the public domain anyone", 1170,
      "e2380bdfe57ca73b01d0b1848a4ee630998d729b260e63082b9267100b4a7229"),
 )
 
 
 def known_texts() -> Iterator[tuple[str, str]]:
-    """(licence, text): full texts, and each notice with each name."""
+    """(licence, text): full texts, the notices of GNU, and each notice with each name."""
     for license_id, texts in TEXTS.items():
         yield from ((license_id, text) for text in texts)
+    for license_id, name, version in GNU_LICENSES:
+        yield from ((license_id, GNU_NOTICE.format(what=what, name=name, version=version)) for what in GNU_WORKS)
     for license_id, names in NAMES.items():
-        for name in names:
+        gnu = license_id.startswith(("GPL", "LGPL", "AGPL"))
+        for name in (*names, *(license_id + v for v in VERSIONS if gnu)):
             for notice in NOTICES:
                 yield license_id, notice.format(name)
                 yield license_id, notice.format("the " + name)
@@ -218,15 +255,24 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     known = known.unionByName(full).distinct()
     whole = F.coalesce(docs[f"`{text}`"].cast("string"), F.lit(""))
     rows = docs.select(docs[f"`{doc_id}`"].alias("id"), lines(whole).alias("form"), F.sha2(whole.cast("binary"), 256).alias("key"))
-    pieces = F.concat(F.split("form", r"\n"), F.split("form", PARAGRAPH), runs(F.col("line"), known_runs(spark)))
+    by_line = F.split("form", r"\n")
+    tagged = F.filter(by_line, lambda x: F.contains(x, F.lit(EXPRESSION)))
+    named = F.when(F.contains("form", F.lit(EXPRESSION)), F.flatten(F.transform(
+        tagged, lambda x: F.split(F.trim(F.substring_index(x, EXPRESSION, -1)), BETWEEN)))).otherwise(F.array().cast("array<string>"))
+    pieces = F.concat(by_line, F.split("form", PARAGRAPH), runs(F.col("line"), known_runs(spark)), named)
     bare = F.when(F.contains("form", F.lit(RIGHTS)), F.regexp_replace("form", RIGHTS_LINE, "")).otherwise(F.col("form"))
     parts = F.concat(
-        F.array(F.struct(F.lit(True).alias("whole"), bare.alias("part"))),
+        F.array(F.struct(F.lit(None).cast("boolean").alias("whole"), F.col("line").alias("part")), F.struct(F.lit(True).alias("whole"), bare.alias("part"))),
         F.transform(pieces, lambda x: F.struct(F.lit(False).alias("whole"), x.alias("part"))))
-    each = rows.withColumn("line", flat(F.col("form"))).select("key", F.explode(parts).alias("p")).select("key", "p.whole", digest(F.col("p.part")).alias("digest"))
-    hits = each.join(F.broadcast(known), "digest").select("key", "license", "whole").distinct()
+    # One pass over the forms: what matches goes on, and of each row the digest of all, marked by no answer to "whole".
+    each = rows.withColumn("line", flat(F.col("form"))).select("id", "key", F.explode(parts).alias("p")).select(
+        "id", "key", "p.whole", digest(F.col("p.part")).alias("digest"))
+    found, _ = written(
+        each.join(F.broadcast(known.withColumnRenamed("digest", "known")), F.when(F.col("whole").isNotNull(), F.col("digest")) == F.col("known"), "left")
+        .where("whole IS NULL OR license IS NOT NULL").drop("known"), "license-hits")
+    hits = found.where("whole IS NOT NULL").select("key", "license", "whole").distinct()
     listed = hits.groupBy("key").agg(
         F.array_sort(F.collect_set("license")).alias("found"), F.min(F.when(F.col("whole"), F.col("license"))).alias("whole_license"))
-    return rows.select("id", "key", digest(F.col("form")).alias("canonical_sha256")).join(listed, "key", "left").select(
+    return found.where("whole IS NULL").select("id", "key", F.col("digest").alias("canonical_sha256")).join(listed, "key", "left").select(
         F.col("id").alias(doc_id), F.coalesce(F.array_join("found", ","), F.lit("")).alias("licenses"),
         F.coalesce(F.size("found"), F.lit(0)).cast("long").alias("n_licenses"), "whole_license", "canonical_sha256")

@@ -1,6 +1,6 @@
 """DuckDB SQL for the operators that SQL can express."""
 
-from kwarta.llm.licenses import CANONICAL, PARAGRAPH, SPACE, known_texts
+from kwarta.llm.licenses import BETWEEN, CANONICAL, EXPRESSION, PARAGRAPH, SPACE, known_texts
 from kwarta.llm.secrets import BASE, COMPLEMENT, KINDS, SCOPE
 
 
@@ -119,7 +119,9 @@ ORACLE_SQL = {
              parts AS (
                  SELECT row, true AS whole, form FROM docs UNION ALL
                  SELECT row, false, unnest(regexp_split_to_array(form, '\\n')) FROM docs UNION ALL
-                 SELECT row, false, unnest(regexp_split_to_array(form, {_text(PARAGRAPH)})) FROM docs),
+                 SELECT row, false, unnest(regexp_split_to_array(form, {_text(PARAGRAPH)})) FROM docs UNION ALL
+                 SELECT row, false, unnest(regexp_split_to_array(trim(regexp_replace(line, {_text('^.*' + EXPRESSION)}, '')), {_text(BETWEEN)}))
+                 FROM (SELECT row, unnest(regexp_split_to_array(form, '\\n')) AS line FROM docs) WHERE contains(line, {_text(EXPRESSION)})),
              hits AS (SELECT DISTINCT row, license, whole FROM (SELECT row, whole, {_flat('form')} AS form FROM parts) JOIN known USING (form)),
              listed AS (SELECT row, string_agg(DISTINCT license, ',' ORDER BY license) AS found, count(DISTINCT license) AS n,
                                min(license) FILTER (whole) AS w FROM hits GROUP BY row)

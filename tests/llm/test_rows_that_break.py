@@ -5,6 +5,7 @@ import random
 import time
 import tracemalloc
 import unicodedata
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from kwarta.llm import bpe, components, html_text, language, mixing, near_dedup, neighbours, queries, warc
+from kwarta.llm import bpe, components, html_text, language, licenses, mixing, neighbours, queries, warc
 from kwarta.llm.shared import told
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -216,6 +217,40 @@ def test_stages_against_their_definitions(spark, rows):
     assert len(encoded) == len(last) and all(r.n_tokens == len(r.ids) > 0 for r in encoded)
 
 
+GNU = ("This program is free software{}: you can redistribute it and/or modify\nit under the terms of the GNU {} as published by\nthe Free Software "
+       "Foundation, either version {} of the License, or\n(at your option) any later version.")
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("// SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0"), ("SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0"),
+    ("# SPDX-License-Identifier: (MIT OR Apache-2.0)\nint main;", "Apache-2.0,MIT"), ("SPDX-License-Identifier: LGPL-2.1", "LGPL-2.1"),
+    ("SPDX-License-Identifier: GPL-2.0+ AND BSD-3-Clause WITH x", "BSD-3-Clause,GPL-2.0"),
+    ("Licensed under the terms of the MIT license.", "MIT"), (GNU.format("", "General Public License", "3"), "GPL-3.0"),
+    ("A tool.\n\n" + GNU.format("", "Affero General Public License", "3") + "\n\nMore.", "AGPL-3.0"),
+    (GNU.replace("program", "library").format("", "Lesser General Public License", "2.1"), "LGPL-2.1"),
+    ("MIT or Harvard", ""), ("this or that license", ""),
+])
+def test_expressions_and_notices_of_licences(spark, text, expected):
+    docs = spark.createDataFrame([(1, text, "x", True), (1, text, "y", False)], "doc_id long, text string, license string, whole boolean")
+    assert [r.licenses for r in licenses.scan(docs).collect()] == [expected] * 2
+
+
+@pytest.mark.parametrize("file, name", [
+    ("LGPL-2.1", "LGPL-2.1"), ("LGPL-2", "LGPL-2.0"), ("GPL-1", "GPL-1.0"), ("GFDL-1.3", "GFDL-1.3"), ("GFDL-1.2", "GFDL-1.2"),
+    ("Artistic", "Artistic-1.0-Perl"), ("MPL-1.1", "MPL-1.1"), ("BSD", "BSD-3-Clause"),
+])
+def test_more_licences_in_full(spark, file, name):
+    path = Path("/usr/share/common-licenses") / file
+    if not path.exists():
+        pytest.skip("not on this machine")
+    full = path.read_text(errors="replace")
+    docs = spark.createDataFrame([(1, full), (2, f"Third parties\n\n{full}\n\nEnd.")], "doc_id long, text string")
+    got = {r.doc_id: (r.licenses, r.whole_license) for r in licenses.scan(docs).collect()}
+    assert got[1] == (name, name) and got[2][1] is None
+    if name != "MPL-1.1":  # known as a whole text only
+        assert name in got[2][0].split(",")
+
+
 def clustered(n, size, clusters, seed):
     draw = np.random.default_rng(seed)
     centres = draw.standard_normal((clusters, size)) * 3
