@@ -156,7 +156,7 @@ def test_queries_have_sql_where_it_can_say_it():
     from kwarta.llm.oracle import ORACLE_SQL
 
     assert set(ORACLE_SQL) <= set(queries.QUERIES)
-    assert set(queries.QUERIES) == {n for n in queries.QUERIES if re.match(r"op\d+_", n)} and len(queries.QUERIES) == 10
+    assert set(queries.QUERIES) == {n for n in queries.QUERIES if re.match(r"op\d+_", n)} and len(queries.QUERIES) == 13
 
 
 @pytest.mark.parametrize("name", ["op2_warc", "op3_exact_dedup", "op4_html", "op5_near_dedup", "op7_secrets", "op8_licenses"])
