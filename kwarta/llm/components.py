@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kwarta.llm.shared import remove, told, written
+from kwarta.llm.shared import FEW, remove, told, written
 
 
 def unite(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,6 +73,9 @@ def components(links: DataFrame) -> tuple[DataFrame, str]:
         if now == state:
             return stars.select(F.col("a").alias("node"), F.col("b").alias("root")), path
         state, old = now, path
-        large, between = written(_large_star(stars, now[0]).distinct(), "stars")
+        large, used = _large_star(stars, now[0]), [old]
+        if now[0] > FEW:  # it is read twice
+            large, between = written(large, "stars")
+            used.append(between)
         stars, path = written(_small_star(large, now[0]).distinct(), "stars")
-        remove(spark, [old, between])
+        remove(spark, used)

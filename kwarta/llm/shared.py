@@ -89,14 +89,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 #: A group is large if it holds this share of all rows at least: there are at most 1 / LARGE such groups.
 LARGE = 0.001
+#: Rows up to which all groups are broadcast, at some twenty bytes each: there are no more groups than rows.
+FEW = 500_000
 
 
 def told(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, value: str) -> DataFrame:
     """Rows with their group's value: an inner join on the key, whose large groups meet no task of their own.
 
-    `groups` has one row per key with its number of rows. The large ones are at most 1 / LARGE and are broadcast, so
-    their rows stay where they are; the others are joined as usual.
+    `groups` has one row per key with its number of rows, `total` is the number of all rows. Of few rows all groups are
+    broadcast; else the large ones are, at most 1 / LARGE, so that their rows stay where they are, and the others
+    are joined as usual.
     """
+    if total <= FEW:
+        return rows.join(F.broadcast(groups.select(key, value)), key)
     least = max(2.0, LARGE * total)
     large = groups.where(F.col(size) >= least).select(F.col(key).alias("_large"), value)
     others = groups.where(F.col(size) < least).select(key, value)

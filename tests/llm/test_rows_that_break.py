@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from kwarta.llm import bpe, components, html_text, language, licenses, mixing, neighbours, queries, warc
+from kwarta.llm import bpe, components, html_text, language, licenses, mixing, neighbours, queries, shared, warc
 from kwarta.llm.shared import told
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -168,11 +168,14 @@ def union_find(links):
     return {x: find(x) for x in parent if find(x) != x}
 
 
+@pytest.mark.parametrize("few", [500_000, 10])
 @pytest.mark.parametrize("links", [
     [(i, i + 1) for i in range(300)], [(0, i) for i in range(1, 3_000)], [(5_000, i) for i in range(3_000)],
     [(0, i) for i in range(1, 2_000)] + [(i, i + 10_000) for i in range(500)] + [(7, 7)], [],
 ])
-def test_components_with_hubs(spark, links):
+def test_components_with_hubs(spark, monkeypatch, links, few):
+    monkeypatch.setattr(components, "FEW", few)
+    monkeypatch.setattr(shared, "FEW", few)
     frame = spark.createDataFrame(links, "a long, b long").repartition(11)
     groups, _ = components.components(frame)
     assert {r.node: r.root for r in groups.collect()} == union_find(links)
@@ -181,8 +184,9 @@ def test_components_with_hubs(spark, links):
 def test_rows_of_large_groups_are_told_in_place(spark):
     rows = spark.createDataFrame([(1, i) for i in range(900)] + [(2 + i, i) for i in range(100)], "k long, v long").repartition(9)
     groups = rows.groupBy("k").agg(F.max("v").alias("m"), F.count(F.lit(1)).alias("n"))
-    out = told(rows, groups, "k", "n", 1_000, "m")
-    assert sorted(map(tuple, out.select("k", "v", "m").collect())) == sorted([(1, i, 899) for i in range(900)] + [(2 + i, i, i) for i in range(100)])
+    for total in (1_000, 1_000_000):
+        out = told(rows, groups, "k", "n", total, "m")
+        assert sorted(map(tuple, out.select("k", "v", "m").collect())) == sorted([(1, i, 899) for i in range(900)] + [(2 + i, i, i) for i in range(100)])
 
 
 def test_clashing_names_pass_all_stages(spark):
