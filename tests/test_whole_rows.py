@@ -7,6 +7,7 @@ from kwarta.config import DEFAULT_RULES
 from kwarta.operators import history
 from kwarta.plans import load, silver
 from kwarta.sinks import tables
+from registry import fixture as fx
 
 
 @pytest.fixture
@@ -63,3 +64,10 @@ def test_scores_by_hits_are_those_of_whole_rows(spark, hint):
     hits = history.history_hits(df, DEFAULT_RULES)
     assert hits.columns == ["event_id", "past_reason"] and hits.count()
     assert sorted(map(str, history.score_with_hits(df, hits.hint(hint)).select(columns).collect())) == sorted(map(str, whole.select(columns).collect()))
+
+def test_spans_are_dealt_by_id_without_a_sort(spark, monkeypatch):
+    dealt, frame = [], type(spark.range(1))
+    repartition = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda df, *by: dealt.append(by) or repartition(df, *by))
+    fx.landed_in_order(spark, "/root/testdata/sf0.001", [fx.datetime(2024, 1, 15)])
+    assert dealt == [(fx.SPAN_FILES, "event_id")] * 2  # a round robin sorts whole rows first
