@@ -20,6 +20,7 @@ from kwarta.functions.clock import hour_floor, instant, midnight, time_range
 from kwarta.operators.keyed import first_per_key, lookup
 from kwarta.operators.merge import merge_by_key
 from kwarta.plans import quality
+from kwarta.plans.load import together
 from kwarta.sinks import arrivals, tables
 
 DAY = timedelta(days=1)
@@ -52,8 +53,9 @@ def user_daily(
     ``on`` names the days instead of ``days`` before ``as_of``.
 
     Facts are reduced to one row per (user, day, merchant) before the join, so a busy merchant
-    reaches it as one row per user and a busy user as one row per merchant. The two modes are the
-    largest of pre-counted groups; no per-user list of values is ever held.
+    reaches it as one row per user and a busy user as one row per merchant. Then they are dealt once by (user, day),
+    which both groupings that follow use. The two modes are the largest of pre-counted groups; no per-user
+    list of values is ever held.
     """
     end = midnight(as_of)
     key = ["user_id", "spend_date"]
@@ -67,23 +69,25 @@ def user_daily(
         )
     )
     named = lookup(visits, merchants, "merchant_id", ["merchant_name", "category"])
-    by_value = named.groupingSets(
-        [[*key, "category"], [*key, "merchant_name"]],
-        *key, "category", "merchant_name",
-    ).agg(
-        F.grouping("merchant_name").alias("is_category"),
-        F.sum("n").alias("n"),
-        F.sum("spend").alias("spend"),
-        F.sum("alerts").alias("alerts"),
+    sums = ("n", "spend", "alerts")
+    values = [
+        F.struct(F.lit(kind).alias("is_category"), F.col(name).alias("value"), *sums)
+        for kind, name in ((1, "category"), (0, "merchant_name"))
+    ]
+    by_value = (
+        named.repartition(*key)
+        .select(*key, F.inline(F.array(*values)))
+        .groupBy(*key, "is_category", "value")
+        .agg(*[F.sum(c).alias(c) for c in sums])
     )
     is_category = F.col("is_category") == 1
 
-    def most_frequent(value: str, within: Column) -> Column:
-        rank = F.struct(-F.col("n"), F.col(value))
-        return F.min_by(value, F.when(within & F.col(value).isNotNull(), rank))
+    def most_frequent(within: Column) -> Column:
+        rank = F.struct(-F.col("n"), F.col("value"))
+        return F.min_by("value", F.when(within & F.col("value").isNotNull(), rank))
 
     def spend_on(category: str) -> Column:
-        wanted = is_category & (F.col("category") == category)
+        wanted = is_category & (F.col("value") == category)
         return F.sum(F.when(wanted, F.col("spend")).otherwise(F.lit(0))).cast("decimal(12,2)")
 
     spend = F.sum(F.when(is_category, F.col("spend")))
@@ -92,8 +96,8 @@ def user_daily(
         spend.cast("decimal(16,2)").alias("total_spend_php"),
         n.alias("transaction_count"),
         money.mean(spend, n).alias("avg_transaction_php"),
-        most_frequent("category", is_category).alias("top_category"),
-        most_frequent("merchant_name", ~is_category).alias("top_merchant"),
+        most_frequent(is_category).alias("top_category"),
+        most_frequent(~is_category).alias("top_merchant"),
         spend_on("Food").alias("food_spend_php"),
         spend_on("Bills").alias("bills_spend_php"),
         spend_on("Transport").alias("transport_spend_php"),
@@ -264,11 +268,14 @@ def _settle(lake: Lake, spark, seen: dict[date, list[str]]) -> None:
 def _rebuild(lake: Lake, facts: DataFrame, merchants: DataFrame, as_of, days: list[date]) -> None:
     """The marts, sketches and profiles of those days. A merchant's growth on the day after stands on them too."""
     after = {d + DAY for d in days if d + DAY < midnight(as_of).date()}
-    build_user_daily(lake, facts, merchants, as_of, on=days)
-    build_merchant_daily(lake, facts, as_of, on={*days, *after})
-    build_hourly(lake, facts, as_of, on=days)
-    build_customers(lake, facts, days)
-    build_profiles(lake, facts, days)
+    together(
+        facts.sparkSession,
+        lambda: build_user_daily(lake, facts, merchants, as_of, on=days),
+        lambda: build_merchant_daily(lake, facts, as_of, on={*days, *after}),
+        lambda: build_hourly(lake, facts, as_of, on=days),
+        lambda: build_customers(lake, facts, days),
+        lambda: build_profiles(lake, facts, days),
+    )
 
 
 def refresh(lake: Lake, spark, as_of) -> list[date]:
@@ -291,11 +298,14 @@ def build_all(lake: Lake, spark, as_of) -> None:
     facts, merchants = tables.read(spark, lake.facts), tables.read(spark, lake.merchants)
     if late := [d for d in seen if d not in days_before(as_of)]:
         _rebuild(lake, facts, merchants, as_of, late)
-    build_user_daily(lake, facts, merchants, as_of)
-    build_merchant_daily(lake, facts, as_of)
-    build_hourly(lake, facts, as_of)
-    build_customers(lake, facts, days_before(as_of))
-    build_profiles(lake, facts, days_before(as_of))
+    together(
+        spark,
+        lambda: build_user_daily(lake, facts, merchants, as_of),
+        lambda: build_merchant_daily(lake, facts, as_of),
+        lambda: build_hourly(lake, facts, as_of),
+        lambda: build_customers(lake, facts, days_before(as_of)),
+        lambda: build_profiles(lake, facts, days_before(as_of)),
+    )
     _settle(lake, spark, seen)
 
 
