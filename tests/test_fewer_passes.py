@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+import pytest
 from make import payload
 
 from kwarta.plans import load, marts
@@ -35,3 +36,19 @@ def test_late_events_are_landed_apart(spark, monkeypatch):
     events = fx.table(spark, SMALL, "events")
     late = events.filter("event_id % 9 = 4").count()
     assert [spark.read.text(read(rows)).count() for rows in landed] == sent == [events.count() - late, late]
+
+
+def _sent(spark, ids, **fields):
+    return spark.createDataFrame([(payload(event_id=i, **fields),) for i in ids], "value string")
+
+
+def test_large_load_of_known_events_compares_no_whole_rows(spark, lake, monkeypatch):
+    monkeypatch.setattr(load, "LISTED", 3)
+    assert load.load_batch(_sent(spark, "abcdef"), lake, "one").accepted == 6
+    monkeypatch.setattr(load, "unseen", lambda *a, **k: pytest.fail("whole rows were shuffled by id"))
+    assert load.load_batch(_sent(spark, "abcdef"), lake, "two").accepted == 0
+    assert load.load_batch(_sent(spark, "aabcde"), lake, "three").accepted == 0  # repeated, but known
+    assert load.load_batch(_sent(spark, "abcdefg"), lake, "four").accepted == 1
+    moved = _sent(spark, "abcdeg", event_timestamp="2024-01-20T10:00:00Z")
+    assert load.load_batch(moved, lake, "four").accepted == 0  # g is its own, of another day
+    assert sorted(r.transaction_id for r in tables.read(spark, lake.facts).collect()) == list("abcdefg")
